@@ -1,0 +1,55 @@
+import random
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from geotaxa.operators.ranking import ordered_rank
+from geotaxa.operators.requests import (batched_requests, cell_requests, feature_requests,
+                                        grid_location, sample_batches, unwind_cells)
+from helpers import as_set, occ_df, row
+
+
+def brute_rank(df, groups, order):
+    w = Window.partitionBy(*groups).orderBy(*order)
+    return df.withColumn("rank", F.row_number().over(w))
+
+
+def test_ordered_rank_equals_row_number_on_skewed_groups(spark):
+    rnd = random.Random(7)
+    rows = [("hot" if i % 3 else f"g{rnd.randint(0, 20)}", rnd.randint(0, 10**6), i) for i in range(3000)]
+    rows += [(None, 5, 10**7), (None, 1, 10**7 + 1)]              # NULL group
+    df = spark.createDataFrame(rows, "g string, o long, k long")
+    got = ordered_rank(df, ["g"], ["o", "k"], num_partitions=7)
+    want = brute_rank(df, ["g"], ["o", "k"])
+    assert as_set(got, "g", "o", "k", "rank") == as_set(want, "g", "o", "k", "rank")
+
+
+def test_batches_are_consecutive_and_bounded(spark):
+    df = occ_df(spark, [row(i, family="A" if i < 250 else "B") for i in range(260)])
+    b = batched_requests(df, batch_size=100)
+    counts = {(r["family"], r["b"]): r["n"] for r in b.groupBy("family", "b").agg(F.count("*").alias("n")).collect()}
+    assert counts == {("A", 0): 100, ("A", 1): 100, ("A", 2): 50, ("B", 0): 10}
+    s = sample_batches(b, n=3)
+    assert {(r["family"], r["b"]) for r in s.select("family", "b").distinct().collect()} == {("A", 0), ("A", 1), ("A", 2)}
+    assert s.count() == 250
+
+
+def test_feature_requests_chunks_hot_places(spark):
+    rows = [row(i, lat=1.0) for i in range(250)] + [row(1000 + i, lat=2.0, unc=None) for i in range(3)]
+    out = feature_requests(occ_df(spark, rows), max_keys=100)
+    got = {(r["latitude"], r["chunk"]): r["n"] for r in out.collect()}
+    assert got == {(1.0, 0): 100, (1.0, 1): 100, (1.0, 2): 50, (2.0, 0): 3}
+    keys = ",".join(r["k"] for r in out.where("latitude = 1.0").orderBy("chunk").collect()).split(",")
+    assert keys == sorted(keys) and len(set(keys)) == 250       # nothing lost, key order kept
+
+
+def test_unwind_and_cell_requests(spark):
+    df = occ_df(spark, [row(1, cell=5), row(2, cell=6)])
+    u = unwind_cells(df, F.array(F.col("cell_id"), F.col("cell_id") + 1))
+    assert u.count() == 4
+    assert as_set(cell_requests(u), "c", "n", "a", "b") == {(5, 1, 1, 1), (6, 2, 1, 2), (7, 1, 2, 2)}
+
+
+def test_grid_location(spark):
+    df = occ_df(spark, [row(1, lat=1.3, unc=None), row(2, lat=-0.1, unc=10.0), row(3, lat=0.5, unc=100.0)])
+    assert as_set(grid_location(df), "id", "la", "u") == {(1, 1.25, 30.0), (2, -0.25, 30.0), (3, 0.5, 100.0)}
