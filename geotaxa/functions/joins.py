@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,11 +18,18 @@ DEFAULT_BROADCAST_ROWS = 200_000
 def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only if it holds at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows, so it is cheap for the small
-    dimension tables it is meant for.  Beyond the bound the frame is returned
-    unchanged and Spark picks a shuffle join."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    The side is persisted (memory, spilling to disk) and counted with a limit
+    of ``max_rows + 1``; within the bound the persisted rows are what gets
+    broadcast, so the small side is computed once, not once for the check and
+    again for the join.  Beyond the bound the persisted copy is dropped and
+    the frame is returned unchanged: Spark then plans a shuffle join (or AQE
+    broadcasts it at run time if the measured size allows)."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = kept.limit(max_rows + 1).count()
+    if n <= max_rows:
+        return F.broadcast(kept)
+    kept.unpersist(blocking=False)
+    return df
 
 
 def null_safe_condition(left: DataFrame, right: DataFrame, cols: Sequence[str],

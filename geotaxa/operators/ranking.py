@@ -61,7 +61,7 @@ def ordered_rank(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[
     offsets = offsets.select(F.col("_pid").alias("_opid"),
                              *[F.col(g).alias(f"_o_{g}") for g in groups],
                              "_first", "_off")
-    offsets = sized_broadcast(offsets.checkpoint(eager=True), max_broadcast_rows)
+    offsets = sized_broadcast(offsets, max_broadcast_rows)
     cond = (ranged["_pid"] == offsets["_opid"]) & null_safe_condition(
         ranged, offsets, groups, [f"_o_{g}" for g in groups])
     joined = ranged.join(offsets, cond, "inner")

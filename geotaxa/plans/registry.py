@@ -88,6 +88,13 @@ def q_valid_names(spark, d):
     return taxa.valid_names(_latest(spark, d))
 
 
+def q_valid_names_by_source_id(spark, d):
+    """Counting variant over the latest version per ``source_id``: names with at
+    least 200 such records (inclusive)."""
+    o = fixture.occ(spark, d).withColumn("source_id", F.floor(F.col("id") / 10).cast("long"))
+    return taxa.valid_names(versions.latest_by_source_id(o))
+
+
 def q_read_occurrences(spark, d):
     return read_occurrences(fixture.occ(spark, d)).select("id", "source", "name")
 
@@ -310,6 +317,7 @@ QUERIES: dict[str, Query] = {
     "spatial_dedup": q_spatial_dedup,
     "taxa_threshold": q_taxa_threshold,
     "valid_names": q_valid_names,
+    "valid_names_by_source_id": q_valid_names_by_source_id,
     "read_occurrences": q_read_occurrences,
     "name_distribution": q_name_distribution,
     "top_names": q_top_names,
@@ -377,6 +385,11 @@ select id, source, name from latest
 where {_multiword_sql('name')}
   and name in (select name from latest where {_multiword_sql('name')} group by name having count(*) > 200)"""),
     "valid_names": (["latest"], "select name, count(*) as c from latest group by name having count(*) >= 200"),
+    "valid_names_by_source_id": (["occ"], """
+select name, count(*) as c from (select *, row_number() over (partition by source_id
+  order by updated_at desc, price desc, id) as r
+  from (select *, cast(floor(id / 10) as bigint) as source_id from occ) x) y
+where r = 1 group by name having count(*) >= 200"""),
     "read_occurrences": (["latest"], f"""
 select id, source, name from {_DEDUP} d
 where {_multiword_sql('name')}

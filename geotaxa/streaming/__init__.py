@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The source system is batch only -- no windows, triggers, watermarks, state or
+late data.  Its one incremental idea, a per-(source, family) high-water mark,
+is a batch pull implemented in ``geotaxa.sources.sync.incremental_pull`` (with
+``next_marks`` to compute the following marks).
+"""
