@@ -168,32 +168,32 @@ def feature_rows_to_append(occ: DataFrame, stored: DataFrame, spec: FeatureSpec,
 
 def merge_features(occ: DataFrame, stored: DataFrame, fetched: DataFrame,
                    spec: FeatureSpec) -> DataFrame:
-    """Every occurrence once, with its stored value or else its fetched one.
+    """Every occurrence once, with its fetched value where its key was fetched
+    and its stored value otherwise.
 
-    Stored and fetched rows are disjoint by key (fetches are only for missing
-    keys), so their union is one row per key and a single LEFT JOIN puts it
-    back on the occurrences -- one shuffle of the large side, not two."""
-    per_key = (stored.select(*_keys(spec), *spec.value_cols)
-                     .unionByName(fetched.select(*_keys(spec), *spec.value_cols)))
-    return occ.join(per_key, on=_keys(spec), how="left")
+    Per key there is one row: the fetched one, or else the stored one (a key
+    stored without a value and then fetched keeps only the fetched row).  That
+    table is joined back to the occurrences once -- a single shuffle of the
+    large side, not one per source of values."""
+    keys = _keys(spec)
+    got = fetched.select(*keys, *spec.value_cols)
+    kept = stored.select(*keys, *spec.value_cols).join(got.select(*keys), on=keys, how="left_anti")
+    return occ.join(kept.unionByName(got), on=keys, how="left")
 
 
 def grouped_occurrences(occ: DataFrame, stored: DataFrame, fetched: DataFrame,
                         spec: FeatureSpec, identity: Sequence[str] = ("source", "id"),
                         count: str = "c") -> DataFrame:
-    """Flatten complete rows and fetched responses (bag union), then regroup
-    per occurrence: number of feature rows and their (largest) value."""
-    keys = _keys(spec)
-    complete = (join_existing_features(occ, stored, spec)
-                .where(is_complete(spec))
-                .select(*identity, *spec.value_cols))
-    responses = (occ.join(stored.select(*keys), on=keys, how="left_anti")
-                    .join(fetched.where(is_complete(spec)).select(*keys, *spec.value_cols),
-                          on=keys, how="inner")
-                    .select(*identity, *spec.value_cols))
-    flat = complete.unionByName(responses)
+    """Complete rows and fetched responses together (bag union), regrouped per
+    occurrence: number of feature rows and their (largest) value.
+
+    Complete rows carry a stored value and fetched responses a found value;
+    since fetches are only for keys without a stored value, both are exactly
+    the merged rows that have a value, so this is the merge plus one partially
+    aggregated GROUP BY."""
+    merged = merge_features(occ, stored, fetched, spec)
     aggs = [F.count(F.lit(1)).alias(count)] + [F.max(v).alias(v) for v in spec.value_cols]
-    return flat.groupBy(*identity).agg(*aggs)
+    return merged.where(is_complete(spec)).groupBy(*identity).agg(*aggs)
 
 
 def combine_features(occ: DataFrame, specs: Sequence[tuple[FeatureSpec, DataFrame]]) -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 IDENTITY = ("id", "source")
 
@@ -21,21 +22,40 @@ def version_order() -> list[Column]:
     return [F.col("updated_at").desc(), F.col("price").desc()]
 
 
+_ORDERABLE = (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType,
+              T.BooleanType, T.BinaryType)
+
+
+def _with_tie_breaks(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> list[Column]:
+    """``order`` followed by every other atomic column, ascending: when the
+    declared order ties, the pick still depends only on the rows' values, so
+    a recomputed partition (lost executor) picks the same row."""
+    extra = [F.col(f.name).asc() for f in df.schema.fields
+             if f.name not in keys and isinstance(f.dataType, _ORDERABLE)]
+    return [*order, *extra]
+
+
 def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
-                    rank_col: str = "_r") -> DataFrame:
-    """One row per ``keys``: the first by ``order`` (give a unique order for a
-    deterministic pick).  NULL keys form one group, as in GROUP BY."""
-    w = Window.partitionBy(*keys).orderBy(*order)
+                    rank_col: str = "_r", break_ties: bool = False) -> DataFrame:
+    """One row per ``keys``: the first by ``order``.  NULL keys form one
+    group, as in GROUP BY.  With ``break_ties`` the remaining columns settle
+    ties (use it when ``order`` may not be unique; it keeps every column in
+    the shuffle, so unique orders should not ask for it)."""
+    full = _with_tie_breaks(df, keys, order) if break_ties else list(order)
+    w = Window.partitionBy(*keys).orderBy(*full)
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) == 1).drop(rank_col)
 
 
 def latest_version(df: DataFrame, keys: Sequence[str] = IDENTITY,
-                   order: Sequence[Column] | None = None) -> DataFrame:
-    """Latest version per identity; the helper rank column is dropped."""
-    return first_per_group(df, keys, order if order is not None else version_order())
+                   order: Sequence[Column] | None = None, break_ties: bool = True) -> DataFrame:
+    """Latest version per identity; the helper rank column is dropped.
+    Versions equal in time and price are settled by their other columns, so
+    the pick never depends on row arrival order."""
+    return first_per_group(df, keys, order if order is not None else version_order(),
+                           break_ties=break_ties)
 
 
 def latest_by_source_id(df: DataFrame, source_id: str = "source_id") -> DataFrame:
     """Latest version when identity is a single ``source_id`` column; equal
     versions are settled by price, then id."""
-    return first_per_group(df, [source_id], [*version_order(), F.col("id").asc()])
+    return first_per_group(df, [source_id], [*version_order(), F.col("id").asc()], break_ties=True)

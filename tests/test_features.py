@@ -95,3 +95,16 @@ def test_combine_several_features(spark):
     out = fx.combine_features(occ, [(SPEC, a), (FeatureSpec(name="ndvi", value_cols=("ndvi",)), b)])
     assert as_set(out.where(F.col("id") == 1), "landcover", "ndvi") == {(5, 0.5)}
     assert out.count() == occ.count()
+
+
+def test_key_stored_without_value_is_refetched_once(spark):
+    occ = occs(spark)
+    stored = stored_df(spark, [(1, D1, None), (2, D1, 3)])
+    lookup = stored_df(spark, [(1, D1, 11)])
+    spec = FeatureSpec(name="landcover", lookup=lookup)
+    fetched = fx.fetch_missing_features(fx.missing_feature_keys(occ, stored, spec), spec)
+    merged = fx.merge_features(occ, stored, fetched, spec)
+    assert merged.count() == occ.count()
+    assert as_set(merged, "id", "landcover") == {(1, 11), (2, 11), (3, 3), (4, None), (5, None)}
+    grouped = fx.grouped_occurrences(occ, stored, fetched, spec)
+    assert as_set(grouped, "id", "c", "landcover") == {(1, 1, 11), (2, 1, 11), (3, 1, 3)}

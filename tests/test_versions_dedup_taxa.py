@@ -97,3 +97,11 @@ def test_empty_inputs(spark):
     assert read_occurrences(empty).count() == 0
     assert spatial_dedup(empty).count() == 0
     assert latest_version(empty).count() == 0
+
+
+def test_latest_version_settles_full_ties_by_values(spark):
+    a = row(1, name="b b", updated=T0, price=1.0)
+    b = row(1, name="a a", updated=T0, price=1.0)
+    for rows in ([a, b], [b, a]):
+        out = latest_version(occ_df(spark, rows))
+        assert [r["name"] for r in out.collect()] == ["a a"]
