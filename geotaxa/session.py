@@ -41,8 +41,12 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint directory, setting a local one only if
-    none is configured (tests, single machine)."""
+    """Return the session's checkpoint directory.
+
+    It comes from the session (``setCheckpointDir`` or ``spark.checkpoint.dir``).
+    Only a local-mode session (tests, one machine) with none configured gets a
+    folder of its own; on a cluster a missing setting is an error, because a
+    machine-local folder is not visible to the other executors."""
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
@@ -50,6 +54,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's "
+                           "distributed file system) before running operators that checkpoint")
     local = tempfile.mkdtemp(prefix="geotaxa-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return local
