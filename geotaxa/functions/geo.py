@@ -45,3 +45,30 @@ def timestamp_literal(value: _dt.date | _dt.datetime | str,
         text = str(value)
     target = like if isinstance(like, (T.TimestampType, T.TimestampNTZType)) else T.TimestampType()
     return F.lit(text).cast(target)
+
+
+# Fixed value: mean length of one degree of latitude, in metres.
+METRES_PER_DEGREE = 111_320.0
+
+
+def covering_cells(lat: str | Column, lon: str | Column, unc: str | Column,
+                   step: float, minimum: float = MIN_RESOLUTION_M) -> Column:
+    """Ids of the ``step``-degree grid cells touched by the box around an
+    uncertain location (half-width = the buffered uncertainty in metres,
+    longitude widened by 1/cos(latitude)).  Cell id = row * columns + column,
+    rows counted from the south pole and columns from the antimeridian, so
+    ids are non-negative.  Built from ``sequence`` / ``transform``: no Python."""
+    la, lo = _col(lat), _col(lon)
+    s = F.lit(float(step)).cast("double")
+    metres = buffered_uncertainty(unc, minimum)
+    dlat = metres / F.lit(METRES_PER_DEGREE)
+    dlon = metres / (F.lit(METRES_PER_DEGREE) * F.greatest(F.cos(F.radians(la)), F.lit(0.01)))
+    ncols = int(round(360.0 / step))
+    row0 = int(round(90.0 / step))
+    col0 = int(round(180.0 / step))
+    r_lo, r_hi = F.floor((la - dlat) / s), F.floor((la + dlat) / s)
+    c_lo, c_hi = F.floor((lo - dlon) / s), F.floor((lo + dlon) / s)
+    return F.flatten(F.transform(
+        F.sequence(r_lo, r_hi),
+        lambda r: F.transform(F.sequence(c_lo, c_hi),
+                              lambda c: (r + F.lit(row0)) * F.lit(ncols) + (c + F.lit(col0)))))

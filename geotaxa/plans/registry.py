@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from geotaxa.functions.geo import covering_cells
 from geotaxa.functions.json import from_json_record, strict_json, to_json_record
 from geotaxa.operators import dedup, features, metrics, names, requests, taxa, versions
 from geotaxa.operators.features import FeatureSpec
@@ -255,6 +256,12 @@ def q_unwind_cells(spark, d):
     return requests.unwind_cells(_latest(spark, d), _cells())
 
 
+def q_covering_cells(spark, d):
+    """Unwind each occurrence into the grid cells its uncertainty box covers."""
+    cells = covering_cells("latitude", "longitude", "coordinate_uncertainty", GRID_STEP)
+    return requests.unwind_cells(_latest(spark, d), cells, out="cell")
+
+
 def q_cell_requests(spark, d):
     return requests.cell_requests(requests.unwind_cells(_latest(spark, d), _cells()))
 
@@ -346,6 +353,7 @@ QUERIES: dict[str, Query] = {
     "valid_feature_vectors": q_valid_feature_vectors,
     "one_request_per_cell": q_one_request_per_cell,
     "unwind_cells": q_unwind_cells,
+    "covering_cells": q_covering_cells,
     "cell_requests": q_cell_requests,
     "feature_requests": q_feature_requests,
     "batched_requests": q_batched_requests,
@@ -473,6 +481,16 @@ select cell_id, count(*) as n from raster group by cell_id having count(*) >= {V
 select cell_id, source, id from (select *, row_number() over (partition by cell_id order by source, id) as r
   from latest) where r = 1"""),
     "unwind_cells": (["latest"], "select id, source, unnest([cell_id, cell_id + 1]) as c from latest"),
+    "covering_cells": (["latest"], f"""
+select id, source, unnest(flatten(list_transform(generate_series(r_lo, r_hi),
+  lambda r: list_transform(generate_series(c_lo, c_hi),
+    lambda c: (r + {int(round(90 / GRID_STEP))}) * {int(round(360 / GRID_STEP))} + (c + {int(round(180 / GRID_STEP))}))))) as cell
+from (select id, source,
+  cast(floor((latitude - u / 111320.0) / {GRID_STEP}) as bigint) as r_lo,
+  cast(floor((latitude + u / 111320.0) / {GRID_STEP}) as bigint) as r_hi,
+  cast(floor((longitude - u / (111320.0 * greatest(cos(radians(latitude)), 0.01))) / {GRID_STEP}) as bigint) as c_lo,
+  cast(floor((longitude + u / (111320.0 * greatest(cos(radians(latitude)), 0.01))) / {GRID_STEP}) as bigint) as c_hi
+  from (select *, greatest(coalesce(coordinate_uncertainty, 30.0), 30.0) as u from latest) x) y"""),
     "cell_requests": (["latest"], """
 select c, count(*) as n, min(id) as a, max(id) as b
 from (select id, unnest([cell_id, cell_id + 1]) as c from latest) group by c"""),

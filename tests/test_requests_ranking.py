@@ -53,3 +53,17 @@ def test_unwind_and_cell_requests(spark):
 def test_grid_location(spark):
     df = occ_df(spark, [row(1, lat=1.3, unc=None), row(2, lat=-0.1, unc=10.0), row(3, lat=0.5, unc=100.0)])
     assert as_set(grid_location(df), "id", "la", "u") == {(1, 1.25, 30.0), (2, -0.25, 30.0), (3, 0.5, 100.0)}
+
+
+def test_covering_cells_box(spark):
+    from geotaxa.functions.geo import covering_cells
+    df = occ_df(spark, [row(1, lat=0.1, lon=0.1, unc=30.0),        # well inside one cell
+                        row(2, lat=0.0, lon=0.1, unc=None),        # on a row boundary: two rows
+                        row(3, lat=0.0, lon=0.0, unc=30.0)])       # on a corner: four cells
+    got = {r["id"]: sorted(r["cells"]) for r in
+           df.select("id", covering_cells("latitude", "longitude", "coordinate_uncertainty", 0.25)
+                     .alias("cells")).collect()}
+    ncols, r0, c0 = 1440, 360, 720
+    assert got[1] == [r0 * ncols + c0]
+    assert got[2] == [(r0 - 1) * ncols + c0, r0 * ncols + c0]
+    assert len(got[3]) == 4
