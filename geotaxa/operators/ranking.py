@@ -9,9 +9,9 @@ spreads a hot group over many tasks:
    many partitions -- and sort inside each partition;
 2. tag rows with ``monotonically_increasing_id`` (increasing within a
    partition, so a group's rows in one partition are consecutive), and
-   ``checkpoint()`` the tagged rows into the cluster's shared checkpoint
-   folder: range bounds are sampled per execution, so the tags must be
-   fixed once and read back by both of the following steps;
+   write the tagged rows as a Parquet table into the cluster's shared
+   checkpoint folder: range bounds are sampled per execution, so the tags
+   must be fixed once and read back by both of the following steps;
 3. per (partition, group): first id and row count -- a small table with at
    most (#partitions + #groups) rows;
 4. a running sum of those counts over earlier partitions of the same group
@@ -27,11 +27,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from geotaxa.functions.joins import DEFAULT_BROADCAST_ROWS, null_safe_condition, sized_broadcast
-from geotaxa.session import ensure_checkpoint_dir
+from geotaxa.session import ensure_checkpoint_dir, materialize
 
 
 def _num_partitions(df: DataFrame) -> int:
@@ -48,11 +49,16 @@ def ordered_rank(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[
     keys = groups + list(order_cols)
     n = num_partitions or _num_partitions(df)
     ensure_checkpoint_dir(df.sparkSession)
-    ranged = (df.repartitionByRange(n, *keys)
+    # The range partitioner samples its input in a job of its own: persist the
+    # input so that job and the shuffle read it once, until the checkpoint
+    # holds the tagged rows.
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = (src.repartitionByRange(n, *keys)
                 .sortWithinPartitions(*keys)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = ranged.checkpoint(eager=True)
+    ranged = materialize(ranged, "rank")
+    src.unpersist(blocking=False)
     stats = (ranged.groupBy("_pid", *groups)
                    .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_cnt")))
     earlier = (Window.partitionBy(*groups).orderBy("_pid")

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geotaxa.functions.geo import buffered_uncertainty, grid_floor
-from geotaxa.functions.joins import null_safe_condition
 from geotaxa.operators.ranking import batch_ids
 
 PLACE_KEY = ("latitude", "longitude", "coordinate_uncertainty", "date")
@@ -46,25 +45,16 @@ def feature_requests(df: DataFrame, place: Sequence[str] = PLACE_KEY,
     A popular place can hold a large share of all rows, so a place's keys are
     cut into chunks of at most ``max_keys`` consecutive keys (in key order):
     a small place stays one request (chunk 0), a hot one becomes many
-    requests built by many tasks.  Chunk numbers come from ``ordered_rank``,
-    which itself never puts a whole place into one task.  NULL uncertainty is
-    a place of its own.
+    requests built by many tasks.  Chunk numbers come from the exact in-place
+    rank of ``ordered_rank``, which never puts a whole place into one task.
+    NULL uncertainty is a place of its own.
 
     Columns: place..., chunk, n (keys in the request), k (comma-joined keys)."""
     place = list(place)
     k = key if key is not None else occurrence_key()
     keyed = df.select(*place, k.alias("_key"))
-    renamed = [f"_p_{c}" for c in place]
-    sizes = keyed.groupBy(*place).agg(F.count(F.lit(1)).alias("_size"))
-    sizes = sizes.select(*[F.col(c).alias(r) for c, r in zip(place, renamed)], "_size")
-    sized = (keyed.join(sizes, null_safe_condition(keyed, sizes, place, renamed), "inner")
-                  .drop(*renamed))
-    # Places with few keys need no ranking: one request, chunk 0.
-    small_rows = (sized.where(F.col("_size") <= max_keys).drop("_size")
-                       .withColumn("chunk", F.lit(0).cast("long")))
-    big_rows = sized.where(F.col("_size") > max_keys).drop("_size")
-    big_rows = batch_ids(big_rows, place, ["_key"], max_keys, out="chunk")
-    rows = small_rows.unionByName(big_rows)
+    # Chunk = floor((rank - 1) / max_keys): 0 for every key of a small place.
+    rows = batch_ids(keyed, place, ["_key"], max_keys, out="chunk")
     return rows.groupBy(*place, "chunk").agg(
         F.count(F.lit(1)).alias("n"),
         F.array_join(F.sort_array(F.collect_list("_key")), ",").alias("k"))

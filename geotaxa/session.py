@@ -67,3 +67,18 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     jobs write and read back (never a machine-local temp folder on a cluster)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a Parquet table in a new folder below the shared
+    checkpoint directory and return the table read back.
+
+    This cuts the lineage like ``checkpoint()`` but stays columnar: later
+    reads prune columns and push filters.  The folder belongs to the returned
+    frame; delete it with the rest of the checkpoint data."""
+    import uuid
+
+    spark = df.sparkSession
+    path = shared_dir(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
