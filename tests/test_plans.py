@@ -1,20 +1,15 @@
 """Plan checks: the physical plans are the ones we designed for."""
 
-import io
-from contextlib import redirect_stdout
-
 import pytest
 
 import __spark_entry__ as entry
+from geotaxa.plans.checks import plan_summary, plan_text
 
 SF = "/root/testdata/sf0.001"
 
 
 def plan(df):
-    buf = io.StringIO()
-    with redirect_stdout(buf):
-        df.explain("formatted")
-    return buf.getvalue()
+    return plan_text(df, "formatted")
 
 
 def test_latest_version_partial_window_group_limit(spark):
@@ -43,8 +38,14 @@ def test_scan_prunes_columns(spark):
 
 
 @pytest.mark.parametrize("key", sorted(entry.queries()))
-def test_no_row_at_a_time_python(spark, key):
-    if key in ("feature_requests", "batched_requests", "sample_batches"):
-        pytest.skip("plan is built after an eager checkpoint; covered by test_requests_ranking")
-    p = plan(entry.queries()[key](spark, SF))
-    assert "BatchEvalPython" not in p
+def test_no_row_at_a_time_python_and_no_cartesian(spark, key):
+    s = plan_summary(entry.queries()[key](spark, SF))
+    assert "BatchEvalPython" not in s["python"]
+    assert not s["cartesian"]
+    if key != "fetch_missing_features":
+        assert s["python"] == []
+
+
+def test_pull_never_shuffles_records(spark):
+    s = plan_summary(entry.queries()["incremental_pull"](spark, SF))
+    assert "BroadcastHashJoin:LeftSemi" in s["joins"]
