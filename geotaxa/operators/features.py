@@ -129,7 +129,8 @@ def _fetch_in_batches(spec: FeatureSpec, schema: T.StructType):
             for start in range(0, len(pdf), size):
                 chunk = pdf.iloc[start:start + size][keys].reset_index(drop=True)
                 got = user_fetch(chunk)
-                got = got[keys + values] if len(got) else pd.DataFrame(columns=keys + values)
+                got = (got[keys + values].drop_duplicates(keys) if len(got)
+                       else pd.DataFrame(columns=keys + values))
                 out = chunk.merge(got, on=keys, how="left")
                 out[FETCHED] = True
                 yield out[[f.name for f in schema.fields]]

@@ -44,7 +44,8 @@ def ordered_rank(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[
                  out: str = "rank", num_partitions: int | None = None,
                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Add ``out`` = 1-based position of each row inside its group, ordered by
-    ``order_cols`` ascending (NULLs first, as Spark's ASC)."""
+    ``order_cols`` ascending (NULLs first, as Spark's ASC).  With no group
+    columns it is a global row number, still computed by many tasks."""
     groups = list(group_cols)
     keys = groups + list(order_cols)
     n = num_partitions or _num_partitions(df)
@@ -68,8 +69,9 @@ def ordered_rank(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[
                              *[F.col(g).alias(f"_o_{g}") for g in groups],
                              "_first", "_off")
     offsets = sized_broadcast(offsets, max_broadcast_rows)
-    cond = (ranged["_pid"] == offsets["_opid"]) & null_safe_condition(
-        ranged, offsets, groups, [f"_o_{g}" for g in groups])
+    cond = ranged["_pid"] == offsets["_opid"]
+    if groups:
+        cond = cond & null_safe_condition(ranged, offsets, groups, [f"_o_{g}" for g in groups])
     joined = ranged.join(offsets, cond, "inner")
     rank = (F.col("_mid") - F.col("_first") + F.lit(1) + F.col("_off")).cast("long")
     return joined.withColumn(out, rank).drop(

@@ -67,3 +67,9 @@ def test_covering_cells_box(spark):
     assert got[1] == [r0 * ncols + c0]
     assert got[2] == [(r0 - 1) * ncols + c0, r0 * ncols + c0]
     assert len(got[3]) == 4
+
+
+def test_ordered_rank_without_groups_is_a_global_row_number(spark):
+    df = spark.createDataFrame([(i * 7 % 101,) for i in range(101)], "o long")
+    got = ordered_rank(df, [], ["o"], num_partitions=5)
+    assert sorted((r["o"], r["rank"]) for r in got.collect()) == [(i, i + 1) for i in range(101)]
