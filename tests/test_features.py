@@ -108,3 +108,15 @@ def test_key_stored_without_value_is_refetched_once(spark):
     assert as_set(merged, "id", "landcover") == {(1, 11), (2, 11), (3, 3), (4, None), (5, None)}
     grouped = fx.grouped_occurrences(occ, stored, fetched, spec)
     assert as_set(grouped, "id", "c", "landcover") == {(1, 1, 11), (2, 1, 11), (3, 1, 3)}
+
+
+def test_nothing_missing_means_nothing_fetched(spark):
+    occ = occs(spark)
+    stored = stored_df(spark, [(1, D1, 1), (2, D1, 2), (3, D2, 3), (4, D2, 4)])
+    spec = FeatureSpec(name="landcover", fetch=fetch_even_cells)
+    keys = fx.missing_feature_keys(occ, stored, spec)
+    assert keys.count() == 0
+    fetched = fx.fetch_missing_features(keys, spec)
+    assert fetched.count() == 0
+    merged = fx.merge_features(occ, stored, fetched, spec)
+    assert as_set(merged, "id", "landcover") == {(1, 1), (2, 1), (3, 2), (4, 3), (5, 4)}
