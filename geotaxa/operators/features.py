@@ -31,8 +31,9 @@ class FeatureSpec:
     key_cols    columns a feature value depends on (e.g. cell and date)
     value_cols  the feature columns
     lookup      table with key_cols + value_cols to fetch from, or
-    fetch       function(pandas keys) -> pandas keys + value_cols; rows it does
-                not return are "fetched, nothing there"
+    fetch       function(pandas keys) -> pandas keys + value_cols; key columns
+                must come back unchanged; keys it does not return are
+                "fetched, nothing there"
     value_types Spark types of value_cols (needed for ``fetch``)
     """
 
@@ -58,10 +59,12 @@ def stored_values(stored: DataFrame, spec: FeatureSpec) -> DataFrame:
 
 
 def join_existing_features(occ: DataFrame, stored: DataFrame, spec: FeatureSpec,
-                           with_flag: bool = False) -> DataFrame:
-    """Occurrences LEFT JOIN stored features on the feature key.  The stored
-    table grows with the data, so the planner chooses the strategy; AQE splits
-    a hot key on the occurrence side."""
+                           with_flag: bool = True) -> DataFrame:
+    """Occurrences LEFT JOIN stored features on the feature key, with the
+    ``fetched`` flag (so fetched-but-empty keys count as complete in the
+    split, as they do in ``missing_feature_keys``).  The stored table grows
+    with the data, so the planner chooses the strategy; AQE splits a hot key
+    on the occurrence side."""
     right = stored_values(stored, spec) if with_flag else stored.select(*_keys(spec), *spec.value_cols)
     return occ.join(right, on=_keys(spec), how="left")
 

@@ -120,3 +120,12 @@ def test_nothing_missing_means_nothing_fetched(spark):
     assert fetched.count() == 0
     merged = fx.merge_features(occ, stored, fetched, spec)
     assert as_set(merged, "id", "landcover") == {(1, 1), (2, 1), (3, 2), (4, 3), (5, 4)}
+
+
+def test_fetched_but_empty_counts_as_complete(spark):
+    occ = occs(spark)
+    stored = spark.createDataFrame([(1, D1, None, True), (2, D1, 3, False)],
+                                   "cell_id long, date date, landcover long, fetched boolean")
+    j = fx.join_existing_features(occ, stored, SPEC)
+    assert as_set(fx.complete_rows(j, SPEC), "id") == {(1,), (2,), (3,)}
+    assert as_set(fx.missing_feature_keys(occ, stored, SPEC), "cell_id") == {(3,), (4,)}
