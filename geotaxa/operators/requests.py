@@ -38,7 +38,8 @@ def cell_requests(unwound: DataFrame, cell_col: str = "c", id_col: str = "id") -
 
 def feature_requests(df: DataFrame, place: Sequence[str] = PLACE_KEY,
                      key: Column | None = None,
-                     max_keys: int = MAX_KEYS_PER_REQUEST) -> DataFrame:
+                     max_keys: int = MAX_KEYS_PER_REQUEST,
+                     keys_as_text: bool = True) -> DataFrame:
     """Squash occurrences sharing (latitude, longitude, uncertainty, date) into
     requests listing their keys.
 
@@ -49,15 +50,17 @@ def feature_requests(df: DataFrame, place: Sequence[str] = PLACE_KEY,
     rank of ``ordered_rank``, which never puts a whole place into one task.
     NULL uncertainty is a place of its own.
 
-    Columns: place..., chunk, n (keys in the request), k (comma-joined keys)."""
+    Columns: place..., chunk, n (keys in the request), k (the keys in key
+    order: comma-joined text, or an array with ``keys_as_text=False``)."""
     place = list(place)
     k = key if key is not None else occurrence_key()
     keyed = df.select(*place, k.alias("_key"))
     # Chunk = floor((rank - 1) / max_keys): 0 for every key of a small place.
     rows = batch_ids(keyed, place, ["_key"], max_keys, out="chunk")
+    keys = F.sort_array(F.collect_list("_key"))
     return rows.groupBy(*place, "chunk").agg(
         F.count(F.lit(1)).alias("n"),
-        F.array_join(F.sort_array(F.collect_list("_key")), ",").alias("k"))
+        (F.array_join(keys, ",") if keys_as_text else keys).alias("k"))
 
 
 def batched_requests(df: DataFrame, group_cols: Sequence[str] = ("family",),

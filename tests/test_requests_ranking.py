@@ -73,3 +73,10 @@ def test_ordered_rank_without_groups_is_a_global_row_number(spark):
     df = spark.createDataFrame([(i * 7 % 101,) for i in range(101)], "o long")
     got = ordered_rank(df, [], ["o"], num_partitions=5)
     assert sorted((r["o"], r["rank"]) for r in got.collect()) == [(i, i + 1) for i in range(101)]
+
+
+def test_feature_requests_as_key_lists(spark):
+    rows = [row(i, lat=1.0) for i in range(5)]
+    out = feature_requests(occ_df(spark, rows), max_keys=2, keys_as_text=False)
+    lists = [r["k"] for r in out.orderBy("chunk").collect()]
+    assert lists == [["gbif:0", "gbif:1"], ["gbif:2", "gbif:3"], ["gbif:4"]]
