@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Upper bound on rows for an explicit broadcast.  A side is broadcast only
 # after a count proves it is at most this size; otherwise the join is left to
@@ -15,21 +16,28 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 200_000
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it holds at most ``max_rows`` rows.
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame | None:
+    """The broadcast form of ``df`` if it holds at most ``max_rows`` rows,
+    else ``None``.
 
     The side is persisted (memory, spilling to disk) and counted with a limit
     of ``max_rows + 1``; within the bound the persisted rows are what gets
     broadcast, so the small side is computed once, not once for the check and
-    again for the join.  Beyond the bound the persisted copy is dropped and
-    the frame is returned unchanged: Spark then plans a shuffle join (or AQE
-    broadcasts it at run time if the measured size allows)."""
+    again for the join.  Beyond the bound the persisted copy is dropped."""
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = kept.limit(max_rows + 1).count()
     if n <= max_rows:
         return F.broadcast(kept)
     kept.unpersist(blocking=False)
-    return df
+    return None
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if a count proves it holds at most
+    ``max_rows`` rows; otherwise ``df`` unchanged, and Spark plans a shuffle
+    join (or AQE broadcasts it at run time if the measured size allows)."""
+    small = broadcast_if_small(df, max_rows)
+    return small if small is not None else df
 
 
 def null_safe_condition(left: DataFrame, right: DataFrame, cols: Sequence[str],
@@ -42,3 +50,32 @@ def null_safe_condition(left: DataFrame, right: DataFrame, cols: Sequence[str],
         part = left[lc].eqNullSafe(right[rc])
         cond = part if cond is None else (cond & part)
     return cond
+
+
+# Salt buckets for joins whose small side has no static size bound.
+DEFAULT_SALT_BUCKETS = 16
+_HASHABLE = (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType,
+             T.BooleanType, T.BinaryType)
+
+
+def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
+                buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+    """Equi-join on ``keys`` that spreads each key of the large ``left`` side
+    over ``buckets`` shuffle partitions.
+
+    Every left row gets a salt from a hash of its own values (deterministic,
+    so a retried task routes rows the same way); the key-level ``right`` side
+    is repeated once per salt.  A key holding a third of all rows is then
+    split ``buckets`` ways, and both join inputs are plain shuffle reads, so
+    AQE's skew handling can split a still-hot partition further.  Correct for
+    inner, left outer, left semi and left anti joins: each left row meets
+    exactly one copy of each matching right row."""
+    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
+        raise ValueError(f"salted_join does not support {how!r}")
+    values = [F.col(f.name) for f in left.schema.fields if isinstance(f.dataType, _HASHABLE)]
+    if buckets <= 1 or not values:
+        return left.join(right, on=list(keys), how=how)
+    salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(*values), F.lit(buckets)))
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))
+    salted_right = right.withColumn("_salt", F.explode(salts))
+    return salted_left.join(salted_right, on=[*keys, "_salt"], how=how).drop("_salt")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geotaxa.functions.joins import DEFAULT_SALT_BUCKETS, salted_join
 from geotaxa.functions.words import is_multiword
 
 # Fixed value: minimum number of occurrences for a taxon.
@@ -24,19 +25,21 @@ def valid_names(df: DataFrame, threshold: int = DEFAULT_THRESHOLD,
 
 
 def taxa_threshold(df: DataFrame, threshold: int = DEFAULT_THRESHOLD,
-                   name_col: str = "name", require_multiword: bool = True) -> DataFrame:
+                   name_col: str = "name", require_multiword: bool = True,
+                   salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
     """Keep every row of a name with **more than** ``threshold`` rows and more
     than one word.
 
-    Counted with a partially aggregated GROUP BY and applied with a LEFT SEMI
-    join, so no group is ever gathered: a popular name costs one partial count
-    per map task, and the semi join's hot key is split by AQE's skew handling
-    (or the surviving names are broadcast when AQE measures them small).  The
-    word test runs first, on both sides.  NULL names are dropped."""
+    Counted with a partially aggregated GROUP BY and applied with a salted
+    LEFT SEMI join, so no group is ever gathered: a popular name costs one
+    partial count per map task, and its rows are spread over
+    ``salt_buckets`` join partitions (AQE may still broadcast the surviving
+    names when it measures them small).  The word test runs first, on both
+    sides.  NULL names are dropped."""
     cand = df.where(is_multiword(name_col)) if require_multiword else df.where(F.col(name_col).isNotNull())
     keep = (cand.groupBy(name_col).agg(F.count(F.lit(1)).alias("_n"))
                 .where(F.col("_n") > threshold).select(name_col))
-    return cand.join(keep, on=name_col, how="left_semi")
+    return salted_join(cand, keep, [name_col], "left_semi", salt_buckets)
 
 
 def top_names(df: DataFrame, n: int = 1000, name_col: str = "name", out: str = "c") -> DataFrame:

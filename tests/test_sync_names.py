@@ -70,3 +70,15 @@ def test_normalize_names_once_per_name(spark):
     assert as_set(out, "id", "scientific_name") == {
         (1, "Amanita muscaria L."), (2, "Amanita muscaria L."), (3, None), (4, None)}
     assert normalize_names(occ, lookup, drop_unresolved=True).count() == 2
+
+
+def test_normalize_names_beyond_broadcast_bound_is_salted(spark):
+    occ = occ_df(spark, [row(i, name="amanita muscaria" if i % 3 else "other name") for i in range(60)])
+    lookup = spark.createDataFrame([("amanita muscaria", "A"), ("other name", "O"), ("x y", "X")],
+                                   "given_name string, scientific_name string")
+    small = normalize_names(occ, lookup)
+    big = normalize_names(occ, lookup, max_broadcast_rows=1)
+    assert as_set(big, "id", "scientific_name") == as_set(small, "id", "scientific_name")
+    assert big.count() == 60
+    from geotaxa.plans.checks import plan_text
+    assert "_salt" in plan_text(big)

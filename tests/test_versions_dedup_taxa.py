@@ -105,3 +105,12 @@ def test_latest_version_settles_full_ties_by_values(spark):
     for rows in ([a, b], [b, a]):
         out = latest_version(occ_df(spark, rows))
         assert [r["name"] for r in out.collect()] == ["a a"]
+
+
+def test_taxa_threshold_salting_does_not_change_results(spark):
+    rows = [row(i, name="Hot taxon", lat=float(i % 50), price=float(i)) for i in range(400)]
+    rows += [row(1000 + i, name=f"Other n{i % 7}", lat=float(i)) for i in range(70)]
+    df = occ_df(spark, rows)
+    a = as_set(taxa_threshold(df, threshold=9, salt_buckets=1), "id")
+    b = as_set(taxa_threshold(df, threshold=9, salt_buckets=16), "id")
+    assert a == b and len(a) == 470
