@@ -171,17 +171,21 @@ def feature_rows_to_append(occ: DataFrame, stored: DataFrame, spec: FeatureSpec,
 
 
 def merge_features(occ: DataFrame, stored: DataFrame, fetched: DataFrame,
-                   spec: FeatureSpec) -> DataFrame:
+                   spec: FeatureSpec, origin_col: str | None = None) -> DataFrame:
     """Every occurrence once, with its fetched value where its key was fetched
     and its stored value otherwise.
 
     Per key there is one row: the fetched one, or else the stored one (a key
     stored without a value and then fetched keeps only the fetched row).  That
     table is joined back to the occurrences once -- a single shuffle of the
-    large side, not one per source of values."""
+    large side, not one per source of values.  With ``origin_col`` a column
+    says where the row's value came from: ``stored``, ``fetched`` or NULL."""
     keys = _keys(spec)
     got = fetched.select(*keys, *spec.value_cols)
     kept = stored.select(*keys, *spec.value_cols).join(got.select(*keys), on=keys, how="left_anti")
+    if origin_col is not None:
+        kept = kept.withColumn(origin_col, F.lit("stored"))
+        got = got.withColumn(origin_col, F.lit("fetched"))
     return occ.join(kept.unionByName(got), on=keys, how="left")
 
 

@@ -13,13 +13,15 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geotaxa.operators.dedup import spatial_dedup
 from geotaxa.operators.features import (FeatureSpec, fetch_missing_features,
-                                        grouped_occurrences, merge_features,
+                                        grouped_occurrences, is_complete, merge_features,
                                         missing_feature_keys)
 from geotaxa.operators.names import normalize_names
 from geotaxa.operators.taxa import DEFAULT_THRESHOLD, taxa_threshold
@@ -47,24 +49,70 @@ def harvest(raw: DataFrame, history: DataFrame, names: DataFrame,
     return normalized
 
 
+@dataclass
+class Enrichment:
+    """Outputs of ``enrich_features``.
+
+    ``merged``   every occurrence once, with its feature values;
+    ``grouped``  per occurrence: number of feature rows and the value;
+    ``counters`` named counters, filled by the passes that compute them
+                 (the fetch counters by the append when ``store_path`` is
+                 given, the others by the first action on ``merged``)."""
+
+    merged: DataFrame
+    grouped: DataFrame
+    observations: list = field(default_factory=list)
+
+    def counters(self) -> dict:
+        out: dict = {}
+        for obs in self.observations:
+            out.update(obs.get)
+        return out
+
+
 def enrich_features(occ: DataFrame, stored: DataFrame, spec: FeatureSpec,
                     store_path: str | None = None, batch_id: str | None = None,
-                    identity: Sequence[str] = ("source", "id")) -> tuple[DataFrame, DataFrame]:
-    """Returns (merged, grouped).
-
-    Fetches run once per missing key.  With ``store_path`` the fetched rows
+                    identity: Sequence[str] = ("source", "id")) -> Enrichment:
+    """Fetches run once per missing key.  With ``store_path`` the fetched rows
     (values and the ``fetched`` flag, so empty answers are not fetched again)
     are appended to the feature table there, in a partition ``batch=<id>``,
     and that partition is read back: both outputs then use the written rows
     instead of calling the fetch a second time, and a lost executor re-reads
-    files instead of re-fetching."""
+    files instead of re-fetching.
+
+    Counters (``<feature>.`` prefix): ``records_fetched`` and ``values_found``
+    (one per missing key), ``complete`` and ``incomplete`` occurrences before
+    the fetch, ``with_value`` after the merge."""
+    name = spec.name
+    observations = []
     missing = missing_feature_keys(occ, stored, spec)
     fetched = fetch_missing_features(missing, spec)
     if store_path is not None:
         batch = batch_id or uuid.uuid4().hex
-        append_table(fetched.withColumn("batch", F.lit(batch)), store_path, partition_by=["batch"])
-        fetched = (occ.sparkSession.read.parquet(store_path)
+        fetch_obs = Observation(f"{name}.fetch")
+        counted = fetched.observe(
+            fetch_obs,
+            F.count(F.lit(1)).alias(f"{name}.records_fetched"),
+            F.sum(F.when(is_complete(spec), 1).otherwise(0)).alias(f"{name}.values_found"))
+        append_table(counted.withColumn("batch", F.lit(batch)), store_path, partition_by=["batch"])
+        observations.append(fetch_obs)
+        # Read back with the known schema: a run that fetched nothing wrote
+        # no data files to infer one from.
+        schema = T.StructType(fetched.schema.fields + [T.StructField("batch", T.StringType())])
+        fetched = (occ.sparkSession.read.schema(schema).parquet(store_path)
                    .where(F.col("batch") == batch).drop("batch"))
-    merged = merge_features(occ, stored, fetched, spec)
+    merged = merge_features(occ, stored, fetched, spec, origin_col="_origin")
+    # Counted on the merged rows in the pass that computes them: a value kept
+    # from the store means the occurrence was complete before the fetch.
+    merge_obs = Observation(f"{name}.merge")
+    from_store = F.coalesce(F.col("_origin") == "stored", F.lit(False))
+    merged = merged.observe(
+        merge_obs,
+        F.sum(F.when(from_store, 1).otherwise(0)).alias(f"{name}.complete"),
+        F.sum(F.when(from_store, 0).otherwise(1)).alias(f"{name}.incomplete"),
+        F.sum(F.when(is_complete(spec), 1).otherwise(0)).alias(f"{name}.with_value"),
+    ).drop("_origin")
+    observations.append(merge_obs)
     grouped = grouped_occurrences(occ, stored, fetched, spec, identity)
-    return merged, grouped
+    return Enrichment(merged, grouped, observations)
+

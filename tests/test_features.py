@@ -72,13 +72,22 @@ def test_second_enrichment_fetches_nothing(spark, tmp_path):
     spec = FeatureSpec(name="landcover", fetch=fetch_even_cells)
     store = str(tmp_path / "landcover")
     empty = stored_df(spark, [])
-    merged, grouped = enrich_features(occ, empty, spec, store_path=store, batch_id="b1")
+    result = enrich_features(occ, empty, spec, store_path=store, batch_id="b1")
+    merged, grouped = result.merged, result.grouped
+    merged.write.format("noop").mode("overwrite").save()
+    assert result.counters() == {"landcover.records_fetched": 4, "landcover.values_found": 2,
+                                 "landcover.complete": 0, "landcover.incomplete": 5,
+                                 "landcover.with_value": 2}
     assert merged.count() == 5
     assert as_set(merged, "id", "landcover") == {(1, None), (2, None), (3, 20), (4, None), (5, 40)}
     table = spark.read.parquet(store)
     assert table.count() == 4                                    # one row per key, found or not
     # next run: everything is known (found, or fetched and empty)
     assert fx.missing_feature_keys(occ, table, spec).count() == 0
+    again = enrich_features(occ, table, spec, store_path=str(tmp_path / "again"), batch_id="b2")
+    again.merged.write.format("noop").mode("overwrite").save()
+    c = again.counters()
+    assert c["landcover.records_fetched"] == 0 and c["landcover.complete"] == 5
 
 
 def test_vectors_sorted_by_date_and_validity(spark):
