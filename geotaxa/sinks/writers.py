@@ -61,3 +61,13 @@ def append_table(df: DataFrame, path: str, partition_by: Sequence[str] | None =
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+
+
+def append_occurrences(df: DataFrame, path: str, name_col: str = "scientific_name",
+                       fields: Sequence[tuple[str, str, str]] | None = None,
+                       partition_by: Sequence[str] = ("source",)) -> None:
+    """Append normalized occurrences to the record table: only rows that can
+    be formatted (same rule as the JSON sink), in the declared schema, and
+    partitioned by source so pulls restricted to some sources read only
+    their folders."""
+    append_table(occurrence_rows(df, name_col, fields), path, partition_by=list(partition_by))

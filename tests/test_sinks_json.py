@@ -73,3 +73,17 @@ def test_json_lines_writer_and_append(spark, tmp_path):
     append_table(df, tpath)
     append_table(df, tpath)
     assert spark.read.parquet(tpath).count() == 4
+
+
+def test_append_occurrences_partitioned_by_source_prunes(spark, tmp_path):
+    from geotaxa.plans.checks import plan_text
+    from geotaxa.sinks.writers import append_occurrences
+    df = occ_df(spark, [row(1), row(2, source="idigbio"), row(3)]).withColumn(
+        "scientific_name", F.when(F.col("id") == 3, F.lit(None)).otherwise(F.col("name")))
+    path = str(tmp_path / "occ")
+    append_occurrences(df, path)
+    back = spark.read.parquet(path)
+    assert back.count() == 2
+    assert sorted(p.name for p in (tmp_path / "occ").iterdir() if p.is_dir()) == ["source=gbif", "source=idigbio"]
+    q = back.where(F.col("source") == "gbif")
+    assert "PartitionFilters: [isnotnull(source" in plan_text(q) and q.count() == 1
