@@ -50,7 +50,9 @@ def latest_version(df: DataFrame, keys: Sequence[str] = IDENTITY,
                    order: Sequence[Column] | None = None, break_ties: bool = True) -> DataFrame:
     """Latest version per identity; the helper rank column is dropped.
     Versions equal in time and price are settled by their other columns, so
-    the pick never depends on row arrival order."""
+    the pick never depends on row arrival order.  Every input column takes
+    part in that tie-break (and so in the shuffle): select the columns the
+    job needs before calling."""
     return first_per_group(df, keys, order if order is not None else version_order(),
                            break_ties=break_ties)
 
