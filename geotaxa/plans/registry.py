@@ -53,8 +53,13 @@ def _multiword_sql(c: str) -> str:
 
 
 # ---------------------------------------------------------------- helpers
-def _latest(spark, d):
-    return fixture.latest(spark, d)
+def _latest(spark, d, *cols):
+    """Latest records; with ``cols``, carrying only those columns."""
+    return fixture.latest(spark, d, list(cols) if cols else None)
+
+
+PLACE = ["name", "latitude", "longitude", "coordinate_uncertainty", "date"]
+FEATURE_KEY = ["cell_id", "date"]
 
 
 def _landcover_by_formula(keys: pd.DataFrame) -> pd.DataFrame:
@@ -78,15 +83,15 @@ def q_latest_by_source_id(spark, d):
 
 
 def q_spatial_dedup(spark, d):
-    return dedup.spatial_dedup(_latest(spark, d)).select("id", "source")
+    return dedup.spatial_dedup(_latest(spark, d, *PLACE)).select("id", "source")
 
 
 def q_taxa_threshold(spark, d):
-    return taxa.taxa_threshold(_latest(spark, d)).select("id", "source", "name")
+    return taxa.taxa_threshold(_latest(spark, d, "name")).select("id", "source", "name")
 
 
 def q_valid_names(spark, d):
-    return taxa.valid_names(_latest(spark, d))
+    return taxa.valid_names(_latest(spark, d, "name"))
 
 
 def q_valid_names_by_source_id(spark, d):
@@ -97,15 +102,16 @@ def q_valid_names_by_source_id(spark, d):
 
 
 def q_read_occurrences(spark, d):
-    return read_occurrences(fixture.occ(spark, d)).select("id", "source", "name")
+    raw = fixture.occ(spark, d).select("id", "source", "updated_at", "price", *PLACE)
+    return read_occurrences(raw).select("id", "source", "name")
 
 
 def q_name_distribution(spark, d):
-    return taxa.name_distribution(_latest(spark, d))
+    return taxa.name_distribution(_latest(spark, d, "name"))
 
 
 def q_top_names(spark, d):
-    return taxa.top_names(_latest(spark, d), n=TOP_N)
+    return taxa.top_names(_latest(spark, d, "name"), n=TOP_N)
 
 
 def q_source_list(spark, d):
@@ -143,41 +149,41 @@ def q_pending_pull_count(spark, d):
 
 
 def q_normalize_names(spark, d):
-    return names.normalize_names(_latest(spark, d), fixture.names(spark, d)
+    return names.normalize_names(_latest(spark, d, "name"), fixture.names(spark, d)
                                  ).select("id", "source", "scientific_name")
 
 
 def q_normalize_names_resolved(spark, d):
-    return names.normalize_names(_latest(spark, d), fixture.names(spark, d), drop_unresolved=True
+    return names.normalize_names(_latest(spark, d, "name"), fixture.names(spark, d), drop_unresolved=True
                                  ).select("id", "source", "scientific_name")
 
 
 def q_join_existing_features(spark, d):
-    return features.join_existing_features(_latest(spark, d), fixture.features(spark, d), LANDCOVER
+    return features.join_existing_features(_latest(spark, d, *FEATURE_KEY), fixture.features(spark, d), LANDCOVER
                                            ).select("id", "source", "landcover")
 
 
 def q_complete_rows(spark, d):
-    j = features.join_existing_features(_latest(spark, d), fixture.features(spark, d), LANDCOVER)
+    j = features.join_existing_features(_latest(spark, d, *FEATURE_KEY), fixture.features(spark, d), LANDCOVER)
     return features.complete_rows(j, LANDCOVER).select("id", "source", "landcover")
 
 
 def q_incomplete_rows(spark, d):
-    j = features.join_existing_features(_latest(spark, d), fixture.features(spark, d), LANDCOVER)
+    j = features.join_existing_features(_latest(spark, d, *FEATURE_KEY), fixture.features(spark, d), LANDCOVER)
     return features.incomplete_rows(j, LANDCOVER).select("id", "source")
 
 
 def q_completeness_partition(spark, d):
-    j = features.join_existing_features(_latest(spark, d), fixture.features(spark, d), LANDCOVER)
+    j = features.join_existing_features(_latest(spark, d, *FEATURE_KEY), fixture.features(spark, d), LANDCOVER)
     return features.completeness_partition(j, LANDCOVER)
 
 
 def q_missing_feature_groups(spark, d):
-    return features.missing_feature_groups(_latest(spark, d), fixture.features(spark, d), LANDCOVER)
+    return features.missing_feature_groups(_latest(spark, d, *FEATURE_KEY), fixture.features(spark, d), LANDCOVER)
 
 
 def q_missing_feature_keys(spark, d):
-    return features.missing_feature_keys(_latest(spark, d), fixture.features(spark, d), LANDCOVER)
+    return features.missing_feature_keys(_latest(spark, d, *FEATURE_KEY), fixture.features(spark, d), LANDCOVER)
 
 
 def _raster_spec(spark, d) -> FeatureSpec:
@@ -189,13 +195,13 @@ def _fetch_spec() -> FeatureSpec:
 
 
 def q_feature_rows_to_append(spark, d):
-    return features.feature_rows_to_append(_latest(spark, d), fixture.features(spark, d),
+    return features.feature_rows_to_append(_latest(spark, d, *FEATURE_KEY), fixture.features(spark, d),
                                            _raster_spec(spark, d))
 
 
 def q_fetch_missing_features(spark, d):
     spec = _fetch_spec()
-    keys = features.missing_feature_keys(_latest(spark, d), fixture.features(spark, d), spec)
+    keys = features.missing_feature_keys(_latest(spark, d, *FEATURE_KEY), fixture.features(spark, d), spec)
     return features.fetch_missing_features(keys, spec)
 
 
@@ -204,35 +210,35 @@ def q_fetched_flag(spark, d):
     key with its ``fetched`` flag (NULL value = fetched, nothing there)."""
     spec = _raster_spec(spark, d)
     stored = fixture.features(spark, d)
-    keys = features.missing_feature_keys(_latest(spark, d), stored, spec)
+    keys = features.missing_feature_keys(_latest(spark, d, *FEATURE_KEY), stored, spec)
     fetched = features.fetch_missing_features(keys, spec)
     return features.stored_values(stored, spec).unionByName(fetched)
 
 
 def _fetched(spark, d):
     spec = _raster_spec(spark, d)
-    keys = features.missing_feature_keys(_latest(spark, d), fixture.features(spark, d), spec)
+    keys = features.missing_feature_keys(_latest(spark, d, *FEATURE_KEY), fixture.features(spark, d), spec)
     return features.fetch_missing_features(keys, spec)
 
 
 def q_merge_features(spark, d):
-    m = features.merge_features(_latest(spark, d), fixture.features(spark, d), _fetched(spark, d), LANDCOVER)
+    m = features.merge_features(_latest(spark, d, *FEATURE_KEY), fixture.features(spark, d), _fetched(spark, d), LANDCOVER)
     return m.select("id", "source", F.col("landcover").alias("lc"))
 
 
 def q_merged_without_feature(spark, d):
-    m = features.merge_features(_latest(spark, d), fixture.features(spark, d), _fetched(spark, d), LANDCOVER)
+    m = features.merge_features(_latest(spark, d, *FEATURE_KEY), fixture.features(spark, d), _fetched(spark, d), LANDCOVER)
     return m.where(F.col("landcover").isNull()).select("id", "source")
 
 
 def q_grouped_occurrences(spark, d):
-    g = features.grouped_occurrences(_latest(spark, d), fixture.features(spark, d),
+    g = features.grouped_occurrences(_latest(spark, d, *FEATURE_KEY), fixture.features(spark, d),
                                      _fetched(spark, d), LANDCOVER)
     return g.select("source", "id", "c", F.col("landcover").alias("lc"))
 
 
 def q_combine_features(spark, d):
-    return features.combine_features(_latest(spark, d), [(LANDCOVER, fixture.raster(spark, d))]
+    return features.combine_features(_latest(spark, d, *FEATURE_KEY), [(LANDCOVER, fixture.raster(spark, d))]
                                      ).select("id", "source", "landcover")
 
 
@@ -245,7 +251,7 @@ def q_valid_feature_vectors(spark, d):
 
 
 def q_one_request_per_cell(spark, d):
-    return dedup.one_request_per_cell(_latest(spark, d)).select("cell_id", "source", "id")
+    return dedup.one_request_per_cell(_latest(spark, d, "cell_id")).select("cell_id", "source", "id")
 
 
 def _cells():
@@ -253,54 +259,54 @@ def _cells():
 
 
 def q_unwind_cells(spark, d):
-    return requests.unwind_cells(_latest(spark, d), _cells())
+    return requests.unwind_cells(_latest(spark, d, "cell_id"), _cells())
 
 
 def q_covering_cells(spark, d):
     """Unwind each occurrence into the grid cells its uncertainty box covers."""
     cells = covering_cells("latitude", "longitude", "coordinate_uncertainty", GRID_STEP)
-    return requests.unwind_cells(_latest(spark, d), cells, out="cell")
+    return requests.unwind_cells(_latest(spark, d, "latitude", "longitude", "coordinate_uncertainty"), cells, out="cell")
 
 
 def q_cell_requests(spark, d):
-    return requests.cell_requests(requests.unwind_cells(_latest(spark, d), _cells()))
+    return requests.cell_requests(requests.unwind_cells(_latest(spark, d, "cell_id"), _cells()))
 
 
 def q_feature_requests(spark, d):
-    return requests.feature_requests(_latest(spark, d))
+    return requests.feature_requests(_latest(spark, d, *PLACE[1:]))
 
 
 def q_batched_requests(spark, d):
-    return requests.batched_requests(_latest(spark, d).select("family", "source", "id")
+    return requests.batched_requests(_latest(spark, d, "family").select("family", "source", "id")
                                      ).select("family", "b", "id")
 
 
 def q_sample_batches(spark, d):
-    b = requests.batched_requests(_latest(spark, d).select("family", "source", "id"))
+    b = requests.batched_requests(_latest(spark, d, "family").select("family", "source", "id"))
     return requests.sample_batches(b, SAMPLE_BATCHES).select("family", "b", "id")
 
 
 def q_grid_location(spark, d):
-    return requests.grid_location(_latest(spark, d), GRID_STEP).select("id", "source", "la", "u")
+    return requests.grid_location(_latest(spark, d, "latitude", "coordinate_uncertainty"), GRID_STEP).select("id", "source", "la", "u")
 
 
 def q_job_counters(spark, d):
-    return metrics.job_counters(_latest(spark, d))
+    return metrics.job_counters(_latest(spark, d, "name", "coordinate_uncertainty"))
 
 
 def q_json_records(spark, d):
-    l = _latest(spark, d).where(F.col("name").isNotNull())
+    l = _latest(spark, d, *JSON_COLS).where(F.col("name").isNotNull())
     return l.select(to_json_record(JSON_COLS).alias("j"))
 
 
 def q_strict_json(spark, d):
-    l = _latest(spark, d).where(F.col("name").isNotNull()).select(*JSON_COLS)
+    l = _latest(spark, d, *JSON_COLS).where(F.col("name").isNotNull()).select(*JSON_COLS)
     return l.select(strict_json(l).alias("j"))
 
 
 def q_json_roundtrip(spark, d):
     schema = schema_from_fields(OUTPUT_FIELDS)
-    l = _latest(spark, d).where(F.col("name").isNotNull())
+    l = _latest(spark, d, *JSON_COLS).where(F.col("name").isNotNull())
     text = l.select(to_json_record(JSON_COLS).alias("j"))
     return text.select(from_json_record("j", schema).alias("r")).select("r.*")
 
@@ -310,11 +316,11 @@ def q_decode_rows(spark, d):
 
 
 def q_enforce_schema(spark, d):
-    return enforce_schema(_latest(spark, d), OUTPUT_FIELDS)
+    return enforce_schema(_latest(spark, d, *JSON_COLS), OUTPUT_FIELDS)
 
 
 def q_occurrence_rows(spark, d):
-    n = names.normalize_names(_latest(spark, d), fixture.names(spark, d))
+    n = names.normalize_names(_latest(spark, d, *JSON_COLS), fixture.names(spark, d))
     return occurrence_rows(n, fields=OUTPUT_FIELDS)
 
 

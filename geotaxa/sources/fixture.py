@@ -79,8 +79,16 @@ def occ(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_version(occ(spark, sf_dir))
+def latest(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
+    """Latest version of each record.  With ``columns`` only those (plus the
+    identity and version columns) are carried: the version window then
+    shuffles, and the scan reads, just what the caller needs."""
+    o = occ(spark, sf_dir)
+    if columns is not None:
+        keep = ["id", "source", "updated_at", "price"]
+        keep += [c for c in columns if c not in keep]
+        o = o.select(*keep)
+    return latest_version(o)
 
 
 def sync_history(spark: SparkSession, sf_dir: str) -> DataFrame:
