@@ -46,6 +46,16 @@ class FeatureSpec:
     batch_size: int = DEFAULT_FETCH_BATCH
 
 
+def feature_table_schema(spec: FeatureSpec, key_types: Sequence[T.DataType] | None = None) -> T.StructType:
+    """Declared schema of a feature table: keys, values and the ``fetched``
+    flag (key types default to the (cell id, date) key)."""
+    kt = list(key_types) if key_types is not None else [T.LongType(), T.DateType()]
+    fields = [T.StructField(k, t, False) for k, t in zip(spec.key_cols, kt)]
+    fields += [T.StructField(v, t, True) for v, t in zip(spec.value_cols, spec.value_types)]
+    fields.append(T.StructField(FETCHED, T.BooleanType(), True))
+    return T.StructType(fields)
+
+
 def _keys(spec: FeatureSpec) -> list[str]:
     return list(spec.key_cols)
 

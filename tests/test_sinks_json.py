@@ -87,3 +87,23 @@ def test_append_occurrences_partitioned_by_source_prunes(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "occ").iterdir() if p.is_dir()) == ["source=gbif", "source=idigbio"]
     q = back.where(F.col("source") == "gbif")
     assert "PartitionFilters: [isnotnull(source" in plan_text(q) and q.count() == 1
+
+
+def test_json_lines_file_roundtrip(spark, tmp_path):
+    from geotaxa.sources.files import read_json_records
+    df = enforce_schema(occ_df(spark, [row(1, name=None, unc=None), row(2)]), FIELDS)
+    path = str(tmp_path / "rt")
+    write_json_lines(df, path)
+    back = read_json_records(spark, path, schema_from_fields(FIELDS))
+    assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in df.collect())
+    bad = tmp_path / "bad"
+    bad.mkdir()
+    (bad / "part-0.json").write_text('{"id": 1, "name": "x", "latitude": NaN}\n')
+    with pytest.raises(Exception):
+        read_json_records(spark, str(bad), schema_from_fields(FIELDS)).collect()
+
+
+def test_feature_table_schema():
+    from geotaxa.operators.features import FeatureSpec, feature_table_schema
+    s = feature_table_schema(FeatureSpec(name="landcover"))
+    assert s.fieldNames() == ["cell_id", "date", "landcover", "fetched"]
