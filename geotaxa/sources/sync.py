@@ -6,7 +6,9 @@ is reduced to the latest mark per (source, family) -- so overlapping history
 rows cannot duplicate records -- and broadcast after a size check, so the
 record table is read once and never shuffled.  The smallest mark is also
 applied as a literal predicate, which reaches the Parquet scan as a pushed
-filter (a bound taken from a join key would not)."""
+filter (a bound taken from a join key would not), and so is the list of
+sources that have a mark (partition pruning on a table partitioned by
+source)."""
 
 from __future__ import annotations
 
@@ -26,6 +28,8 @@ OBSERVED_BEFORE = _dt.date(2019, 1, 1)
 DEFAULT_SOURCES = ["idigbio", "inaturalist", "gbif", "mycoportal", "mushroomobserver"]
 
 _UNSET = object()
+# Up to this many distinct sources in the history become a literal IN list.
+MAX_PRUNING_SOURCES = 1000
 
 
 def source_list(raw: DataFrame, source_col: str = "source") -> DataFrame:
@@ -99,9 +103,17 @@ def incremental_pull(raw: DataFrame, history: DataFrame,
     if prune_with_min_mark:
         # Text of the smallest mark in the column's own type and session zone,
         # so casting it back is exact.
-        low = marks.agg(F.date_format(F.min("_h_mark"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
+        low, n_sources = marks.agg(
+            F.date_format(F.min("_h_mark"), "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+            F.count_distinct("_h_source")).first()
         if low is not None:
             r = r.where(F.col("updated_at") > F.lit(low).cast(upd_t))
+        # The sources that have a mark, as a literal list: partition pruning
+        # when the record table is partitioned by source, a pushed filter
+        # otherwise.
+        if 0 < n_sources <= MAX_PRUNING_SOURCES:
+            present = sorted(x[0] for x in marks.select("_h_source").distinct().collect())
+            r = r.where(F.col("source").isin(present))
     cond = ((r["source"] == marks["_h_source"]) & (r["family"] == marks["_h_family"])
             & (r["updated_at"] > marks["_h_mark"]))
     return r.join(marks, cond, "left_semi")

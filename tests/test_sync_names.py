@@ -82,3 +82,15 @@ def test_normalize_names_beyond_broadcast_bound_is_salted(spark):
     assert big.count() == 60
     from geotaxa.plans.checks import plan_text
     assert "_salt" in plan_text(big)
+
+
+def test_pull_prunes_source_partitions(spark, tmp_path):
+    from geotaxa.plans.checks import plan_text
+    later = T0 + dt.timedelta(days=1)
+    path = str(tmp_path / "rec")
+    occ_df(spark, [row(i, source=s, updated=later) for i, s in enumerate(["gbif", "idigbio", "x"] * 5)]
+           ).write.partitionBy("source").parquet(path)
+    raw = spark.read.parquet(path)
+    out = sync.incremental_pull(raw, hist(spark, [("idigbio", "AMANITACEAE", T0)]))
+    assert out.count() == 5
+    assert "(source#" in plan_text(out, "formatted").split("PartitionFilters: ")[1].split("\n")[0]
