@@ -47,18 +47,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Only a local-mode session (tests, one machine) with none configured gets a
     folder of its own; on a cluster a missing setting is an error, because a
     machine-local folder is not visible to the other executors."""
-    current = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext, only the session conf
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured:
+            return configured
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+    current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
+        sc.setCheckpointDir(configured)
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's "
                            "distributed file system) before running operators that checkpoint")
     local = tempfile.mkdtemp(prefix="geotaxa-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(local)
+    sc.setCheckpointDir(local)
     return local
 
 
