@@ -49,9 +49,13 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
     read = spark.read.parquet
     if args.job == "read":
         from geotaxa.plans.jobs import read_occurrences
-        out, obs = _observed(read_occurrences(read(args.records), args.threshold), "read")
-        out.write.mode("overwrite").parquet(args.out)
-        return obs.get
+        observations: list = []
+        read_occurrences(read(args.records), args.threshold, observations=observations
+                         ).write.mode("overwrite").parquet(args.out)
+        counters: dict = {}
+        for obs in observations:
+            counters.update(obs.get)
+        return counters
     if args.job == "harvest":
         from geotaxa.plans.jobs import harvest
         harvest(read(args.records), read(args.history), read(args.names), out_path=args.out,
@@ -65,11 +69,6 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
     return result.counters()
 
 
-def _observed(df, stage):
-    from geotaxa.operators.metrics import observe_counters
-    return observe_counters(df, stage)
-
-
 def main() -> None:
     counters = run(sys.argv[1:])
     print(json.dumps(counters, sort_keys=True, default=str))

@@ -31,10 +31,21 @@ from geotaxa.sources.sync import incremental_pull
 
 
 def read_occurrences(raw: DataFrame, threshold: int = DEFAULT_THRESHOLD,
-                     name_col: str = "name") -> DataFrame:
+                     name_col: str = "name", observations: list | None = None) -> DataFrame:
     """Latest version of each record, one per (name, place, date), only taxa
-    with more than ``threshold`` rows and a multi-word name."""
-    return taxa_threshold(spatial_dedup(latest_version(raw)), threshold, name_col)
+    with more than ``threshold`` rows and a multi-word name.
+
+    With an ``observations`` list, two Observations are appended and filled
+    by the first action on the result: ``read.taxa`` (``valid_taxa``) and
+    ``read.rows`` (``valid_occurrences``)."""
+    taxa_obs = Observation("read.taxa") if observations is not None else None
+    out = taxa_threshold(spatial_dedup(latest_version(raw)), threshold, name_col,
+                         taxa_observation=taxa_obs)
+    if observations is not None:
+        rows_obs = Observation("read.rows")
+        out = out.observe(rows_obs, F.count(F.lit(1)).alias("valid_occurrences"))
+        observations.extend([taxa_obs, rows_obs])
+    return out
 
 
 def harvest(raw: DataFrame, history: DataFrame, names: DataFrame,

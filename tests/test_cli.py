@@ -15,7 +15,8 @@ def test_cli_jobs_on_fixture(spark, tmp_path):
         df.write.parquet(paths[name])
     out = str(tmp_path / "read")
     c = run(["read", "--records", paths["records"], "--out", out, "--threshold", "20"], spark)
-    assert c == {"read.rows": 3110} and spark.read.parquet(out).count() == 3110
+    assert c == {"valid_taxa": 90, "valid_occurrences": 3110}
+    assert spark.read.parquet(out).count() == 3110
 
     jl = str(tmp_path / "json")
     run(["harvest", "--records", paths["records"], "--history", paths["history"], "--names", paths["names"],
