@@ -58,9 +58,11 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
         return counters
     if args.job == "harvest":
         from geotaxa.plans.jobs import harvest
+        observations = []
         harvest(read(args.records), read(args.history), read(args.names), out_path=args.out,
+                observations=observations,
                 observed_after=args.observed_after, observed_before=args.observed_before)
-        return {}
+        return observations[0].get
     from geotaxa.operators.features import FeatureSpec
     from geotaxa.plans.jobs import enrich_features
     spec = FeatureSpec(name=args.feature, lookup=read(args.lookup))

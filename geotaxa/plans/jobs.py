@@ -49,14 +49,27 @@ def read_occurrences(raw: DataFrame, threshold: int = DEFAULT_THRESHOLD,
 
 
 def harvest(raw: DataFrame, history: DataFrame, names: DataFrame,
-            out_path: str | None = None, **pull_options) -> DataFrame:
+            out_path: str | None = None, observations: list | None = None,
+            **pull_options) -> DataFrame:
     """Pull what changed since each (source, family) mark, normalize names
     and (optionally) write the formattable records as JSON lines.  Returns the
-    normalized records."""
+    normalized records.
+
+    With ``out_path`` and an ``observations`` list, the write fills
+    ``harvest`` counters: ``occurrences_fetched`` (pulled records) and
+    ``occurrences_written`` (records with a resolved name)."""
     pulled = incremental_pull(raw, history, **pull_options)
     normalized = normalize_names(pulled, names)
     if out_path is not None:
-        write_json_lines(occurrence_rows(normalized), out_path)
+        rows = occurrence_rows(normalized)
+        if observations is not None:
+            obs = Observation("harvest")
+            flagged = normalized.withColumn("_ok", F.col("scientific_name").isNotNull())
+            rows = occurrence_rows(flagged.observe(
+                obs, F.count(F.lit(1)).alias("occurrences_fetched"),
+                F.sum(F.when(F.col("_ok"), 1).otherwise(0)).alias("occurrences_written")).drop("_ok"))
+            observations.append(obs)
+        write_json_lines(rows, out_path)
     return normalized
 
 

@@ -19,10 +19,11 @@ def test_cli_jobs_on_fixture(spark, tmp_path):
     assert spark.read.parquet(out).count() == 3110
 
     jl = str(tmp_path / "json")
-    run(["harvest", "--records", paths["records"], "--history", paths["history"], "--names", paths["names"],
+    c = run(["harvest", "--records", paths["records"], "--history", paths["history"], "--names", paths["names"],
          "--out", jl, "--observed-after", "1997-01-01 00:00:00", "--observed-before", "2001-01-01 00:00:00"], spark)
     lines = [json.loads(l) for p in (tmp_path / "json").glob("part-*.json") for l in p.read_text().splitlines()]
     assert lines and all(d["name"] for d in lines)
+    assert c["occurrences_written"] == len(lines) <= c["occurrences_fetched"]
 
     merged = str(tmp_path / "merged")
     c = run(["enrich", "--records", paths["records"], "--stored", paths["stored"], "--lookup", paths["lookup"],
