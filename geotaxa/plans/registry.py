@@ -384,8 +384,8 @@ _FETCHED = f"""(select m.cell_id, m.date, r.landcover, true as fetched from {_MI
   left join raster r on m.cell_id = r.cell_id and m.date = r.date)"""
 _BATCHED = """(select family, cast(floor((row_number() over (partition by family order by source, id) - 1)
   / 100) as bigint) as b, id from latest)"""
-_JSON = ("to_json({'id': id, 'source': source, 'name': name, 'latitude': latitude, "
-         "'coordinate_uncertainty': coordinate_uncertainty, 'date': date})")
+_JSON = ("cast(to_json({'id': id, 'source': source, 'name': name, 'latitude': latitude, "
+         "'coordinate_uncertainty': coordinate_uncertainty, 'date': date}) as varchar)")
 
 _ORACLE: dict[str, tuple[list[str], str]] = {
     "latest_version": (["latest"], "select * from latest"),
