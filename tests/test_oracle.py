@@ -8,7 +8,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
-from oracle_check import digest, duck  # noqa: E402
+from oracle_check import digest, duck, type_mismatches  # noqa: E402
 
 SF = os.environ.get("GEOTAXA_TEST_SF", "/root/testdata/sf0.001")
 KEYS = sorted(entry.queries())
@@ -30,6 +30,7 @@ def test_query_matches_oracle(spark, con, key):
     cur = con.execute(entry.oracle_sql()[key])
     d_cols, d_rows = [c[0] for c in cur.description], cur.fetchall()
     assert sorted(s_cols) == sorted(d_cols)
+    assert type_mismatches(df, cur) == {}
     assert len(s_rows) == len(d_rows)
     assert digest(s_cols, s_rows)[0] == digest(d_cols, d_rows)[0]
 
