@@ -13,7 +13,6 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from geotaxa.functions.geo import covering_cells
 from geotaxa.functions.json import from_json_record, strict_json, to_json_record

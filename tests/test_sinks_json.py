@@ -1,5 +1,4 @@
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from geotaxa.functions.json import from_json_record, strict_json, to_json_record

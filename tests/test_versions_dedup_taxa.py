@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from geotaxa.functions.words import is_multiword, word_count
 from geotaxa.operators.dedup import one_request_per_cell, spatial_dedup
