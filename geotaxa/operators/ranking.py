@@ -35,11 +35,6 @@ from geotaxa.functions.joins import DEFAULT_BROADCAST_ROWS, null_safe_condition,
 from geotaxa.session import ensure_checkpoint_dir, materialize
 
 
-def _num_partitions(df: DataFrame) -> int:
-    conf = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    return max(int(conf), 1)
-
-
 def ordered_rank(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                  out: str = "rank", num_partitions: int | None = None,
                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -48,13 +43,17 @@ def ordered_rank(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[
     columns it is a global row number, still computed by many tasks."""
     groups = list(group_cols)
     keys = groups + list(order_cols)
-    n = num_partitions or _num_partitions(df)
     ensure_checkpoint_dir(df.sparkSession)
     # The range partitioner samples its input in a job of its own: persist the
     # input so that job and the shuffle read it once, until the checkpoint
     # holds the tagged rows.
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
-    ranged = (src.repartitionByRange(n, *keys)
+    # Without an explicit count AQE may merge adjacent small range partitions;
+    # the sort inside each partition keeps every group's rows contiguous, so
+    # the ranks stay exact.
+    by_range = (src.repartitionByRange(num_partitions, *keys) if num_partitions
+                else src.repartitionByRange(*keys))
+    ranged = (by_range
                 .sortWithinPartitions(*keys)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_mid", F.monotonically_increasing_id()))
