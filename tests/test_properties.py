@@ -61,3 +61,25 @@ def test_taxa_threshold_matches_python(spark, rows, t):
     want = {(i, n, float(la), float(p)) for i, n, la, p in rows
             if n is not None and len(n.split()) > 1 and counts[n] > t}
     assert got == want
+
+
+place_rows = st.lists(st.tuples(st.integers(0, 2), st.sampled_from([None, 30.0]), st.integers(0, 400)),
+                      min_size=0, max_size=90, unique_by=lambda t: t[2])
+
+
+@SETTINGS
+@given(place_rows, st.integers(1, 7))
+def test_feature_requests_match_python_chunks(spark, rows, max_keys):
+    from geotaxa.operators.requests import feature_requests
+    df = occ_df(spark, [row(i, lat=float(la), unc=u) for la, u, i in rows])
+    got = {(r["latitude"], r["coordinate_uncertainty"], r["chunk"]): r["k"]
+           for r in feature_requests(df, max_keys=max_keys).collect()}
+    places = {}
+    for la, u, i in rows:
+        places.setdefault((float(la), u), []).append(f"gbif:{i}")
+    want = {}
+    for (la, u), keys in places.items():
+        keys.sort()
+        for c in range(0, len(keys), max_keys):
+            want[(la, u, c // max_keys)] = ",".join(keys[c:c + max_keys])
+    assert got == want
