@@ -33,6 +33,7 @@ def _parser() -> argparse.ArgumentParser:
     h.add_argument("--out", required=True)
     h.add_argument("--observed-after", default="2015-01-01 00:00:00")
     h.add_argument("--observed-before", default="2019-01-01 00:00:00")
+    h.add_argument("--marks-out", help="write the next high-water marks here (Parquet)")
     e = sub.add_parser("enrich", help="features: join stored, fetch missing, append, merge")
     e.add_argument("--records", required=True)
     e.add_argument("--stored", required=True)
@@ -58,10 +59,14 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
         return counters
     if args.job == "harvest":
         from geotaxa.plans.jobs import harvest
+        from geotaxa.sources.sync import next_marks
         observations = []
-        harvest(read(args.records), read(args.history), read(args.names), out_path=args.out,
-                observations=observations,
-                observed_after=args.observed_after, observed_before=args.observed_before)
+        history = read(args.history)
+        pulled = harvest(read(args.records), history, read(args.names), out_path=args.out,
+                         observations=observations,
+                         observed_after=args.observed_after, observed_before=args.observed_before)
+        if args.marks_out:
+            next_marks(pulled, history).write.mode("overwrite").parquet(args.marks_out)
         return observations[0].get
     from geotaxa.operators.features import FeatureSpec
     from geotaxa.plans.jobs import enrich_features

@@ -119,7 +119,14 @@ def incremental_pull(raw: DataFrame, history: DataFrame,
     return r.join(marks, cond, "left_semi")
 
 
-def next_marks(pulled: DataFrame) -> DataFrame:
+def next_marks(pulled: DataFrame, history: DataFrame | None = None) -> DataFrame:
     """New high-water marks after a pull: latest ``updated_at`` per (source,
-    family) among the pulled records."""
-    return pulled.groupBy("source", "family").agg(F.max("updated_at").alias("fetched_at"))
+    family) among the pulled records.  With ``history``, pairs that pulled
+    nothing keep their old mark (one row per pair either way)."""
+    new = pulled.groupBy("source", "family").agg(F.max("updated_at").alias("fetched_at"))
+    if history is None:
+        return new
+    old = reduce_history(history).select(
+        "source", "family", F.col("fetched_at").cast(new.schema["fetched_at"].dataType).alias("fetched_at"))
+    return (old.unionByName(new).groupBy("source", "family")
+               .agg(F.max("fetched_at").alias("fetched_at")))

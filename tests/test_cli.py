@@ -20,7 +20,10 @@ def test_cli_jobs_on_fixture(spark, tmp_path):
 
     jl = str(tmp_path / "json")
     c = run(["harvest", "--records", paths["records"], "--history", paths["history"], "--names", paths["names"],
-         "--out", jl, "--observed-after", "1997-01-01 00:00:00", "--observed-before", "2001-01-01 00:00:00"], spark)
+         "--out", jl, "--observed-after", "1997-01-01 00:00:00", "--observed-before", "2001-01-01 00:00:00",
+         "--marks-out", str(tmp_path / "marks")], spark)
+    marks = spark.read.parquet(str(tmp_path / "marks"))
+    assert marks.count() == spark.read.parquet(paths["history"]).count()
     lines = [json.loads(l) for p in (tmp_path / "json").glob("part-*.json") for l in p.read_text().splitlines()]
     assert lines and all(d["name"] for d in lines)
     assert c["occurrences_written"] == len(lines) <= c["occurrences_fetched"]

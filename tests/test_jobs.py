@@ -35,6 +35,14 @@ def test_next_marks_advance_per_source_family(spark):
     assert as_set(sync.next_marks(pulled), "source", "fetched_at") == {("gbif", later), ("x", T0)}
 
 
+def test_next_marks_keep_old_mark_when_nothing_pulled(spark):
+    later = T0 + dt.timedelta(days=2)
+    pulled = occ_df(spark, [row(1, updated=later)])
+    history = spark.createDataFrame([("gbif", "AMANITACEAE", T0), ("gbif", "OTHER", T0)], HIST)
+    got = as_set(sync.next_marks(pulled, history), "family", "fetched_at")
+    assert got == {("AMANITACEAE", later), ("OTHER", T0)}
+
+
 def test_counters(spark):
     df = occ_df(spark, [row(1, name=None, unc=None), row(2), row(3)])
     assert tuple(job_counters(df).first()) == (3, 1, 1)
