@@ -27,7 +27,11 @@ from geotaxa.sources.fixture import with_views
 Query = Callable[[SparkSession, str], DataFrame]
 
 LANDCOVER = FeatureSpec(name="landcover")
-# Parameters of the checks (fixture window is 1995..2001, see FIXTURES.md).
+# Parameters of the checks (FIXTURES.md): the fixture's dates run 1995..2001,
+# so the pull window is four years inside them (the default 2015..2019 window
+# would pull nothing); the top-k report keeps 10 names (the default 1000 is
+# more than the fixture's 261 names, which would hide the limit); vectors
+# need 83 dates to count as complete.
 PULL_WINDOW = ("1997-01-01 00:00:00", "2001-01-01 00:00:00")
 TOP_N = 10
 VECTOR_MIN_LENGTH = 83
@@ -57,7 +61,8 @@ def _latest(spark, d, *cols):
     return fixture.latest(spark, d, list(cols) if cols else None)
 
 
-PLACE = ["name", "latitude", "longitude", "coordinate_uncertainty", "date"]
+# Dedup key: name and place (latitude, longitude, uncertainty, date).
+DEDUP_COLS = ["name", "latitude", "longitude", "coordinate_uncertainty", "date"]
 FEATURE_KEY = ["cell_id", "date"]
 
 
@@ -82,7 +87,7 @@ def q_latest_by_source_id(spark, d):
 
 
 def q_spatial_dedup(spark, d):
-    return dedup.spatial_dedup(_latest(spark, d, *PLACE)).select("id", "source")
+    return dedup.spatial_dedup(_latest(spark, d, *DEDUP_COLS)).select("id", "source")
 
 
 def q_taxa_threshold(spark, d):
@@ -101,7 +106,7 @@ def q_valid_names_by_source_id(spark, d):
 
 
 def q_read_occurrences(spark, d):
-    raw = fixture.occ(spark, d).select("id", "source", "updated_at", "price", *PLACE)
+    raw = fixture.occ(spark, d).select("id", "source", "updated_at", "price", *DEDUP_COLS)
     return read_occurrences(raw).select("id", "source", "name")
 
 
@@ -272,7 +277,7 @@ def q_cell_requests(spark, d):
 
 
 def q_feature_requests(spark, d):
-    return requests.feature_requests(_latest(spark, d, *PLACE[1:]))
+    return requests.feature_requests(_latest(spark, d, *DEDUP_COLS[1:]))
 
 
 def q_batched_requests(spark, d):
