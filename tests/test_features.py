@@ -138,3 +138,19 @@ def test_fetched_but_empty_counts_as_complete(spark):
     j = fx.join_existing_features(occ, stored, SPEC)
     assert as_set(fx.complete_rows(j, SPEC), "id") == {(1,), (2,), (3,)}
     assert as_set(fx.missing_feature_keys(occ, stored, SPEC), "cell_id") == {(3,), (4,)}
+
+
+def test_enrichment_runs_against_its_own_table(spark, tmp_path):
+    from geotaxa.operators.features import feature_table_schema
+    spec = FeatureSpec(name="landcover", fetch=fetch_even_cells)
+    table = str(tmp_path / "landcover")
+    occ = occs(spark)
+    first = enrich_features(occ, spark.createDataFrame([], feature_table_schema(spec)), spec,
+                            store_path=table)
+    first.merged.write.format("noop").mode("overwrite").save()
+    more = occ.unionByName(occ_df(spark, [row(9, cell=6, date=D1)]))
+    second = enrich_features(more, spark.read.parquet(table), spec, store_path=table)
+    second.merged.write.format("noop").mode("overwrite").save()
+    assert second.counters()["landcover.records_fetched"] == 1        # only the new key
+    assert as_set(second.merged, "id", "landcover") >= {(9, 60), (3, 20), (5, 40)}
+    assert spark.read.parquet(table).count() == 5
