@@ -39,3 +39,22 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["id", "source", "name", "date"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("conf", [{"spark.sql.ansi.enabled": "false"},
+                                  {"spark.sql.adaptive.enabled": "false",
+                                   "spark.sql.shuffle.partitions": "200"}])
+@pytest.mark.parametrize("key", ["read_occurrences", "feature_requests", "merge_features",
+                                 "incremental_pull", "normalize_names", "batched_requests"])
+def test_results_do_not_depend_on_session_settings(spark, con, conf, key):
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = entry.queries()[key](spark, SF)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    cur = con.execute(entry.oracle_sql()[key])
+    assert digest(df.columns, rows)[0] == digest([c[0] for c in cur.description], cur.fetchall())[0]
