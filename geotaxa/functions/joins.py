@@ -59,7 +59,8 @@ _HASHABLE = (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.Timesta
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
-                buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+                buckets: int = DEFAULT_SALT_BUCKETS,
+                salt_cols: Sequence[str] | None = None) -> DataFrame:
     """Equi-join on ``keys`` that spreads each key of the large ``left`` side
     over ``buckets`` shuffle partitions.
 
@@ -69,10 +70,15 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     split ``buckets`` ways, and both join inputs are plain shuffle reads, so
     AQE's skew handling can split a still-hot partition further.  Correct for
     inner, left outer, left semi and left anti joins: each left row meets
-    exactly one copy of each matching right row."""
+    exactly one copy of each matching right row.  ``salt_cols`` picks the
+    columns hashed for the salt (e.g. the record identity, cheaper than
+    every column of a wide table); by default all atomic columns."""
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError(f"salted_join does not support {how!r}")
-    values = [F.col(f.name) for f in left.schema.fields if isinstance(f.dataType, _HASHABLE)]
+    if salt_cols is not None:
+        values = [F.col(c) for c in salt_cols]
+    else:
+        values = [F.col(f.name) for f in left.schema.fields if isinstance(f.dataType, _HASHABLE)]
     if buckets <= 1 or not values:
         return left.join(right, on=list(keys), how=how)
     salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(*values), F.lit(buckets)))

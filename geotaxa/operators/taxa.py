@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -27,7 +29,8 @@ def valid_names(df: DataFrame, threshold: int = DEFAULT_THRESHOLD,
 def taxa_threshold(df: DataFrame, threshold: int = DEFAULT_THRESHOLD,
                    name_col: str = "name", require_multiword: bool = True,
                    salt_buckets: int = DEFAULT_SALT_BUCKETS,
-                   taxa_observation: Observation | None = None) -> DataFrame:
+                   taxa_observation: Observation | None = None,
+                   salt_cols: Sequence[str] | None = None) -> DataFrame:
     """Keep every row of a name with **more than** ``threshold`` rows and more
     than one word.
 
@@ -37,13 +40,14 @@ def taxa_threshold(df: DataFrame, threshold: int = DEFAULT_THRESHOLD,
     ``salt_buckets`` join partitions (AQE may still broadcast the surviving
     names when it measures them small).  The word test runs first, on both
     sides.  NULL names are dropped.  ``taxa_observation`` (optional) counts
-    the surviving names as ``valid_taxa`` in the same pass."""
+    the surviving names as ``valid_taxa`` in the same pass; ``salt_cols``
+    (e.g. the identity columns) limits what the salt hashes."""
     cand = df.where(is_multiword(name_col)) if require_multiword else df.where(F.col(name_col).isNotNull())
     keep = (cand.groupBy(name_col).agg(F.count(F.lit(1)).alias("_n"))
                 .where(F.col("_n") > threshold).select(name_col))
     if taxa_observation is not None:
         keep = keep.observe(taxa_observation, F.count(F.lit(1)).alias("valid_taxa"))
-    return salted_join(cand, keep, [name_col], "left_semi", salt_buckets)
+    return salted_join(cand, keep, [name_col], "left_semi", salt_buckets, salt_cols)
 
 
 def top_names(df: DataFrame, n: int = 1000, name_col: str = "name", out: str = "c") -> DataFrame:

@@ -25,7 +25,7 @@ from geotaxa.operators.features import (FeatureSpec, fetch_missing_features,
                                         missing_feature_keys)
 from geotaxa.operators.names import normalize_names
 from geotaxa.operators.taxa import DEFAULT_THRESHOLD, taxa_threshold
-from geotaxa.operators.versions import latest_version
+from geotaxa.operators.versions import IDENTITY, latest_version
 from geotaxa.sinks.writers import append_table, occurrence_rows, write_json_lines
 from geotaxa.sources.sync import incremental_pull
 
@@ -39,8 +39,9 @@ def read_occurrences(raw: DataFrame, threshold: int = DEFAULT_THRESHOLD,
     by the first action on the result: ``read.taxa`` (``valid_taxa``) and
     ``read.rows`` (``valid_occurrences``)."""
     taxa_obs = Observation("read.taxa") if observations is not None else None
+    # After the version step the identity is unique per row: a cheap salt.
     out = taxa_threshold(spatial_dedup(latest_version(raw)), threshold, name_col,
-                         taxa_observation=taxa_obs)
+                         taxa_observation=taxa_obs, salt_cols=list(IDENTITY))
     if observations is not None:
         rows_obs = Observation("read.rows")
         out = out.observe(rows_obs, F.count(F.lit(1)).alias("valid_occurrences"))

@@ -113,3 +113,10 @@ def test_taxa_threshold_salting_does_not_change_results(spark):
     a = as_set(taxa_threshold(df, threshold=9, salt_buckets=1), "id")
     b = as_set(taxa_threshold(df, threshold=9, salt_buckets=16), "id")
     assert a == b and len(a) == 470
+
+
+def test_taxa_threshold_salt_on_identity_only(spark):
+    rows = [row(i, name="Hot taxon", lat=float(i % 50)) for i in range(100)]
+    df = occ_df(spark, rows)
+    assert (as_set(taxa_threshold(df, threshold=9, salt_cols=["id", "source"]), "id")
+            == as_set(taxa_threshold(df, threshold=9), "id"))
