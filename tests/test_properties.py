@@ -83,3 +83,61 @@ def test_feature_requests_match_python_chunks(spark, rows, max_keys):
         for c in range(0, len(keys), max_keys):
             want[(la, u, c // max_keys)] = ",".join(keys[c:c + max_keys])
     assert got == want
+
+
+pull_rows = st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.sampled_from(["F", "G"]),
+                               st.integers(0, 10), st.integers(0, 10)), min_size=0, max_size=40)
+marks = st.lists(st.tuples(st.sampled_from(["a", "b"]), st.sampled_from(["F", "G"]), st.integers(0, 10)),
+                 min_size=0, max_size=6)
+
+
+@SETTINGS
+@given(pull_rows, marks, st.sampled_from([None, ["a"], ["a", "c"]]), st.sampled_from([None, 7]))
+def test_incremental_pull_matches_python(spark, rows, hist_rows, sources, before):
+    import datetime as dt
+
+    from pyspark.sql import types as T
+
+    from geotaxa.sources.sync import incremental_pull
+    day = lambda n: dt.datetime(2016, 1, 1) + dt.timedelta(days=n)
+    df = occ_df(spark, [row(i, source=s, family=f, updated=day(u), observed=day(o))
+                        for i, (s, f, u, o) in enumerate(rows)])
+    schema = T.StructType([T.StructField("source", T.StringType()), T.StructField("family", T.StringType()),
+                           T.StructField("fetched_at", T.TimestampNTZType())])
+    hist = spark.createDataFrame([(s, f, day(m)) for s, f, m in hist_rows], schema)
+    got = as_set(incremental_pull(df, hist, observed_after=day(2), observed_before=day(9),
+                                  restrict_sources=sources,
+                                  modified_before=day(before) if before is not None else None), "id")
+    mark = {}
+    for s, f, m in hist_rows:
+        mark[(s, f)] = max(m, mark.get((s, f), m))
+    want = {(i,) for i, (s, f, u, o) in enumerate(rows)
+            if (s, f) in mark and u > mark[(s, f)] and 2 <= o < 9
+            and (sources is None or s in sources) and (before is None or u < before)}
+    assert got == want
+
+
+merge_cases = st.tuples(
+    st.lists(st.integers(0, 6), min_size=0, max_size=30),                       # occurrence cells
+    st.dictionaries(st.integers(0, 6), st.one_of(st.none(), st.integers(0, 9))),  # stored value per cell
+    st.dictionaries(st.integers(0, 6), st.integers(10, 19)))                      # lookup value per cell
+
+
+@SETTINGS
+@given(merge_cases)
+def test_merge_matches_python(spark, case):
+    import datetime as dt
+
+    from geotaxa.operators import features as fx
+    from geotaxa.operators.features import FeatureSpec
+    cells, stored, lookup = case
+    d = dt.date(2016, 1, 1)
+    occ = occ_df(spark, [row(i, cell=c, date=d) for i, c in enumerate(cells)])
+    schema = "cell_id long, date date, landcover long"
+    st_df = spark.createDataFrame([(c, d, v) for c, v in stored.items()], schema)
+    spec = FeatureSpec(name="landcover", lookup=spark.createDataFrame([(c, d, v) for c, v in lookup.items()], schema))
+    fetched = fx.fetch_missing_features(fx.missing_feature_keys(occ, st_df, spec), spec)
+    merged = fx.merge_features(occ, st_df, fetched, spec)
+    want = {(i, stored[c] if stored.get(c) is not None else lookup.get(c)) for i, c in enumerate(cells)}
+    assert merged.count() == len(cells)
+    assert as_set(merged, "id", "landcover") == want
