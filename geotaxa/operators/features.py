@@ -33,7 +33,9 @@ class FeatureSpec:
     lookup      table with key_cols + value_cols to fetch from, or
     fetch       function(pandas keys) -> pandas keys + value_cols; key columns
                 must come back unchanged; keys it does not return are
-                "fetched, nothing there"
+                "fetched, nothing there".  A class with a ``fetch`` method
+                works too: it is instantiated once per task (e.g. to open a
+                client) and reused for all of the task's key batches.
     value_types Spark types of value_cols (needed for ``fetch``)
     """
 
@@ -138,10 +140,11 @@ def _fetch_in_batches(spec: FeatureSpec, schema: T.StructType):
     user_fetch = spec.fetch
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        call = user_fetch().fetch if isinstance(user_fetch, type) else user_fetch
         for pdf in batches:
             for start in range(0, len(pdf), size):
                 chunk = pdf.iloc[start:start + size][keys].reset_index(drop=True)
-                got = user_fetch(chunk)
+                got = call(chunk)
                 got = (got[keys + values].drop_duplicates(keys) if len(got)
                        else pd.DataFrame(columns=keys + values))
                 out = chunk.merge(got, on=keys, how="left")

@@ -154,3 +154,22 @@ def test_enrichment_runs_against_its_own_table(spark, tmp_path):
     assert second.counters()["landcover.records_fetched"] == 1        # only the new key
     assert as_set(second.merged, "id", "landcover") >= {(9, 60), (3, 20), (5, 40)}
     assert spark.read.parquet(table).count() == 5
+
+
+class EvenCellSource:
+    """A fetch client with set-up cost: counts its own instances."""
+
+    created = 0
+
+    def __init__(self):
+        EvenCellSource.created += 1
+
+    def fetch(self, keys):
+        return fetch_even_cells(keys)
+
+
+def test_fetch_accepts_a_client_class(spark):
+    spec = FeatureSpec(name="landcover", fetch=EvenCellSource, batch_size=1)
+    keys = fx.missing_feature_keys(occs(spark).coalesce(1), stored_df(spark, []), spec).coalesce(1)
+    got = fx.fetch_missing_features(keys, spec)
+    assert as_set(got, "cell_id", "landcover") == {(1, None), (2, 20), (3, None), (4, 40)}
