@@ -12,7 +12,9 @@ from pyspark.sql import types as T
 # Upper bound on rows for an explicit broadcast.  A side is broadcast only
 # after a count proves it is at most this size; otherwise the join is left to
 # the planner (shuffle join, or AQE's runtime broadcast based on measured
-# shuffle sizes).
+# shuffle sizes).  The sides it is used for are narrow (2-5 columns: sync
+# marks, a name lookup, ranking offsets), so the bound is a few MB; pass a
+# smaller one for wider tables.
 DEFAULT_BROADCAST_ROWS = 200_000
 
 
