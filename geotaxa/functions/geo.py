@@ -56,8 +56,9 @@ def covering_cells(lat: str | Column, lon: str | Column, unc: str | Column,
     """Ids of the ``step``-degree grid cells touched by the box around an
     uncertain location (half-width = the buffered uncertainty in metres,
     longitude widened by 1/cos(latitude)).  Cell id = row * columns + column,
-    rows counted from the south pole and columns from the antimeridian, so
-    ids are non-negative.  Built from ``sequence`` / ``transform``: no Python."""
+    rows counted from the south pole (clamped at the poles) and columns from
+    the antimeridian (wrapping around it), so ids are non-negative and unique
+    per cell.  Built from ``sequence`` / ``transform``: no Python."""
     la, lo = _col(lat), _col(lon)
     s = F.lit(float(step)).cast("double")
     metres = buffered_uncertainty(unc, minimum)
@@ -66,9 +67,12 @@ def covering_cells(lat: str | Column, lon: str | Column, unc: str | Column,
     ncols = int(round(360.0 / step))
     row0 = int(round(90.0 / step))
     col0 = int(round(180.0 / step))
-    r_lo, r_hi = F.floor((la - dlat) / s), F.floor((la + dlat) / s)
+    # Rows stop at the poles; columns wrap around the antimeridian.
+    r_lo = F.greatest(F.floor((la - dlat) / s), F.lit(-row0))
+    r_hi = F.least(F.floor((la + dlat) / s), F.lit(row0 - 1))
     c_lo, c_hi = F.floor((lo - dlon) / s), F.floor((lo + dlon) / s)
-    return F.flatten(F.transform(
+    return F.array_distinct(F.flatten(F.transform(
         F.sequence(r_lo, r_hi),
         lambda r: F.transform(F.sequence(c_lo, c_hi),
-                              lambda c: (r + F.lit(row0)) * F.lit(ncols) + (c + F.lit(col0)))))
+                              lambda c: (r + F.lit(row0)) * F.lit(ncols)
+                              + F.pmod(c + F.lit(col0), F.lit(ncols))))))

@@ -37,6 +37,8 @@ TOP_N = 10
 VECTOR_MIN_LENGTH = 83
 SAMPLE_BATCHES = 3
 GRID_STEP = 0.25
+# Grid of GRID_STEP degrees: rows from the south pole, columns from the antimeridian.
+ROW0, COL0, NCOLS = int(round(90 / GRID_STEP)), int(round(180 / GRID_STEP)), int(round(360 / GRID_STEP))
 JSON_COLS = ["id", "source", "name", "latitude", "coordinate_uncertainty", "date"]
 OUTPUT_FIELDS = [
     ("id", "INTEGER", "REQUIRED"),
@@ -492,12 +494,12 @@ select cell_id, source, id from (select *, row_number() over (partition by cell_
   from latest) where r = 1"""),
     "unwind_cells": (["latest"], "select id, source, unnest([cell_id, cell_id + 1]) as c from latest"),
     "covering_cells": (["latest"], f"""
-select id, source, unnest(flatten(list_transform(generate_series(r_lo, r_hi),
+select id, source, unnest(list_distinct(flatten(list_transform(generate_series(r_lo, r_hi),
   lambda r: list_transform(generate_series(c_lo, c_hi),
-    lambda c: (r + {int(round(90 / GRID_STEP))}) * {int(round(360 / GRID_STEP))} + (c + {int(round(180 / GRID_STEP))}))))) as cell
+    lambda c: (r + {ROW0}) * {NCOLS} + ((c + {COL0}) % {NCOLS} + {NCOLS}) % {NCOLS}))))) as cell
 from (select id, source,
-  cast(floor((latitude - u / 111320.0) / {GRID_STEP}) as bigint) as r_lo,
-  cast(floor((latitude + u / 111320.0) / {GRID_STEP}) as bigint) as r_hi,
+  greatest(cast(floor((latitude - u / 111320.0) / {GRID_STEP}) as bigint), -{ROW0}) as r_lo,
+  least(cast(floor((latitude + u / 111320.0) / {GRID_STEP}) as bigint), {ROW0} - 1) as r_hi,
   cast(floor((longitude - u / (111320.0 * greatest(cos(radians(latitude)), 0.01))) / {GRID_STEP}) as bigint) as c_lo,
   cast(floor((longitude + u / (111320.0 * greatest(cos(radians(latitude)), 0.01))) / {GRID_STEP}) as bigint) as c_hi
   from (select *, greatest(coalesce(coordinate_uncertainty, 30.0), 30.0) as u from latest) x) y"""),

@@ -80,3 +80,17 @@ def test_feature_requests_as_key_lists(spark):
     out = feature_requests(occ_df(spark, rows), max_keys=2, keys_as_text=False)
     lists = [r["k"] for r in out.orderBy("chunk").collect()]
     assert lists == [["gbif:0", "gbif:1"], ["gbif:2", "gbif:3"], ["gbif:4"]]
+
+
+def test_covering_cells_wrap_at_antimeridian_and_stop_at_poles(spark):
+    from geotaxa.functions.geo import covering_cells
+    df = occ_df(spark, [row(1, lat=10.1, lon=179.9999, unc=30.0),
+                        row(2, lat=89.9999, lon=0.1, unc=1000.0)])
+    got = {r["id"]: sorted(r["cells"]) for r in
+           df.select("id", covering_cells("latitude", "longitude", "coordinate_uncertainty", 0.25)
+                     .alias("cells")).collect()}
+    ncols = 1440
+    row10 = 360 + 40                                   # floor(10.1 / 0.25) = 40
+    assert got[1] == [row10 * ncols + 0, row10 * ncols + 1439]     # east edge and wrapped west edge
+    assert all(c // ncols == 719 for c in got[2])      # clamped at the north pole row
+    assert len(got[2]) == len(set(got[2]))
