@@ -94,3 +94,13 @@ def test_pull_prunes_source_partitions(spark, tmp_path):
     out = sync.incremental_pull(raw, hist(spark, [("idigbio", "AMANITACEAE", T0)]))
     assert out.count() == 5
     assert "(source#" in plan_text(out, "formatted").split("PartitionFilters: ")[1].split("\n")[0]
+
+
+def test_default_window_is_2015_to_2019(spark):
+    from geotaxa.sources import fixture
+    sf = "/root/testdata/sf0.001"
+    # the fixture's observations run 1995..2001: the default window pulls nothing
+    assert sync.incremental_pull(fixture.occ(spark, sf), fixture.sync_history(spark, sf)).count() == 0
+    inside = occ_df(spark, [row(1, observed=dt.datetime(2015, 1, 1), updated=T0 + dt.timedelta(days=1)),
+                            row(2, observed=dt.datetime(2018, 12, 31, 23, 59), updated=T0 + dt.timedelta(days=1))])
+    assert sync.incremental_pull(inside, hist(spark, [("gbif", "AMANITACEAE", T0)])).count() == 2
