@@ -48,7 +48,7 @@ OCCURRENCE_FIELDS: list[tuple[str, str, str]] = [
 
 def spark_type(bq_type: str, mode: str = NULLABLE) -> T.DataType:
     t = BIGQUERY_TYPES[bq_type.upper()]
-    return T.ArrayType(t, containsNull=False) if mode.upper() == REPEATED else t
+    return T.ArrayType(t, containsNull=True) if mode.upper() == REPEATED else t
 
 
 def schema_from_fields(fields: Sequence[tuple[str, str, str]]) -> T.StructType:

@@ -106,3 +106,26 @@ def test_feature_table_schema():
     from geotaxa.operators.features import FeatureSpec, feature_table_schema
     s = feature_table_schema(FeatureSpec(name="landcover"))
     assert s.fieldNames() == ["cell_id", "date", "landcover", "fetched"]
+
+
+def test_strict_json_rejects_infinities(spark):
+    for v in (float("inf"), float("-inf")):
+        df = occ_df(spark, [row(1, unc=v)]).select("id", "coordinate_uncertainty")
+        with pytest.raises(Exception, match="not JSON compliant"):
+            df.select(strict_json(df)).collect()
+
+
+def test_json_reader_fails_on_malformed_line(spark, tmp_path):
+    from geotaxa.sources.files import read_json_records
+    d = tmp_path / "bad"
+    d.mkdir()
+    (d / "part-0.json").write_text('{"id": 1, "name": "x", "latitude": 1.0}\n{"id": 2, "name": \n')
+    with pytest.raises(Exception):
+        read_json_records(spark, str(d), schema_from_fields(FIELDS)).collect()
+
+
+def test_enforce_schema_repeated_field(spark):
+    df = spark.createDataFrame([(1, [1, 2])], "id long, cells array<long>")
+    out = enforce_schema(df, [("id", "INTEGER", "REQUIRED"), ("cells", "INTEGER", "REPEATED")])
+    assert out.schema["cells"].dataType.simpleString() == "array<bigint>"
+    assert out.first()["cells"] == [1, 2]
