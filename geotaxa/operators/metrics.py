@@ -16,7 +16,7 @@ def counter_exprs(name_col: str = "name", unc_col: str = "coordinate_uncertainty
     return [
         F.count(F.lit(1)).alias("n"),
         F.count_distinct(F.col(name_col)).alias("names"),
-        F.sum(F.when(F.col(unc_col).isNull(), 1).otherwise(0)).alias("no_unc"),
+        F.coalesce(F.sum(F.when(F.col(unc_col).isNull(), 1).otherwise(0)), F.lit(0).cast("long")).alias("no_unc"),
     ]
 
 

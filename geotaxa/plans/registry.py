@@ -526,7 +526,8 @@ select id, source, floor(latitude / cast({GRID_STEP} as double)) * cast({GRID_ST
   greatest(coalesce(coordinate_uncertainty, cast(30 as double)), cast(30 as double)) as u from latest"""),
     "job_counters": (["latest"], """
 select count(*) as n, count(distinct name) as names,
-  cast(sum(case when coordinate_uncertainty is null then 1 else 0 end) as bigint) as no_unc from latest"""),
+  coalesce(cast(sum(case when coordinate_uncertainty is null then 1 else 0 end) as bigint), 0) as no_unc
+from latest"""),
     "json_records": (["latest"], f"select {_JSON} as j from latest where name is not null"),
     "strict_json": (["latest"], f"select {_JSON} as j from latest where name is not null"),
     "json_roundtrip": (["latest"], """

@@ -53,3 +53,7 @@ def test_counters(spark):
 
 def test_checkpoint_dir_is_taken_from_session(spark):
     assert ensure_checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()
+
+
+def test_counters_on_empty_input_are_zero(spark):
+    assert tuple(job_counters(occ_df(spark, [])).first()) == (0, 0, 0)

@@ -94,3 +94,21 @@ def test_covering_cells_wrap_at_antimeridian_and_stop_at_poles(spark):
     assert got[1] == [row10 * ncols + 0, row10 * ncols + 1439]     # east edge and wrapped west edge
     assert all(c // ncols == 719 for c in got[2])      # clamped at the north pole row
     assert len(got[2]) == len(set(got[2]))
+
+
+def test_ordered_rank_with_ties_is_still_a_permutation(spark):
+    df = spark.createDataFrame([("g", i % 3) for i in range(50)] + [("h", 0)] * 7, "g string, o long")
+    got = ordered_rank(df, ["g"], ["o"], num_partitions=4)
+    by_group = {}
+    for r in got.collect():
+        by_group.setdefault(r["g"], []).append((r["o"], r["rank"]))
+    for g, pairs in by_group.items():
+        assert sorted(rk for _, rk in pairs) == list(range(1, len(pairs) + 1))
+        # ranks follow the order column
+        assert [o for o, _ in sorted(pairs, key=lambda p: p[1])] == sorted(o for o, _ in pairs)
+
+
+def test_sample_more_batches_than_exist(spark):
+    df = occ_df(spark, [row(i, family="A") for i in range(5)])
+    b = batched_requests(df, batch_size=2)
+    assert sample_batches(b, n=10).count() == 5
