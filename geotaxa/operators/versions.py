@@ -17,9 +17,13 @@ from pyspark.sql import types as T
 IDENTITY = ("id", "source")
 
 
-def version_order() -> list[Column]:
-    """Newest first; equal timestamps are settled by price."""
-    return [F.col("updated_at").desc(), F.col("price").desc()]
+def version_order(df: DataFrame | None = None) -> list[Column]:
+    """Newest first; equal timestamps are settled by price where the table
+    has one (the remaining columns settle any further tie)."""
+    order = [F.col("updated_at").desc()]
+    if df is None or "price" in df.columns:
+        order.append(F.col("price").desc())
+    return order
 
 
 _ORDERABLE = (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType,
@@ -53,11 +57,11 @@ def latest_version(df: DataFrame, keys: Sequence[str] = IDENTITY,
     the pick never depends on row arrival order.  Every input column takes
     part in that tie-break (and so in the shuffle): select the columns the
     job needs before calling."""
-    return first_per_group(df, keys, order if order is not None else version_order(),
+    return first_per_group(df, keys, order if order is not None else version_order(df),
                            break_ties=break_ties)
 
 
 def latest_by_source_id(df: DataFrame, source_id: str = "source_id") -> DataFrame:
     """Latest version when identity is a single ``source_id`` column; equal
     versions are settled by price, then id."""
-    return first_per_group(df, [source_id], [*version_order(), F.col("id").asc()], break_ties=True)
+    return first_per_group(df, [source_id], [*version_order(df), F.col("id").asc()], break_ties=True)

@@ -120,3 +120,11 @@ def test_taxa_threshold_salt_on_identity_only(spark):
     df = occ_df(spark, rows)
     assert (as_set(taxa_threshold(df, threshold=9, salt_cols=["id", "source"]), "id")
             == as_set(taxa_threshold(df, threshold=9), "id"))
+
+
+def test_records_without_a_price_column(spark):
+    later = T0 + dt.timedelta(days=1)
+    df = occ_df(spark, [row(1, updated=T0, name="a b"), row(1, updated=later, name="c d")]).drop("price")
+    out = latest_version(df)
+    assert [r["name"] for r in out.collect()] == ["c d"]
+    assert read_occurrences(df, threshold=0).count() == 1
