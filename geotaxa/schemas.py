@@ -65,5 +65,8 @@ OCCURRENCE_SCHEMA = schema_from_fields(OCCURRENCE_FIELDS)
 def decode_rows(df: DataFrame, schema: T.StructType = OCCURRENCE_SCHEMA) -> DataFrame:
     """Decode table rows into occurrence records: the declared columns, in
     declared order, cast to the declared types (a plain projection, so it
-    stays in codegen and prunes the scan)."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    stays in codegen and prunes the scan); a declared column the table lacks
+    is NULL."""
+    present = set(df.columns)
+    return df.select(*[(F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+                       for f in schema.fields])

@@ -23,10 +23,18 @@ from geotaxa.schemas import OCCURRENCE_FIELDS, schema_from_fields
 def enforce_schema(df: DataFrame, fields: Sequence[tuple[str, str, str]] | T.StructType) -> DataFrame:
     """Project ``df`` onto a declared schema: declared columns and order,
     cast to declared types; a NULL in a REQUIRED (non-nullable) column raises
-    an error naming the column."""
+    an error naming the column.  A NULLABLE column the frame lacks is NULL; a
+    missing REQUIRED column is refused before anything runs."""
     schema = fields if isinstance(fields, T.StructType) else schema_from_fields(fields)
+    present = set(df.columns)
+    missing = [f.name for f in schema.fields if f.name not in present and not f.nullable]
+    if missing:
+        raise ValueError(f"missing REQUIRED column(s): {', '.join(missing)}")
     cols = []
     for f in schema.fields:
+        if f.name not in present:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
         c = F.col(f.name).cast(f.dataType)
         if not f.nullable:
             c = F.coalesce(c, F.raise_error(F.lit(f"NULL in REQUIRED column {f.name}")).cast(f.dataType))

@@ -129,3 +129,12 @@ def test_enforce_schema_repeated_field(spark):
     out = enforce_schema(df, [("id", "INTEGER", "REQUIRED"), ("cells", "INTEGER", "REPEATED")])
     assert out.schema["cells"].dataType.simpleString() == "array<bigint>"
     assert out.first()["cells"] == [1, 2]
+
+
+def test_missing_columns(spark):
+    df = occ_df(spark, [row(1)]).drop("cell_id", "coordinate_uncertainty")
+    assert decode_rows(df).first()["cell_id"] is None
+    out = enforce_schema(df, [("id", "INTEGER", "REQUIRED"), ("coordinate_uncertainty", "FLOAT", "NULLABLE")])
+    assert tuple(out.first()) == (1, None)
+    with pytest.raises(ValueError, match="missing REQUIRED"):
+        enforce_schema(df.drop("latitude"), FIELDS)
