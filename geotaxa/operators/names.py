@@ -28,6 +28,8 @@ def normalize_names(df: DataFrame, names: DataFrame, name_col: str = "name",
     shuffle join, which spreads a popular name over ``salt_buckets``
     partitions.  Unresolved names get NULL, or are dropped with
     ``drop_unresolved``."""
+    if out_col in df.columns:          # re-normalizing: the lookup's answer replaces it
+        df = df.drop(out_col)
     lookup = unique_lookup(names, given_col, out_col).withColumnRenamed(given_col, name_col)
     how = "inner" if drop_unresolved else "left"
     small = broadcast_if_small(lookup, max_broadcast_rows)

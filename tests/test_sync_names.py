@@ -104,3 +104,12 @@ def test_default_window_is_2015_to_2019(spark):
     inside = occ_df(spark, [row(1, observed=dt.datetime(2015, 1, 1), updated=T0 + dt.timedelta(days=1)),
                             row(2, observed=dt.datetime(2018, 12, 31, 23, 59), updated=T0 + dt.timedelta(days=1))])
     assert sync.incremental_pull(inside, hist(spark, [("gbif", "AMANITACEAE", T0)])).count() == 2
+
+
+def test_normalize_names_replaces_an_existing_scientific_name(spark):
+    from pyspark.sql import functions as F
+    occ = occ_df(spark, [row(1, name="amanita muscaria")]).withColumn("scientific_name", F.lit("old"))
+    lookup = spark.createDataFrame([("amanita muscaria", "new")], "given_name string, scientific_name string")
+    out = normalize_names(occ, lookup)
+    assert out.columns.count("scientific_name") == 1
+    assert out.first()["scientific_name"] == "new"
