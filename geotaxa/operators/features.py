@@ -62,6 +62,13 @@ def _keys(spec: FeatureSpec) -> list[str]:
     return list(spec.key_cols)
 
 
+def _without_values(occ: DataFrame, spec: FeatureSpec, extra: Sequence[str] = ()) -> DataFrame:
+    """Occurrences without feature columns of their own (e.g. from an earlier
+    enrichment): the join's values replace them instead of duplicating them."""
+    drop = [c for c in (*spec.value_cols, *extra) if c in occ.columns]
+    return occ.drop(*drop) if drop else occ
+
+
 def stored_values(stored: DataFrame, spec: FeatureSpec) -> DataFrame:
     """Key, value and ``fetched`` columns of a stored feature table (tables
     written before the flag existed count as not fetched)."""
@@ -78,7 +85,7 @@ def join_existing_features(occ: DataFrame, stored: DataFrame, spec: FeatureSpec,
     with the data, so the planner chooses the strategy; AQE splits a hot key
     on the occurrence side."""
     right = stored_values(stored, spec) if with_flag else stored.select(*_keys(spec), *spec.value_cols)
-    return occ.join(right, on=_keys(spec), how="left")
+    return _without_values(occ, spec, [FETCHED] if with_flag else []).join(right, on=_keys(spec), how="left")
 
 
 def is_complete(spec: FeatureSpec, flag: str | None = None) -> Column:
@@ -199,7 +206,8 @@ def merge_features(occ: DataFrame, stored: DataFrame, fetched: DataFrame,
     if origin_col is not None:
         kept = kept.withColumn(origin_col, F.lit("stored"))
         got = got.withColumn(origin_col, F.lit("fetched"))
-    return occ.join(kept.unionByName(got), on=keys, how="left")
+    extra = [origin_col] if origin_col else []
+    return _without_values(occ, spec, extra).join(kept.unionByName(got), on=keys, how="left")
 
 
 def grouped_occurrences(occ: DataFrame, stored: DataFrame, fetched: DataFrame,
@@ -222,7 +230,8 @@ def combine_features(occ: DataFrame, specs: Sequence[tuple[FeatureSpec, DataFram
     one LEFT JOIN per feature; one feature row serves many occurrences."""
     out = occ
     for spec, table in specs:
-        out = out.join(table.select(*_keys(spec), *spec.value_cols), on=_keys(spec), how="left")
+        out = _without_values(out, spec).join(table.select(*_keys(spec), *spec.value_cols),
+                                              on=_keys(spec), how="left")
     return out
 
 

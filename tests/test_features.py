@@ -173,3 +173,16 @@ def test_fetch_accepts_a_client_class(spark):
     keys = fx.missing_feature_keys(occs(spark).coalesce(1), stored_df(spark, []), spec).coalesce(1)
     got = fx.fetch_missing_features(keys, spec)
     assert as_set(got, "cell_id", "landcover") == {(1, None), (2, 20), (3, None), (4, 40)}
+
+
+def test_enriching_already_enriched_rows_replaces_values(spark):
+    from pyspark.sql import functions as F
+    occ = occs(spark).withColumn("landcover", F.lit(-1).cast("long"))
+    stored = stored_df(spark, [(1, D1, 5)])
+    j = fx.join_existing_features(occ, stored, SPEC)
+    assert j.columns.count("landcover") == 1
+    assert as_set(j.where(F.col("id") == 1), "landcover") == {(5,)}
+    m = fx.merge_features(occ, stored, stored_df(spark, []), SPEC)
+    assert m.columns.count("landcover") == 1 and m.count() == 5
+    c = fx.combine_features(occ, [(SPEC, stored)])
+    assert c.columns.count("landcover") == 1
