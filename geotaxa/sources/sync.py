@@ -82,8 +82,9 @@ def incremental_pull(raw: DataFrame, history: DataFrame,
         observed_after = OBSERVED_AFTER
     if observed_before is _UNSET:
         observed_before = OBSERVED_BEFORE
-    obs_t = raw.schema["observed_at"].dataType
     upd_t = raw.schema["updated_at"].dataType
+    obs_t = (raw.schema["observed_at"].dataType
+             if observed_after is not None or observed_before is not None else None)
     r = raw
     if observed_after is not None:
         r = r.where(F.col("observed_at") >= timestamp_literal(observed_after, obs_t))

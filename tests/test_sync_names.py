@@ -113,3 +113,9 @@ def test_normalize_names_replaces_an_existing_scientific_name(spark):
     out = normalize_names(occ, lookup)
     assert out.columns.count("scientific_name") == 1
     assert out.first()["scientific_name"] == "new"
+
+
+def test_pull_without_observation_times(spark):
+    raw = occ_df(spark, [row(1, updated=T0 + dt.timedelta(days=1))]).drop("observed_at")
+    h = hist(spark, [("gbif", "AMANITACEAE", T0)])
+    assert sync.incremental_pull(raw, h, observed_after=None, observed_before=None).count() == 1
