@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geotaxa.llm import license_scan
+from geotaxa.llm import edit_embedding, license_scan, secret_crf
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_edit_fingerprint": edit_embedding.op1_edit_fingerprint,
+        "op10_secret_scan": secret_crf.op10_secret_scan,
         "op8_license_scan": license_scan.op8_license_scan,
     }
 
