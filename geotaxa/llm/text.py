@@ -26,20 +26,30 @@ LOWER[0x41:0x5B] += 0x20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTE = np.random.default_rng(20240229).integers(1, 1 << 63, size=256, dtype=np.uint64)
-_powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, _U), np.ones(1, _U))
+
+
+class Local:
+    """Holds what each task makes for itself: empty again when sent with code."""
+
+    def __init__(self) -> None:
+        self.value = None
+
+    def __reduce__(self):
+        return Local, ()
+
+
+_powers = Local()
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _powers
-    if len(_powers[0]) < n:
-        size = max(n, 1 << 16)
+    if _powers.value is None or len(_powers.value[0]) < n:
         out = []
         for base in (_BASE, _INVERSE):
-            p = np.full(size, base, dtype=_U)
+            p = np.full(max(n, 1 << 16), base, dtype=_U)
             p[0] = 1
             out.append(np.cumprod(p, dtype=_U))
-        _powers = (out[0], out[1])
-    return _powers
+        _powers.value = (out[0], out[1])
+    return _powers.value
 
 
 def mix(h: np.ndarray) -> np.ndarray:
