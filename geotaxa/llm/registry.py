@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geotaxa.llm import edit_embedding, hyper_language, license_scan, quality_net, secret_crf
+from geotaxa.llm import edit_embedding, hidden_markov, hyper_language, license_scan, quality_net, secret_crf, superminhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,8 @@ def queries() -> dict[str, Query]:
     return {
         "op1_edit_fingerprint": edit_embedding.op1_edit_fingerprint,
         "op3_hyper_language": hyper_language.op3_hyper_language,
+        "op5_hidden_markov": hidden_markov.op5_hidden_markov,
+        "op6_superminhash": superminhash.op6_superminhash,
         "op7_quality_net": quality_net.op7_quality_net,
         "op10_secret_scan": secret_crf.op10_secret_scan,
         "op8_license_scan": license_scan.op8_license_scan,
