@@ -181,6 +181,20 @@ def predict(docs: DataFrame, languages: list[str], prototypes: np.ndarray) -> Da
     return docs.select(*names, F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, schema)
 
 
+def keep_known(docs: DataFrame, languages: list[str], prototypes: np.ndarray, least: float) -> DataFrame:
+    """The documents, with all their columns, that have a language by a cosine of at least ``least``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [np.zeros(0, bool)]
+            for _, _, buf, off in pieces(*buffer_of(batch.column("text"))):
+                best, cosine = classify(buf, off, prototypes)
+                keep.append((best >= 0) & (cosine >= least))
+            yield batch.filter(pa.array(np.concatenate(keep)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def remainder(doc_id: Column, n: int) -> Column:
     return F.crc32(doc_id.cast("string")) % n
 

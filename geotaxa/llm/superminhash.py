@@ -226,5 +226,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
                        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def drop_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The documents, with all their columns, but for those whose group has a smaller doc_id."""
+    gone = near_duplicates(docs, k, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+
+
 def op6_superminhash(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(read_documents(spark, sf_dir, "doc_id", "text"), k=3, percent=85)
