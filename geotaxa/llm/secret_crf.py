@@ -8,7 +8,7 @@ a secret).  Emissions add the weights of the token's shape (length, character
 classes, share of digits), the token itself, its neighbouring tokens (two
 before, one after; hashed) and two features of the whole text (share of
 symbols, length).  It is trained on a bounded sample of documents
-(``train_docs`` with and as many without a keyword, the first by a hash of the
+(about ``train_docs`` with and as many without a keyword, by a hash of the
 doc_id, none above ``train_chars`` characters), in which the values of pattern
 matches are the secrets.  Decoding is Viterbi over whole texts.  A token at
 which O leads by more than any two transitions can change is certainly O, so
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geotaxa.llm.text import LOWER, SPACE, Spans, buffer_of, pieces, read_documents
+from geotaxa.llm.text import LOWER, SPACE, Spans, buffer_of, hash_sample, pieces, read_documents
 
 # The patterns and their least lengths.
 KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
@@ -297,10 +297,10 @@ def train(docs: DataFrame, train_docs: int = 1500, train_chars: int = 20_000) ->
     keyword = low.contains("akia")
     for k in KEYWORDS:
         keyword = keyword | low.contains(k.decode())
+    counts = small.agg(F.count_if(keyword), F.count_if(~keyword)).head()
     texts = []
-    for part in (keyword, ~keyword):
-        rows = small.where(part).orderBy(F.xxhash64("doc_id"), "text").limit(train_docs).collect()
-        texts += [r["text"] for r in rows]
+    for part, n in zip((keyword, ~keyword), counts):
+        texts += sorted(r["text"] for r in hash_sample(small.where(part), train_docs, n).collect())
     return fit(texts) if texts else NOTHING
 
 

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 PIECE_BYTES = 4 << 20
 
@@ -138,5 +139,12 @@ def text_hash(words: np.ndarray, k: int, counts: np.ndarray) -> tuple[np.ndarray
     return h, row
 
 
+def hash_sample(rows, wanted: int, available: int):
+    """About ``wanted`` of ``available`` rows (the same in every run), by a hash
+    of the doc_id; twice as many is the bound."""
+    share = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1 << 31)) / F.lit(float(1 << 31))
+    return rows.where(share < wanted / max(available, 1)).limit(2 * wanted)
+
+
 def read_documents(spark, sf_dir: str, *columns: str):
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns)
