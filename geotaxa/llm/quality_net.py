@@ -13,9 +13,10 @@ sums per partition are added up in Spark; 8,192 x 64 numbers reach the driver.
 *Pooling.*  A document is the mean and spread of its tokens' word vectors,
 the share of shape units, the share of distinct units and its log length.
 
-*Network.*  tanh layer and logistic output, trained with Adam on at most
-``train_rows`` labelled documents (the first by a hash of the doc_id), of
-which a fifth only sets the temperature that calibrates the probabilities.
+*Network.*  tanh layer and logistic output, trained with Adam on about
+``train_rows`` labelled documents (by a hash of the doc_id, twice as many is
+the bound), of which a fifth only sets the temperature that calibrates the
+probabilities.
 
 Defined cases: a null text is empty; an empty text pools to zeros and is
 scored like any other; rows without a label are not learned from, a doc_id
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from geotaxa.llm.hyper_language import remainder
-from geotaxa.llm.text import LOWER, Spans, buffer_of, mix, pieces, read_documents, word_spans
+from geotaxa.llm.text import LOWER, Spans, buffer_of, hash_sample, mix, pieces, read_documents, word_spans
 
 WORD_UNITS, SHAPE_UNITS = 6144, 2048
 UNITS = WORD_UNITS + SHAPE_UNITS
@@ -184,9 +185,9 @@ def _map(docs: DataFrame, names: list[str], value: Callable, kind: T.DataType, a
 
 
 def fit(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, train_rows: int = 8000) -> Net:
-    """Train on at most ``train_rows`` of ``labels`` (doc_id, quality)."""
+    """Train on about ``train_rows`` of ``labels`` (doc_id, quality)."""
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
+    sample = hash_sample(known, train_rows, known.count())
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     found = _map(rows, ["doc_id", "quality"], lambda b, o: list(pooled(b, o, vectors)), T.ArrayType(T.FloatType()),
                  pa.list_(pa.float32())).collect()
