@@ -17,13 +17,14 @@ is read as a stream, with one row kept in memory:
 
 * every occurrence of an entry but the first is repeated as a whole;
 * an entry that shares its trigger with no other has no window elsewhere;
-* the first occurrences of the others are *contested*: their windows are
-  sorted in the same way, one by one.
+* the first occurrences of the others are *contested*: their bytes go to the
+  task of their trigger, which compares their windows one by one; the windows
+  of a trigger with very many phrases are sorted like the entries instead.
 
 The order is by 64-bit hashes of trigger and phrase (suffixes only have to
 meet their equals, not their alphabetical neighbours); a window of the corpus
 order is named by 128 bits.  Repetitive text makes few entries, so the
-contested part, the only one that is sorted by window, stays small.
+contested part, the only one that is compared by window, stays small.
 
 Copies inside one piece of a partition are settled there and only pass
 through the sort under a key of their own, so a third of all rows with one
@@ -49,6 +50,7 @@ from pyspark.sql import functions as F
 from geotaxa.llm.text import Spans, buffer_of, mix, pieces, read_documents
 
 WINDOW, GRAM = 100, 24
+GROUP = 4096
 _GRAMS = WINDOW - GRAM + 1
 _PLACE = np.uint64((1 << 30) - 1)
 _NAMES = ["g", "h", "doc", "place"]
@@ -116,24 +118,93 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield settle(g, h, ids[lo + row], _pack(start - off[row], count, lead, 0))
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every window of the contested phrases of each text."""
+def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of the contested phrases of each text."""
     for batch in batches:
         ids = batch.column("doc").to_numpy()
         lists = batch.column("phrases").to_pylist()
-        for lo, hi, buf, off in pieces(*buffer_of(batch.column("text"))):
-            spans = Spans(buf)
-            size = [len(lists[r]) for r in range(lo, hi)]
-            found = np.array([(x["place"], x["g"]) for r in range(lo, hi) for x in lists[r]], np.int64).reshape(-1, 2)
-            row = np.repeat(np.arange(hi - lo), size)
-            place, g = found.T
-            count = place >> 9 & 0x7F
-            step = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-            row, start = np.repeat(row, count), np.repeat(place >> 16, count) + step
-            lead = np.repeat(place >> 1 & 0xFF, count) - step
-            at = off[row] + start
-            name = mix(np.repeat(g, count).view(_U) + lead.astype(_U)).view(np.int64)
-            yield settle(name, spans.hash(at, at + WINDOW).view(np.int64), ids[lo + row], _pack(start, 1, 0, 0))
+        buf, off = buffer_of(batch.column("text"))
+        data = buf.tobytes()
+        rows = [(x["g"], data[off[r] + (x["place"] >> 16):off[r] + (x["place"] >> 16) + (x["place"] >> 9 & 0x7F) - 1 + WINDOW],
+                 ids[r], x["place"]) for r, found in enumerate(lists) for x in found]
+        cells = list(zip(*rows)) if rows else [[]] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+            cells, (pa.int64(), pa.binary(), pa.int64(), pa.int64()))], ["g", "content", "doc", "place"])
+
+
+def _windows(g: np.ndarray, contents: list[bytes], doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(name, hash, doc, place) of every window of the phrases; the name holds
+    the trigger and its distance, so only equal windows agree on both."""
+    spans = Spans(np.frombuffer(b"".join(contents), np.uint8))
+    begin = np.concatenate([[0], np.cumsum([len(c) for c in contents])])[:-1]
+    count = place >> 9 & 0x7F
+    step = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+    at = np.repeat(begin, count) + step
+    lead = np.repeat(place >> 1 & 0xFF, count) - step
+    name = mix(np.repeat(g, count).view(_U) + lead.astype(_U)).view(np.int64)
+    start = np.repeat(place >> 16, count) + step
+    return name, spans.hash(at, at + WINDOW).view(np.int64), np.repeat(doc, count), _pack(start, 1, 0, 0)
+
+
+def _repeated(name: np.ndarray, h: np.ndarray, doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(doc, place) of the windows that occur earlier among these, in runs."""
+    order = np.lexsort((place, doc, h, name))
+    name, h, doc, place = name[order], h[order], doc[order], place[order]
+    first = np.ones(len(name), bool)
+    first[1:] = (name[1:] != name[:-1]) | (h[1:] != h[:-1])
+    head = np.maximum.accumulate(np.where(first, np.arange(len(name)), 0))
+    later = (doc != doc[head]) | (place != place[head])
+    doc, start = doc[later], place[later] >> 16
+    order = np.lexsort((start, doc))
+    doc, start = doc[order], start[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + 1)
+    run = np.flatnonzero(new)
+    # Runs longer than the field holds go on in the next row.
+    new[np.flatnonzero(~new)[(np.flatnonzero(~new) - run[np.cumsum(new)[~new] - 1]) % 100 == 0]] = True
+    run = np.flatnonzero(new)
+    return doc[run], _pack(start[run], np.diff(np.append(run, len(doc))), 0, 0)
+
+
+def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by trigger.  Phrases of one trigger are compared window
+    by window in memory, many triggers at once; a trigger with more than
+    ``GROUP`` phrases gives its windows to a sort of their own instead."""
+
+    def settled(doc: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
+        name = mix(doc.view(_U) * _U(31) + place.view(_U)).view(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (name, np.zeros(len(doc), np.int64), doc, place | 1)], _NAMES)
+
+    held, hot = None, None
+    for batch in batches:
+        rows = [batch.column("g").to_numpy(), batch.column("content").to_pylist(),
+                batch.column("doc").to_numpy(), batch.column("place").to_numpy()]
+        if not len(rows[0]):
+            continue
+        if held is not None:
+            rows = [np.concatenate([held[0], rows[0]]), held[1] + rows[1],
+                    np.concatenate([held[2], rows[2]]), np.concatenate([held[3], rows[3]])]
+        if hot is not None and rows[0][0] == hot:
+            n = int(np.searchsorted(rows[0] != hot, True)) if (rows[0] != hot).any() else len(rows[0])
+            yield settle(*_windows(rows[0][:n], rows[1][:n], rows[2][:n], rows[3][:n]))
+            rows = [x[n:] for x in rows]
+        while len(rows[0]):
+            last = int(np.flatnonzero(rows[0] != rows[0][-1])[-1]) + 1 if (rows[0] != rows[0][-1]).any() else 0
+            if last:
+                take = min(last, GROUP)
+                while take < last and rows[0][take] == rows[0][take - 1]:
+                    take += 1
+                yield settled(*_repeated(*_windows(*[x[:take] for x in rows])))
+                rows = [x[take:] for x in rows]
+                continue
+            if len(rows[0]) > GROUP:
+                hot = rows[0][0]
+                yield settle(*_windows(*rows))
+                rows = [x[:0] for x in rows]
+            break
+        held = rows if len(rows[0]) else None
+    if held is not None:
+        yield settled(*_repeated(*_windows(*held)))
 
 
 def _stream(batches: Iterator[pa.RecordBatch], contested: bool) -> Iterator[pa.RecordBatch]:
@@ -238,14 +309,17 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         F.collect_list(F.when(F.col("g").isNull(), F.col("place"))).alias("places"),
         F.collect_list(F.when(F.col("g").isNotNull(), F.struct("place", "g"))).alias("phrases"))
     dealt = keyed.repartition(partitions, "doc")
-    windows = dealt.join(marked.where(F.size("phrases") > 0).select("doc", "phrases"), "doc") \
-        .select("doc", "text", "phrases").mapInArrow(_windows, _SCHEMA)
+    # Both uses of ``dealt`` and ``marked`` read the same columns, so Spark
+    # shuffles each once and reuses it.
+    contents = dealt.join(marked, "doc").where(F.size("phrases") > 0) \
+        .select("doc", "doc_id", "text", "places", "phrases").mapInArrow(_contents, "g long, content binary, doc long, place long")
+    windows = contents.repartition(partitions, "g").sortWithinPartitions("g").mapInArrow(_resolve, _SCHEMA)
     again = windows.repartition(partitions, "g", "h").sortWithinPartitions("g", "h", "doc", "place") \
         .mapInArrow(_repeats, "doc long, place long, g long")
     more = again.groupBy("doc").agg(F.collect_list("place").alias("more"))
-    found = dealt.join(marked.select("doc", "places"), "doc", "left").join(more, "doc", "left")
+    found = dealt.join(marked, "doc", "left").join(more, "doc", "left")
     empty = F.array().cast("array<long>")
-    return found.select("doc_id", "text", F.concat(F.coalesce("places", empty), F.coalesce("more", empty)).alias("places")) \
+    return found.select("doc_id", "text", "phrases", F.concat(F.coalesce("places", empty), F.coalesce("more", empty)).alias("places")) \
         .mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
