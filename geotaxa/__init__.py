@@ -11,11 +11,10 @@ Sub-packages:
 * ``operators`` -- version selection, deduplication, taxa filters, name
                    normalization, feature enrichment, request building,
                    exact in-group ranking, job counters.
-* ``functions`` -- column-level helpers (word test, JSON, grid, size-checked
-                   broadcast).
+* ``functions`` -- column-level helpers (word test, JSON, grid, joins for
+                   skewed keys).
 * ``sinks``     -- schema enforcement and file writers.
 * ``plans``     -- the three end-to-end jobs and plan checks.
-* ``streaming`` -- intentionally empty (the source system is batch only).
 """
 
 __version__ = "0.1.0"

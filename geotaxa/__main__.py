@@ -1,6 +1,6 @@
 """Run a job from the command line (also through ``spark-submit``).
 
-  python -m geotaxa read    --records R --out O [--threshold 200]
+  python -m geotaxa read    --records R --out O [--threshold 200] [--tie-break a,b]
   python -m geotaxa harvest --records R --history H --names N --out O
                             [--observed-after 2015-01-01] [--observed-before 2019-01-01]
                             [--sources a,b] [--families x,y] [--modified-before T]
@@ -29,6 +29,7 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--records", required=True)
     r.add_argument("--out", required=True)
     r.add_argument("--threshold", type=int, default=200)
+    r.add_argument("--tie-break", help="comma-separated columns that settle versions of one time")
     h = sub.add_parser("harvest", help="incremental pull -> names -> JSON lines")
     h.add_argument("--records", required=True)
     h.add_argument("--history", required=True)
@@ -59,13 +60,15 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
     if args.job == "read":
         from geotaxa.plans.jobs import read_occurrences
         observations: list = []
-        read_occurrences(read(args.records), args.threshold, observations=observations
-                         ).write.mode("overwrite").parquet(args.out)
+        read_occurrences(read(args.records), args.threshold, observations=observations,
+                         tie_break=_split(args.tie_break) or ()).write.mode("overwrite").parquet(args.out)
         counters: dict = {}
         for obs in observations:
             counters.update(obs.get)
         return counters
     if args.job == "harvest":
+        from pyspark.sql import functions as F
+
         from geotaxa.plans.jobs import harvest
         from geotaxa.sources.sync import next_marks
         observations = []
@@ -76,7 +79,7 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
                          modified_before=args.modified_before,
                          restrict_sources=_split(args.sources), restrict_families=_split(args.families))
         if args.marks_out:
-            next_marks(pulled, history).write.mode("overwrite").parquet(args.marks_out)
+            next_marks(pulled, history, F.col("scientific_name").isNull()).write.mode("overwrite").parquet(args.marks_out)
         return observations[0].get
     from geotaxa.operators.features import FeatureSpec
     from geotaxa.plans.jobs import enrich_features

@@ -51,28 +51,27 @@ def timestamp_literal(value: _dt.date | _dt.datetime | str,
 METRES_PER_DEGREE = 111_320.0
 
 
-def covering_cells(lat: str | Column, lon: str | Column, unc: str | Column,
-                   step: float, minimum: float = MIN_RESOLUTION_M) -> Column:
-    """Ids of the ``step``-degree grid cells touched by the box around an
-    uncertain location (half-width = the buffered uncertainty in metres,
-    longitude widened by 1/cos(latitude)).  Cell id = row * columns + column,
-    rows counted from the south pole (clamped at the poles) and columns from
-    the antimeridian (wrapping around it), so ids are non-negative and unique
-    per cell.  Built from ``sequence`` / ``transform``: no Python."""
+def covering_box(lat: str | Column, lon: str | Column, unc: str | Column,
+                 step: float, minimum: float = MIN_RESOLUTION_M) -> tuple[Column, Column, Column, Column]:
+    """(first row, last row, first column, last column) of the ``step``-degree
+    grid cells touched by the box around an uncertain location: half-width =
+    the buffered uncertainty in metres, longitude widened by 1/cos(latitude).
+    Rows count from the equator and stop at the poles; columns count from the
+    prime meridian, may pass the antimeridian (wrap them) and never go round
+    more than once.  A box that reaches a pole covers every column.  For a
+    latitude beyond a pole, or a missing one, the last row is before the first."""
     la, lo = _col(lat), _col(lon)
     s = F.lit(float(step)).cast("double")
     metres = buffered_uncertainty(unc, minimum)
     dlat = metres / F.lit(METRES_PER_DEGREE)
-    dlon = metres / (F.lit(METRES_PER_DEGREE) * F.greatest(F.cos(F.radians(la)), F.lit(0.01)))
     ncols = int(round(360.0 / step))
     row0 = int(round(90.0 / step))
-    col0 = int(round(180.0 / step))
-    # Rows stop at the poles; columns wrap around the antimeridian.
     r_lo = F.greatest(F.floor((la - dlat) / s), F.lit(-row0))
     r_hi = F.least(F.floor((la + dlat) / s), F.lit(row0 - 1))
-    c_lo, c_hi = F.floor((lo - dlon) / s), F.floor((lo + dlon) / s)
-    return F.array_distinct(F.flatten(F.transform(
-        F.sequence(r_lo, r_hi),
-        lambda r: F.transform(F.sequence(c_lo, c_hi),
-                              lambda c: (r + F.lit(row0)) * F.lit(ncols)
-                              + F.pmod(c + F.lit(col0), F.lit(ncols))))))
+    valid = F.coalesce((F.abs(la) <= 90) & lo.isNotNull(), F.lit(False))
+    polar = F.abs(la) + dlat >= 90
+    dlon = F.when(~polar, dlat / F.cos(F.radians(la)))
+    c_lo = F.when(polar, F.floor((lo - 180) / s)).otherwise(F.floor((lo - dlon) / s))
+    c_hi = F.when(polar, c_lo + ncols - 1).otherwise(F.floor((lo + dlon) / s))
+    return (F.when(valid, r_lo).otherwise(0), F.when(valid, r_hi).otherwise(-1),
+            c_lo, F.least(c_hi, c_lo + ncols - 1))

@@ -4,43 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Upper bound on rows for an explicit broadcast.  A side is broadcast only
-# after a count proves it is at most this size; otherwise the join is left to
-# the planner (shuffle join, or AQE's runtime broadcast based on measured
-# shuffle sizes).  The sides it is used for are narrow (2-5 columns: sync
-# marks, a name lookup, ranking offsets), so the bound is a few MB; pass a
-# smaller one for wider tables.
-DEFAULT_BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame | None:
-    """The broadcast form of ``df`` if it holds at most ``max_rows`` rows,
-    else ``None``.
-
-    The side is persisted (memory, spilling to disk) and counted with a limit
-    of ``max_rows + 1``; within the bound the persisted rows are what gets
-    broadcast, so the small side is computed once, not once for the check and
-    again for the join.  Beyond the bound the persisted copy is dropped."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = kept.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(kept)
-    kept.unpersist(blocking=False)
-    return None
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if a count proves it holds at most
-    ``max_rows`` rows; otherwise ``df`` unchanged, and Spark plans a shuffle
-    join (or AQE broadcasts it at run time if the measured size allows)."""
-    small = broadcast_if_small(df, max_rows)
-    return small if small is not None else df
-
 
 def null_safe_condition(left: DataFrame, right: DataFrame, cols: Sequence[str],
                         right_cols: Sequence[str] | None = None) -> Column:
@@ -54,17 +21,17 @@ def null_safe_condition(left: DataFrame, right: DataFrame, cols: Sequence[str],
     return cond
 
 
-# Salt buckets for joins whose small side has no static size bound.
-DEFAULT_SALT_BUCKETS = 16
 _HASHABLE = (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType,
              T.BooleanType, T.BinaryType)
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
-                buckets: int = DEFAULT_SALT_BUCKETS,
+                buckets: int | None = None,
                 salt_cols: Sequence[str] | None = None) -> DataFrame:
     """Equi-join on ``keys`` that spreads each key of the large ``left`` side
-    over ``buckets`` shuffle partitions.
+    over ``buckets`` shuffle partitions (by default as many as the session
+    shuffles into, so a hot key meets as many tasks as the cluster is sized
+    for).
 
     Every left row gets a salt from a hash of its own values (deterministic,
     so a retried task routes rows the same way); the key-level ``right`` side
@@ -81,9 +48,21 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
         values = [F.col(c) for c in salt_cols]
     else:
         values = [F.col(f.name) for f in left.schema.fields if isinstance(f.dataType, _HASHABLE)]
+    if buckets is None:
+        buckets = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if buckets <= 1 or not values:
         return left.join(right, on=list(keys), how=how)
     salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(*values), F.lit(buckets)))
     salts = F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))
     salted_right = right.withColumn("_salt", F.explode(salts))
     return salted_left.join(salted_right, on=[*keys, "_salt"], how=how).drop("_salt")
+
+
+def own_shuffle(df: DataFrame) -> DataFrame:
+    """``df`` (one row per key) under a shuffle that the next join cannot use.
+
+    An aggregate keeps the partitioning of its keys, so a join on them would
+    read it in place, and AQE splits a hot partition only where both sides of
+    a join are plain shuffle reads.  Moving the key table once more, which is
+    small beside the rows it is joined with, makes the join shuffle both."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

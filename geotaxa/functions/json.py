@@ -25,32 +25,31 @@ def _non_finite(c: Column) -> Column:
     return F.isnan(c) | (c == F.lit(float("inf"))) | (c == F.lit(float("-inf")))
 
 
+def _refusal(name: str) -> Column:
+    return F.lit(f"column {name} holds a number that JSON cannot write")
+
+
 def strict_json(df: DataFrame, cols: Sequence[str] | None = None) -> Column:
     """Like ``to_json_record`` but raises on NaN / +-Infinity in float columns
     (the row fails the job with a clear message, it is not silently dropped)."""
     names = list(cols) if cols is not None else df.columns
     types = {f.name: f.dataType for f in df.schema.fields}
-    bad = None
+    encoded = to_json_record([F.col(n) for n in names])
     for n in names:
         if isinstance(types.get(n), _FLOATS):
-            cond = F.coalesce(_non_finite(F.col(n)), F.lit(False))
-            bad = cond if bad is None else (bad | cond)
-    encoded = to_json_record([F.col(n) for n in names])
-    if bad is None:
-        return encoded
-    message = F.lit("NaN, Infinity and -Infinity values are not JSON compliant")
-    return F.when(bad, F.raise_error(message)).otherwise(encoded)
+            bad = F.coalesce(_non_finite(F.col(n)), F.lit(False))
+            encoded = F.when(bad, F.raise_error(_refusal(n))).otherwise(encoded)
+    return encoded
 
 
 def reject_non_finite(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Same columns, but a NaN / +-Infinity in a float column fails the job."""
     names = set(cols) if cols is not None else set(df.columns)
-    message = F.lit("NaN, Infinity and -Infinity values are not JSON compliant")
     out = []
     for f in df.schema.fields:
         c = F.col(f.name)
         if f.name in names and isinstance(f.dataType, _FLOATS):
-            c = F.when(F.coalesce(_non_finite(c), F.lit(False)), F.raise_error(message).cast(f.dataType)).otherwise(c)
+            c = F.when(F.coalesce(_non_finite(c), F.lit(False)), F.raise_error(_refusal(f.name)).cast(f.dataType)).otherwise(c)
         out.append(c.alias(f.name))
     return df.select(*out)
 

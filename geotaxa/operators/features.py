@@ -17,10 +17,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from geotaxa.functions.joins import own_shuffle
+
 # Fixed value: keys per call of a user fetch function (upper end of the
 # 50-100 batch size the source system used for remote requests).
 DEFAULT_FETCH_BATCH = 100
 FETCHED = "fetched"
+APPENDED = "appended_at"
 
 
 @dataclass
@@ -37,6 +40,10 @@ class FeatureSpec:
                 works too: it is instantiated once per task (e.g. to open a
                 client) and reused for all of the task's key batches.
     value_types Spark types of value_cols (needed for ``fetch``)
+    complete    function() -> condition on the value columns that makes a row
+                complete (default: every value is present)
+    fetch_tasks tasks that call ``fetch`` (default: the session's shuffle
+                partitions)
     """
 
     name: str
@@ -46,15 +53,18 @@ class FeatureSpec:
     fetch: Callable[[pd.DataFrame], pd.DataFrame] | None = None
     value_types: Sequence[T.DataType] = field(default_factory=lambda: [T.LongType()])
     batch_size: int = DEFAULT_FETCH_BATCH
+    complete: Callable[[], Column] | None = None
+    fetch_tasks: int | None = None
 
 
 def feature_table_schema(spec: FeatureSpec, key_types: Sequence[T.DataType] | None = None) -> T.StructType:
-    """Declared schema of a feature table: keys, values and the ``fetched``
-    flag (key types default to the (cell id, date) key)."""
+    """Declared schema of a feature table: keys, values, the ``fetched`` flag
+    and the time of the append (key types default to the (cell id, date) key)."""
     kt = list(key_types) if key_types is not None else [T.LongType(), T.DateType()]
     fields = [T.StructField(k, t, False) for k, t in zip(spec.key_cols, kt)]
     fields += [T.StructField(v, t, True) for v, t in zip(spec.value_cols, spec.value_types)]
     fields.append(T.StructField(FETCHED, T.BooleanType(), True))
+    fields.append(T.StructField(APPENDED, T.TimestampType(), True))
     return T.StructType(fields)
 
 
@@ -69,12 +79,31 @@ def _without_values(occ: DataFrame, spec: FeatureSpec, extra: Sequence[str] = ()
     return occ.drop(*drop) if drop else occ
 
 
+def has_key(spec: FeatureSpec) -> Column:
+    """All key columns are there; a row without a key has no feature."""
+    cond = None
+    for k in spec.key_cols:
+        cond = F.col(k).isNotNull() if cond is None else cond & F.col(k).isNotNull()
+    return cond
+
+
+def one_row_per_key(table: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """Keys, values and ``fetched`` of a feature table, one row per key: a
+    complete row before an incomplete one, then the latest append, then the
+    largest values (so the pick depends on the rows alone).  ``fetched`` is
+    true if any of the key's rows has it; rows without a key are left out.
+    A partial aggregate: a key stored very often shrinks in the map tasks."""
+    flag = F.coalesce(F.col(FETCHED), F.lit(False)) if FETCHED in table.columns else F.lit(False)
+    at = F.col(APPENDED) if APPENDED in table.columns else F.lit(None).cast("timestamp")
+    best = F.max(F.struct(is_complete(spec).alias("_full"), at.alias("_at"), *spec.value_cols)).alias("_best")
+    return (table.where(has_key(spec)).groupBy(*_keys(spec)).agg(best, F.max(flag).alias(FETCHED))
+                 .select(*_keys(spec), *[F.col(f"_best.{v}").alias(v) for v in spec.value_cols], FETCHED))
+
+
 def stored_values(stored: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """Key, value and ``fetched`` columns of a stored feature table (tables
-    written before the flag existed count as not fetched)."""
-    flag = F.col(FETCHED) if FETCHED in stored.columns else F.lit(False)
-    return stored.select(*_keys(spec), *spec.value_cols,
-                         F.coalesce(flag, F.lit(False)).alias(FETCHED))
+    """Key, value and ``fetched`` columns of a stored feature table, one row
+    per key (tables written before the flag existed count as not fetched)."""
+    return one_row_per_key(stored, spec)
 
 
 def join_existing_features(occ: DataFrame, stored: DataFrame, spec: FeatureSpec,
@@ -84,17 +113,23 @@ def join_existing_features(occ: DataFrame, stored: DataFrame, spec: FeatureSpec,
     split, as they do in ``missing_feature_keys``).  The stored table grows
     with the data, so the planner chooses the strategy; AQE splits a hot key
     on the occurrence side."""
-    right = stored_values(stored, spec) if with_flag else stored.select(*_keys(spec), *spec.value_cols)
-    return _without_values(occ, spec, [FETCHED] if with_flag else []).join(right, on=_keys(spec), how="left")
+    right = stored_values(stored, spec)
+    if not with_flag:
+        right = right.drop(FETCHED)
+    return _without_values(occ, spec, [FETCHED] if with_flag else []).join(own_shuffle(right), on=_keys(spec), how="left")
 
 
 def is_complete(spec: FeatureSpec, flag: str | None = None) -> Column:
-    """Complete = every value present, or already fetched (fetched-but-empty
-    is not fetched again).  NULL counts as incomplete."""
+    """Complete = the feature's rule holds (every value present, by default),
+    or already fetched (fetched-but-empty is not fetched again).  NULL counts
+    as incomplete."""
     cond = None
-    for v in spec.value_cols:
-        c = F.col(v).isNotNull()
-        cond = c if cond is None else (cond & c)
+    if spec.complete is not None:
+        cond = F.coalesce(spec.complete(), F.lit(False))
+    else:
+        for v in spec.value_cols:
+            c = F.col(v).isNotNull()
+            cond = c if cond is None else (cond & c)
     if flag is not None:
         cond = cond | F.coalesce(F.col(flag), F.lit(False))
     return cond
@@ -131,14 +166,14 @@ def missing_feature_groups(occ: DataFrame, stored: DataFrame, spec: FeatureSpec,
                            count: str = "c") -> DataFrame:
     """(key, number of occurrences) for keys without a stored feature.
     Counted first (partial aggregation), then anti-joined: only one row per
-    key reaches the join."""
-    groups = occ.groupBy(*_keys(spec)).agg(F.count(F.lit(1)).alias(count))
+    key reaches the join.  Occurrences without a key are in no group."""
+    groups = occ.where(has_key(spec)).groupBy(*_keys(spec)).agg(F.count(F.lit(1)).alias(count))
     return groups.join(_known_keys(stored, spec), on=_keys(spec), how="left_anti")
 
 
 def missing_feature_keys(occ: DataFrame, stored: DataFrame, spec: FeatureSpec) -> DataFrame:
     """Distinct keys without a stored feature (what a fetch must look up)."""
-    return (occ.select(*_keys(spec)).distinct()
+    return (occ.where(has_key(spec)).select(*_keys(spec)).distinct()
                .join(_known_keys(stored, spec), on=_keys(spec), how="left_anti"))
 
 
@@ -164,12 +199,13 @@ def fetch_missing_features(keys: DataFrame, spec: FeatureSpec) -> DataFrame:
     """One row per missing key with the fetched values (NULL when the source
     has nothing) and ``fetched = true``.
 
-    Lookup-backed: LEFT JOIN of the distinct keys with the lookup table.
-    Function-backed: ``mapInPandas`` over Arrow batches of keys, the function
-    called once per ``batch_size`` keys; one call per key overall."""
+    Lookup-backed: LEFT JOIN of the distinct keys with the lookup table (one
+    row per key).  Function-backed: the keys are dealt to ``fetch_tasks`` tasks,
+    which call the function on Arrow batches, once per ``batch_size`` keys; one
+    call per key overall, and the calls of different tasks overlap."""
     k = keys.select(*_keys(spec))
     if spec.lookup is not None:
-        return (k.join(spec.lookup.select(*_keys(spec), *spec.value_cols), on=_keys(spec), how="left")
+        return (k.join(one_row_per_key(spec.lookup, spec).drop(FETCHED), on=_keys(spec), how="left")
                  .withColumn(FETCHED, F.lit(True)))
     if spec.fetch is None:
         raise ValueError(f"feature {spec.name!r} has neither a lookup nor a fetch function")
@@ -177,7 +213,10 @@ def fetch_missing_features(keys: DataFrame, spec: FeatureSpec) -> DataFrame:
     fields += [T.StructField(v, t, True) for v, t in zip(spec.value_cols, spec.value_types)]
     fields.append(T.StructField(FETCHED, T.BooleanType(), False))
     schema = T.StructType(fields)
-    return k.mapInPandas(_fetch_in_batches(spec, schema), schema)
+    tasks = spec.fetch_tasks or int(k.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Dealt row by row: a hash of the keys would be what they are shuffled by
+    # already, and Spark would then leave them in the few partitions AQE made.
+    return k.repartition(tasks).mapInPandas(_fetch_in_batches(spec, schema), schema)
 
 
 def feature_rows_to_append(occ: DataFrame, stored: DataFrame, spec: FeatureSpec,
@@ -195,64 +234,77 @@ def merge_features(occ: DataFrame, stored: DataFrame, fetched: DataFrame,
     """Every occurrence once, with its fetched value where its key was fetched
     and its stored value otherwise.
 
-    Per key there is one row: the fetched one, or else the stored one (a key
-    stored without a value and then fetched keeps only the fetched row).  That
-    table is joined back to the occurrences once -- a single shuffle of the
-    large side, not one per source of values.  With ``origin_col`` a column
-    says where the row's value came from: ``stored``, ``fetched`` or NULL."""
+    Stored and fetched rows are reduced to one row per key (a complete one
+    first, then the fetched one) and joined back to the occurrences once: a
+    single shuffle of the large side, and no key can multiply its rows.  With
+    ``origin_col`` a column says where the value came from: ``stored``,
+    ``fetched`` or NULL."""
     keys = _keys(spec)
-    got = fetched.select(*keys, *spec.value_cols)
-    kept = stored.select(*keys, *spec.value_cols).join(got.select(*keys), on=keys, how="left_anti")
-    if origin_col is not None:
-        kept = kept.withColumn(origin_col, F.lit("stored"))
-        got = got.withColumn(origin_col, F.lit("fetched"))
-    extra = [origin_col] if origin_col else []
-    return _without_values(occ, spec, extra).join(kept.unionByName(got), on=keys, how="left")
-
-
-def grouped_occurrences(occ: DataFrame, stored: DataFrame, fetched: DataFrame,
-                        spec: FeatureSpec, identity: Sequence[str] = ("source", "id"),
-                        count: str = "c") -> DataFrame:
-    """Complete rows and fetched responses together (bag union), regrouped per
-    occurrence: number of feature rows and their (largest) value.
-
-    Complete rows carry a stored value and fetched responses a found value;
-    since fetches are only for keys without a stored value, both are exactly
-    the merged rows that have a value, so this is the merge plus one partially
-    aggregated GROUP BY."""
-    merged = merge_features(occ, stored, fetched, spec)
-    aggs = [F.count(F.lit(1)).alias(count)] + [F.max(v).alias(v) for v in spec.value_cols]
-    return merged.where(is_complete(spec)).groupBy(*identity).agg(*aggs)
+    both = one_row_per_key(stored, spec).withColumn("_new", F.lit(False)).unionByName(
+        one_row_per_key(fetched, spec).withColumn("_new", F.lit(True)))
+    best = both.groupBy(*keys).agg(F.max(F.struct(is_complete(spec).alias("_full"), "_new", *spec.value_cols)).alias("_best"))
+    merged = best.select(*keys, *[F.col(f"_best.{v}").alias(v) for v in spec.value_cols],
+                         *([F.when(F.col("_best._new"), "fetched").otherwise("stored").alias(origin_col)] if origin_col else []))
+    return _without_values(occ, spec, [origin_col] if origin_col else []).join(own_shuffle(merged), on=keys, how="left")
+
+
+def grouped_occurrences(merged: DataFrame, specs: Sequence[FeatureSpec],
+                        identity: Sequence[str] = ("source", "id"), count: str = "c",
+                        rows: str = "rows") -> DataFrame:
+    """Per occurrence its feature rows, (feature, value as text), in feature
+    order, and their number; occurrences without any are left out.
+
+    ``merged`` holds every occurrence once with the values of all ``specs``
+    (``merge_features``, ``combine_features``), so the rows stand beside each
+    other already: no grouping, and at most one row per value column."""
+    parts = [(v if len(spec.value_cols) > 1 else spec.name, spec, v) for spec in specs for v in spec.value_cols]
+    found = [F.when(is_complete(spec), F.struct(F.lit(name).alias("feature"), F.col(v).cast("string").alias("value")))
+             for name, spec, v in sorted(parts, key=lambda x: x[0])]
+    own = merged.select(*identity, F.filter(F.array(*found), lambda x: x.isNotNull()).alias(rows))
+    return own.where(F.size(rows) > 0).select(*identity, F.size(rows).cast("long").alias(count), rows)
 
 
 def combine_features(occ: DataFrame, specs: Sequence[tuple[FeatureSpec, DataFrame]]) -> DataFrame:
-    """Put several features' values on the occurrences by (date, location):
-    one LEFT JOIN per feature; one feature row serves many occurrences."""
-    out = occ
+    """Put several features' values on the occurrences; one feature row serves
+    many occurrences.
+
+    Features with the same key are first put together per key; the occurrences
+    are then joined once per distinct key, so a hot key's rows move once and
+    AQE can split them."""
+    by_key: dict[tuple[str, ...], list[tuple[FeatureSpec, DataFrame]]] = {}
     for spec, table in specs:
-        out = _without_values(out, spec).join(table.select(*_keys(spec), *spec.value_cols),
-                                              on=_keys(spec), how="left")
+        by_key.setdefault(tuple(spec.key_cols), []).append((spec, table))
+    out = occ
+    for keys, parts in by_key.items():
+        together = None
+        for spec, table in parts:
+            own = one_row_per_key(table, spec).drop(FETCHED)
+            together = own if together is None else together.join(own, on=list(keys), how="full")
+            out = _without_values(out, spec)
+        out = out.join(own_shuffle(together), on=list(keys), how="left")
     return out
 
 
 def feature_vectors(table: DataFrame, spec: FeatureSpec, series_key: str = "cell_id",
                     order_col: str = "date", value_col: str | None = None,
                     out: str = "v", as_text: bool = True) -> DataFrame:
-    """Per series (e.g. cell), the values sorted by date as one vector.
+    """Per series (e.g. cell), the values sorted by date as one vector; a
+    missing value keeps its place (``null`` in the text form).
 
-    The table holds one row per (series, date), so a vector's length is
-    bounded by the number of dates, not by the number of occurrences."""
+    The table is reduced to one row per key first, so a vector's length is
+    bounded by the number of dates, not by the number of rows."""
     v = value_col or spec.value_cols[0]
     ordered = F.sort_array(F.collect_list(F.struct(F.col(order_col), F.col(v))))
     values = F.transform(ordered, lambda x: x[v])
     if as_text:
-        values = F.array_join(F.transform(values, lambda x: x.cast("string")), ",")
-    return table.groupBy(series_key).agg(values.alias(out))
+        values = F.array_join(F.transform(values, lambda x: x.cast("string")), ",", "null")
+    return one_row_per_key(table, spec).groupBy(series_key).agg(values.alias(out))
 
 
-def valid_feature_vectors(table: DataFrame, min_length: int, series_key: str = "cell_id",
-                          count: str = "n") -> DataFrame:
-    """Series whose vector has at least ``min_length`` entries (counted, not
-    collected)."""
-    return (table.groupBy(series_key).agg(F.count(F.lit(1)).alias(count))
+def valid_feature_vectors(table: DataFrame, spec: FeatureSpec, min_length: int, series_key: str = "cell_id",
+                          value_col: str | None = None, count: str = "n") -> DataFrame:
+    """Series whose vector holds at least ``min_length`` values (counted, not
+    collected; a missing value is a place, not a value)."""
+    v = value_col or spec.value_cols[0]
+    return (one_row_per_key(table, spec).groupBy(series_key).agg(F.count(v).alias(count))
                  .where(F.col(count) >= min_length))

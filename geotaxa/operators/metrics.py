@@ -1,29 +1,32 @@
 """Job counters.
 
-The source system printed named counters at the end of a job.  Here the same
-numbers come from one aggregate pass (``job_counters``) or are observed on a
-DataFrame while it is written (``observe_counters``: Spark's ``Observation``
-collects them from the same pass, with stage-qualified names so counters of
-different steps do not overwrite each other)."""
+The source system printed named counters at the end of a job.  ``job_counters``
+is that report as a table, from the frames the job works on; during a job the
+same numbers are observed while its own passes run (``observe_counters``:
+Spark's ``Observation``), with stage-qualified names so counters of different
+steps do not overwrite each other."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def counter_exprs(name_col: str = "name", unc_col: str = "coordinate_uncertainty"):
-    return [
-        F.count(F.lit(1)).alias("n"),
-        F.count_distinct(F.col(name_col)).alias("names"),
-        F.coalesce(F.sum(F.when(F.col(unc_col).isNull(), 1).otherwise(0)), F.lit(0).cast("long")).alias("no_unc"),
-    ]
+def job_counters(frames: Mapping[str, DataFrame]) -> DataFrame:
+    """(counter, value): the rows of each named frame, 0 for an empty one.
+    One partial aggregate a counter; nothing is gathered."""
+    out = None
+    for name, df in frames.items():
+        one = df.agg(F.count(F.lit(1)).alias("value")).select(F.lit(name).alias("counter"), "value")
+        out = one if out is None else out.unionAll(one)
+    return out
 
 
-def job_counters(df: DataFrame, name_col: str = "name",
-                 unc_col: str = "coordinate_uncertainty") -> DataFrame:
-    """One row: rows, distinct non-null names, rows without a precision."""
-    return df.agg(*counter_exprs(name_col, unc_col))
+def count_where(condition: Column) -> Column:
+    """Rows that meet ``condition``; 0 on empty input."""
+    return F.count(F.when(condition, 1))
 
 
 def observe_counters(df: DataFrame, stage: str) -> tuple[DataFrame, Observation]:

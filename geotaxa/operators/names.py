@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geotaxa.functions.joins import (DEFAULT_BROADCAST_ROWS, DEFAULT_SALT_BUCKETS,
-                                     broadcast_if_small, salted_join)
+from geotaxa.functions.joins import salted_join
 
 
 def unique_lookup(names: DataFrame, given_col: str = "given_name",
@@ -19,20 +18,15 @@ def unique_lookup(names: DataFrame, given_col: str = "given_name",
 def normalize_names(df: DataFrame, names: DataFrame, name_col: str = "name",
                     given_col: str = "given_name", out_col: str = "scientific_name",
                     drop_unresolved: bool = False,
-                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                    salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+                    salt_buckets: int | None = None) -> DataFrame:
     """Attach ``out_col`` to every row by a LEFT join on the name.
 
-    The lookup (one row per distinct name) is broadcast when a count proves it
-    small, so the large side is never shuffled; otherwise it is a salted
-    shuffle join, which spreads a popular name over ``salt_buckets``
-    partitions.  Unresolved names get NULL, or are dropped with
+    A salted join spreads a popular name over ``salt_buckets`` partitions;
+    AQE broadcasts the lookup (one row per distinct name) where it measures
+    it small.  Unresolved names get NULL, or are dropped with
     ``drop_unresolved``."""
     if out_col in df.columns:          # re-normalizing: the lookup's answer replaces it
         df = df.drop(out_col)
     lookup = unique_lookup(names, given_col, out_col).withColumnRenamed(given_col, name_col)
     how = "inner" if drop_unresolved else "left"
-    small = broadcast_if_small(lookup, max_broadcast_rows)
-    if small is not None:
-        return df.join(small, on=name_col, how=how)
     return salted_join(df, lookup, [name_col], how, salt_buckets)

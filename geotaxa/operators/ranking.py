@@ -16,8 +16,8 @@ spreads a hot group over many tasks:
    most (#partitions + #groups) rows;
 4. a running sum of those counts over earlier partitions of the same group
    gives each (partition, group) its offset;
-5. rank = id - first id + 1 + offset, joined back on (partition, group) with
-   a size-checked broadcast.
+5. rank = id - first id + 1 + offset, joined back on (partition, group); the
+   planner chooses the join (a hot group is spread over its partitions).
 
 The order should be unique within a group (add a key as the last tie-break)
 so the ranks are fully determined by the data.
@@ -31,13 +31,12 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from geotaxa.functions.joins import DEFAULT_BROADCAST_ROWS, null_safe_condition, sized_broadcast
+from geotaxa.functions.joins import null_safe_condition
 from geotaxa.session import ensure_checkpoint_dir, materialize
 
 
 def ordered_rank(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                 out: str = "rank", num_partitions: int | None = None,
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 out: str = "rank", num_partitions: int | None = None) -> DataFrame:
     """Add ``out`` = 1-based position of each row inside its group, ordered by
     ``order_cols`` ascending (NULLs first, as Spark's ASC).  With no group
     columns it is a global row number, still computed by many tasks."""
@@ -67,7 +66,6 @@ def ordered_rank(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[
     offsets = offsets.select(F.col("_pid").alias("_opid"),
                              *[F.col(g).alias(f"_o_{g}") for g in groups],
                              "_first", "_off")
-    offsets = sized_broadcast(offsets, max_broadcast_rows)
     cond = ranged["_pid"] == offsets["_opid"]
     if groups:
         cond = cond & null_safe_condition(ranged, offsets, groups, [f"_o_{g}" for g in groups])

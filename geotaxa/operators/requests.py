@@ -8,18 +8,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geotaxa.functions.geo import buffered_uncertainty, grid_floor
+from geotaxa.functions.geo import buffered_uncertainty, covering_box, grid_floor
 from geotaxa.operators.ranking import batch_ids
 
 PLACE_KEY = ("latitude", "longitude", "coordinate_uncertainty", "date")
-# Fixed value: at most this many occurrence keys travel in one request (the
-# upper end of the source system's 50-100 request batches).
-MAX_KEYS_PER_REQUEST = 100
-
-
-def occurrence_key(source: str = "source", id_col: str = "id") -> Column:
-    """Text key of an occurrence: ``source:id``."""
-    return F.concat(F.col(source), F.lit(":"), F.col(id_col).cast("string"))
+# Fixed value: requests of a batch (the upper end of the source system's 50-100).
+BATCH_SIZE = 100
 
 
 def unwind_cells(df: DataFrame, cells: Column, out: str = "c",
@@ -29,43 +23,57 @@ def unwind_cells(df: DataFrame, cells: Column, out: str = "c",
     return df.select(*keep, F.explode(cells).alias(out))
 
 
-def cell_requests(unwound: DataFrame, cell_col: str = "c", id_col: str = "id") -> DataFrame:
-    """One request per cell with all its occurrences summarized: count and id
-    range (partial aggregation; nothing is gathered per cell)."""
-    return unwound.groupBy(cell_col).agg(
-        F.count(F.lit(1)).alias("n"), F.min(id_col).alias("a"), F.max(id_col).alias("b"))
-
-
-def feature_requests(df: DataFrame, place: Sequence[str] = PLACE_KEY,
-                     key: Column | None = None,
-                     max_keys: int = MAX_KEYS_PER_REQUEST,
-                     keys_as_text: bool = True) -> DataFrame:
-    """Squash occurrences sharing (latitude, longitude, uncertainty, date) into
-    requests listing their keys.
-
-    A popular place can hold a large share of all rows, so a place's keys are
-    cut into chunks of at most ``max_keys`` consecutive keys (in key order):
-    a small place stays one request (chunk 0), a hot one becomes many
-    requests built by many tasks.  Chunk numbers come from the exact in-place
-    rank of ``ordered_rank``, which never puts a whole place into one task.
-    NULL uncertainty is a place of its own.
-
-    Columns: place..., chunk, n (keys in the request), k (the keys in key
-    order: comma-joined text, or an array with ``keys_as_text=False``)."""
-    place = list(place)
-    k = key if key is not None else occurrence_key()
-    keyed = df.select(*place, k.alias("_key"))
-    # Chunk = floor((rank - 1) / max_keys): 0 for every key of a small place.
-    rows = batch_ids(keyed, place, ["_key"], max_keys, out="chunk")
-    keys = F.sort_array(F.collect_list("_key"))
-    return rows.groupBy(*place, "chunk").agg(
-        F.count(F.lit(1)).alias("n"),
-        (F.array_join(keys, ",") if keys_as_text else keys).alias("k"))
+def covering_cells(df: DataFrame, step: float, lat: str = "latitude", lon: str = "longitude",
+                   unc: str = "coordinate_uncertainty", out: str = "cell",
+                   keep: Sequence[str] = ("id", "source")) -> DataFrame:
+    """One row per grid cell that an uncertain location touches.  Cell id =
+    row * columns + column, rows counted from the south pole and columns from
+    the antimeridian, so ids are non-negative and unique per cell.
+
+    Rows are exploded first and columns after, so no task ever holds a whole
+    box as one value: a record with a huge uncertainty is a stream of rows."""
+    ncols, row0, col0 = int(round(360.0 / step)), int(round(90.0 / step)), int(round(180.0 / step))
+    r_lo, r_hi, c_lo, c_hi = covering_box(lat, lon, unc, step)
+    boxed = df.select(*keep, r_lo.alias("_r_lo"), r_hi.alias("_r_hi"), c_lo.alias("_c_lo"), c_hi.alias("_c_hi"))
+    rows = boxed.where("_r_lo <= _r_hi").select(
+        *keep, "_c_lo", "_c_hi", F.explode(F.sequence("_r_lo", "_r_hi")).alias("_r"))
+    cells = rows.select(*keep, "_r", F.explode(F.sequence("_c_lo", "_c_hi")).alias("_c"))
+    cell = (F.col("_r") + row0) * ncols + F.pmod(F.col("_c") + col0, F.lit(ncols))
+    return cells.select(*keep, cell.alias(out))
+
+
+def cell_requests(unwound: DataFrame, cell_col: str = "c", count: str = "n") -> DataFrame:
+    """The header of one request per cell: the cell and its number of
+    occurrences.  ``cell_request_members`` has the occurrences themselves."""
+    return unwound.groupBy(cell_col).agg(F.count(F.lit(1)).alias(count))
+
+
+def cell_request_members(unwound: DataFrame, cell_col: str = "c",
+                         identity: Sequence[str] = ("source", "id")) -> DataFrame:
+    """The occurrences of each cell request, as plain rows: a cell with a third
+    of all occurrences is spread over tasks like any other rows."""
+    return unwound.select(cell_col, *identity)
+
+
+def feature_requests(df: DataFrame, place: Sequence[str] = PLACE_KEY, count: str = "n") -> DataFrame:
+    """One request per (latitude, longitude, uncertainty, date): the place and
+    its number of occurrences.  NULL uncertainty is a place of its own.
+    ``feature_request_members`` has the occurrences."""
+    return df.groupBy(*place).agg(F.count(F.lit(1)).alias(count))
+
+
+def feature_request_members(df: DataFrame, place: Sequence[str] = PLACE_KEY,
+                            identity: Sequence[str] = ("source", "id"),
+                            batch_size: int | None = None, batch_col: str = "b") -> DataFrame:
+    """The occurrences of each request, as plain rows.  With ``batch_size``
+    they are numbered in batches of that many consecutive occurrences a place."""
+    rows = df.select(*place, *identity)
+    return rows if batch_size is None else batch_ids(rows, place, identity, batch_size, batch_col)
 
 
 def batched_requests(df: DataFrame, group_cols: Sequence[str] = ("family",),
                      order_cols: Sequence[str] = ("source", "id"),
-                     batch_size: int = MAX_KEYS_PER_REQUEST, out: str = "b") -> DataFrame:
+                     batch_size: int = BATCH_SIZE, out: str = "b") -> DataFrame:
     """Batch number of each row: ``batch_size`` consecutive rows (by
     ``order_cols``) per group share a batch.  Exact, and skew-safe through
     ``ordered_rank``."""
@@ -80,11 +88,14 @@ def sample_batches(batched: DataFrame, n: int = 3, group_cols: Sequence[str] = (
     keys = [*group_cols, batch_col]
     chosen = (batched.select(*keys).distinct()
                      .orderBy(*[F.col(c).asc() for c in keys]).limit(n))
-    return batched.join(F.broadcast(chosen), on=keys, how="left_semi")
+    return batched.join(chosen, on=keys, how="left_semi")
 
 
-def grid_location(df: DataFrame, step: float = 0.25, lat: str = "latitude",
+def grid_location(df: DataFrame, step: float = 0.25, lat: str = "latitude", lon: str = "longitude",
                   unc: str = "coordinate_uncertainty") -> DataFrame:
-    """Snap latitude to a ``step``-degree grid and buffer the precision to at
-    least 30 m (missing precision becomes 30 m)."""
-    return df.withColumn("la", grid_floor(lat, step)).withColumn("u", buffered_uncertainty(unc))
+    """Snap a location to a ``step``-degree grid: the cell's south-west corner
+    (``la``, ``lo``) and north-east corner (``la_max``, ``lo_max``), and the
+    precision buffered to at least 30 m (``u``; a missing one becomes 30 m)."""
+    return (df.withColumn("la", grid_floor(lat, step)).withColumn("lo", grid_floor(lon, step))
+              .withColumn("la_max", F.col("la") + F.lit(float(step))).withColumn("lo_max", F.col("lo") + F.lit(float(step)))
+              .withColumn("u", buffered_uncertainty(unc)))

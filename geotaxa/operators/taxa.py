@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from geotaxa.functions.joins import DEFAULT_SALT_BUCKETS, salted_join
+from geotaxa.functions.joins import salted_join
 from geotaxa.functions.words import is_multiword
 
 # Fixed value: minimum number of occurrences for a taxon.
@@ -28,7 +28,7 @@ def valid_names(df: DataFrame, threshold: int = DEFAULT_THRESHOLD,
 
 def taxa_threshold(df: DataFrame, threshold: int = DEFAULT_THRESHOLD,
                    name_col: str = "name", require_multiword: bool = True,
-                   salt_buckets: int = DEFAULT_SALT_BUCKETS,
+                   salt_buckets: int | None = None,
                    taxa_observation: Observation | None = None,
                    salt_cols: Sequence[str] | None = None) -> DataFrame:
     """Keep every row of a name with **more than** ``threshold`` rows and more

@@ -17,13 +17,10 @@ from pyspark.sql import types as T
 IDENTITY = ("id", "source")
 
 
-def version_order(df: DataFrame | None = None) -> list[Column]:
-    """Newest first; equal timestamps are settled by price where the table
-    has one (the remaining columns settle any further tie)."""
-    order = [F.col("updated_at").desc()]
-    if df is None or "price" in df.columns:
-        order.append(F.col("price").desc())
-    return order
+def version_order(tie_break: Sequence[str] = ()) -> list[Column]:
+    """Newest first; equal times are settled by the ``tie_break`` columns,
+    largest first."""
+    return [F.col("updated_at").desc(), *[F.col(c).desc() for c in tie_break]]
 
 
 _ORDERABLE = (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType,
@@ -50,18 +47,21 @@ def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) == 1).drop(rank_col)
 
 
-def latest_version(df: DataFrame, keys: Sequence[str] = IDENTITY,
-                   order: Sequence[Column] | None = None, break_ties: bool = True) -> DataFrame:
-    """Latest version per identity; the helper rank column is dropped.
-    Versions equal in time and price are settled by their other columns, so
-    the pick never depends on row arrival order.  Every input column takes
-    part in that tie-break (and so in the shuffle): select the columns the
-    job needs before calling."""
-    return first_per_group(df, keys, order if order is not None else version_order(df),
-                           break_ties=break_ties)
+def latest_version(df: DataFrame, keys: Sequence[str] = IDENTITY, tie_break: Sequence[str] = ()) -> DataFrame:
+    """Latest version per identity.
 
+    ``tie_break`` names the columns that settle versions of one time; they
+    must be in ``df``, so every projection of a table that carries them picks
+    the same version.  Without any, all other columns settle a tie: the pick
+    then depends on the rows' values alone, but on all of them, so such a
+    table must be reduced before it is projected."""
+    missing = [c for c in tie_break if c not in df.columns]
+    if missing:
+        raise ValueError(f"tie-break columns {missing} are not in the table")
+    return first_per_group(df, keys, version_order(tie_break), break_ties=not tie_break)
 
-def latest_by_source_id(df: DataFrame, source_id: str = "source_id") -> DataFrame:
-    """Latest version when identity is a single ``source_id`` column; equal
-    versions are settled by price, then id."""
-    return first_per_group(df, [source_id], [*version_order(df), F.col("id").asc()], break_ties=True)
+
+def latest_by_source_id(df: DataFrame, source_id: str = "source_id", tie_break: Sequence[str] = ()) -> DataFrame:
+    """Latest version when identity is a single ``source_id`` column; versions
+    of one time are settled by ``tie_break``, then by the smallest id."""
+    return first_per_group(df, [source_id], [*version_order(tie_break), F.col("id").asc()], break_ties=not tie_break)

@@ -19,28 +19,33 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geotaxa.operators.dedup import spatial_dedup
-from geotaxa.operators.features import (FeatureSpec, fetch_missing_features,
-                                        grouped_occurrences, is_complete, merge_features,
+from geotaxa.operators.dedup import DEDUP_KEY, spatial_dedup
+from geotaxa.operators.features import (APPENDED, FeatureSpec, fetch_missing_features,
+                                        grouped_occurrences, has_key, is_complete, merge_features,
                                         missing_feature_keys)
+from geotaxa.operators.metrics import count_where
 from geotaxa.operators.names import normalize_names
 from geotaxa.operators.taxa import DEFAULT_THRESHOLD, taxa_threshold
 from geotaxa.operators.versions import IDENTITY, latest_version
+from geotaxa.session import materialize
 from geotaxa.sinks.writers import append_table, occurrence_rows, write_json_lines
 from geotaxa.sources.sync import incremental_pull
 
 
 def read_occurrences(raw: DataFrame, threshold: int = DEFAULT_THRESHOLD,
-                     name_col: str = "name", observations: list | None = None) -> DataFrame:
-    """Latest version of each record, one per (name, place, date), only taxa
-    with more than ``threshold`` rows and a multi-word name.
+                     name_col: str = "name", observations: list | None = None,
+                     tie_break: Sequence[str] = ()) -> DataFrame:
+    """Latest version of each record (``tie_break`` columns settle versions of
+    one time), one per (name, place, date), only taxa with more than
+    ``threshold`` rows and a multi-word name.
 
     With an ``observations`` list, two Observations are appended and filled
     by the first action on the result: ``read.taxa`` (``valid_taxa``) and
     ``read.rows`` (``valid_occurrences``)."""
     taxa_obs = Observation("read.taxa") if observations is not None else None
     # After the version step the identity is unique per row: a cheap salt.
-    out = taxa_threshold(spatial_dedup(latest_version(raw)), threshold, name_col,
+    single = spatial_dedup(latest_version(raw, tie_break=tie_break), (name_col, *DEDUP_KEY[1:]))
+    out = taxa_threshold(single, threshold, name_col,
                          taxa_observation=taxa_obs, salt_cols=list(IDENTITY))
     if observations is not None:
         rows_obs = Observation("read.rows")
@@ -62,13 +67,16 @@ def harvest(raw: DataFrame, history: DataFrame, names: DataFrame,
     pulled = incremental_pull(raw, history, **pull_options)
     normalized = normalize_names(pulled, names)
     if out_path is not None:
+        # Pulled once: the lines and whatever the caller does with the result
+        # read the same table.
+        normalized = materialize(normalized, "harvest")
         rows = occurrence_rows(normalized)
         if observations is not None:
             obs = Observation("harvest")
             flagged = normalized.withColumn("_ok", F.col("scientific_name").isNotNull())
             rows = occurrence_rows(flagged.observe(
                 obs, F.count(F.lit(1)).alias("occurrences_fetched"),
-                F.sum(F.when(F.col("_ok"), 1).otherwise(0)).alias("occurrences_written")).drop("_ok"))
+                count_where(F.col("_ok")).alias("occurrences_written")).drop("_ok"))
             observations.append(obs)
         write_json_lines(rows, out_path)
     return normalized
@@ -79,7 +87,7 @@ class Enrichment:
     """Outputs of ``enrich_features``.
 
     ``merged``   every occurrence once, with its feature values;
-    ``grouped``  per occurrence: number of feature rows and the value;
+    ``grouped``  per occurrence: its feature rows and their number;
     ``counters`` named counters, filled by the passes that compute them
                  (the fetch counters by the append when ``store_path`` is
                  given, the others by the first action on ``merged``)."""
@@ -107,8 +115,11 @@ def enrich_features(occ: DataFrame, stored: DataFrame, spec: FeatureSpec,
 
     Counters (``<feature>.`` prefix): ``records_fetched`` and ``values_found``
     (one per missing key), ``complete`` and ``incomplete`` occurrences before
-    the fetch, ``with_value`` after the merge."""
+    the fetch, ``with_value`` after the merge, ``without_key`` occurrences that
+    no feature can have."""
     name = spec.name
+    if spec.fetch is not None and store_path is None:
+        raise ValueError(f"feature {name!r} is fetched by a function: give a store_path, so each key is fetched once")
     observations = []
     missing = missing_feature_keys(occ, stored, spec)
     fetched = fetch_missing_features(missing, spec)
@@ -118,8 +129,8 @@ def enrich_features(occ: DataFrame, stored: DataFrame, spec: FeatureSpec,
         counted = fetched.observe(
             fetch_obs,
             F.count(F.lit(1)).alias(f"{name}.records_fetched"),
-            F.sum(F.when(is_complete(spec), 1).otherwise(0)).alias(f"{name}.values_found"))
-        append_table(counted.withColumn("batch", F.lit(batch)), store_path, partition_by=["batch"])
+            count_where(is_complete(spec)).alias(f"{name}.values_found"))
+        append_table(counted.withColumn(APPENDED, F.current_timestamp()).withColumn("batch", F.lit(batch)), store_path, partition_by=["batch"])
         observations.append(fetch_obs)
         # Read back with the known schema: a run that fetched nothing wrote
         # no data files to infer one from.
@@ -133,11 +144,12 @@ def enrich_features(occ: DataFrame, stored: DataFrame, spec: FeatureSpec,
     from_store = F.coalesce(F.col("_origin") == "stored", F.lit(False))
     merged = merged.observe(
         merge_obs,
-        F.sum(F.when(from_store, 1).otherwise(0)).alias(f"{name}.complete"),
-        F.sum(F.when(from_store, 0).otherwise(1)).alias(f"{name}.incomplete"),
-        F.sum(F.when(is_complete(spec), 1).otherwise(0)).alias(f"{name}.with_value"),
+        count_where(from_store).alias(f"{name}.complete"),
+        count_where(~from_store).alias(f"{name}.incomplete"),
+        count_where(is_complete(spec)).alias(f"{name}.with_value"),
+        count_where(~has_key(spec)).alias(f"{name}.without_key"),
     ).drop("_origin")
     observations.append(merge_obs)
-    grouped = grouped_occurrences(occ, stored, fetched, spec, identity)
+    grouped = grouped_occurrences(merged, [spec], identity)
     return Enrichment(merged, grouped, observations)
 

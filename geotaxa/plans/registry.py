@@ -14,7 +14,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geotaxa.functions.geo import covering_cells
 from geotaxa.functions.json import from_json_record, strict_json, to_json_record
 from geotaxa.operators import dedup, features, metrics, names, requests, taxa, versions
 from geotaxa.operators.features import FeatureSpec
@@ -27,6 +26,7 @@ from geotaxa.sources.fixture import with_views
 Query = Callable[[SparkSession, str], DataFrame]
 
 LANDCOVER = FeatureSpec(name="landcover")
+ELEVATION = FeatureSpec(name="elevation", value_cols=("elevation",))
 # Parameters of the checks (FIXTURES.md): the fixture's dates run 1995..2001,
 # so the pull window is four years inside them (the default 2015..2019 window
 # would pull nothing); the top-k report keeps 10 names (the default 1000 is
@@ -69,12 +69,12 @@ FEATURE_KEY = ["cell_id", "date"]
 
 
 def _landcover_by_formula(keys: pd.DataFrame) -> pd.DataFrame:
-    """A stand-in remote feature source for the fetch path: land cover is
-    known for cells not ending in 1 (the raster's rule)."""
+    """A stand-in remote feature source for the fetch path: land cover by the
+    raster's rule (nothing for cells ending in 1, no value for multiples of 7)."""
     cells = keys["cell_id"].astype("int64")
     months = pd.to_datetime(keys["date"]).dt.month.astype("int64")
     found = keys.loc[cells % 10 != 1, ["cell_id", "date"]].copy()
-    found["landcover"] = ((cells + months) % 7)[cells % 10 != 1]
+    found["landcover"] = ((cells + months + 3) % 7).where(cells % 7 != 0).astype("Int64")[cells % 10 != 1]
     return found
 
 
@@ -85,7 +85,7 @@ def q_latest_version(spark, d):
 
 def q_latest_by_source_id(spark, d):
     o = fixture.occ(spark, d).withColumn("source_id", F.floor(F.col("id") / 10).cast("long"))
-    return versions.latest_by_source_id(o).select("source_id", "id", "updated_at")
+    return versions.latest_by_source_id(o, tie_break=fixture.TIE_BREAK).select("source_id", "id", "updated_at")
 
 
 def q_spatial_dedup(spark, d):
@@ -104,12 +104,12 @@ def q_valid_names_by_source_id(spark, d):
     """Counting variant over the latest version per ``source_id``: names with at
     least 200 such records (inclusive)."""
     o = fixture.occ(spark, d).withColumn("source_id", F.floor(F.col("id") / 10).cast("long"))
-    return taxa.valid_names(versions.latest_by_source_id(o))
+    return taxa.valid_names(versions.latest_by_source_id(o, tie_break=fixture.TIE_BREAK))
 
 
 def q_read_occurrences(spark, d):
-    raw = fixture.occ(spark, d).select("id", "source", "updated_at", "price", *DEDUP_COLS)
-    return read_occurrences(raw).select("id", "source", "name")
+    raw = fixture.occ(spark, d).select("id", "source", "updated_at", *fixture.TIE_BREAK, *DEDUP_COLS)
+    return read_occurrences(raw, tie_break=fixture.TIE_BREAK).select("id", "source", "name")
 
 
 def q_name_distribution(spark, d):
@@ -125,7 +125,7 @@ def q_source_list(spark, d):
 
 
 def q_sync_queue(spark, d):
-    return sync.sync_queue(sync.source_list(fixture.occ(spark, d)), fixture.sync_history(spark, d))
+    return sync.sync_queue(fixture.sync_history(spark, d))
 
 
 def q_incremental_pull(spark, d):
@@ -237,15 +237,22 @@ def q_merged_without_feature(spark, d):
     return m.where(F.col("landcover").isNull()).select("id", "source")
 
 
+def _two_features(spark, d):
+    merged = features.merge_features(_latest(spark, d, *FEATURE_KEY), fixture.features(spark, d), _fetched(spark, d), LANDCOVER)
+    return features.combine_features(merged, [(ELEVATION, fixture.elevation(spark, d))])
+
+
 def q_grouped_occurrences(spark, d):
-    g = features.grouped_occurrences(_latest(spark, d, *FEATURE_KEY), fixture.features(spark, d),
-                                     _fetched(spark, d), LANDCOVER)
-    return g.select("source", "id", "c", F.col("landcover").alias("lc"))
+    """The rows of two features per occurrence, as ``feature=value`` text."""
+    g = features.grouped_occurrences(_two_features(spark, d), [LANDCOVER, ELEVATION])
+    text = F.array_join(F.transform("rows", lambda x: F.concat(x["feature"], F.lit("="), x["value"])), ",")
+    return g.select("source", "id", "c", text.alias("rows"))
 
 
 def q_combine_features(spark, d):
-    return features.combine_features(_latest(spark, d, *FEATURE_KEY), [(LANDCOVER, fixture.raster(spark, d))]
-                                     ).select("id", "source", "landcover")
+    return features.combine_features(_latest(spark, d, *FEATURE_KEY), [
+        (LANDCOVER, fixture.raster(spark, d)), (ELEVATION, fixture.elevation(spark, d))]
+    ).select("id", "source", "landcover", "elevation")
 
 
 def q_feature_vectors(spark, d):
@@ -253,11 +260,12 @@ def q_feature_vectors(spark, d):
 
 
 def q_valid_feature_vectors(spark, d):
-    return features.valid_feature_vectors(fixture.raster(spark, d), VECTOR_MIN_LENGTH)
+    return features.valid_feature_vectors(fixture.raster(spark, d), LANDCOVER, VECTOR_MIN_LENGTH)
 
 
 def q_one_request_per_cell(spark, d):
-    return dedup.one_request_per_cell(_latest(spark, d, "cell_id")).select("cell_id", "source", "id")
+    unwound = requests.unwind_cells(_latest(spark, d, "cell_id"), _cells())
+    return dedup.one_request_per_cell(unwound, "c").select("c", "source", "id")
 
 
 def _cells():
@@ -269,19 +277,29 @@ def q_unwind_cells(spark, d):
 
 
 def q_covering_cells(spark, d):
-    """Unwind each occurrence into the grid cells its uncertainty box covers."""
-    cells = covering_cells("latitude", "longitude", "coordinate_uncertainty", GRID_STEP)
-    return requests.unwind_cells(_latest(spark, d, "latitude", "longitude", "coordinate_uncertainty"), cells, out="cell")
+    """Unwind each occurrence into the grid cells its uncertainty box covers;
+    one id in a hundred is moved to or beyond a pole."""
+    df = _latest(spark, d, "latitude", "longitude", "coordinate_uncertainty")
+    polar = F.when(F.col("id") % 100 == 11, F.col("latitude") * 2.5).otherwise(F.col("latitude"))
+    return requests.covering_cells(df.withColumn("latitude", polar), GRID_STEP)
 
 
 def q_cell_requests(spark, d):
     return requests.cell_requests(requests.unwind_cells(_latest(spark, d, "cell_id"), _cells()))
 
 
+def q_cell_request_members(spark, d):
+    return requests.cell_request_members(requests.unwind_cells(_latest(spark, d, "cell_id"), _cells()))
+
+
 def q_feature_requests(spark, d):
     return requests.feature_requests(_latest(spark, d, *DEDUP_COLS[1:]))
 
 
+def q_feature_request_members(spark, d):
+    return requests.feature_request_members(_latest(spark, d, *DEDUP_COLS[1:]))
+
+
 def q_batched_requests(spark, d):
     return requests.batched_requests(_latest(spark, d, "family").select("family", "source", "id")
                                      ).select("family", "b", "id")
@@ -293,11 +311,26 @@ def q_sample_batches(spark, d):
 
 
 def q_grid_location(spark, d):
-    return requests.grid_location(_latest(spark, d, "latitude", "coordinate_uncertainty"), GRID_STEP).select("id", "source", "la", "u")
+    df = _latest(spark, d, "latitude", "longitude", "coordinate_uncertainty")
+    return requests.grid_location(df, GRID_STEP).select("id", "source", "la", "lo", "la_max", "lo_max", "u")
 
 
 def q_job_counters(spark, d):
-    return metrics.job_counters(_latest(spark, d, "name", "coordinate_uncertainty"))
+    """The named counters of the three jobs as one report."""
+    raw = fixture.occ(spark, d)
+    pulled = sync.incremental_pull(raw, fixture.sync_history(spark, d), observed_after=PULL_WINDOW[0], observed_before=PULL_WINDOW[1])
+    valid = q_read_occurrences(spark, d)
+    joined = features.join_existing_features(_latest(spark, d, *FEATURE_KEY), fixture.features(spark, d), LANDCOVER)
+    return metrics.job_counters({
+        "occurrences_fetched": pulled,
+        "names_fetched": pulled.where("name is not null").select("name").distinct(),
+        "valid_taxa": valid.select("name").distinct(),
+        "valid_occurrences": valid,
+        "complete": features.complete_rows(joined, LANDCOVER),
+        "incomplete": features.incomplete_rows(joined, LANDCOVER),
+        "without_key": joined.where(~features.has_key(LANDCOVER)),
+        "token_groups": q_missing_feature_groups(spark, d),
+    })
 
 
 def q_json_records(spark, d):
@@ -367,7 +400,9 @@ QUERIES: dict[str, Query] = {
     "unwind_cells": q_unwind_cells,
     "covering_cells": q_covering_cells,
     "cell_requests": q_cell_requests,
+    "cell_request_members": q_cell_request_members,
     "feature_requests": q_feature_requests,
+    "feature_request_members": q_feature_request_members,
     "batched_requests": q_batched_requests,
     "sample_batches": q_sample_batches,
     "grid_location": q_grid_location,
@@ -384,10 +419,6 @@ QUERIES: dict[str, Query] = {
 # ---------------------------------------------------------------- oracle
 _DEDUP = """(select * from (select *, row_number() over (partition by name, latitude, longitude,
   coordinate_uncertainty, date order by source, id) as r from latest) where r = 1)"""
-_MISSING_KEYS = """(select k.cell_id, k.date from (select distinct cell_id, date from latest) k
-  anti join features f on k.cell_id = f.cell_id and k.date = f.date)"""
-_FETCHED = f"""(select m.cell_id, m.date, r.landcover, true as fetched from {_MISSING_KEYS} m
-  left join raster r on m.cell_id = r.cell_id and m.date = r.date)"""
 _BATCHED = """(select family, cast(floor((row_number() over (partition by family order by source, id) - 1)
   / 100) as bigint) as b, id from latest)"""
 _JSON = ("cast(to_json({'id': id, 'source': source, 'name': name, 'latitude': latitude, "
@@ -397,7 +428,7 @@ _ORACLE: dict[str, tuple[list[str], str]] = {
     "latest_version": (["latest"], "select * from latest"),
     "latest_by_source_id": (["occ"], """
 select source_id, id, updated_at from (select *, row_number() over (partition by source_id
-  order by updated_at desc, price desc, id) as r
+  order by updated_at desc, price desc, version desc, id) as r
   from (select *, cast(floor(id / 10) as bigint) as source_id from occ) x) y where r = 1"""),
     "spatial_dedup": (["latest"], f"select id, source from {_DEDUP}"),
     "taxa_threshold": (["latest"], f"""
@@ -407,7 +438,7 @@ where {_multiword_sql('name')}
     "valid_names": (["latest"], "select name, count(*) as c from latest group by name having count(*) >= 200"),
     "valid_names_by_source_id": (["occ"], """
 select name, count(*) as c from (select *, row_number() over (partition by source_id
-  order by updated_at desc, price desc, id) as r
+  order by updated_at desc, price desc, version desc, id) as r
   from (select *, cast(floor(id / 10) as bigint) as source_id from occ) x) y
 where r = 1 group by name having count(*) >= 200"""),
     "read_occurrences": (["latest"], f"""
@@ -419,9 +450,9 @@ where {_multiword_sql('name')}
 select name, count(*) as c from latest where name is not null group by name
 order by c desc, name limit {TOP_N}"""),
     "source_list": (["occ"], "select distinct source from occ"),
-    "sync_queue": (["occ", "sync_history"], """
-select s.source, h.family, h.fetched_at from (select distinct source from occ) s
-join sync_history h on s.source = h.source"""),
+    "sync_queue": (["sync_history"], """
+select source, family, fetched_at from sync_history
+where source in ('idigbio', 'inaturalist', 'gbif', 'mycoportal', 'mushroomobserver')"""),
     "incremental_pull": (["occ", "sync_history"], """
 select o.id, o.source, o.updated_at from occ o join sync_history h
   on o.source = h.source and o.family = h.family and o.updated_at > h.fetched_at
@@ -441,93 +472,98 @@ where h.source = 'idigbio' and h.family = 'PROMO'"""),
 select o.id, o.source, n.scientific_name from latest o left join names n on o.name = n.given_name"""),
     "normalize_names_resolved": (["latest", "names"], """
 select o.id, o.source, n.scientific_name from latest o join names n on o.name = n.given_name"""),
-    "join_existing_features": (["latest", "features"], """
+    "join_existing_features": (["latest", "stored"], """
 select o.id, o.source, f.landcover from latest o
-left join features f on o.cell_id = f.cell_id and o.date = f.date"""),
-    "complete_rows": (["latest", "features"], """
+left join stored f on o.cell_id = f.cell_id and o.date = f.date"""),
+    "complete_rows": (["latest", "stored"], """
 select o.id, o.source, f.landcover from latest o
-left join features f on o.cell_id = f.cell_id and o.date = f.date where f.landcover is not null"""),
-    "incomplete_rows": (["latest", "features"], """
+left join stored f on o.cell_id = f.cell_id and o.date = f.date
+where f.landcover is not null or coalesce(f.fetched, false)"""),
+    "incomplete_rows": (["latest", "stored"], """
 select o.id, o.source from latest o
-left join features f on o.cell_id = f.cell_id and o.date = f.date where f.landcover is null"""),
-    "completeness_partition": (["latest", "features"], """
-select f.landcover is not null as complete, count(*) as c from latest o
-left join features f on o.cell_id = f.cell_id and o.date = f.date group by f.landcover is not null"""),
-    "missing_feature_groups": (["latest", "features"], """
+left join stored f on o.cell_id = f.cell_id and o.date = f.date
+where not (f.landcover is not null or coalesce(f.fetched, false))"""),
+    "completeness_partition": (["latest", "stored"], """
+select (f.landcover is not null or coalesce(f.fetched, false)) as complete, count(*) as c from latest o
+left join stored f on o.cell_id = f.cell_id and o.date = f.date group by 1"""),
+    "missing_feature_groups": (["latest", "missing"], """
 select o.cell_id, o.date, count(*) as c from latest o
-anti join features f on o.cell_id = f.cell_id and o.date = f.date group by o.cell_id, o.date"""),
-    "missing_feature_keys": (["latest", "features"], f"select * from {_MISSING_KEYS}"),
-    "feature_rows_to_append": (["latest", "features", "raster"], f"""
-select r.cell_id, r.date, r.landcover from {_MISSING_KEYS} k
-join raster r on k.cell_id = r.cell_id and k.date = r.date"""),
-    "fetch_missing_features": (["latest", "features", "raster"], f"select * from {_FETCHED}"),
-    "fetched_flag": (["latest", "features", "raster"], f"""
-select cell_id, date, landcover, false as fetched from features
-union all select * from {_FETCHED}"""),
-    "merge_features": (["latest", "features", "raster"], """
-select o.id, o.source, coalesce(f.landcover, r.landcover) as lc from latest o
-left join features f on o.cell_id = f.cell_id and o.date = f.date
-left join raster r on o.cell_id = r.cell_id and o.date = r.date"""),
-    "merged_without_feature": (["latest", "features", "raster"], """
-select o.id, o.source from latest o
-left join features f on o.cell_id = f.cell_id and o.date = f.date
-left join raster r on o.cell_id = r.cell_id and o.date = r.date
-where f.landcover is null and r.landcover is null"""),
-    "grouped_occurrences": (["latest", "features", "raster"], """
-select u.source, u.id, count(*) as c, max(u.landcover) as lc from (
-  select o.source, o.id, f.landcover from latest o
-    left join features f on o.cell_id = f.cell_id and o.date = f.date where f.landcover is not null
+join missing m on o.cell_id = m.cell_id and o.date = m.date group by o.cell_id, o.date"""),
+    "missing_feature_keys": (["missing"], "select * from missing"),
+    "feature_rows_to_append": (["got"], "select cell_id, date, landcover from got where landcover is not null"),
+    "fetch_missing_features": (["got"], "select * from got"),
+    "fetched_flag": (["stored", "got"], """
+select cell_id, date, landcover, fetched from stored
+union all select * from got"""),
+    "merge_features": (["merged"], "select id, source, lc from merged"),
+    "merged_without_feature": (["merged"], "select id, source from merged where lc is null"),
+    "grouped_occurrences": (["merged", "elevation"], """
+select source, id, count(*) as c, string_agg(feature || '=' || cast(v as varchar), ',' order by feature) as rows from (
+  select source, id, 'landcover' as feature, lc as v from merged where lc is not null
   union all
-  select o.source, o.id, r.landcover from latest o
-    anti join features f on o.cell_id = f.cell_id and o.date = f.date
-    join raster r on o.cell_id = r.cell_id and o.date = r.date) u
-group by u.source, u.id"""),
-    "combine_features": (["latest", "raster"], """
-select o.id, o.source, r.landcover from latest o
-left join raster r on o.date = r.date and o.cell_id = r.cell_id"""),
-    "feature_vectors": (["raster"], """
-select cell_id, string_agg(cast(landcover as varchar), ',' order by date) as v from raster group by cell_id"""),
-    "valid_feature_vectors": (["raster"], f"""
-select cell_id, count(*) as n from raster group by cell_id having count(*) >= {VECTOR_MIN_LENGTH}"""),
+  select o.source, o.id, 'elevation', e.elevation from latest o
+    join elevation e on o.cell_id = e.cell_id and o.date = e.date) u
+group by source, id"""),
+    "combine_features": (["latest", "found", "elevation"], """
+select o.id, o.source, r.landcover, e.elevation from latest o
+left join found r on o.date = r.date and o.cell_id = r.cell_id
+left join elevation e on o.date = e.date and o.cell_id = e.cell_id"""),
+    "feature_vectors": (["found"], """
+select cell_id, string_agg(coalesce(cast(landcover as varchar), 'null'), ',' order by date) as v from found group by cell_id"""),
+    "valid_feature_vectors": (["found"], f"""
+select cell_id, count(landcover) as n from found group by cell_id having count(landcover) >= {VECTOR_MIN_LENGTH}"""),
     "one_request_per_cell": (["latest"], """
-select cell_id, source, id from (select *, row_number() over (partition by cell_id order by source, id) as r
-  from latest) where r = 1"""),
+select c, source, id from (select *, row_number() over (partition by c order by source, id) as r
+  from (select id, source, unnest([cell_id, cell_id + 1]) as c from latest)) where r = 1"""),
     "unwind_cells": (["latest"], "select id, source, unnest([cell_id, cell_id + 1]) as c from latest"),
     "covering_cells": (["latest"], f"""
-select id, source, unnest(list_distinct(flatten(list_transform(generate_series(r_lo, r_hi),
-  lambda r: list_transform(generate_series(c_lo, c_hi),
-    lambda c: (r + {ROW0}) * {NCOLS} + ((c + {COL0}) % {NCOLS} + {NCOLS}) % {NCOLS}))))) as cell
+select id, source, unnest(flatten(list_transform(generate_series(r_lo, r_hi),
+  lambda r: list_transform(generate_series(c_lo, least(c_hi, c_lo + {NCOLS} - 1)),
+    lambda c: (r + {ROW0}) * {NCOLS} + ((c + {COL0}) % {NCOLS} + {NCOLS}) % {NCOLS})))) as cell
 from (select id, source,
-  greatest(cast(floor((latitude - u / 111320.0) / {GRID_STEP}) as bigint), -{ROW0}) as r_lo,
-  least(cast(floor((latitude + u / 111320.0) / {GRID_STEP}) as bigint), {ROW0} - 1) as r_hi,
-  cast(floor((longitude - u / (111320.0 * greatest(cos(radians(latitude)), 0.01))) / {GRID_STEP}) as bigint) as c_lo,
-  cast(floor((longitude + u / (111320.0 * greatest(cos(radians(latitude)), 0.01))) / {GRID_STEP}) as bigint) as c_hi
-  from (select *, greatest(coalesce(coordinate_uncertainty, 30.0), 30.0) as u from latest) x) y"""),
+  greatest(cast(floor((la - d) / {GRID_STEP}) as bigint), -{ROW0}) as r_lo,
+  least(cast(floor((la + d) / {GRID_STEP}) as bigint), {ROW0} - 1) as r_hi,
+  case when abs(la) + d >= 90 then cast(floor((longitude - 180) / {GRID_STEP}) as bigint)
+    else cast(floor((longitude - d / cos(radians(la))) / {GRID_STEP}) as bigint) end as c_lo,
+  case when abs(la) + d >= 90 then cast(floor((longitude - 180) / {GRID_STEP}) as bigint) + {NCOLS} - 1
+    else cast(floor((longitude + d / cos(radians(la))) / {GRID_STEP}) as bigint) end as c_hi
+  from (select *, greatest(coalesce(coordinate_uncertainty, 30.0), 30.0) / 111320.0 as d,
+          case when id % 100 = 11 then latitude * 2.5 else latitude end as la from latest) x
+  where abs(la) <= 90) y"""),
     "cell_requests": (["latest"], """
-select c, count(*) as n, min(id) as a, max(id) as b
-from (select id, unnest([cell_id, cell_id + 1]) as c from latest) group by c"""),
+select c, count(*) as n from (select unnest([cell_id, cell_id + 1]) as c from latest) group by c"""),
+    "cell_request_members": (["latest"], "select source, id, unnest([cell_id, cell_id + 1]) as c from latest"),
     "feature_requests": (["latest"], """
-select latitude, longitude, coordinate_uncertainty, date, chunk, count(*) as n,
-  string_agg(k, ',' order by k) as k
-from (select latitude, longitude, coordinate_uncertainty, date, k,
-        case when count(*) over (partition by latitude, longitude, coordinate_uncertainty, date) <= 100
-             then cast(0 as bigint)
-             else cast(floor((row_number() over (partition by latitude, longitude, coordinate_uncertainty, date
-                                                 order by k) - 1) / 100) as bigint) end as chunk
-      from (select *, source || ':' || cast(id as varchar) as k from latest))
-group by latitude, longitude, coordinate_uncertainty, date, chunk"""),
+select latitude, longitude, coordinate_uncertainty, date, count(*) as n from latest group by all"""),
+    "feature_request_members": (["latest"], """
+select latitude, longitude, coordinate_uncertainty, date, source, id from latest"""),
     "batched_requests": (["latest"], f"select * from {_BATCHED}"),
     "sample_batches": (["latest"], f"""
 select b1.family, b1.b, b1.id from {_BATCHED} b1
 semi join (select distinct family, b from {_BATCHED} b2 order by family, b limit {SAMPLE_BATCHES}) s
   on b1.family = s.family and b1.b = s.b"""),
     "grid_location": (["latest"], f"""
-select id, source, floor(latitude / cast({GRID_STEP} as double)) * cast({GRID_STEP} as double) as la,
-  greatest(coalesce(coordinate_uncertainty, cast(30 as double)), cast(30 as double)) as u from latest"""),
-    "job_counters": (["latest"], """
-select count(*) as n, count(distinct name) as names,
-  coalesce(cast(sum(case when coordinate_uncertainty is null then 1 else 0 end) as bigint), 0) as no_unc
-from latest"""),
+select id, source, la, lo, la + cast({GRID_STEP} as double) as la_max, lo + cast({GRID_STEP} as double) as lo_max, u
+from (select id, source, floor(latitude / cast({GRID_STEP} as double)) * cast({GRID_STEP} as double) as la,
+  floor(longitude / cast({GRID_STEP} as double)) * cast({GRID_STEP} as double) as lo,
+  greatest(coalesce(coordinate_uncertainty, cast(30 as double)), cast(30 as double)) as u from latest)"""),
+    "job_counters": (["latest", "sync_history", "stored", "missing"], f"""
+, pulled as (select o.* from occ o join sync_history h
+  on o.source = h.source and o.family = h.family and o.updated_at > h.fetched_at
+  where o.observed_at >= timestamp '1997-01-01 00:00:00' and o.observed_at < timestamp '2001-01-01 00:00:00'),
+single as {_DEDUP},
+valid as (select * from single where {_multiword_sql('name')} and name in (
+  select name from single where {_multiword_sql('name')} group by name having count(*) > 200)),
+joined as (select o.cell_id, o.date, f.landcover is not null or coalesce(f.fetched, false) as complete from latest o
+  left join stored f on o.cell_id = f.cell_id and o.date = f.date)
+select 'occurrences_fetched' as counter, count(*) as value from pulled
+union all select 'names_fetched', count(distinct name) from pulled
+union all select 'valid_taxa', count(distinct name) from valid
+union all select 'valid_occurrences', count(*) from valid
+union all select 'complete', count(*) from joined where complete
+union all select 'incomplete', count(*) from joined where not complete
+union all select 'without_key', count(*) from joined where cell_id is null or date is null
+union all select 'token_groups', count(*) from missing"""),
     "json_records": (["latest"], f"select {_JSON} as j from latest where name is not null"),
     "strict_json": (["latest"], f"select {_JSON} as j from latest where name is not null"),
     "json_roundtrip": (["latest"], """

@@ -8,8 +8,11 @@ feature raster are all derived by Spark from ``lineitem``, ``orders`` and
 * ``latest``       latest version of each record
 * ``sync_history`` one high-water mark per (source, family); ``gbif`` has none
 * ``names``        given name -> scientific name (``red...`` names unresolved)
-* ``features``     land cover already stored for a third of the cells
-* ``raster``       what a feature fetch can find (not cells ending in 1)
+* ``features``     land cover already stored for a third of the cells: repeated
+                   keys, missing values, a ``fetched`` flag, rows without a key
+* ``raster``       what a feature fetch can find (not cells ending in 1), by
+                   another formula, with repeated keys and missing values
+* ``elevation``    a second feature with the same key
 
 The membership rules of ``features`` / ``raster`` (cell modulo) define which
 keys the fixture treats as already stored or fetchable; they are part of the
@@ -36,7 +39,10 @@ OTHER_SOURCE = "mushroomobserver"
 
 OCC_COLUMNS = ["id", "source", "family", "name", "latitude", "longitude",
                "coordinate_uncertainty", "date", "observed_at", "updated_at",
-               "price", "cell_id"]
+               "price", "version", "cell_id"]
+# Versions of one time are settled by these columns.  Times are cut to quarters
+# and prices to steps of 20,000, so versions do tie and ``version`` decides.
+TIE_BREAK = ("price", "version")
 
 
 def _source_expr(priority: Column) -> Column:
@@ -73,9 +79,10 @@ def occ(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.lit(40.0)).alias("coordinate_uncertainty"),
         F.trunc(F.to_date("l_shipdate"), "month").alias("date"),
         F.col("o_orderdate").alias("observed_at"),
-        F.col("l_shipdate").alias("updated_at"),
-        F.col("l_extendedprice").alias("price"),
-        (F.col("l_suppkey") % 100).alias("cell_id"),
+        F.trunc(F.to_date("l_shipdate"), "quarter").cast("timestamp_ntz").alias("updated_at"),
+        F.floor(F.col("l_extendedprice") / 20000).alias("price"),
+        (F.col("l_partkey") * 1000000 + F.col("l_suppkey")).alias("version"),
+        F.when(F.col("l_suppkey") % 50 != 49, F.col("l_suppkey") % 100).alias("cell_id"),
     )
 
 
@@ -85,10 +92,10 @@ def latest(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -
     shuffles, and the scan reads, just what the caller needs."""
     o = occ(spark, sf_dir)
     if columns is not None:
-        keep = ["id", "source", "updated_at", "price"]
+        keep = ["id", "source", "updated_at", *TIE_BREAK]
         keep += [c for c in columns if c not in keep]
         o = o.select(*keep)
-    return latest_version(o)
+    return latest_version(o, tie_break=TIE_BREAK)
 
 
 def sync_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,18 +117,31 @@ def names(spark: SparkSession, sf_dir: str) -> DataFrame:
              .distinct())
 
 
-def _landcover(df: DataFrame) -> DataFrame:
-    return df.select("cell_id", "date").distinct().select(
-        "cell_id", "date",
-        ((F.col("cell_id") + F.month("date")) % 7).alias("landcover"))
+def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return occ(spark, sf_dir).select("cell_id", "date").distinct()
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _landcover(occ(spark, sf_dir).where(F.col("cell_id") % 3 == 0))
+    cell, month = F.col("cell_id"), F.month("date")
+    keys = _cells(spark, sf_dir).where((cell % 3 == 0) | cell.isNull())
+    first = keys.select("cell_id", "date", F.when(cell % 5 != 0, (cell + month) % 7).alias("landcover"),
+                        (cell % 10 == 0).alias("fetched"), F.lit("2020-01-01 00:00:00").cast("timestamp_ntz").alias("appended_at"))
+    again = keys.where(cell % 2 == 0).select(
+        "cell_id", "date", F.when(cell % 4 != 0, (cell + month + 1) % 7).alias("landcover"),
+        F.lit(False).alias("fetched"), F.lit("2020-02-01 00:00:00").cast("timestamp_ntz").alias("appended_at"))
+    return first.unionAll(again)
 
 
 def raster(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _landcover(occ(spark, sf_dir).where(F.col("cell_id") % 10 != 1))
+    cell = F.col("cell_id")
+    keys = _cells(spark, sf_dir).where(cell % 10 != 1)
+    found = keys.select("cell_id", "date", F.when(cell % 7 != 0, (cell + F.month("date") + 3) % 7).alias("landcover"))
+    return found.unionAll(keys.where(cell % 9 == 0).select("cell_id", "date", F.lit(None).cast("long").alias("landcover")))
+
+
+def elevation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cell = F.col("cell_id")
+    return _cells(spark, sf_dir).where(cell % 4 != 2).select("cell_id", "date", (cell * 10 + F.month("date")).alias("elevation"))
 
 
 # DuckDB text of the same views, for the oracle (tables are pre-registered).
@@ -138,14 +158,15 @@ select l_orderkey * 10 + l_linenumber as id,
   cast((l_suppkey % 10) * 18 - 90 as double) as longitude,
   case when l_tax < 0.04 then null else cast(40 as double) end as coordinate_uncertainty,
   cast(date_trunc('month', l_shipdate) as date) as date,
-  o_orderdate as observed_at, l_shipdate as updated_at,
-  l_extendedprice as price, l_suppkey % 100 as cell_id
+  o_orderdate as observed_at, cast(date_trunc('quarter', l_shipdate) as timestamp) as updated_at,
+  cast(floor(l_extendedprice / 20000) as bigint) as price, l_partkey * 1000000 + l_suppkey as version,
+  case when l_suppkey % 50 <> 49 then l_suppkey % 100 end as cell_id
 from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey""",
     "latest": """
 select id, source, family, name, latitude, longitude, coordinate_uncertainty, date,
-  observed_at, updated_at, price, cell_id
+  observed_at, updated_at, price, version, cell_id
 from (select *, row_number() over (partition by id, source
-        order by updated_at desc, price desc) as r from occ)
+        order by updated_at desc, price desc, version desc) as r from occ)
 where r = 1""",
     "sync_history": """
 select source, family,
@@ -156,15 +177,45 @@ from occ where source <> 'gbif' group by source, family""",
 select distinct name as given_name, upper(name) as scientific_name
 from occ where name is not null and name not like 'red%'""",
     "features": """
-select distinct cell_id, date, (cell_id + month(date)) % 7 as landcover
-from occ where cell_id % 3 = 0""",
+select cell_id, date, case when cell_id % 5 <> 0 then (cell_id + month(date)) % 7 end as landcover,
+  cell_id % 10 = 0 as fetched, timestamp '2020-01-01 00:00:00' as appended_at
+from (select distinct cell_id, date from occ where cell_id % 3 = 0 or cell_id is null) k
+union all
+select cell_id, date, case when cell_id % 4 <> 0 then (cell_id + month(date) + 1) % 7 end,
+  false, timestamp '2020-02-01 00:00:00'
+from (select distinct cell_id, date from occ where cell_id % 6 = 0) k""",
+    "stored": """
+select cell_id, date, landcover, coalesce(flag, false) as fetched
+from (select *, bool_or(fetched) over (partition by cell_id, date) as flag, row_number() over (
+        partition by cell_id, date order by (landcover is not null) desc, appended_at desc, landcover desc) as r
+      from features where cell_id is not null and date is not null)
+where r = 1""",
     "raster": """
-select distinct cell_id, date, (cell_id + month(date)) % 7 as landcover
-from occ where cell_id % 10 <> 1""",
+select cell_id, date, case when cell_id % 7 <> 0 then (cell_id + month(date) + 3) % 7 end as landcover
+from (select distinct cell_id, date from occ where cell_id % 10 <> 1) k
+union all
+select distinct cell_id, date, cast(null as bigint) from occ where cell_id % 9 = 0 and cell_id % 10 <> 1""",
+    "found": """
+select cell_id, date, max(landcover) as landcover from raster group by cell_id, date""",
+    "elevation": """
+select distinct cell_id, date, cell_id * 10 + month(date) as elevation from occ where cell_id % 4 <> 2""",
+    "missing": """
+select distinct cell_id, date from latest l where cell_id is not null and date is not null
+  and not exists (select 1 from stored s where s.cell_id = l.cell_id and s.date = l.date
+                  and (s.landcover is not null or s.fetched))""",
+    "got": """
+select m.cell_id, m.date, r.landcover, true as fetched from missing m
+  left join found r on m.cell_id = r.cell_id and m.date = r.date""",
+    "merged": """
+select o.*, coalesce(f.landcover, m.landcover) as lc from latest o
+  left join stored f on o.cell_id = f.cell_id and o.date = f.date
+  left join got m on o.cell_id = m.cell_id and o.date = m.date""",
 }
 _VIEW_DEPS = {
     "occ": [], "latest": ["occ"], "sync_history": ["occ"], "names": ["occ"],
-    "features": ["occ"], "raster": ["occ"],
+    "features": ["occ"], "raster": ["occ"], "elevation": ["occ"],
+    "stored": ["features"], "found": ["raster"], "missing": ["latest", "stored"],
+    "got": ["missing", "found"], "merged": ["latest", "stored", "got"],
 }
 
 

@@ -2,24 +2,21 @@
 records of that source and family updated after its high-water mark.
 
 The history is a small dimension table (one mark per source and family).  It
-is reduced to the latest mark per (source, family) -- so overlapping history
-rows cannot duplicate records -- and broadcast after a size check, so the
-record table is read once and never shuffled.  The smallest mark is also
-applied as a literal predicate, which reaches the Parquet scan as a pushed
-filter (a bound taken from a join key would not), and so is the list of
-sources that have a mark (partition pruning on a table partitioned by
-source)."""
+is reduced to the latest mark per (source, family), so overlapping history
+rows cannot duplicate records; the planner broadcasts it where it is small.
+The smallest mark is also applied as a scalar subquery on ``updated_at``, in
+the column's own type: it runs with the query, needs no session time zone, and
+reaches the scan as a filter."""
 
 from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geotaxa.functions.geo import timestamp_literal
-from geotaxa.functions.joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
 
 # The default observation window, half-open [after, before).
 OBSERVED_AFTER = _dt.date(2015, 1, 1)
@@ -28,8 +25,6 @@ OBSERVED_BEFORE = _dt.date(2019, 1, 1)
 DEFAULT_SOURCES = ["idigbio", "inaturalist", "gbif", "mycoportal", "mushroomobserver"]
 
 _UNSET = object()
-# Up to this many distinct sources in the history become a literal IN list.
-MAX_PRUNING_SOURCES = 1000
 
 
 def source_list(raw: DataFrame, source_col: str = "source") -> DataFrame:
@@ -48,10 +43,10 @@ def reduce_history(history: DataFrame, restrict_sources: Sequence[str] | None =
     return h.groupBy("source", "family").agg(F.max("fetched_at").alias("fetched_at"))
 
 
-def sync_queue(sources: DataFrame, history: DataFrame) -> DataFrame:
-    """Each provider expanded into its history rows; a provider without history
-    yields nothing."""
-    return sources.join(history.select("source", "family", "fetched_at"), on="source", how="inner")
+def sync_queue(history: DataFrame, sources: Sequence[str] = DEFAULT_SOURCES) -> DataFrame:
+    """The providers expanded into their history rows; one without history
+    yields nothing.  Reads the history only."""
+    return history.where(F.col("source").isin(list(sources))).select("source", "family", "fetched_at")
 
 
 def pending_pull_count(history: DataFrame, restrict_sources: Sequence[str] | None = None,
@@ -70,14 +65,14 @@ def incremental_pull(raw: DataFrame, history: DataFrame,
                      modified_before=None,
                      restrict_sources: Sequence[str] | None = None,
                      restrict_families: Sequence[str] | None = None,
-                     prune_with_min_mark: bool = True,
-                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                     prune_with_min_mark: bool = True) -> DataFrame:
     """Records with ``updated_at`` strictly after their (source, family) mark,
     observed in ``[observed_after, observed_before)`` and, if given, updated
     before ``modified_before``.  ``None`` for a bound means no predicate; the
     observed window defaults to 2015-01-01 .. 2019-01-01.  Restrictions limit
     sources and families.  Output: the record columns (a LEFT SEMI join, so
-    each record is pulled once)."""
+    each record is pulled once).  History rows with a NULL source, family or
+    mark match nothing."""
     if observed_after is _UNSET:
         observed_after = OBSERVED_AFTER
     if observed_before is _UNSET:
@@ -100,34 +95,29 @@ def incremental_pull(raw: DataFrame, history: DataFrame,
     marks = reduce_history(history, restrict_sources, restrict_families)
     marks = marks.select(F.col("source").alias("_h_source"), F.col("family").alias("_h_family"),
                          F.col("fetched_at").cast(upd_t).alias("_h_mark"))
-    marks = sized_broadcast(marks, max_broadcast_rows)
+    marks = marks.where("_h_source is not null and _h_family is not null and _h_mark is not null")
     if prune_with_min_mark:
-        # Text of the smallest mark in the column's own type and session zone,
-        # so casting it back is exact.
-        low, n_sources = marks.agg(
-            F.date_format(F.min("_h_mark"), "yyyy-MM-dd HH:mm:ss.SSSSSS"),
-            F.count_distinct("_h_source")).first()
-        if low is not None:
-            r = r.where(F.col("updated_at") > F.lit(low).cast(upd_t))
-        # The sources that have a mark, as a literal list: partition pruning
-        # when the record table is partitioned by source, a pushed filter
-        # otherwise.
-        if 0 < n_sources <= MAX_PRUNING_SOURCES:
-            present = sorted(x[0] for x in marks.select("_h_source").distinct().collect())
-            r = r.where(F.col("source").isin(present))
+        r = r.where(F.col("updated_at") > marks.agg(F.min("_h_mark")).scalar())
     cond = ((r["source"] == marks["_h_source"]) & (r["family"] == marks["_h_family"])
             & (r["updated_at"] > marks["_h_mark"]))
     return r.join(marks, cond, "left_semi")
 
 
-def next_marks(pulled: DataFrame, history: DataFrame | None = None) -> DataFrame:
+def next_marks(pulled: DataFrame, history: DataFrame | None = None, unwritten: Column | None = None) -> DataFrame:
     """New high-water marks after a pull: latest ``updated_at`` per (source,
     family) among the pulled records.  With ``history``, pairs that pulled
-    nothing keep their old mark (one row per pair either way)."""
-    new = pulled.groupBy("source", "family").agg(F.max("updated_at").alias("fetched_at"))
+    nothing keep their old mark (one row per pair either way).
+
+    ``unwritten`` marks records that the job left out (e.g. an unresolved
+    name): a pair's mark stays before its first such record, so the next pull
+    sees it again."""
+    pair = ["source", "family"]
+    if unwritten is not None:
+        held = pulled.where(unwritten).groupBy(*pair).agg(F.min("updated_at").alias("_held"))
+        pulled = pulled.join(held, pair, "left").where("_held is null or updated_at < _held")
+    new = pulled.groupBy(*pair).agg(F.max("updated_at").alias("fetched_at"))
     if history is None:
         return new
     old = reduce_history(history).select(
-        "source", "family", F.col("fetched_at").cast(new.schema["fetched_at"].dataType).alias("fetched_at"))
-    return (old.unionByName(new).groupBy("source", "family")
-               .agg(F.max("fetched_at").alias("fetched_at")))
+        *pair, F.col("fetched_at").cast(new.schema["fetched_at"].dataType).alias("fetched_at"))
+    return old.unionByName(new).groupBy(*pair).agg(F.max("fetched_at").alias("fetched_at"))

@@ -25,6 +25,12 @@ def occs(spark):
                           row(4, cell=3, date=D2), row(5, cell=4, date=D2)])
 
 
+def feature_rows(grouped):
+    rows = grouped.collect()
+    assert all(r["c"] == len(r["rows"]) for r in rows)
+    return {r["id"]: [tuple(x) for x in r["rows"]] for r in rows}
+
+
 def fetch_even_cells(keys: pd.DataFrame) -> pd.DataFrame:
     found = keys[keys["cell_id"] % 2 == 0].copy()
     found["landcover"] = found["cell_id"] * 10
@@ -63,8 +69,9 @@ def test_merge_returns_each_occurrence_once(spark):
     merged = fx.merge_features(occ, stored, fetched, spec)
     assert merged.count() == occ.count()
     assert as_set(merged, "id", "landcover") == {(1, 5), (2, 5), (3, 7), (4, 8), (5, None)}
-    grouped = fx.grouped_occurrences(occ, stored, fetched, spec)
-    assert as_set(grouped, "id", "c", "landcover") == {(1, 1, 5), (2, 1, 5), (3, 1, 7), (4, 1, 8)}
+    grouped = fx.grouped_occurrences(merged, [spec])
+    assert feature_rows(grouped) == {1: [("landcover", "5")], 2: [("landcover", "5")],
+                                     3: [("landcover", "7")], 4: [("landcover", "8")]}
 
 
 def test_second_enrichment_fetches_nothing(spark, tmp_path):
@@ -77,7 +84,7 @@ def test_second_enrichment_fetches_nothing(spark, tmp_path):
     merged.write.format("noop").mode("overwrite").save()
     assert result.counters() == {"landcover.records_fetched": 4, "landcover.values_found": 2,
                                  "landcover.complete": 0, "landcover.incomplete": 5,
-                                 "landcover.with_value": 2}
+                                 "landcover.with_value": 2, "landcover.without_key": 0}
     assert merged.count() == 5
     assert as_set(merged, "id", "landcover") == {(1, None), (2, None), (3, 20), (4, None), (5, 40)}
     table = spark.read.parquet(store)
@@ -94,7 +101,7 @@ def test_vectors_sorted_by_date_and_validity(spark):
     t = stored_df(spark, [(1, D2, 2), (1, D1, 1), (2, D1, 3)])
     v = {r["cell_id"]: r["v"] for r in fx.feature_vectors(t, SPEC).collect()}
     assert v == {1: "1,2", 2: "3"}
-    assert as_set(fx.valid_feature_vectors(t, 2), "cell_id") == {(1,)}
+    assert as_set(fx.valid_feature_vectors(t, SPEC, 2), "cell_id") == {(1,)}
 
 
 def test_combine_several_features(spark):
@@ -115,8 +122,8 @@ def test_key_stored_without_value_is_refetched_once(spark):
     merged = fx.merge_features(occ, stored, fetched, spec)
     assert merged.count() == occ.count()
     assert as_set(merged, "id", "landcover") == {(1, 11), (2, 11), (3, 3), (4, None), (5, None)}
-    grouped = fx.grouped_occurrences(occ, stored, fetched, spec)
-    assert as_set(grouped, "id", "c", "landcover") == {(1, 1, 11), (2, 1, 11), (3, 1, 3)}
+    grouped = fx.grouped_occurrences(merged, [spec])
+    assert feature_rows(grouped) == {1: [("landcover", "11")], 2: [("landcover", "11")], 3: [("landcover", "3")]}
 
 
 def test_nothing_missing_means_nothing_fetched(spark):
@@ -186,3 +193,111 @@ def test_enriching_already_enriched_rows_replaces_values(spark):
     assert m.columns.count("landcover") == 1 and m.count() == 5
     c = fx.combine_features(occ, [(SPEC, stored)])
     assert c.columns.count("landcover") == 1
+
+
+D3 = dt.date(2016, 3, 1)
+STORED = "cell_id long, date date, landcover long, fetched boolean, appended_at timestamp"
+
+
+def at(day):
+    return dt.datetime(2020, 1, day)
+
+
+def test_repeated_stored_keys_do_not_multiply_occurrences(spark):
+    occ = occs(spark)
+    stored = spark.createDataFrame([(1, D1, None, True, at(3)), (1, D1, 5, False, at(1)), (1, D1, 4, False, at(2)),
+                                    (2, D1, 6, False, at(1)), (2, D1, 7, False, at(2))], STORED)
+    assert as_set(fx.one_row_per_key(stored, SPEC), "cell_id", "landcover", "fetched") == {
+        (1, 4, True), (2, 7, False)}          # a value before none, then the latest
+    j = fx.join_existing_features(occ, stored, SPEC)
+    assert j.count() == occ.count()
+    fetched = spark.createDataFrame([(3, D2, 8, True, at(1)), (3, D2, 8, True, at(1))], STORED)
+    merged = fx.merge_features(occ, stored, fetched, SPEC)
+    assert merged.count() == occ.count()
+    assert as_set(merged, "id", "landcover") == {(1, 4), (2, 4), (3, 7), (4, 8), (5, None)}
+    lookup = spark.createDataFrame([(4, D2, 9), (4, D2, 9), (4, D2, None)], "cell_id long, date date, landcover long")
+    spec = FeatureSpec(name="landcover", lookup=lookup)
+    assert fx.fetch_missing_features(fx.missing_feature_keys(occ, stored, spec), spec).count() == 2
+
+
+def test_rows_without_a_key_are_never_fetched(spark, tmp_path):
+    occ = occ_df(spark, [row(1, cell=None, date=D1), row(2, cell=2, date=D1)])
+    spec = FeatureSpec(name="landcover", fetch=fetch_even_cells)
+    table = str(tmp_path / "landcover")
+    from geotaxa.operators.features import feature_table_schema
+    stored = spark.createDataFrame([], feature_table_schema(spec))
+    for fetched in (1, 0):
+        result = enrich_features(occ, stored, spec, store_path=table)
+        result.merged.write.format("noop").mode("overwrite").save()
+        c = result.counters()
+        assert c["landcover.records_fetched"] == fetched and c["landcover.without_key"] == 1
+        stored = spark.read.parquet(table)
+    assert stored.count() == 1
+    assert fx.missing_feature_groups(occ, stored_df(spark, []), SPEC).count() == 1
+
+
+def test_counters_of_an_empty_enrichment_are_zero(spark, tmp_path):
+    spec = FeatureSpec(name="landcover", fetch=fetch_even_cells)
+    result = enrich_features(occ_df(spark, []), stored_df(spark, []), spec, store_path=str(tmp_path / "t"))
+    result.merged.write.format("noop").mode("overwrite").save()
+    assert set(result.counters().values()) == {0}
+
+
+def test_function_backed_feature_needs_a_store(spark):
+    import pytest
+    with pytest.raises(ValueError, match="store_path"):
+        enrich_features(occs(spark), stored_df(spark, []), FeatureSpec(name="landcover", fetch=fetch_even_cells))
+
+
+def count_calls(folder):
+    def fetch(keys):
+        import os
+        import time
+        import uuid
+        time.sleep(0.1)
+        with open(os.path.join(folder, uuid.uuid4().hex), "w") as f:
+            f.write("\n".join(f"{os.getpid()} {c}" for c in keys["cell_id"]))
+        return fetch_even_cells(keys)
+    return fetch
+
+
+def test_fetch_calls_each_key_once_in_many_tasks(spark, tmp_path):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+    occ = occ_df(spark, [row(i, cell=i % 40, date=D1) for i in range(200)])
+    spec = FeatureSpec(name="landcover", fetch=count_calls(str(calls)), fetch_tasks=8)
+    result = enrich_features(occ, stored_df(spark, []), spec, store_path=str(tmp_path / "t"))
+    result.merged.write.format("noop").mode("overwrite").save()
+    result.grouped.write.format("noop").mode("overwrite").save()
+    lines = [x.split() for p in calls.iterdir() for x in p.read_text().split("\n") if x]
+    assert sorted(int(c) for _, c in lines) == list(range(40))
+    keys = fx.missing_feature_keys(occ, stored_df(spark, []), spec)
+    parts = fx.fetch_missing_features(keys, spec).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts > 1
+
+
+def test_completeness_rule_belongs_to_the_feature(spark):
+    occ = occs(spark)
+    stored = stored_df(spark, [(1, D1, 0), (2, D1, 3)])
+    spec = FeatureSpec(name="landcover", complete=lambda: F.col("landcover") > 0)
+    j = fx.join_existing_features(occ, stored, spec)
+    assert as_set(fx.complete_rows(j, spec), "id") == {(3,)}
+    assert as_set(fx.missing_feature_keys(occ, stored, spec), "cell_id") == {(1,), (3,), (4,)}
+
+
+def test_vectors_keep_the_place_of_missing_values(spark):
+    t = stored_df(spark, [(1, D1, 1), (1, D2, None), (1, D3, 3), (1, D3, 3)])
+    assert fx.feature_vectors(t, SPEC).first()["v"] == "1,null,3"
+    assert fx.feature_vectors(t, SPEC, as_text=False).first()["v"] == [1, None, 3]
+    assert fx.valid_feature_vectors(t, SPEC, 2).first()["n"] == 2
+    assert fx.valid_feature_vectors(t, SPEC, 3).count() == 0
+
+
+def test_grouped_occurrences_returns_every_feature_row(spark):
+    merged = fx.combine_features(occs(spark), [
+        (SPEC, stored_df(spark, [(1, D1, 5), (3, D2, 6)])),
+        (FeatureSpec(name="ndvi", value_cols=("ndvi",)),
+         spark.createDataFrame([(1, D1, 2), (2, D1, 3)], "cell_id long, date date, ndvi long"))])
+    grouped = fx.grouped_occurrences(merged, [SPEC, FeatureSpec(name="ndvi", value_cols=("ndvi",))])
+    two = [("landcover", "5"), ("ndvi", "2")]
+    assert feature_rows(grouped) == {1: two, 2: two, 3: [("ndvi", "3")], 4: [("landcover", "6")]}

@@ -23,11 +23,26 @@ def test_taxa_threshold_is_count_plus_semi_join(spark):
     assert "HashAggregate" in p
 
 
-def test_incremental_pull_broadcasts_history_and_pushes_mark(spark):
-    p = plan(entry.queries()["incremental_pull"](spark, SF))
-    assert "BroadcastHashJoin LeftSemi" in p or "BroadcastNestedLoopJoin" not in p
-    assert "BroadcastExchange" in p
-    assert "LessThan(o_orderdate" in p or "o_orderdate" in p
+def test_incremental_pull_applies_the_smallest_mark_at_the_scan(spark, tmp_path):
+    import datetime as dt
+
+    from geotaxa.sources.sync import incremental_pull
+    from helpers import T0, occ_df, row
+    path = str(tmp_path / "records")
+    occ_df(spark, [row(1, updated=T0 + dt.timedelta(days=1))]).write.parquet(path)
+    history = spark.createDataFrame([("gbif", "AMANITACEAE", T0)], "source string, family string, fetched_at timestamp_ntz")
+    p = plan(incremental_pull(spark.read.parquet(path), history))
+    assert "BroadcastNestedLoopJoin" not in p and "LeftSemi" in p
+    filters = [line for line in p.splitlines() if line.startswith("Condition") or "DataFilters" in line]
+    assert any("updated_at" in line and "ubquery" in line for line in filters)
+
+
+def test_sync_queue_reads_the_history_only(spark, tmp_path):
+    from geotaxa.sources.sync import sync_queue
+    path = str(tmp_path / "history")
+    spark.createDataFrame([("gbif", "A", None)], "source string, family string, fetched_at timestamp_ntz").write.parquet(path)
+    p = plan(sync_queue(spark.read.parquet(path)))
+    assert p.count("Scan parquet") <= 2 and "Join" not in p and "Exchange" not in p
 
 
 def test_scan_prunes_columns(spark):
@@ -37,7 +52,7 @@ def test_scan_prunes_columns(spark):
     assert "l_quantity" not in line and "l_returnflag" not in line
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(entry.registry.queries()))
 def test_no_row_at_a_time_python_and_no_cartesian(spark, key):
     s = plan_summary(entry.queries()[key](spark, SF))
     assert "BatchEvalPython" not in s["python"]
@@ -46,6 +61,6 @@ def test_no_row_at_a_time_python_and_no_cartesian(spark, key):
         assert s["python"] == []
 
 
-def test_pull_never_shuffles_records(spark):
+def test_pull_is_one_semi_join_with_the_marks(spark):
     s = plan_summary(entry.queries()["incremental_pull"](spark, SF))
-    assert "BroadcastHashJoin:LeftSemi" in s["joins"]
+    assert any(j.endswith("LeftSemi") for j in s["joins"]) and not any("NestedLoop" in j for j in s["joins"])

@@ -69,20 +69,17 @@ place_rows = st.lists(st.tuples(st.integers(0, 2), st.sampled_from([None, 30.0])
 
 @SETTINGS
 @given(place_rows, st.integers(1, 7))
-def test_feature_requests_match_python_chunks(spark, rows, max_keys):
-    from geotaxa.operators.requests import feature_requests
+def test_feature_requests_match_python_groups(spark, rows, size):
+    from geotaxa.operators.requests import feature_request_members, feature_requests
     df = occ_df(spark, [row(i, lat=float(la), unc=u) for la, u, i in rows])
-    got = {(r["latitude"], r["coordinate_uncertainty"], r["chunk"]): r["k"]
-           for r in feature_requests(df, max_keys=max_keys).collect()}
     places = {}
     for la, u, i in rows:
-        places.setdefault((float(la), u), []).append(f"gbif:{i}")
-    want = {}
-    for (la, u), keys in places.items():
-        keys.sort()
-        for c in range(0, len(keys), max_keys):
-            want[(la, u, c // max_keys)] = ",".join(keys[c:c + max_keys])
-    assert got == want
+        places.setdefault((float(la), u), []).append(i)
+    headers = {(r["latitude"], r["coordinate_uncertainty"]): r["n"] for r in feature_requests(df).collect()}
+    assert headers == {k: len(v) for k, v in places.items()}
+    got = {(r["latitude"], r["coordinate_uncertainty"], r["id"], r["b"])
+           for r in feature_request_members(df, batch_size=size).collect()}
+    assert got == {(*k, i, n // size) for k, v in places.items() for n, i in enumerate(sorted(v))}
 
 
 pull_rows = st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.sampled_from(["F", "G"]),

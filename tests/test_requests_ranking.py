@@ -4,7 +4,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from geotaxa.operators.ranking import ordered_rank
-from geotaxa.operators.requests import (batched_requests, cell_requests, feature_requests,
+from geotaxa.operators.requests import (batched_requests, cell_request_members, cell_requests, covering_cells,
+                                        feature_request_members, feature_requests,
                                         grid_location, sample_batches, unwind_cells)
 from helpers import as_set, occ_df, row
 
@@ -34,35 +35,43 @@ def test_batches_are_consecutive_and_bounded(spark):
     assert s.count() == 250
 
 
-def test_feature_requests_chunks_hot_places(spark):
+def test_feature_requests_one_per_place_of_any_size(spark):
     rows = [row(i, lat=1.0) for i in range(250)] + [row(1000 + i, lat=2.0, unc=None) for i in range(3)]
-    out = feature_requests(occ_df(spark, rows), max_keys=100)
-    got = {(r["latitude"], r["chunk"]): r["n"] for r in out.collect()}
+    df = occ_df(spark, rows)
+    assert as_set(feature_requests(df), "latitude", "n") == {(1.0, 250), (2.0, 3)}
+    members = feature_request_members(df)
+    assert as_set(members, "latitude", "source", "id") == {(r[4], r[1], r[0]) for r in rows}
+    batched = feature_request_members(df, batch_size=100)
+    got = {(r["latitude"], r["b"]): r["count"] for r in batched.groupBy("latitude", "b").count().collect()}
     assert got == {(1.0, 0): 100, (1.0, 1): 100, (1.0, 2): 50, (2.0, 0): 3}
-    keys = ",".join(r["k"] for r in out.where("latitude = 1.0").orderBy("chunk").collect()).split(",")
-    assert keys == sorted(keys) and len(set(keys)) == 250       # nothing lost, key order kept
 
 
 def test_unwind_and_cell_requests(spark):
     df = occ_df(spark, [row(1, cell=5), row(2, cell=6)])
     u = unwind_cells(df, F.array(F.col("cell_id"), F.col("cell_id") + 1))
     assert u.count() == 4
-    assert as_set(cell_requests(u), "c", "n", "a", "b") == {(5, 1, 1, 1), (6, 2, 1, 2), (7, 1, 2, 2)}
+    assert as_set(cell_requests(u), "c", "n") == {(5, 1), (6, 2), (7, 1)}
+    assert as_set(cell_request_members(u), "c", "id") == {(5, 1), (6, 1), (6, 2), (7, 2)}
 
 
 def test_grid_location(spark):
-    df = occ_df(spark, [row(1, lat=1.3, unc=None), row(2, lat=-0.1, unc=10.0), row(3, lat=0.5, unc=100.0)])
-    assert as_set(grid_location(df), "id", "la", "u") == {(1, 1.25, 30.0), (2, -0.25, 30.0), (3, 0.5, 100.0)}
+    df = occ_df(spark, [row(1, lat=1.3, unc=None), row(2, lat=-0.1, unc=10.0), row(3, lat=0.5, lon=-0.3, unc=100.0)])
+    assert as_set(grid_location(df), "id", "la", "lo", "la_max", "lo_max", "u") == {
+        (1, 1.25, 2.0, 1.5, 2.25, 30.0), (2, -0.25, 2.0, 0.0, 2.25, 30.0), (3, 0.5, -0.5, 0.75, -0.25, 100.0)}
+
+
+def cells_of(df):
+    got = {}
+    for r in covering_cells(df, 0.25).collect():
+        got.setdefault(r["id"], []).append(r["cell"])
+    return {k: sorted(v) for k, v in got.items()}
 
 
 def test_covering_cells_box(spark):
-    from geotaxa.functions.geo import covering_cells
     df = occ_df(spark, [row(1, lat=0.1, lon=0.1, unc=30.0),        # well inside one cell
                         row(2, lat=0.0, lon=0.1, unc=None),        # on a row boundary: two rows
                         row(3, lat=0.0, lon=0.0, unc=30.0)])       # on a corner: four cells
-    got = {r["id"]: sorted(r["cells"]) for r in
-           df.select("id", covering_cells("latitude", "longitude", "coordinate_uncertainty", 0.25)
-                     .alias("cells")).collect()}
+    got = cells_of(df)
     ncols, r0, c0 = 1440, 360, 720
     assert got[1] == [r0 * ncols + c0]
     assert got[2] == [(r0 - 1) * ncols + c0, r0 * ncols + c0]
@@ -75,20 +84,20 @@ def test_ordered_rank_without_groups_is_a_global_row_number(spark):
     assert sorted((r["o"], r["rank"]) for r in got.collect()) == [(i, i + 1) for i in range(101)]
 
 
-def test_feature_requests_as_key_lists(spark):
-    rows = [row(i, lat=1.0) for i in range(5)]
-    out = feature_requests(occ_df(spark, rows), max_keys=2, keys_as_text=False)
-    lists = [r["k"] for r in out.orderBy("chunk").collect()]
-    assert lists == [["gbif:0", "gbif:1"], ["gbif:2", "gbif:3"], ["gbif:4"]]
+def test_covering_cells_of_impossible_polar_and_huge_boxes(spark):
+    got = cells_of(occ_df(spark, [row(1, lat=91.0), row(2, lat=-90.5), row(3, lat=90.0, lon=0.0, unc=None),
+                                  row(4, lat=89.99, lon=10.0, unc=30.0), row(5, lat=0.1, lon=0.0, unc=2e7)]))
+    assert 1 not in got and 2 not in got
+    assert got[3] == list(range(719 * 1440, 720 * 1440))     # a pole touches every column once
+    # near a pole 30 m are 1.544 degrees: columns floor(8.456 / 0.25) to floor(11.544 / 0.25)
+    assert got[4] == [719 * 1440 + 720 + c for c in range(33, 47)]
+    assert len(got[5]) == len(set(got[5])) == 720 * 1440     # the globe, each cell once
 
 
 def test_covering_cells_wrap_at_antimeridian_and_stop_at_poles(spark):
-    from geotaxa.functions.geo import covering_cells
     df = occ_df(spark, [row(1, lat=10.1, lon=179.9999, unc=30.0),
                         row(2, lat=89.9999, lon=0.1, unc=1000.0)])
-    got = {r["id"]: sorted(r["cells"]) for r in
-           df.select("id", covering_cells("latitude", "longitude", "coordinate_uncertainty", 0.25)
-                     .alias("cells")).collect()}
+    got = cells_of(df)
     ncols = 1440
     row10 = 360 + 40                                   # floor(10.1 / 0.25) = 40
     assert got[1] == [row10 * ncols + 0, row10 * ncols + 1439]     # east edge and wrapped west edge

@@ -20,7 +20,7 @@ def test_json_keeps_nulls_and_roundtrips(spark):
 
 def test_strict_json_rejects_nan(spark):
     df = occ_df(spark, [row(1, lat=float("nan"))]).select("id", "latitude")
-    with pytest.raises(Exception, match="not JSON compliant"):
+    with pytest.raises(Exception, match="JSON cannot write"):
         df.select(strict_json(df)).collect()
 
 
@@ -105,13 +105,13 @@ def test_json_lines_file_roundtrip(spark, tmp_path):
 def test_feature_table_schema():
     from geotaxa.operators.features import FeatureSpec, feature_table_schema
     s = feature_table_schema(FeatureSpec(name="landcover"))
-    assert s.fieldNames() == ["cell_id", "date", "landcover", "fetched"]
+    assert s.fieldNames() == ["cell_id", "date", "landcover", "fetched", "appended_at"]
 
 
 def test_strict_json_rejects_infinities(spark):
     for v in (float("inf"), float("-inf")):
         df = occ_df(spark, [row(1, unc=v)]).select("id", "coordinate_uncertainty")
-        with pytest.raises(Exception, match="not JSON compliant"):
+        with pytest.raises(Exception, match="JSON cannot write"):
             df.select(strict_json(df)).collect()
 
 

@@ -59,6 +59,21 @@ def test_feature_join_and_merge_split_a_hot_cell(skew_session):
     assert merged.count() == len(rows)
 
 
+def test_combining_two_features_splits_a_hot_cell(skew_session):
+    spark = skew_session
+    rows = [row(i, cell=1, date=D1, price=float(i)) for i in range(20000)]
+    rows += [row(100000 + i, cell=i % 50 + 2, date=D1) for i in range(2000)]
+    occ = occ_df(spark, rows)
+    schema = "cell_id long, date date, {} long"
+    a = spark.createDataFrame([(c, D1, c % 7) for c in range(60)], schema.format("landcover"))
+    b = spark.createDataFrame([(c, D1, c % 5) for c in range(60)], schema.format("ndvi"))
+    out = fx.combine_features(occ, [(FeatureSpec(name="landcover"), a), (FeatureSpec(name="ndvi", value_cols=("ndvi",)), b)])
+    p = final_plan(out)
+    # one join of the occurrences, and it is split
+    assert p.count("SortMergeJoin(skew=true)") == 1
+    assert out.count() == len(rows)
+
+
 def test_hot_name_is_salted_in_the_taxa_filter(skew_session):
     spark = skew_session
     rows = [row(i, name="Hot taxon", lat=float(i % 500), price=float(i)) for i in range(6000)]

@@ -50,9 +50,9 @@ def test_restrictions_and_upper_bound(spark):
 
 
 def test_sync_queue_provider_without_history_yields_nothing(spark):
-    sources = spark.createDataFrame([("gbif",), ("idigbio",)], "source string")
-    h = hist(spark, [("idigbio", "A", T0), ("idigbio", "B", T0)])
-    assert as_set(sync.sync_queue(sources, h), "source", "family") == {("idigbio", "A"), ("idigbio", "B")}
+    h = hist(spark, [("idigbio", "A", T0), ("idigbio", "B", T0), ("other", "A", T0), (None, "A", T0)])
+    assert as_set(sync.sync_queue(h), "source", "family") == {("idigbio", "A"), ("idigbio", "B")}
+    assert as_set(sync.sync_queue(h, ["gbif", "other"]), "source", "family") == {("other", "A")}
 
 
 def test_empty_history_pulls_nothing(spark):
@@ -72,28 +72,61 @@ def test_normalize_names_once_per_name(spark):
     assert normalize_names(occ, lookup, drop_unresolved=True).count() == 2
 
 
-def test_normalize_names_beyond_broadcast_bound_is_salted(spark):
+def test_normalize_names_spreads_a_popular_name(spark):
     occ = occ_df(spark, [row(i, name="amanita muscaria" if i % 3 else "other name") for i in range(60)])
     lookup = spark.createDataFrame([("amanita muscaria", "A"), ("other name", "O"), ("x y", "X")],
                                    "given_name string, scientific_name string")
-    small = normalize_names(occ, lookup)
-    big = normalize_names(occ, lookup, max_broadcast_rows=1)
-    assert as_set(big, "id", "scientific_name") == as_set(small, "id", "scientific_name")
+    plain = normalize_names(occ, lookup, salt_buckets=1)
+    big = normalize_names(occ, lookup)
+    assert as_set(big, "id", "scientific_name") == as_set(plain, "id", "scientific_name")
     assert big.count() == 60
     from geotaxa.plans.checks import plan_text
     assert "_salt" in plan_text(big)
 
 
-def test_pull_prunes_source_partitions(spark, tmp_path):
-    from geotaxa.plans.checks import plan_text
-    later = T0 + dt.timedelta(days=1)
-    path = str(tmp_path / "rec")
-    occ_df(spark, [row(i, source=s, updated=later) for i, s in enumerate(["gbif", "idigbio", "x"] * 5)]
-           ).write.partitionBy("source").parquet(path)
-    raw = spark.read.parquet(path)
-    out = sync.incremental_pull(raw, hist(spark, [("idigbio", "AMANITACEAE", T0)]))
-    assert out.count() == 5
-    assert "(source#" in plan_text(out, "formatted").split("PartitionFilters: ")[1].split("\n")[0]
+def test_pull_across_a_clock_change_in_another_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("America/New_York", "Europe/Berlin", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            mark = dt.datetime(2021, 3, 14, 2, 10)
+            raw = occ_df(spark, [row(1, updated=dt.datetime(2021, 3, 14, 2, 45)), row(2, updated=mark)])
+            h = hist(spark, [("gbif", "AMANITACEAE", mark)])
+            assert as_set(sync.incremental_pull(raw, h), "id") == {(1,)}
+            zoned = raw.withColumn("updated_at", raw["updated_at"].cast("timestamp"))
+            hz = h.withColumn("fetched_at", h["fetched_at"].cast("timestamp"))
+            want = as_set(sync.incremental_pull(zoned, hz, prune_with_min_mark=False), "id")
+            assert as_set(sync.incremental_pull(zoned, hz), "id") == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_pull_with_nulls_in_the_history(spark):
+    raw = occ_df(spark, [row(1, updated=T0 + dt.timedelta(days=1)), row(2, source=None, updated=T0 + dt.timedelta(days=1))])
+    h = hist(spark, [(None, "AMANITACEAE", T0), ("gbif", None, T0), ("gbif", "AMANITACEAE", T0), ("x", "Y", None)])
+    assert as_set(sync.incremental_pull(raw, h), "id") == {(1,)}
+    assert sync.incremental_pull(raw, hist(spark, [("gbif", "AMANITACEAE", None)])).count() == 0
+
+
+def test_building_a_pull_runs_no_job_and_leaves_no_cache(spark):
+    status = spark.sparkContext.statusTracker()
+    raw = occ_df(spark, [row(1)])
+    h = hist(spark, [("gbif", "AMANITACEAE", T0)])
+    spark.sparkContext.setJobGroup("build", "build")
+    normalize_names(sync.incremental_pull(raw, h), spark.createDataFrame([("a", "b")], "given_name string, scientific_name string"))
+    assert not status.getJobIdsForGroup("build")
+    spark.sparkContext.setJobGroup("", "")
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+def test_marks_stay_before_unwritten_records(spark):
+    from pyspark.sql import functions as F
+    days = [T0 + dt.timedelta(days=d) for d in range(6)]
+    pulled = occ_df(spark, [row(1, updated=days[1]), row(2, updated=days[3], name=None), row(3, updated=days[4]),
+                            row(4, source="x", updated=days[2], name=None)])
+    h = hist(spark, [("gbif", "AMANITACEAE", T0), ("x", "AMANITACEAE", T0)])
+    got = as_set(sync.next_marks(pulled, h, F.col("name").isNull()), "source", "fetched_at")
+    assert got == {("gbif", days[1]), ("x", T0)}
 
 
 def test_default_window_is_2015_to_2019(spark):

@@ -18,7 +18,7 @@ def test_latest_version_keeps_newest_and_breaks_ties_by_price(spark):
         row(2, updated=T0, price=3.0),           # equal time: higher price wins
         row(2, source="idigbio", updated=T0),    # other identity
     ])
-    out = latest_version(df)
+    out = latest_version(df, tie_break=["price"])
     assert out.columns == df.columns              # no helper column leaks
     assert as_set(out, "id", "source", "price") == {(1, "gbif", 1.0), (2, "gbif", 3.0), (2, "idigbio", 1.0)}
 
@@ -128,3 +128,23 @@ def test_records_without_a_price_column(spark):
     out = latest_version(df)
     assert [r["name"] for r in out.collect()] == ["c d"]
     assert read_occurrences(df, threshold=0).count() == 1
+
+
+def test_two_projections_pick_one_version(spark):
+    import pytest
+    df = occ_df(spark, [row(1, name="zz old", cell=1, price=2.0), row(1, name="aa new", cell=9, price=1.0),
+                        row(2, name="b c", cell=3, price=1.0)])
+    keys = ["id", "source", "updated_at", "price"]
+    a = latest_version(df.select(*keys, "name"), tie_break=["price"])
+    b = latest_version(df.select(*keys, "cell_id"), tie_break=["price"])
+    assert as_set(a, "id", "name") == {(1, "zz old"), (2, "b c")}
+    assert as_set(b, "id", "cell_id") == {(1, 1), (2, 3)}
+    with pytest.raises(ValueError, match="tie-break"):
+        latest_version(df.select("id", "source", "updated_at"), tie_break=["price"])
+
+
+def test_read_occurrences_dedups_by_the_given_name_column(spark):
+    from pyspark.sql import functions as F
+    df = occ_df(spark, [row(1, name="given one"), row(2, name="given two")]).withColumn("scientific_name", F.lit("Amanita muscaria"))
+    assert read_occurrences(df, threshold=0, name_col="scientific_name").count() == 1
+    assert read_occurrences(df, threshold=0).count() == 2
