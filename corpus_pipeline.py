@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from geotaxa.llm import hyper_language, qgram_leaks, raking, secret_crf, superminhash
 from geotaxa.session import materialize
 
-MIN_COSINE = 0.05
+MIN_COSINE = 0.02
 # SQL has no form of the first four stages; tests hold them against brute force.
 ORACLE_SQL = None
 

@@ -2,9 +2,10 @@
 
 Every letter has a random vector of ``DIMENSIONS`` signs.  A trigram binds its
 letters' vectors, the first permuted twice and the second once (elementwise
-product); a text bundles its trigrams' vectors (sum).  A language's prototype
-bundles all its training texts.  A text gets the language whose prototype has
-the largest cosine with it; the score is that cosine, cut at 0.
+product); a text bundles its distinct trigrams' vectors (sum), so a line
+repeated a thousand times counts once.  A language's prototype bundles all its
+training texts.  A text gets the language whose prototype has the largest
+cosine with it; the score is that cosine, cut at 0.
 
 Letters are lower-cased; runs of other characters count as one boundary.
 Letters other than a-z share 37 hashed symbols.
@@ -100,9 +101,12 @@ def trigrams(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return tri[same].astype(np.int64), row[same]
 
 
-def _counts(index: np.ndarray, row: np.ndarray, lo: int, hi: int, width: int) -> np.ndarray:
+def _present(index: np.ndarray, row: np.ndarray, lo: int, hi: int, width: int) -> np.ndarray:
+    """(hi - lo, width): which of the trigrams each text has."""
     a, b = np.searchsorted(row, [lo, hi])
-    return np.bincount((row[a:b] - lo) * width + index[a:b], minlength=(hi - lo) * width).reshape(hi - lo, width)
+    out = np.zeros((hi - lo, width), np.float32)
+    out[row[a:b] - lo, index[a:b]] = 1
+    return out
 
 
 def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
@@ -115,15 +119,21 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
             names, which = codes.dictionary.to_pylist(), codes.indices.to_numpy(zero_copy_only=False)
             for lo, hi, buf, off in pieces(*buffer_of(batch.column("text"))):
                 tri, row = trigrams(buf, off)
-                for k in np.unique(which[lo:hi]):
-                    own = np.bincount(tri[which[lo:hi][row] == k], minlength=TRIGRAMS)
-                    sums[names[k]] = sums.get(names[k], 0) + own
+                if not len(tri):
+                    continue
+                used, index = np.unique(vectors.index(tri), return_inverse=True)
+                owner = which[lo:hi]
+                for a in range(0, hi - lo, _ROWS):
+                    b = min(hi - lo, a + _ROWS)
+                    present = _present(index, row, a, b, len(used))
+                    for k in np.unique(owner[a:b]):
+                        own = present[owner[a:b] == k].sum(axis=0)
+                        table = sums.setdefault(names[k], np.zeros(TRIGRAMS))
+                        table[used] += own
         rows = []
         for name, own in sums.items():
-            used = np.flatnonzero(own)
-            at = vectors.index(used)
-            signs = vectors.rows[at]
-            rows.append((name, np.rint(own[used].astype(np.float64) @ signs.astype(np.float64)).astype(np.int64)))
+            used = np.flatnonzero(own)  # numbers of the vectors this task has made
+            rows.append((name, np.rint(own[used] @ vectors.rows[used].astype(np.float64)).astype(np.int64)))
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()),
                                           pa.array([r[1] for r in rows], pa.list_(pa.int64()))], ["lang", "sums"])
 
@@ -152,7 +162,7 @@ def classify(buf: np.ndarray, off: np.ndarray, prototypes: np.ndarray) -> tuple[
     signs = vectors.rows[used]
     for lo in range(0, n, _ROWS):
         hi = min(n, lo + _ROWS)
-        bundled = _counts(index, row, lo, hi, len(used)).astype(np.float32) @ signs
+        bundled = _present(index, row, lo, hi, len(used)) @ signs
         length = np.linalg.norm(bundled, axis=1)
         full = np.flatnonzero(length > 0)
         cosines = (bundled[full].astype(np.float64) @ prototypes.T) / length[full, None]
