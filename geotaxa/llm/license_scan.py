@@ -159,7 +159,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES,
     for label, ordered, need, first in plans:
         share = F.array_max(F.transform(F.col("_blocks"), _containment(ordered, need, first)))
         found.append(F.when(share >= need / len(ordered) - 1e-12, F.struct(share.alias("score"), F.lit(label).alias("label"))))
-    hits = F.filter(F.array(*found), lambda x: x.isNotNull()) if found else F.lit(None)
+    hits = F.filter(F.array(*found), lambda x: x.isNotNull()) if found else F.lit(None).cast("array<struct<score:double,label:string>>")
     df = df.withColumn("_hits", F.when(F.size("_blocks") > 0, hits))
     more = F.coalesce(F.transform("_hits", lambda x: x["label"]), F.array().cast("array<string>"))
     return df.select(

@@ -33,8 +33,9 @@ with many different phrases; entries at the ends of a range count as
 contested, which costs work but changes nothing.
 
 Defined cases: null texts are empty; a text shorter than a window keeps all;
-rows that repeat a doc_id share their order, so they do not remove each
-other; rows without a doc_id come first.
+rows that repeat a doc_id are one document (they do not remove each other);
+rows without a doc_id have no place in the order, so they keep all their bytes
+and remove none.
 """
 
 from __future__ import annotations
@@ -55,7 +56,6 @@ _GRAMS = WINDOW - GRAM + 1
 _PLACE = np.uint64((1 << 30) - 1)
 _NAMES = ["g", "h", "doc", "place"]
 _SCHEMA = "g long, h long, doc long, place long"
-NO_ID = -(1 << 63)
 # place: start << 16 | windows << 9 | trigger's distance from the start << 1 | settled
 _U = np.uint64
 
@@ -273,9 +273,9 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def removed_mask(n: int, places: np.ndarray) -> np.ndarray:
     """Bytes of a text covered by the windows that ``places`` name."""
     edge = np.zeros(n + 1, np.int32)
-    start = places >> 16
+    start = np.minimum(places >> 16, n)  # beyond only if rows of one doc_id differ in text
     np.add.at(edge, start, 1)
-    np.add.at(edge, start + (places >> 9 & 0x7F) - 1 + WINDOW, -1)
+    np.add.at(edge, np.minimum(start + (places >> 9 & 0x7F) - 1 + WINDOW, n), -1)
     return np.cumsum(edge[:-1]) > 0
 
 
@@ -301,8 +301,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     and ``kept``, the remaining bytes."""
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    keyed = texts.withColumn("doc", F.coalesce("doc_id", F.lit(NO_ID)))
-    parsed = keyed.select("doc", "text").mapInArrow(_parse, _SCHEMA)
+    keyed = texts.withColumn("doc", F.col("doc_id"))
+    parsed = keyed.where("doc is not null").select("doc", "text").mapInArrow(_parse, _SCHEMA)
     entries = parsed.repartitionByRange(partitions, "g", "h").sortWithinPartitions("g", "h", "doc", "place") \
         .mapInArrow(_entries, "doc long, place long, g long")
     marked = entries.groupBy("doc").agg(

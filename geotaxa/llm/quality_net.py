@@ -140,7 +140,7 @@ class Net:
         rng = np.random.default_rng(9)
         order = rng.permutation(len(y))
         held, own = np.split(order, [len(y) // 5])
-        if len(np.unique(y[own])) < 2:
+        if len(np.unique(y[own])) < 2 or not len(held):
             own = held = order
         self.mean, self.scale = x[own].mean(axis=0), x[own].std(axis=0) + 1e-3
         p = [rng.normal(0, 1 / np.sqrt(x.shape[1]), (x.shape[1], hidden)), np.zeros(hidden),
