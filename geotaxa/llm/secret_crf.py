@@ -208,7 +208,9 @@ NOTHING = Model(np.zeros((N_WEIGHTS, 3)) + [1.0, 0.0, 0.0], np.zeros((3, 3)))
 
 def fit(texts: list[str], window: int = 12, steps: int = 80) -> Model:
     """Maximum likelihood (Adam, L2) over stretches of tokens: those around
-    pattern values and as many from elsewhere."""
+    pattern values and others from elsewhere.  Every stretch is also learned
+    with random words in place of its own, so that shapes carry a secret beside
+    a word that no pattern knows."""
     raw = [t.encode() for t in texts]
     piece = Piece(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64))
     n = len(piece.start)
@@ -229,9 +231,12 @@ def fit(texts: list[str], window: int = 12, steps: int = 80) -> Model:
     at = np.clip(at, 0, n - 1)
     here &= row[at] == row[centres][:, None]
     x, y = features[at], np.where(here, gold[at], 0)
+    unknown = x.copy()
+    unknown[:, :, 1:5] = GROUPS[1:5] + rng.integers(1, WORDS, unknown[:, :, 1:5].shape)
+    x, y, here = np.concatenate([x, unknown]), np.concatenate([y, y]), np.concatenate([here, here])
     weights, moves = np.zeros((N_WEIGHTS, 3)), np.zeros((3, 3))
     state = [np.zeros_like(a) for a in (weights, weights, moves, moves)]
-    batch = len(centres)
+    batch = len(x)
     for step in range(1, steps + 1):
         emit = weights[x].sum(axis=2) * here[:, :, None]
         alpha = np.zeros((batch, width, 3))

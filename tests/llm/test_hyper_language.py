@@ -1,0 +1,68 @@
+import zlib
+
+import numpy as np
+from llm_helpers import ODD, SF, docs_df, duck, rows_by_id, with_clashes
+
+from geotaxa.llm import hyper_language as hl
+
+
+def test_held_out_accuracy(spark):
+    got = rows_by_id(hl.op3_hyper_language(spark, SF))
+    truth = dict(duck().execute("select doc_id, lang from documents").fetchall())
+    assert set(got) == set(truth)
+    for d, r in got.items():
+        assert r["held_out"] == (zlib.crc32(str(d).encode()) % 4 == 2) and 0 <= r["score"] <= 1
+    held = [d for d in got if got[d]["held_out"]]
+    assert np.mean([got[d]["lang_pred"] == truth[d] for d in held]) >= 0.95
+
+
+def brute_vector(text):
+    base = np.random.default_rng(31).choice(np.array([-1, 1], np.int8), (hl.SYMBOLS, hl.DIMENSIONS)).astype(int)
+    symbols, out = hl._symbols(), np.zeros(hl.DIMENSIONS, int)
+    s = [0]
+    for ch in text:
+        x = int(symbols[ord(ch)])
+        if x or s[-1]:
+            s.append(x)
+    if s[-1]:
+        s.append(0)
+    for a, b, c in set(zip(s, s[1:], s[2:])):
+        out += np.roll(base[a], 2) * np.roll(base[b], 1) * base[c]
+    return out
+
+
+def test_bundles_equal_a_plain_sum(spark):
+    text = ["Ab c", "", "12 34", "é-ß. zz", "x"]
+    raw = [t.encode() for t in text]
+    buf, off = np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    prototypes = np.random.default_rng(1).normal(size=(3, hl.DIMENSIONS))
+    prototypes /= np.linalg.norm(prototypes, axis=1, keepdims=True)
+    best, score = hl.classify(buf, off, prototypes)
+    for t, b, s in zip(text, best, score):
+        v = brute_vector(t)
+        if not v.any():
+            assert (b, s) == (-1, 0)
+        else:
+            cosine = prototypes @ v / np.linalg.norm(v)
+            assert b == cosine.argmax() and abs(s - max(cosine.max(), 0)) < 1e-5
+    languages, learned = hl.learn(docs_df(spark, [(1, "Ab c", "a"), (2, "zz", "a"), (3, "hello", "b"), (4, "q", None)]))
+    want = brute_vector("Ab c") + brute_vector("zz")
+    assert languages == ["a", "b"]
+    assert np.allclose(learned[0], want / np.linalg.norm(want))
+
+
+def test_odd_rows(spark):
+    df = with_clashes(docs_df(spark, [(*r, "en", "s") for r in ODD] + [(90, "le chat", "fr"), (91, None, None)]))
+    languages, prototypes = hl.learn(df)
+    out = {r["doc_id"]: r for r in hl.predict(df, languages, prototypes).collect()}
+    assert languages == ["en", "fr"]
+    assert [out[d]["lang_pred"] for d in (1, 2, 3, 91)] == ["und"] * 4 and out[1]["score"] == 0.0
+    assert out[6]["lang_pred"] == "en" and out[None]["lang_pred"] in languages
+    kept = hl.keep_known(df, languages, prototypes, 0.05)
+    assert kept.columns == df.columns
+    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == sorted(
+        r["doc_id"] or 0 for r in hl.predict(df, languages, prototypes).where("lang_pred <> 'und' and score >= 0.05").collect())
+    assert {90, 6} <= {r["doc_id"] for r in kept.collect()}
+    nothing = hl.learn(docs_df(spark, []))
+    assert {r["lang_pred"] for r in hl.predict(df, *nothing).collect()} == {"und"}
+    assert hl.predict(docs_df(spark, []), languages, prototypes).count() == 0

@@ -1,0 +1,116 @@
+import random
+
+import numpy as np
+from llm_helpers import ODD, SF, docs_df, rows_by_id, texts, with_clashes
+
+from geotaxa.llm import superminhash as sm
+from geotaxa.llm.graph import components
+
+
+def shingles(text, k):
+    w = text.encode().lower().split()
+    return {tuple(w[i:i + k]) for i in range(max(1, len(w) - k + 1))} if w else set()
+
+
+def brute(docs, k, percent):
+    sets = {d: shingles(t, k) for d, t in docs}
+    parent = {d: d for d in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1:]:
+            inter = len(sets[a] & sets[b])
+            if inter and 100 * inter >= percent * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                parent[y] = x
+    return {d: (len(sets[d]), find(d), find(d) == d) for d in sets}
+
+
+def result(df):
+    return {d: tuple(r)[1:] for d, r in rows_by_id(df).items()}
+
+
+def test_query_equals_brute_force(spark):
+    assert result(sm.op6_superminhash(spark, SF)) == brute(list(texts().items()), 3, 85)
+
+
+def families():
+    """Copies with growing numbers of edits, so links reach over several steps."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(400)]
+    docs, d = [], 0
+    for _ in range(6):
+        base = [rng.choice(words) for _ in range(rng.choice([30, 80, 200]))]
+        for _ in range(25):
+            docs.append((d, " ".join(base)))
+            d += 1
+            for _ in range(rng.randint(0, 3)):
+                base[rng.randrange(len(base))] = rng.choice(words)
+    rng.shuffle(docs)
+    return docs
+
+
+def test_families_with_chains_equal_brute_force(spark, monkeypatch):
+    docs = families()
+    for part in (512, 10):      # 10: families are dealt into size classes and parts
+        monkeypatch.setattr(sm, "PART_NODES", part)
+        for k, percent in ((3, 85), (5, 80)):
+            assert result(sm.near_duplicates(docs_df(spark, docs), k, percent)) == brute(docs, k, percent)
+
+
+def test_agreement_estimates_similarity():
+    rng = np.random.default_rng(8)
+    registers = sm.BANDS * 6
+    errors = []
+    for share in (0.3, 0.6, 0.9):
+        for _ in range(20):
+            both = rng.integers(0, 2 ** 63, 300).astype(np.uint64)
+            n = round(300 * (1 - share) / (2 * share))
+            a, b = (np.sort(np.concatenate([both, rng.integers(0, 2 ** 63, n).astype(np.uint64)])) for _ in range(2))
+            table = sm.signatures(np.concatenate([a, b]), np.repeat([0, 1], [len(a), len(b)]), 2, registers)
+            errors.append((table[0] == table[1]).mean() - 300 / (300 + 2 * n))
+    assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.05
+
+
+def test_signature_equals_the_plain_algorithm():
+    rng = np.random.default_rng(3)
+    registers = 12
+    for n in (1, 2, 7, 40):
+        h = np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64))
+        want = [(1 << 40)] * registers
+        for x in h:
+            place = list(range(registers))
+            for step in range(registers):
+                salt = np.uint64((step + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+                r = int(sm.mix(np.array([x]) + salt)[0])
+                k = step + (r & 0xFFFFFFFF) % (registers - step)
+                place[step], place[k] = place[k], place[step]
+                want[place[step]] = min(want[place[step]], step << 24 | r >> 40)
+        got = sm.signatures(h, np.zeros(len(h), np.int64), 1, registers)[0]
+        assert got.tolist() == want
+
+
+def test_components_of_long_paths_and_stars(spark):
+    edges = [(i, i + 1) for i in range(0, 60)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5, 5), (77, 77), (None, 3)]
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(61)}, **{1000 + i: 1000 for i in range(200)}, 77: 77}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_odd_rows(spark):
+    df = with_clashes(docs_df(spark, ODD))
+    rows = sm.near_duplicates(df).collect()
+    assert len(rows) == len(ODD)
+    by_id = {r["doc_id"]: tuple(r)[1:] for r in rows}
+    assert by_id[1] == (0, 1, True) and by_id[2] == (0, 2, True) and by_id[3] == (0, 3, True)
+    assert by_id[6] == (1, 6, True) and by_id[8] == (1, 7, False) and by_id[7] == (1, 7, True)
+    assert by_id[None] == (1, None, True)
+    left = sm.drop_duplicates(df)
+    assert left.columns == df.columns
+    assert sorted(str(r["doc_id"]) for r in left.collect()) == sorted(str(r[0]) for r in ODD if r[0] != 8)
+    assert sm.near_duplicates(docs_df(spark, [])).count() == 0
