@@ -223,7 +223,7 @@ def fit(texts: list[str], window: int = 12, steps: int = 80) -> Model:
     if not len(hits):
         return NOTHING
     rng = np.random.default_rng(5)
-    centres = np.concatenate([hits, rng.integers(0, n, 3 * len(hits) + 200)])
+    centres = np.concatenate([hits, rng.integers(0, n, len(hits) + 400)])
     width = 2 * window + 1
     at = centres[:, None] - window + np.arange(width)
     features, row = piece.features(), piece.row
