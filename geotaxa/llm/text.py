@@ -10,13 +10,14 @@ Null texts count as empty everywhere.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 
 _U = np.uint64
 SPACE = np.zeros(256, dtype=bool)
@@ -82,6 +83,7 @@ def buffer_of(column) -> tuple[np.ndarray, np.ndarray]:
 
 def pieces(buf: np.ndarray, off: np.ndarray, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Row ranges (lo, hi, bytes, offsets) of about ``limit`` bytes, whole texts only."""
+    gc.collect()  # tables that earlier tasks of this worker made for themselves
     n, lo = len(off) - 1, 0
     while lo < n:
         hi = max(lo + 1, int(np.searchsorted(off, off[lo] + limit, "right")) - 1)
