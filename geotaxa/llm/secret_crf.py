@@ -206,31 +206,46 @@ class Model:
 NOTHING = Model(np.zeros((N_WEIGHTS, 3)) + [1.0, 0.0, 0.0], np.zeros((3, 3)))
 
 
-def fit(texts: list[str], window: int = 12, steps: int = 80) -> Model:
-    """Maximum likelihood (Adam, L2) over stretches of tokens: those around
-    pattern values and others from elsewhere.  Every stretch is also learned
-    with random words in place of its own, so that shapes carry a secret beside
-    a word that no pattern knows."""
+def _labelled(texts: list[str]) -> tuple[Piece, np.ndarray]:
+    """The texts as one piece, and 1 for a token that begins a pattern's value,
+    2 for one that goes on with it."""
     raw = [t.encode() for t in texts]
     piece = Piece(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64))
-    n = len(piece.start)
-    gold = np.zeros(n, np.int64)
+    gold = np.zeros(len(piece.start), np.int64)
     for _, _, _, a, b in piece.matches:
         lo, hi = np.searchsorted(piece.end, a, "right"), np.searchsorted(piece.start, b, "left")
         if lo < hi and not gold[lo]:
             gold[lo], gold[lo + 1:hi] = 1, 2
-    hits = np.flatnonzero(gold == 1)
-    if not len(hits):
-        return NOTHING
+    return piece, gold
+
+
+def fit(texts: list[str], window: int = 12, steps: int = 80) -> Model:
+    """Maximum likelihood (Adam, L2) over stretches of tokens: those around
+    pattern values and others from elsewhere.  Every stretch is also learned
+    with random words in place of its own, so that shapes carry a secret beside
+    a word that no pattern knows."""
     rng = np.random.default_rng(5)
-    centres = np.concatenate([hits, rng.integers(0, n, len(hits) + 400)])
-    width = 2 * window + 1
-    at = centres[:, None] - window + np.arange(width)
-    features, row = piece.features(), piece.row
-    here = (at >= 0) & (at < n)
-    at = np.clip(at, 0, n - 1)
-    here &= row[at] == row[centres][:, None]
-    x, y = features[at], np.where(here, gold[at], 0)
+    width, parts, found, at = 2 * window + 1, [], 0, 0
+    while at < len(texts):  # about a MB at a time: the driver keeps the stretches alone
+        to, size = at, 0
+        while to < len(texts) and size < 1 << 20:
+            size += len(texts[to])
+            to += 1
+        piece, gold = _labelled(texts[at:to])
+        at = to
+        n, hits = len(piece.start), np.flatnonzero(gold == 1)
+        if not n:
+            continue
+        found += len(hits)
+        centres = np.concatenate([hits, rng.integers(0, n, len(hits) + 40)])
+        place = centres[:, None] - window + np.arange(width)
+        here = (place >= 0) & (place < n)
+        place = np.clip(place, 0, n - 1)
+        here &= piece.row[place] == piece.row[centres][:, None]
+        parts.append((piece.features()[place], np.where(here, gold[place], 0), here))
+    if not found:
+        return NOTHING
+    x, y, here = (np.concatenate(c) for c in zip(*parts))
     unknown = x.copy()
     unknown[:, :, 1:5] = GROUPS[1:5] + rng.integers(1, WORDS, unknown[:, :, 1:5].shape)
     x, y, here = np.concatenate([x, unknown]), np.concatenate([y, y]), np.concatenate([here, here])
