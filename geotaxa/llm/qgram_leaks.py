@@ -6,13 +6,17 @@ cut into passages of ``PASSAGE`` bytes, each starting half a passage after the
 one before (the last ends with the item); a shorter item is one passage.  A
 document leaks a passage of length L if some stretch of it is within
 ``k = floor(EDITS * L)`` single-byte edits (k is lowered for very short
-passages, so that the bound below stays at 1 or more).
+passages, so that the bound below stays at 1 or more).  A document also leaks
+an item if any ``RUN`` bytes of it, wherever they start, are bytes of the
+item: every verbatim excerpt of at least ``RUN`` normal bytes is found.
 
 *Lemma.*  Such a stretch shares at least ``L - Q + 1 - k Q`` q-grams with the
 passage, all on k + 1 neighbouring diagonals.  Hits are counted in bands of
 2 (k + 1) diagonals that overlap by half, so every set of k + 1 diagonals lies
 in one band.  Bands that meet the bound are verified by an alignment that
 stays inside the band widened by k.  Nothing within the budget is lost.
+Verbatim runs are ``RUN - Q + 1`` hits in a row whose bytes are looked up by a
+hash of their q-grams and compared.
 
 The benchmark is read in blocks of at most ``BLOCK`` bytes by a hash of the
 item; each block's q-grams go to every task and the documents are scanned once
@@ -36,6 +40,7 @@ from geotaxa.llm.text import LOWER, buffer_of, mix, pieces, read_documents
 Q = 10
 PASSAGE = 128
 EDITS = 0.08
+RUN = 6 * Q
 BLOCK = 16 << 20
 _KEEP = np.zeros(256, bool)
 _KEEP[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
@@ -67,12 +72,20 @@ def grams(data: np.ndarray) -> np.ndarray:
     return mix(eight[:n] * _U(0x9E3779B97F4A7C15) + eight[Q - 8:Q - 8 + n])
 
 
+def run_hash(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Hash of the RUN bytes from each place of ``at`` on, by their q-grams."""
+    out = np.zeros(len(at), _U)
+    for o in range(0, RUN, Q):
+        out = mix(out * _U(0x9E3779B97F4A7C15) + h[at + o])
+    return out
+
+
 class Index:
     """Q-grams of one block of items."""
 
     def __init__(self, items: list[tuple[int, str]]):
         self.items = [i for i, _ in items]
-        own, text, size = [], [], []
+        own, text, size, flat, whole = [], [], [], [], []
         for number, (_, t) in enumerate(items):
             raw = np.frombuffer((t or "").encode(), np.uint8)
             data, _, _ = normal(raw, np.array([0, len(raw)]))
@@ -80,6 +93,8 @@ class Index:
                 data = data[:-1]
             if len(data) < Q:
                 continue
+            flat.append(data)
+            whole.append(number)
             starts = [0] if len(data) <= PASSAGE else sorted({*range(0, len(data) - PASSAGE, PASSAGE // 2), len(data) - PASSAGE})
             for s in starts:
                 part = data[s:s + PASSAGE]
@@ -99,6 +114,23 @@ class Index:
         self.passage, self.place = passage[order], place[order]
         self.grams, self.begin = np.unique(h[order], return_index=True)
         self.begin = np.append(self.begin, len(h))
+        self._runs(flat, whole)
+
+    def _runs(self, flat: list[np.ndarray], whole: list[int]) -> None:
+        """Every RUN bytes of the items, one entry per item that has them."""
+        self.flat = np.concatenate(flat) if flat else np.zeros(0, np.uint8)
+        begin = np.cumsum([0] + [len(x) for x in flat])
+        n = np.array([max(0, len(x) - RUN + 1) for x in flat], np.int64)
+        at = np.repeat(begin[:-1] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        item = np.repeat(np.array(whole, np.int64), n)
+        key = run_hash(grams(self.flat), at)
+        order = np.lexsort((at, item, key))
+        key, item, at = key[order], item[order], at[order]
+        fresh = np.ones(len(key), bool)
+        fresh[1:] = (key[1:] != key[:-1]) | (item[1:] != item[:-1])
+        self.run_item, self.run_at = item[fresh], at[fresh]
+        self.runs, self.run_begin = np.unique(key[fresh], return_index=True)
+        self.run_begin = np.append(self.run_begin, len(self.run_at))
 
     def maybe(self) -> np.ndarray:
         """By the first 22 bits of a hash: may it be one of the block's?"""
@@ -129,6 +161,48 @@ def distances(index: Index, passage: np.ndarray, data: np.ndarray, start: np.nda
     return best, end
 
 
+def verbatim_in(index: Index, data: np.ndarray, ends: np.ndarray, h: np.ndarray,
+                hit: np.ndarray) -> dict[tuple[int, int], tuple[int, int]]:
+    """(row, item) -> (start, end) in ``data`` of the RUN bytes they share;
+    ``hit``: the places in ``data`` whose q-gram is in the index."""
+    steps = RUN - Q
+    if len(hit) <= steps or not len(index.runs):
+        return {}
+    at = hit[:-steps][hit[steps:] - hit[:-steps] == steps]
+    row = np.searchsorted(ends[1:], at, "right")
+    inside = at + RUN <= ends[row + 1]
+    at, row = at[inside], row[inside]
+    key = run_hash(h, at)
+    entry = np.minimum(np.searchsorted(index.runs, key), len(index.runs) - 1)
+    same = index.runs[entry] == key
+    at, name = at[same], row[same] * len(index.runs) + entry[same]
+    # Each run once a row, with its first and last place.
+    name, first, inverse = np.unique(name, return_index=True, return_inverse=True)
+    last = np.zeros(len(name), np.int64)
+    np.maximum.at(last, inverse, at)
+    first = at[first]
+    out: dict[tuple[int, int], tuple[int, int]] = {}
+    for lo in range(0, len(name), 20_000):
+        row, entry = np.divmod(name[lo:lo + 20_000], len(index.runs))
+        count = index.run_begin[entry + 1] - index.run_begin[entry]
+        use = np.repeat(index.run_begin[entry] - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
+        a, z = np.repeat(first[lo:lo + 20_000], count), np.repeat(last[lo:lo + 20_000], count) + RUN
+        pair = np.repeat(row, count) * len(index.items) + index.run_item[use]
+        true = np.ones(len(use), bool)
+        for o in range(RUN):
+            true &= data[a + o] == index.flat[index.run_at[use] + o]
+        pair, a, z = pair[true], a[true], z[true]
+        pair, inverse = np.unique(pair, return_inverse=True)
+        start, end = np.full(len(pair), 1 << 62), np.zeros(len(pair), np.int64)
+        np.minimum.at(start, inverse, a)
+        np.maximum.at(end, inverse, z)
+        for p, x, y in zip(pair.tolist(), start.tolist(), end.tolist()):
+            r = divmod(p, len(index.items))
+            have = out.get(r, (x, y))
+            out[r] = (min(have[0], x), max(have[1], y))
+    return out
+
+
 def leaks_in(index: Index, maybe: np.ndarray, buf: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int, int, int]]:
     """(row, item, start, end, edits), places in bytes of ``buf``, one per row and item."""
     data, ends, at = normal(buf, off)
@@ -139,10 +213,11 @@ def leaks_in(index: Index, maybe: np.ndarray, buf: np.ndarray, off: np.ndarray)
     entry = np.minimum(np.searchsorted(index.grams, h[hit]), len(index.grams) - 1)
     true = index.grams[entry] == h[hit]
     hit, entry = hit[true], entry[true]
+    out = {name: (int(at[a]), int(at[z - 1]) + 1, 0) for name, (a, z) in verbatim_in(index, data, ends, h, hit).items()}
     # Only stretches with enough hits of any kind can meet a bound.
     least, span = int(index.least.min()), PASSAGE + 2 * int(index.budget.max()) + 2
     if len(hit) < least:
-        return []
+        return [(r, i, *v) for (r, i), v in sorted(out.items())]
     dense = np.flatnonzero(hit[least - 1:] - hit[:len(hit) - least + 1] <= span)
     cover = np.zeros(len(hit) + 1, np.int64)
     np.add.at(cover, dense, 1)
@@ -163,7 +238,6 @@ def leaks_in(index: Index, maybe: np.ndarray, buf: np.ndarray, off: np.ndarray)
     row, passage, band = key // wide // len(index.size), key // wide % len(index.size), key % wide
     good = n >= index.least[passage]
     row, passage, band = row[good], passage[good], band[good]
-    out: dict[tuple[int, int], tuple[int, int, int]] = {}
     for lo in range(0, len(row), 2000):
         r, p, b = row[lo:lo + 2000], passage[lo:lo + 2000], band[lo:lo + 2000]
         k = index.budget[p]

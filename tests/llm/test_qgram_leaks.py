@@ -99,3 +99,37 @@ def test_odd_rows(spark):
     assert ql.find_leaks(docs, bench.limit(0)).count() == 0
     assert ql.drop_leaks(docs, bench.limit(0)).count() == len(ODD) + 2
     assert ql.find_leaks(docs_df(spark, []), bench).count() == 0
+
+
+def test_every_verbatim_excerpt_of_a_run_is_found(spark):
+    rng = random.Random(23)
+    items = [(i, prose(rng, 45)) for i in range(12)] + [(50, "Same opening words of two items, long enough to be a run of bytes: " + prose(rng, 9))]
+    items.append((51, items[-1][1][:70] + prose(rng, 20)))
+    docs, want = [], set()
+    for d in range(150):
+        i, text = rng.choice(items[:12])
+        body, n = plain(text), rng.choice([ql.RUN, ql.RUN + 5, 80, 100, 115, 140])
+        while True:                                    # a random excerpt of whole characters
+            a = rng.randrange(len(body) - n + 1)
+            try:
+                part = body[a:a + n].decode().strip()
+            except UnicodeDecodeError:
+                continue
+            if len(part.encode()) == n:
+                break
+        docs.append((d, f"{prose(rng, rng.randint(0, 40))} QZ{part.upper().replace('É', 'é')}QZ {prose(rng, 20)}"))
+        want.add((d, i))
+    docs.append((200, items[-1][1][:70] + "?"))
+    want |= {(200, 50), (200, 51)}
+    # Less than a run, and a run over two rows, are none.
+    docs += [(300, plain(items[0][1])[:ql.RUN - 4].decode("utf-8", "ignore"))]
+    half = plain(items[1][1])
+    docs += [(400, half[40:80].decode("utf-8", "ignore")), (401, half[80:120].decode("utf-8", "ignore"))]
+    rows = ql.find_leaks(docs_df(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in rows} == want
+    text = dict(docs)
+    for r in rows:
+        assert r["edits"] == 0
+        if r["doc_id"] < 150:
+            inside = text[r["doc_id"]].split("QZ")[1].strip()
+            assert inside in text[r["doc_id"]][r["start"]:r["end"]]
