@@ -14,7 +14,7 @@ fingerprints.  ``likeness`` weighs each sample by the steps it stands for.
 
 ``fingerprint_edits`` compares each text with its half-edited form and with
 the next document in descending doc_id order; ``near_links`` groups
-fingerprints by bands of sampled bits and verifies every link.
+fingerprints by bands of sampled bits and verifies every pair that shares one.
 
 Defined cases: a null text is empty; an empty text has fingerprint ``0:``, is
 1.0 like an empty text and 0.0 like any other.  Rows without a doc_id come
@@ -35,9 +35,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geotaxa.llm.text import read_documents
+from geotaxa.session import materialize
 
 SAMPLES = 128
 PERIOD = 4096
+PART_PRINTS = 512
 
 _rng = np.random.default_rng(1405)
 _ROWS = [bytes(r) for r in _rng.integers(0, 2, size=(PERIOD, 256), dtype=np.uint8)] * 2
@@ -182,38 +184,112 @@ def fingerprint_edits(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     return dealt.mapInArrow(_edits, _SCHEMA)
 
 
+def _signed(fps: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(bits as 1 and -1, 0 after the end; number of bits) of each fingerprint."""
+    bits = [parse_fingerprint(fp) for fp in fps]
+    size = np.array([len(b) for b in bits], np.int64)
+    out = np.zeros((len(fps), int(size.max(initial=0))))
+    for row, b in zip(out, bits):
+        row[:len(b)] = 2.0 * b - 1
+    return out, size
+
+
+def likenesses(a: list[str], b: list[str]) -> np.ndarray:
+    """``likeness`` of each fingerprint of ``a`` with each of ``b`` (equal: all sums are whole numbers)."""
+    both, size = _signed([*a, *b])
+    width = both.shape[1]
+    _sampled(width)
+    weights = np.asarray(_weights[:width])
+    total = np.concatenate([[1.0], np.cumsum(weights)])  # two empty ones are not asked for
+    n = len(a)
+    return np.maximum(0.0, (both[:n] * weights) @ both[n:].T / total[np.maximum(size[:n, None], size[None, n:])])
+
+
+def _bucket_links(threshold: float):
+    """Rows come by (key, i, j): all pairs of a bucket's part i with its part j."""
+
+    def links(part: np.ndarray, i: int, j: int, ids: list[int], fps: list[str]) -> Iterator[tuple[int, int, float]]:
+        own = np.flatnonzero(part == i)
+        other = np.flatnonzero(part == j)
+        if i == j and len(own) < 2 or not len(own) or not len(other):
+            return
+        found = likenesses([fps[k] for k in own], [fps[k] for k in other])
+        for x, y in zip(*np.nonzero(found >= threshold)):
+            p, q = ids[own[x]], ids[other[y]]
+            if p != q and (i != j or x < y):
+                yield max(p, q), min(p, q), float(found[x, y])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "other_id", "likeness"]
+        task, held = None, []
+
+        def flush() -> list[tuple[int, int, float]]:
+            if len(held) < 2:
+                return []
+            ids, fps, part = zip(*held)
+            return list(links(np.array(part), task[1], task[2], ids, fps))
+
+        def batch_of(rows: list[tuple[int, int, float]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                zip(*rows) if rows else [[]] * 3, (pa.int64(), pa.int64(), pa.float64()))], names)
+
+        for batch in batches:
+            out: list[tuple[int, int, float]] = []
+            columns = [batch.column(c).to_pylist() for c in ("key", "i", "j", "node", "fingerprint", "part")]
+            for key, i, j, node, fp, part in zip(*columns):
+                if (key, i, j) != task:
+                    out += flush()
+                    task, held = (key, i, j), []
+                held.append((node, fp, part))
+            yield batch_of(out)
+        yield batch_of(flush())
+
+    return run
+
+
 def near_links(prints: DataFrame, threshold: float = 0.7, bands: int = 24, bits: int = 14) -> DataFrame:
     """Verified links between near fingerprints: (doc_id, other_id, likeness).
 
     A band is ``bits`` sampled bits of the last two levels of a fingerprint;
-    documents that agree on a band are compared with the smallest doc_id of
-    their bucket, so a bucket gives as many pairs as it has documents."""
+    all pairs that agree on a band are compared.  Equal fingerprints are one
+    node, named by its smallest doc_id, which the others are linked with; a
+    link between nodes stands for all their copies.  Empty fingerprints are
+    linked with nothing.  Buckets above ``PART_PRINTS`` are dealt into parts
+    and a task compares two of them, so tasks are bounded; the number of pairs
+    grows with the square of a bucket of different fingerprints."""
     rng = np.random.default_rng(77)
     picks = [np.sort(rng.choice(2 * SAMPLES, bits, replace=False)) for _ in range(bands)]
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc_id, fp in zip(batch.column("doc_id").to_pylist(), batch.column("fingerprint").to_pylist()):
+            for node, fp in zip(batch.column("node").to_pylist(), batch.column("fingerprint").to_pylist()):
                 have = parse_fingerprint(fp)
                 top = max(0, len(have) - 1) // SAMPLES
-                for level in {top, max(top - 1, 0)} if len(have) else ():
+                for level in {top, max(top - 1, 0)}:
                     part = np.zeros(2 * SAMPLES, np.uint8)
                     own = have[max(level - 1, 0) * SAMPLES:(level + 1) * SAMPLES]
                     part[:len(own)] = own
-                    rows += [(f"{level}/{b}/{part[p].tobytes().hex()}", doc_id, fp) for b, p in enumerate(picks)]
+                    rows += [(f"{level}/{b}/{part[p].tobytes().hex()}", node, fp) for b, p in enumerate(picks)]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                zip(*rows) if rows else [[]] * 3, (pa.string(), pa.int64(), pa.string()))], ["key", "doc_id", "fingerprint"])
-
-    @F.pandas_udf("double")
-    def near(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([likeness(parse_fingerprint(x), parse_fingerprint(y)) for x, y in zip(a, b)])
-
-    banded = prints.select("doc_id", "fingerprint").mapInArrow(keys, "key string, doc_id long, fingerprint string")
-    heads = banded.groupBy("key").agg(F.min(F.struct("doc_id", "fingerprint")).alias("head"), F.count("*").alias("n")).where("n > 1")
-    pairs = banded.join(heads, "key").where("doc_id <> head.doc_id").select(
-        "doc_id", "fingerprint", F.col("head.doc_id").alias("other_id"), F.col("head.fingerprint").alias("_other")).distinct()
-    return pairs.select("doc_id", "other_id", near("fingerprint", "_other").alias("likeness")).where(F.col("likeness") >= threshold)
+                zip(*rows) if rows else [[]] * 3, (pa.string(), pa.int64(), pa.string()))], ["key", "node", "fingerprint"])
+
+    prints = prints.select("doc_id", "fingerprint").where("doc_id is not null and fingerprint <> '0:'")
+    nodes = materialize(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("node")), "prints")
+    copies = prints.join(nodes, "fingerprint").where("doc_id <> node").select(
+        "doc_id", F.col("node").alias("other_id"), F.lit(1.0).alias("likeness"))
+    banded = materialize(nodes.select("node", "fingerprint").mapInArrow(keys, "key string, node long, fingerprint string"), "bands")
+    parts = F.ceil(F.count("*") / PART_PRINTS).cast("int")
+    buckets = banded.groupBy("key").agg(F.count("*").alias("n"), parts.alias("parts")).where("n > 1").drop("n")
+    # Part p meets itself, and each other part once, named by the smaller first.
+    part = F.pmod(F.xxhash64("fingerprint"), F.col("parts")).cast("int")
+    meets = F.explode(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: F.struct(
+        F.least(x, F.col("part")).alias("i"), F.greatest(x, F.col("part")).alias("j")))).alias("task")
+    dealt = banded.join(buckets, "key").withColumn("part", part).select("key", "node", "fingerprint", "part", meets).select(
+        "key", "task.i", "task.j", "node", "fingerprint", "part")
+    pairs = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(
+        _bucket_links(threshold), "doc_id long, other_id long, likeness double")
+    return copies.unionByName(pairs).distinct()
 
 
 def op1_edit_fingerprint(spark, sf_dir: str) -> DataFrame:

@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+import numpy as np
+import pytest
 from llm_helpers import ODD, SF, docs_df, rows_by_id, texts, with_clashes
 
 from geotaxa.llm import edit_embedding as ee
@@ -74,3 +76,28 @@ def test_likeness_falls_with_edits_and_links_are_found(spark):
     df = docs_df(spark, [(1, text), (2, text), (3, text[:3900] + "changed end"), (4, other)])
     links = {(r["other_id"], r["doc_id"]) for r in ee.near_links(ee.fingerprint_edits(df)).collect()}
     assert links == {(1, 2), (1, 3)}
+
+
+@pytest.mark.parametrize("part", [512, 20])
+def test_links_among_many_unrelated_documents_equal_brute_force(spark, monkeypatch, part):
+    monkeypatch.setattr(ee, "PART_PRINTS", part)      # 20: buckets are compared in parts
+    rng = np.random.default_rng(8)
+    rows = [rng.integers(0, 2, rng.integers(129, 257), np.uint8) for _ in range(1500)]
+    for k in range(60):                               # near texts, 5 % of the bits changed
+        near = rows[25 * k].copy()
+        near[rng.choice(len(near), len(near) // 20, replace=False)] ^= 1
+        rows.append(near)
+    rows.append(rows[7])                              # a copy
+    ids = rng.permutation(len(rows)) + 1              # near texts are rarely the smallest of their bucket
+    prints = [(int(i), ee.fingerprint(b)) for i, b in zip(ids, rows)] + [(9001, "0:"), (9002, "0:"), (None, ee.fingerprint(rows[0]))]
+    df = spark.createDataFrame(prints, "doc_id long, fingerprint string")
+    got = {(r["other_id"], r["doc_id"]): r["likeness"] for r in ee.near_links(df, bands=8, bits=5).collect()}
+    want = {}
+    for a in range(len(rows)):
+        for b in range(a):
+            both = min(len(rows[a]), len(rows[b]))
+            if np.count_nonzero(rows[a][:both] == rows[b][:both]) > 0.75 * both:
+                like = ee.likeness(rows[a], rows[b])
+                if like >= 0.7:
+                    want[tuple(sorted((int(ids[a]), int(ids[b]))))] = like
+    assert len(want) == 61 and got == want
