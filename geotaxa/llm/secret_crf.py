@@ -9,8 +9,9 @@ classes, share of digits), the token itself, its neighbouring tokens (two
 before, one after; hashed) and two features of the whole text (share of
 symbols, length).  It is trained on a bounded sample of documents
 (about ``train_docs`` with and as many without a keyword, by a hash of the
-doc_id, none above ``train_chars`` characters), in which the values of pattern
-matches are the secrets.  Decoding is Viterbi over whole texts.  A token at
+doc_id), in which the values of pattern matches are the secrets.  Documents
+above ``train_chars`` characters give stretches around ``LONG_HITS`` values and
+one more place, which are cut out where the text lies.  Decoding is Viterbi over whole texts.  A token at
 which O leads by more than any two transitions can change is certainly O, so
 the text is cut there and only the stretches between are decoded: the path is
 the same as over the whole text.  Runs of B and I that touch no pattern match
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geotaxa.llm.text import LOWER, SPACE, Spans, buffer_of, hash_sample, pieces, read_documents
+from geotaxa.llm.text import LOWER, SPACE, Spans, buffer_of, hash_share, pieces, read_documents
 
 # The patterns and their least lengths.
 KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
@@ -41,6 +42,7 @@ ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"[0-9a-f]+")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 KINDS = ("assign", "access", "hex", "crf")
+WINDOW, LONG_HITS = 12, 4
 
 _HEX_BYTE = np.zeros(256, bool)
 _HEX_BYTE[[*b"0123456789abcdef"]] = True
@@ -207,23 +209,58 @@ NOTHING = Model(np.zeros((N_WEIGHTS, 3)) + [1.0, 0.0, 0.0], np.zeros((3, 3)))
 
 
 def _labelled(texts: list[str]) -> tuple[Piece, np.ndarray]:
-    """The texts as one piece, and 1 for a token that begins a pattern's value,
-    2 for one that goes on with it."""
+    """The texts as one piece, and its ``_gold``."""
     raw = [t.encode() for t in texts]
     piece = Piece(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64))
+    return piece, _gold(piece)
+
+
+def _gold(piece: Piece) -> np.ndarray:
+    """1 for a token that begins a pattern's value, 2 for one that goes on with it."""
     gold = np.zeros(len(piece.start), np.int64)
     for _, _, _, a, b in piece.matches:
         lo, hi = np.searchsorted(piece.end, a, "right"), np.searchsorted(piece.start, b, "left")
         if lo < hi and not gold[lo]:
             gold[lo], gold[lo + 1:hi] = 1, 2
-    return piece, gold
-
-
-def fit(texts: list[str], window: int = 12, steps: int = 80) -> Model:
+    return gold
+
+
+def _around(piece: Piece, features: np.ndarray, gold: np.ndarray, centres: np.ndarray,
+            window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(features, gold, is inside the text) of the tokens around each centre."""
+    place = centres[:, None] - window + np.arange(2 * window + 1)
+    here = (place >= 0) & (place < len(gold))
+    place = np.clip(place, 0, len(gold) - 1)
+    here &= piece.row[place] == piece.row[centres][:, None]
+    return features[place], np.where(here, gold[place], 0), here
+
+
+def _long_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each long text the stretches to learn from: int16 of (stretch, token, features, gold and inside)."""
+    for batch in batches:
+        out = []
+        for _, _, buf, off in pieces(*buffer_of(batch.column("long"))):
+            piece = Piece(buf, off)
+            gold, features = _gold(piece), piece.features()
+            ends = np.searchsorted(piece.row, np.arange(len(off)))
+            for lo, hi in zip(ends[:-1], ends[1:]):
+                if lo == hi:
+                    out.append(b"")
+                    continue
+                rng = np.random.default_rng(int(piece.hash[lo:hi].sum(dtype=np.uint64)))
+                hits = lo + np.flatnonzero(gold[lo:hi] == 1)
+                centres = np.append(rng.choice(hits, min(LONG_HITS, len(hits)), replace=False), rng.integers(lo, hi))
+                x, y, here = _around(piece, features, gold, centres.astype(np.int64), WINDOW)
+                out.append(np.concatenate([x, y[:, :, None], here[:, :, None]], axis=2).astype(np.int16).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("keyword"), batch.column("text"), pa.array(out, pa.binary())],
+                                         ["keyword", "text", "stretches"])
+
+
+def fit(texts: list[str], stretches: list[bytes] = (), window: int = WINDOW, steps: int = 80) -> Model:
     """Maximum likelihood (Adam, L2) over stretches of tokens: those around
     pattern values and others from elsewhere.  Every stretch is also learned
     with random words in place of its own, so that shapes carry a secret beside
-    a word that no pattern knows."""
+    a word that no pattern knows.  ``stretches``: those of long texts."""
     rng = np.random.default_rng(5)
     width, parts, found, at = 2 * window + 1, [], 0, 0
     while at < len(texts):  # about a MB at a time: the driver keeps the stretches alone
@@ -238,11 +275,11 @@ def fit(texts: list[str], window: int = 12, steps: int = 80) -> Model:
             continue
         found += len(hits)
         centres = np.concatenate([hits, rng.integers(0, n, len(hits) + 40)])
-        place = centres[:, None] - window + np.arange(width)
-        here = (place >= 0) & (place < n)
-        place = np.clip(place, 0, n - 1)
-        here &= piece.row[place] == piece.row[centres][:, None]
-        parts.append((piece.features()[place], np.where(here, gold[place], 0), here))
+        parts.append(_around(piece, piece.features(), gold, centres, window))
+    for blob in stretches:
+        cells = np.frombuffer(blob, np.int16).reshape(-1, 2 * WINDOW + 1, 8).astype(np.int64)
+        found += int((cells[:, WINDOW, 6] == 1).sum())
+        parts.append((cells[:, :, :6], cells[:, :, 6], cells[:, :, 7] == 1))
     if not found:
         return NOTHING
     x, y, here = (np.concatenate(c) for c in zip(*parts))
@@ -312,16 +349,21 @@ def find_secrets(buf: np.ndarray, off: np.ndarray, model: Model) -> list[list[tu
 
 def train(docs: DataFrame, train_docs: int = 1500, train_chars: int = 20_000) -> Model:
     """Fit on the bounded sample the module text describes."""
-    small = docs.where(F.length("text") <= train_chars).select("doc_id", "text")
+    docs = docs.select("doc_id", "text")
     low = F.lower("text")
     keyword = low.contains("akia")
     for k in KEYWORDS:
         keyword = keyword | low.contains(k.decode())
-    counts = small.agg(F.count_if(keyword), F.count_if(~keyword)).head()
-    texts = []
-    for part, n in zip((keyword, ~keyword), counts):
-        texts += sorted(r["text"] for r in hash_sample(small.where(part), train_docs, n).collect())
-    return fit(texts) if texts else NOTHING
+    counts = docs.agg(F.count_if(keyword), F.count_if(~keyword)).head()
+    short = F.length("text") <= train_chars
+    # The share comes first, so few texts are searched; long texts stay where they are.
+    sampled = (hash_share(train_docs, counts[0]) & keyword) | (hash_share(train_docs, counts[1]) & ~keyword)
+    rows = docs.where(sampled).select(keyword.alias("keyword"), F.when(short, F.col("text")).alias("text"),
+                                      F.when(~short, F.col("text")).alias("long"))
+    rows = rows.mapInArrow(_long_stretches, "keyword boolean, text string, stretches binary").limit(4 * train_docs).collect()
+    texts = [t for k in (True, False) for t in sorted(r["text"] for r in rows if r["keyword"] == k and r["text"] is not None)]
+    stretches = sorted(bytes(r["stretches"]) for r in rows if r["text"] is None)
+    return fit(texts, stretches) if rows else NOTHING
 
 
 def scan_secrets(docs: DataFrame, model: Model | None = None) -> DataFrame:

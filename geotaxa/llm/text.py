@@ -141,11 +141,16 @@ def text_hash(words: np.ndarray, k: int, counts: np.ndarray) -> tuple[np.ndarray
     return h, row
 
 
+def hash_share(wanted: int, available: int):
+    """True for about ``wanted`` of ``available`` rows, by a hash of the doc_id."""
+    share = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1 << 31)) / F.lit(float(1 << 31))
+    return share < wanted / max(available, 1)
+
+
 def hash_sample(rows, wanted: int, available: int):
     """About ``wanted`` of ``available`` rows (the same in every run), by a hash
     of the doc_id; twice as many is the bound."""
-    share = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1 << 31)) / F.lit(float(1 << 31))
-    return rows.where(share < wanted / max(available, 1)).limit(2 * wanted)
+    return rows.where(hash_share(wanted, available)).limit(2 * wanted)
 
 
 def read_documents(spark, sf_dir: str, *columns: str):

@@ -102,3 +102,31 @@ def test_odd_rows_and_redaction(spark):
     assert by_id[30]["text"] == "é [SECRET], and more" and by_id[30]["n_chars"] == len(by_id[30]["text"])
     assert by_id[1]["text"] is None and by_id[6]["text"] == "word " * 4000 and by_id[6]["score"] == "x"
     assert sc.scan_secrets(docs_df(spark, [])).count() == 0 and sc.redact_secrets(docs_df(spark, [])).count() == 0
+
+
+def test_long_documents_teach_the_field(spark):
+    rng = np.random.default_rng(2)
+    word = lambda: "".join(rng.choice(list("aeioustrn"), rng.integers(2, 8)))
+    hexes = lambda: "".join(rng.choice(list("0123456789abcdef"), 40))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    rows = [(i, f'{prose(40)} token = "{hexes()}" {prose(30)}') for i in range(120)]
+    rows += [(1000 + i, prose(60)) for i in range(120)]
+    value = hexes()[:23] + "-" + hexes()[:16]
+    df = docs_df(spark, rows)
+    model = sc.train(df, train_chars=100)             # every text is longer
+    assert model is not sc.NOTHING
+    rows.append((5000, f'{prose(20)} credential = "{value}" {prose(20)}'))
+    got = rows_by_id(sc.scan_secrets(docs_df(spark, rows), model))
+    kind, a, b = got[5000]["spans"].split(":")
+    assert kind == "crf" and value in rows[-1][1][int(a):int(b)]
+    assert all(got[1000 + i]["n_added"] == 0 for i in range(120))
+
+
+def test_stretches_of_a_long_text_are_bounded_and_labelled(spark):
+    rows = [(1, "word " * 200 + "token=abcdefgh1 " * 50), (2, ""), (3, "no secret here")]
+    df = docs_df(spark, rows).selectExpr("true as keyword", "cast(null as string) as text", "text as long")
+    blobs = [r[2] for r in df.mapInArrow(sc._long_stretches, "keyword boolean, text string, stretches binary").collect()]
+    cells = [np.frombuffer(b, np.int16).reshape(-1, 2 * sc.WINDOW + 1, 8) for b in blobs]
+    assert sorted(len(c) for c in cells) == [0, 1, sc.LONG_HITS + 1]
+    most = max(cells, key=len)
+    assert (most[:sc.LONG_HITS, sc.WINDOW, 6] == 1).all() and (most[:, sc.WINDOW, 7] == 1).all()
