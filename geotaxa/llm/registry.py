@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from geotaxa.llm import (
     edit_embedding,
+    filter_audit,
     hidden_markov,
     hyper_language,
     license_scan,
+    personal_data,
     prefix_free,
     qgram_leaks,
     quality_net,
@@ -34,6 +36,8 @@ def queries() -> dict[str, Query]:
         "op8_license_scan": license_scan.op8_license_scan,
         "op9_qgram_leaks": qgram_leaks.op9_qgram_leaks,
         "op10_secret_scan": secret_crf.op10_secret_scan,
+        "op11_filter_audit": filter_audit.op11_filter_audit,
+        "op12_personal_data": personal_data.op12_personal_data,
     }
 
 
@@ -41,4 +45,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_raking": raking.oracle_sql(),
         "op8_license_scan": license_scan.oracle_sql(),
+        "op11_filter_audit": filter_audit.oracle_sql(),
     }
