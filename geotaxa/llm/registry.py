@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from geotaxa.llm import (
+    conversation_trie,
     edit_embedding,
     filter_audit,
     hidden_markov,
@@ -38,6 +39,7 @@ def queries() -> dict[str, Query]:
         "op10_secret_scan": secret_crf.op10_secret_scan,
         "op11_filter_audit": filter_audit.op11_filter_audit,
         "op12_personal_data": personal_data.op12_personal_data,
+        "op13_conversation_trie": conversation_trie.op13_conversation_trie,
     }
 
 
@@ -46,4 +48,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_raking": raking.oracle_sql(),
         "op8_license_scan": license_scan.oracle_sql(),
         "op11_filter_audit": filter_audit.oracle_sql(),
+        "op13_conversation_trie": conversation_trie.oracle_sql(),
     }
