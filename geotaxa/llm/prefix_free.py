@@ -292,7 +292,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out.append((len(text), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept))
         cells = list(zip(*out)) if out else [[]] * 5
         kinds = [pa.int64()] * 3 + [pa.string(), pa.binary()]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(c, t) for c, t in zip(cells, kinds)]],
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), *[pa.array(c, t) for c, t in zip(cells, kinds)]],
                                          ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
@@ -300,26 +300,27 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256
     and ``kept``, the remaining bytes."""
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    keyed = texts.withColumn("doc", F.col("doc_id"))
-    parsed = keyed.where("doc is not null").select("doc", "text").mapInArrow(_parse, _SCHEMA)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
+    # Both joins below filter null ids the same way, so they share one shuffle
+    # of the text; rows without an id are added at the end.
+    keyed = texts.where("doc is not null")
+    parsed = keyed.mapInArrow(_parse, _SCHEMA)
     entries = parsed.repartitionByRange(partitions, "g", "h").sortWithinPartitions("g", "h", "doc", "place") \
         .mapInArrow(_entries, "doc long, place long, g long")
     marked = entries.groupBy("doc").agg(
         F.collect_list(F.when(F.col("g").isNull(), F.col("place"))).alias("places"),
         F.collect_list(F.when(F.col("g").isNotNull(), F.struct("place", "g"))).alias("phrases"))
     dealt = keyed.repartition(partitions, "doc")
-    # Both uses of ``dealt`` and ``marked`` read the same columns, so Spark
-    # shuffles each once and reuses it.
     contents = dealt.join(marked, "doc").where(F.size("phrases") > 0) \
-        .select("doc", "doc_id", "text", "places", "phrases").mapInArrow(_contents, "g long, content binary, doc long, place long")
+        .select("doc", "text", "phrases").mapInArrow(_contents, "g long, content binary, doc long, place long")
     windows = contents.repartition(partitions, "g").sortWithinPartitions("g").mapInArrow(_resolve, _SCHEMA)
     again = windows.repartition(partitions, "g", "h").sortWithinPartitions("g", "h", "doc", "place") \
         .mapInArrow(_repeats, "doc long, place long, g long")
     more = again.groupBy("doc").agg(F.collect_list("place").alias("more"))
-    found = dealt.join(marked, "doc", "left").join(more, "doc", "left")
     empty = F.array().cast("array<long>")
-    return found.select("doc_id", "text", "phrases", F.concat(F.coalesce("places", empty), F.coalesce("more", empty)).alias("places")) \
+    found = dealt.join(marked, "doc", "left").join(more, "doc", "left").select(
+        "doc", "text", F.concat(F.coalesce("places", empty), F.coalesce("more", empty)).alias("places"))
+    return found.unionByName(texts.where("doc is null").withColumn("places", empty)) \
         .mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 

@@ -83,3 +83,14 @@ def test_phrases_depend_on_the_window_alone():
     whole, part = triggers(text), triggers(text[700:2100])
     assert len(whole) == 2901 and len(part) == 1301
     assert all(whole[700 + i] == v for i, v in part.items())
+
+
+def test_text_is_shuffled_once(spark):
+    from geotaxa.plans.checks import plan_text
+
+    df = pf.op4_prefix_free(spark, SF)
+    df.collect()
+    plan = plan_text(df)
+    final = plan[:plan.find("Initial Plan")]
+    moved = [line for line in final.splitlines() if "Exchange hashpartitioning(doc#" in line and "REPARTITION_BY_NUM" in line]
+    assert len(moved) == 2 and ["Reused" in line for line in moved].count(True) == 1
