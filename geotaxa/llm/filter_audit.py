@@ -66,9 +66,13 @@ def repeated_texts(texts: DataFrame) -> DataFrame:
     seen = texts.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     twice = own_shuffle(seen.where("low < high").select("hash"))
     likely = texts.join(twice, "hash", "left_semi")
-    first = likely.groupBy("hash", "text").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    first = own_shuffle(first.where("low < high").select(F.col("hash").alias("h"), F.col("text").alias("t"), "low"))
-    return likely.join(first, (F.col("hash") == F.col("h")) & (F.col("text") == F.col("t")) & (F.col("low") < F.col("doc_id")), "left_semi")
+    # A second hash as the key: the copies a task holds then become one row
+    # before they are shuffled, where the first hash would bring them together.
+    likely = likely.withColumn("again", F.hash("text"))
+    first = likely.groupBy(F.col("again").alias("h"), F.col("text").alias("t")).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    first = own_shuffle(first.where("low < high").drop("high"))
+    same = (F.col("again") == F.col("h")) & (F.col("text") == F.col("t")) & (F.col("low") < F.col("doc_id"))
+    return likely.join(first, same, "left_semi")
 
 
 def combinations(docs: DataFrame, labels: DataFrame) -> DataFrame:
