@@ -580,8 +580,13 @@ from latest o join names n on o.name = n.given_name"""),
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: with_views(sql, views) for k, (views, sql) in _ORACLE.items()}
+    return {k: with_views(sql, views) for k, (views, sql) in (_ORACLE | _more().ORACLE).items()}
 
 
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return dict(QUERIES) | _more().QUERIES
+
+
+def _more():
+    from geotaxa.plans import table_queries
+    return table_queries
