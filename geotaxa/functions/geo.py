@@ -55,7 +55,8 @@ def covering_box(lat: str | Column, lon: str | Column, unc: str | Column,
                  step: float, minimum: float = MIN_RESOLUTION_M) -> tuple[Column, Column, Column, Column]:
     """(first row, last row, first column, last column) of the ``step``-degree
     grid cells touched by the box around an uncertain location: half-width =
-    the buffered uncertainty in metres, longitude widened by 1/cos(latitude).
+    the buffered uncertainty in metres; in longitude that of the circle,
+    asin(sin(half-width) / cos(latitude)), which is reached off its own row.
     Rows count from the equator and stop at the poles; columns count from the
     prime meridian, may pass the antimeridian (wrap them) and never go round
     more than once.  A box that reaches a pole covers every column.  For a
@@ -70,7 +71,7 @@ def covering_box(lat: str | Column, lon: str | Column, unc: str | Column,
     r_hi = F.least(F.floor((la + dlat) / s), F.lit(row0 - 1))
     valid = F.coalesce((F.abs(la) <= 90) & lo.isNotNull(), F.lit(False))
     polar = F.abs(la) + dlat >= 90
-    dlon = F.when(~polar, dlat / F.cos(F.radians(la)))
+    dlon = F.when(~polar, F.degrees(F.asin(F.sin(F.radians(dlat)) / F.cos(F.radians(la)))))
     c_lo = F.when(polar, F.floor((lo - 180) / s)).otherwise(F.floor((lo - dlon) / s))
     c_hi = F.when(polar, c_lo + ncols - 1).otherwise(F.floor((lo + dlon) / s))
     return (F.when(valid, r_lo).otherwise(0), F.when(valid, r_hi).otherwise(-1),

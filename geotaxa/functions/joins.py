@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def null_safe_condition(left: DataFrame, right: DataFrame, cols: Sequence[str],
@@ -21,43 +20,6 @@ def null_safe_condition(left: DataFrame, right: DataFrame, cols: Sequence[str],
     return cond
 
 
-_HASHABLE = (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType,
-             T.BooleanType, T.BinaryType)
-
-
-def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
-                buckets: int | None = None,
-                salt_cols: Sequence[str] | None = None) -> DataFrame:
-    """Equi-join on ``keys`` that spreads each key of the large ``left`` side
-    over ``buckets`` shuffle partitions (by default as many as the session
-    shuffles into, so a hot key meets as many tasks as the cluster is sized
-    for).
-
-    Every left row gets a salt from a hash of its own values (deterministic,
-    so a retried task routes rows the same way); the key-level ``right`` side
-    is repeated once per salt.  A key holding a third of all rows is then
-    split ``buckets`` ways, and both join inputs are plain shuffle reads, so
-    AQE's skew handling can split a still-hot partition further.  Correct for
-    inner, left outer, left semi and left anti joins: each left row meets
-    exactly one copy of each matching right row.  ``salt_cols`` picks the
-    columns hashed for the salt (e.g. the record identity, cheaper than
-    every column of a wide table); by default all atomic columns."""
-    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
-        raise ValueError(f"salted_join does not support {how!r}")
-    if salt_cols is not None:
-        values = [F.col(c) for c in salt_cols]
-    else:
-        values = [F.col(f.name) for f in left.schema.fields if isinstance(f.dataType, _HASHABLE)]
-    if buckets is None:
-        buckets = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if buckets <= 1 or not values:
-        return left.join(right, on=list(keys), how=how)
-    salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(*values), F.lit(buckets)))
-    salts = F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))
-    salted_right = right.withColumn("_salt", F.explode(salts))
-    return salted_left.join(salted_right, on=[*keys, "_salt"], how=how).drop("_salt")
-
-
 def own_shuffle(df: DataFrame) -> DataFrame:
     """``df`` (one row per key) under a shuffle that the next join cannot use.
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from geotaxa.functions.joins import own_shuffle
+from geotaxa.operators.versions import first_per_group
 
 # Fixed value: keys per call of a user fetch function (upper end of the
 # 50-100 batch size the source system used for remote requests).
@@ -87,17 +88,38 @@ def has_key(spec: FeatureSpec) -> Column:
     return cond
 
 
+# Before every time: stands in for a row without a time of append.
+_NO_TIME = "0001-01-01 00:00:00"
+_FIXED_WIDTH = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+
+
 def one_row_per_key(table: DataFrame, spec: FeatureSpec) -> DataFrame:
     """Keys, values and ``fetched`` of a feature table, one row per key: a
     complete row before an incomplete one, then the latest append, then the
     largest values (so the pick depends on the rows alone).  ``fetched`` is
     true if any of the key's rows has it; rows without a key are left out.
-    A partial aggregate: a key stored very often shrinks in the map tasks."""
+
+    A key stored very often shrinks in the map tasks.  A single value of fixed
+    width is picked by two hash aggregates (per key and time of append, then per
+    key); other values by rank, whose partial limit does the same."""
+    keys, values = _keys(spec), list(spec.value_cols)
     flag = F.coalesce(F.col(FETCHED), F.lit(False)) if FETCHED in table.columns else F.lit(False)
-    at = F.col(APPENDED) if APPENDED in table.columns else F.lit(None).cast("timestamp")
-    best = F.max(F.struct(is_complete(spec).alias("_full"), at.alias("_at"), *spec.value_cols)).alias("_best")
-    return (table.where(has_key(spec)).groupBy(*_keys(spec)).agg(best, F.max(flag).alias(FETCHED))
-                 .select(*_keys(spec), *[F.col(f"_best.{v}").alias(v) for v in spec.value_cols], FETCHED))
+    kind = table.schema[APPENDED].dataType if APPENDED in table.columns else T.TimestampNTZType()
+    none = F.lit(_NO_TIME).cast(kind)
+    at = F.coalesce(F.col(APPENDED), none) if APPENDED in table.columns else none
+    rows = table.where(has_key(spec)).select(*keys, *values, is_complete(spec).alias("_full"), at.alias("_at"), flag.alias(FETCHED))
+    if len(values) == 1 and isinstance(table.schema[values[0]].dataType, _FIXED_WIDTH):
+        v = values[0]
+        timed = rows.groupBy(*keys, "_full", "_at").agg(F.max(v).alias(v), F.max(FETCHED).alias(FETCHED))
+        of = lambda full: F.max_by(F.when(F.col("_full") == full, F.col(v)), F.when(F.col("_full") == full, F.col("_at")))
+        best = timed.groupBy(*keys).agg(F.max("_full").alias("_full"), of(True).alias("_a"), of(False).alias("_b"), F.max(FETCHED).alias(FETCHED))
+        return best.select(*keys, F.when(F.col("_full"), F.col("_a")).otherwise(F.col("_b")).alias(v), FETCHED)
+    order = [F.col("_full").desc(), F.col("_at").desc(), *[F.col(v).desc() for v in values]]
+    best = first_per_group(rows.drop(FETCHED), keys, order).select(*keys, *values)
+    if FETCHED not in table.columns:
+        return best.withColumn(FETCHED, F.lit(False))
+    known = rows.where(FETCHED).select(*keys).distinct().withColumn(FETCHED, F.lit(True))
+    return best.join(known, on=keys, how="left").withColumn(FETCHED, F.coalesce(FETCHED, F.lit(False)))
 
 
 def stored_values(stored: DataFrame, spec: FeatureSpec) -> DataFrame:
@@ -240,11 +262,15 @@ def merge_features(occ: DataFrame, stored: DataFrame, fetched: DataFrame,
     ``origin_col`` a column says where the value came from: ``stored``,
     ``fetched`` or NULL."""
     keys = _keys(spec)
-    both = one_row_per_key(stored, spec).withColumn("_new", F.lit(False)).unionByName(
-        one_row_per_key(fetched, spec).withColumn("_new", F.lit(True)))
-    best = both.groupBy(*keys).agg(F.max(F.struct(is_complete(spec).alias("_full"), "_new", *spec.value_cols)).alias("_best"))
-    merged = best.select(*keys, *[F.col(f"_best.{v}").alias(v) for v in spec.value_cols],
-                         *([F.when(F.col("_best._new"), "fetched").otherwise("stored").alias(origin_col)] if origin_col else []))
+    parts = []
+    for name, table in (("_s", stored), ("_f", fetched)):
+        one = one_row_per_key(table, spec)
+        parts.append(one.select(*keys, F.struct(is_complete(spec).alias("full"), *spec.value_cols).alias(name)))
+    both = parts[0].join(parts[1], on=keys, how="full")     # both are one row per key, dealt by key
+    full = lambda side: F.coalesce(F.col(f"{side}.full"), F.lit(False))
+    new = full("_f") | (~full("_s") & F.col("_f").isNotNull())
+    merged = both.select(*keys, *[F.when(new, F.col(f"_f.{v}")).otherwise(F.col(f"_s.{v}")).alias(v) for v in spec.value_cols],
+                         *([F.when(new, "fetched").otherwise("stored").alias(origin_col)] if origin_col else []))
     return _without_values(occ, spec, [origin_col] if origin_col else []).join(own_shuffle(merged), on=keys, how="left")
 
 

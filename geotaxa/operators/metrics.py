@@ -8,18 +8,21 @@ steps do not overwrite each other."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def job_counters(frames: Mapping[str, DataFrame]) -> DataFrame:
-    """(counter, value): the rows of each named frame, 0 for an empty one.
-    One partial aggregate a counter; nothing is gathered."""
+def job_counters(frames: Sequence[tuple[DataFrame, Mapping[str, Column]]]) -> DataFrame:
+    """(counter, value) of several frames, each with its own named aggregates
+    (``count_where``, ``F.count``, ``F.count_distinct``): all counters of one
+    frame come from one pass over it; nothing is gathered."""
     out = None
-    for name, df in frames.items():
-        one = df.agg(F.count(F.lit(1)).alias("value")).select(F.lit(name).alias("counter"), "value")
+    for df, counters in frames:
+        one = df.agg(*[value.cast("long").alias(f"_{i}") for i, value in enumerate(counters.values())])
+        pairs = [F.struct(F.lit(name).alias("counter"), F.col(f"_{i}").alias("value")) for i, name in enumerate(counters)]
+        one = one.select(F.explode(F.array(*pairs)).alias("_c")).select("_c.*")
         out = one if out is None else out.unionAll(one)
     return out
 

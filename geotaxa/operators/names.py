@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geotaxa.functions.joins import salted_join
+from geotaxa.functions.joins import own_shuffle
 
 
 def unique_lookup(names: DataFrame, given_col: str = "given_name",
@@ -17,16 +17,15 @@ def unique_lookup(names: DataFrame, given_col: str = "given_name",
 
 def normalize_names(df: DataFrame, names: DataFrame, name_col: str = "name",
                     given_col: str = "given_name", out_col: str = "scientific_name",
-                    drop_unresolved: bool = False,
-                    salt_buckets: int | None = None) -> DataFrame:
+                    drop_unresolved: bool = False) -> DataFrame:
     """Attach ``out_col`` to every row by a LEFT join on the name.
 
-    A salted join spreads a popular name over ``salt_buckets`` partitions;
-    AQE broadcasts the lookup (one row per distinct name) where it measures
-    it small.  Unresolved names get NULL, or are dropped with
-    ``drop_unresolved``."""
+    The lookup (one row per distinct name) is shuffled by itself, never
+    repeated: AQE then splits the rows of a popular name, or broadcasts the
+    lookup where it measures it small.  Unresolved names get NULL, or are
+    dropped with ``drop_unresolved``."""
     if out_col in df.columns:          # re-normalizing: the lookup's answer replaces it
         df = df.drop(out_col)
     lookup = unique_lookup(names, given_col, out_col).withColumnRenamed(given_col, name_col)
     how = "inner" if drop_unresolved else "left"
-    return salted_join(df, lookup, [name_col], how, salt_buckets)
+    return df.join(own_shuffle(lookup), on=[name_col], how=how).select(*df.columns, out_col)

@@ -5,10 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geotaxa.functions.geo import buffered_uncertainty, covering_box, grid_floor
+from geotaxa.functions.joins import null_safe_condition
 from geotaxa.operators.ranking import batch_ids
 
 PLACE_KEY = ("latitude", "longitude", "coordinate_uncertainty", "date")
@@ -88,7 +89,21 @@ def sample_batches(batched: DataFrame, n: int = 3, group_cols: Sequence[str] = (
     keys = [*group_cols, batch_col]
     chosen = (batched.select(*keys).distinct()
                      .orderBy(*[F.col(c).asc() for c in keys]).limit(n))
-    return batched.join(chosen, on=keys, how="left_semi")
+    chosen = chosen.select([F.col(c).alias(f"_k_{c}") for c in keys])
+    return batched.join(chosen, null_safe_condition(batched, chosen, keys, [f"_k_{c}" for c in keys]), "left_semi")
+
+
+def first_batches(df: DataFrame, n: int = 3, group_cols: Sequence[str] = ("family",),
+                  order_cols: Sequence[str] = ("source", "id"), batch_size: int = BATCH_SIZE, out: str = "b") -> DataFrame:
+    """The rows of ``sample_batches(batched_requests(df))`` without numbering
+    all rows: the first ``n`` batches lie within the first ``n * batch_size``
+    rows by group and order (a top-k), and only those are numbered."""
+    order = [F.col(c).asc() for c in (*group_cols, *order_cols)]
+    head = df.orderBy(*order).limit(n * batch_size)
+    place = F.row_number().over(Window.partitionBy(*group_cols).orderBy(*[F.col(c).asc() for c in order_cols]))
+    numbered = head.withColumn(out, F.floor((place - 1) / F.lit(batch_size)).cast("long"))
+    batch = F.dense_rank().over(Window.orderBy(*[F.col(c).asc() for c in (*group_cols, out)]))   # of n * batch_size rows
+    return numbered.withColumn("_n", batch).where(F.col("_n") <= n).drop("_n")
 
 
 def grid_location(df: DataFrame, step: float = 0.25, lat: str = "latitude", lon: str = "longitude",

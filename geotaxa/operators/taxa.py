@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from geotaxa.functions.joins import salted_join
+from geotaxa.functions.joins import own_shuffle
 from geotaxa.functions.words import is_multiword
 
 # Fixed value: minimum number of occurrences for a taxon.
@@ -28,26 +26,24 @@ def valid_names(df: DataFrame, threshold: int = DEFAULT_THRESHOLD,
 
 def taxa_threshold(df: DataFrame, threshold: int = DEFAULT_THRESHOLD,
                    name_col: str = "name", require_multiword: bool = True,
-                   salt_buckets: int | None = None,
-                   taxa_observation: Observation | None = None,
-                   salt_cols: Sequence[str] | None = None) -> DataFrame:
+                   taxa_observation: Observation | None = None) -> DataFrame:
     """Keep every row of a name with **more than** ``threshold`` rows and more
     than one word.
 
-    Counted with a partially aggregated GROUP BY and applied with a salted
-    LEFT SEMI join, so no group is ever gathered: a popular name costs one
-    partial count per map task, and its rows are spread over
-    ``salt_buckets`` join partitions (AQE may still broadcast the surviving
-    names when it measures them small).  The word test runs first, on both
-    sides.  NULL names are dropped.  ``taxa_observation`` (optional) counts
-    the surviving names as ``valid_taxa`` in the same pass; ``salt_cols``
-    (e.g. the identity columns) limits what the salt hashes."""
+    Counted with a partially aggregated GROUP BY and applied with a LEFT SEMI
+    join, so no group is ever gathered: a popular name costs one partial count
+    per map task.  The surviving names are shuffled by themselves, never
+    repeated, so both join inputs are plain shuffle reads and AQE splits the
+    rows of a popular name (or broadcasts the names where it measures them
+    small).  The word test runs first, on both sides.  NULL names are dropped.
+    ``taxa_observation`` (optional) counts the surviving names as ``valid_taxa``
+    in the same pass."""
     cand = df.where(is_multiword(name_col)) if require_multiword else df.where(F.col(name_col).isNotNull())
     keep = (cand.groupBy(name_col).agg(F.count(F.lit(1)).alias("_n"))
                 .where(F.col("_n") > threshold).select(name_col))
     if taxa_observation is not None:
         keep = keep.observe(taxa_observation, F.count(F.lit(1)).alias("valid_taxa"))
-    return salted_join(cand, keep, [name_col], "left_semi", salt_buckets, salt_cols)
+    return cand.join(own_shuffle(keep), on=[name_col], how="left_semi").select(*cand.columns)
 
 
 def top_names(df: DataFrame, n: int = 1000, name_col: str = "name", out: str = "c") -> DataFrame:

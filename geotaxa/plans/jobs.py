@@ -26,7 +26,7 @@ from geotaxa.operators.features import (APPENDED, FeatureSpec, fetch_missing_fea
 from geotaxa.operators.metrics import count_where
 from geotaxa.operators.names import normalize_names
 from geotaxa.operators.taxa import DEFAULT_THRESHOLD, taxa_threshold
-from geotaxa.operators.versions import IDENTITY, latest_version
+from geotaxa.operators.versions import latest_version
 from geotaxa.session import materialize
 from geotaxa.sinks.writers import append_table, occurrence_rows, write_json_lines
 from geotaxa.sources.sync import incremental_pull
@@ -43,10 +43,8 @@ def read_occurrences(raw: DataFrame, threshold: int = DEFAULT_THRESHOLD,
     by the first action on the result: ``read.taxa`` (``valid_taxa``) and
     ``read.rows`` (``valid_occurrences``)."""
     taxa_obs = Observation("read.taxa") if observations is not None else None
-    # After the version step the identity is unique per row: a cheap salt.
     single = spatial_dedup(latest_version(raw, tie_break=tie_break), (name_col, *DEDUP_KEY[1:]))
-    out = taxa_threshold(single, threshold, name_col,
-                         taxa_observation=taxa_obs, salt_cols=list(IDENTITY))
+    out = taxa_threshold(single, threshold, name_col, taxa_observation=taxa_obs)
     if observations is not None:
         rows_obs = Observation("read.rows")
         out = out.observe(rows_obs, F.count(F.lit(1)).alias("valid_occurrences"))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geotaxa.functions.json import from_json_record, strict_json, to_json_record
-from geotaxa.operators import dedup, features, metrics, names, requests, taxa, versions
+from geotaxa.operators import curve, dedup, features, metrics, names, requests, series, taxa, versions
 from geotaxa.operators.features import FeatureSpec
 from geotaxa.plans.jobs import read_occurrences
 from geotaxa.schemas import decode_rows, schema_from_fields
@@ -36,6 +36,8 @@ PULL_WINDOW = ("1997-01-01 00:00:00", "2001-01-01 00:00:00")
 TOP_N = 10
 VECTOR_MIN_LENGTH = 83
 SAMPLE_BATCHES = 3
+HOT_CELL, ASOF_DAYS, WINDOW_MONTHS = 3, 70, 6
+COARSE, FINE = 6, 12          # levels of the feature cells
 GRID_STEP = 0.25
 # Grid of GRID_STEP degrees: rows from the south pole, columns from the antimeridian.
 ROW0, COL0, NCOLS = int(round(90 / GRID_STEP)), int(round(180 / GRID_STEP)), int(round(360 / GRID_STEP))
@@ -263,6 +265,63 @@ def q_valid_feature_vectors(spark, d):
     return features.valid_feature_vectors(fixture.raster(spark, d), LANDCOVER, VECTOR_MIN_LENGTH)
 
 
+def _hot_cells(spark, d):
+    """Latest records, a third of them in one cell."""
+    hot = F.when(F.col("id") % 3 == 0, HOT_CELL).otherwise(F.col("cell_id")).cast("long")
+    return _latest(spark, d, *FEATURE_KEY).withColumn("cell_id", hot).select("id", "source", *FEATURE_KEY)
+
+
+def q_asof_features(spark, d):
+    """Nearest earlier land cover within the tolerance; features of three months
+    a year, so there are gaps."""
+    sparse = fixture.raster(spark, d).where(F.month("date") % 4 == 1)
+    return series.asof_features(_hot_cells(spark, d), sparse, LANDCOVER, ASOF_DAYS).select("id", "source", "landcover", "feature_date")
+
+
+def q_feature_windows(spark, d):
+    """The land cover of the last months of each occurrence's cell."""
+    w = series.feature_windows(_hot_cells(spark, d), fixture.raster(spark, d), LANDCOVER, WINDOW_MONTHS, "month")
+    text = F.array_join(F.transform("window", lambda x: x.cast("string")), ",", "null")
+    return w.select("id", "source", text.alias("w"), F.col("n_values").alias("n"))
+
+
+def _spread_locations(spark, d):
+    """Latest records moved apart, with uncertainties from 30 m to 1,000 km; one in
+    fifty lies near or beyond a pole."""
+    i = F.col("id")
+    lat = F.when(i % 50 == 7, F.col("latitude") * 2.2).otherwise(F.col("latitude") + (i % 997) / 1000.0)
+    return _latest(spark, d, "latitude", "longitude").select(
+        "id", "source", lat.alias("latitude"), (F.col("longitude") + (i % 1009) / 500.0).alias("longitude"),
+        F.when(i % 11 != 0, F.lit(30.0) * F.element_at(F.array(*[F.lit(float(10 ** k)) for k in range(5)]), (i % 5 + 1).cast("int")))
+         .alias("coordinate_uncertainty"))
+
+
+def q_curve_covering(spark, d):
+    """Covering cells of a level that follows from the precision."""
+    return curve.curve_covering(_spread_locations(spark, d))
+
+
+def _layers(spark, d):
+    """Feature cells of a coarse and a fine level, both with gaps."""
+    at = lambda level: _spread_locations(spark, d).select(curve.point_cell("latitude", "longitude", level).alias("feature_cell")).distinct()
+    coarse = at(COARSE).where("feature_cell % 5 <> 0").withColumn("value", F.col("feature_cell") % 11)
+    return coarse.unionByName(at(FINE).where("feature_cell % 3 = 0").withColumn("value", F.col("feature_cell") % 13))
+
+
+def q_finest_feature(spark, d):
+    """The value of the smallest feature cell that holds each location."""
+    points = _spread_locations(spark, d).select("id", "source", curve.point_cell("latitude", "longitude").alias("cell"))
+    return curve.finest_feature(points, _layers(spark, d), [COARSE, FINE]).select("id", "source", "feature_cell", "value")
+
+
+def q_containing_cells(spark, d):
+    """Per location the feature cells that hold one of its covering cells, equal
+    it or lie in it, and their values, counted."""
+    covering = curve.curve_covering(_spread_locations(spark, d))
+    pairs = curve.containing(covering, _layers(spark, d), range(curve.FINEST + 1), [COARSE, FINE])
+    return pairs.groupBy("id", "source").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+
+
 def q_one_request_per_cell(spark, d):
     unwound = requests.unwind_cells(_latest(spark, d, "cell_id"), _cells())
     return dedup.one_request_per_cell(unwound, "c").select("c", "source", "id")
@@ -306,8 +365,8 @@ def q_batched_requests(spark, d):
 
 
 def q_sample_batches(spark, d):
-    b = requests.batched_requests(_latest(spark, d, "family").select("family", "source", "id"))
-    return requests.sample_batches(b, SAMPLE_BATCHES).select("family", "b", "id")
+    rows = _latest(spark, d, "family").select("family", "source", "id")
+    return requests.first_batches(rows, SAMPLE_BATCHES).select("family", "b", "id")
 
 
 def q_grid_location(spark, d):
@@ -321,16 +380,15 @@ def q_job_counters(spark, d):
     pulled = sync.incremental_pull(raw, fixture.sync_history(spark, d), observed_after=PULL_WINDOW[0], observed_before=PULL_WINDOW[1])
     valid = q_read_occurrences(spark, d)
     joined = features.join_existing_features(_latest(spark, d, *FEATURE_KEY), fixture.features(spark, d), LANDCOVER)
-    return metrics.job_counters({
-        "occurrences_fetched": pulled,
-        "names_fetched": pulled.where("name is not null").select("name").distinct(),
-        "valid_taxa": valid.select("name").distinct(),
-        "valid_occurrences": valid,
-        "complete": features.complete_rows(joined, LANDCOVER),
-        "incomplete": features.incomplete_rows(joined, LANDCOVER),
-        "without_key": joined.where(~features.has_key(LANDCOVER)),
-        "token_groups": q_missing_feature_groups(spark, d),
-    })
+    complete, keyed = features.is_complete(LANDCOVER, features.FETCHED), features.has_key(LANDCOVER)
+    rows = F.count(F.lit(1))
+    return metrics.job_counters([
+        (pulled, {"occurrences_fetched": rows, "names_fetched": F.count_distinct("name")}),
+        (valid, {"valid_taxa": F.count_distinct("name"), "valid_occurrences": rows}),
+        (joined, {"complete": metrics.count_where(complete), "incomplete": metrics.count_where(~complete),
+                  "without_key": metrics.count_where(~keyed),
+                  "token_groups": F.count_distinct(F.when(keyed & ~complete, F.struct(*FEATURE_KEY)))}),
+    ])
 
 
 def q_json_records(spark, d):
@@ -396,6 +454,11 @@ QUERIES: dict[str, Query] = {
     "combine_features": q_combine_features,
     "feature_vectors": q_feature_vectors,
     "valid_feature_vectors": q_valid_feature_vectors,
+    "asof_features": q_asof_features,
+    "feature_windows": q_feature_windows,
+    "curve_covering": q_curve_covering,
+    "finest_feature": q_finest_feature,
+    "containing_cells": q_containing_cells,
     "one_request_per_cell": q_one_request_per_cell,
     "unwind_cells": q_unwind_cells,
     "covering_cells": q_covering_cells,
@@ -424,6 +487,49 @@ _BATCHED = """(select family, cast(floor((row_number() over (partition by family
 _JSON = ("cast(to_json({'id': id, 'source': source, 'name': name, 'latitude': latitude, "
          "'coordinate_uncertainty': coordinate_uncertainty, 'date': date}) as varchar)")
 
+
+
+def _cell_sql(x: str, y: str, level: str) -> str:
+    return f"((1::bigint << (2 * {level})) | bits({x}) | (bits({y}) << 1))"
+
+
+# DuckDB has macros, but the oracle is one statement: bits() is spelled out.
+def _with_bits(sql: str) -> str:
+    import re
+    while (m := re.search(r"bits\(([a-z0-9_]+)\)", sql)):
+        v = m.group(1)
+        steps = f"list_reduce([{v}, " + ", ".join(str(i) for i in range(len(curve.SPREAD))) + "], lambda v, i: (v | (v << [" + ", ".join(
+            str(s) for s, _ in curve.SPREAD) + "][i + 1])) & [" + ", ".join(str(k) for _, k in curve.SPREAD) + "][i + 1])"
+        sql = sql.replace(m.group(0), steps)
+    return sql
+
+
+_SPREAD = """spread as (select id, source, case when id % 50 = 7 then latitude * 2.2::double else latitude + (id % 997) / 1000.0::double end as la,
+  longitude + (id % 1009) / 500.0::double as lo, case when id % 11 <> 0 then 30.0::double * (10 ** (id % 5))::double end as u from latest),
+inside as (select * from spread where abs(la) <= 90)"""
+
+
+def _point_sql(level: int) -> str:
+    n = 1 << level
+    return f"""(select id, source, {_cell_sql('x', 'y', str(level))} as cell from (select id, source,
+  ((floor((lo + 180) / 360 * {n}.0::double)::bigint % {n}) + {n}) % {n} as x,
+  least(floor((la + 90) / 180 * {n}.0::double), {n - 1})::bigint as y from inside))"""
+
+
+_COVERING = f"""sized as (select *, dx, case when polar then 180.0::double else degrees(asin(sin(radians(dy)) / cos(radians(la)))) end as dx2
+  from (select id, source, la, lo, greatest(coalesce(u, 30.0), 30.0) / 111320.0::double as dy, 0 as dx,
+    abs(la) + greatest(coalesce(u, 30.0), 30.0) / 111320.0::double >= 90 as polar from inside)),
+leveled as (select *, greatest(least(least(floor(log2(180 / dy)), floor(log2(360 / dx2))) + 1, {curve.FINEST}), 0)::int as l from sized),
+boxed as (select id, source, l, n,
+  greatest(least(floor((la - dy + 90) / 180 * n), n - 1), 0)::bigint as y0, greatest(least(floor((la + dy + 90) / 180 * n), n - 1), 0)::bigint as y1,
+  case when polar then 0 else floor((lo - dx2 + 180) / 360 * n)::bigint end as x0,
+  case when polar then n - 1 else floor((lo + dx2 + 180) / 360 * n)::bigint end as x1 from (select *, (1::bigint << l) as n from leveled)),
+covering as (select id, source, {_cell_sql('x', 'y', 'l')} as cell from (select id, source, l, y, ((xx % n) + n) % n as x
+  from (select id, source, l, n, y, unnest(generate_series(x0, least(x1, x0 + n - 1))) as xx
+    from (select *, unnest(generate_series(y0, y1)) as y from boxed))))"""
+_LAYERS = f"""layers as (select distinct cell as feature_cell, cell % 11 as value, {COARSE} as level from {_point_sql(COARSE)} where cell % 5 <> 0
+  union all select distinct cell, cell % 13, {FINE} from {_point_sql(FINE)} where cell % 3 = 0)"""
+
 _ORACLE: dict[str, tuple[list[str], str]] = {
     "latest_version": (["latest"], "select * from latest"),
     "latest_by_source_id": (["occ"], """
@@ -512,6 +618,30 @@ left join elevation e on o.date = e.date and o.cell_id = e.cell_id"""),
 select cell_id, string_agg(coalesce(cast(landcover as varchar), 'null'), ',' order by date) as v from found group by cell_id"""),
     "valid_feature_vectors": (["found"], f"""
 select cell_id, count(landcover) as n from found group by cell_id having count(landcover) >= {VECTOR_MIN_LENGTH}"""),
+    "asof_features": (["latest", "found"], f"""
+, hot as (select id, source, date, case when id % 3 = 0 then {HOT_CELL} else cell_id end as cell_id from latest),
+sparse as (select * from found where month(date) % 4 = 1)
+select o.id, o.source, case when f.date >= o.date - {ASOF_DAYS} then f.landcover end as landcover,
+  case when f.date >= o.date - {ASOF_DAYS} then f.date end as feature_date
+from hot o asof left join sparse f on o.cell_id = f.cell_id and o.date >= f.date"""),
+    "feature_windows": (["latest", "found"], f"""
+, hot as (select id, source, date, case when id % 3 = 0 then {HOT_CELL} else cell_id end as cell_id from latest)
+select o.id, o.source, string_agg(coalesce(cast(f.landcover as varchar), 'null'), ',' order by k desc) as w, count(f.landcover) as n
+from hot o cross join range({WINDOW_MONTHS}) s(k)
+  left join found f on f.cell_id = o.cell_id and f.date = o.date - to_months(cast(k as integer))
+group by o.id, o.source"""),
+    "curve_covering": (["latest"], _with_bits(f", {_SPREAD}, {_COVERING} select * from covering")),
+    "finest_feature": (["latest"], _with_bits(f""", {_SPREAD}, {_LAYERS}, p as {_point_sql(curve.FINEST)}
+select s.id, s.source, coalesce(f.feature_cell, c.feature_cell) as feature_cell, coalesce(f.value, c.value) as value
+from spread s left join p on p.id = s.id and p.source = s.source
+  left join layers f on f.level = {FINE} and f.feature_cell = p.cell >> {2 * (curve.FINEST - FINE)}
+  left join layers c on c.level = {COARSE} and c.feature_cell = p.cell >> {2 * (curve.FINEST - COARSE)}""")),
+    "containing_cells": (["latest"], _with_bits(f""", {_SPREAD}, {_COVERING}, {_LAYERS},
+leveled_cells as (select *, ((length(bin(cell)) - 1) / 2)::int as l from covering),
+pairs as (select id, source, value from leveled_cells join layers on l >= level and feature_cell = cell >> (2 * greatest(l - level, 0))
+  union all
+  select id, source, value from leveled_cells join layers on l < level and cell = feature_cell >> (2 * greatest(level - l, 0)))
+select id, source, count(*) as n, cast(sum(value) as bigint) as total from pairs group by id, source""")),
     "one_request_per_cell": (["latest"], """
 select c, source, id from (select *, row_number() over (partition by c order by source, id) as r
   from (select id, source, unnest([cell_id, cell_id + 1]) as c from latest)) where r = 1"""),
@@ -524,9 +654,9 @@ from (select id, source,
   greatest(cast(floor((la - d) / {GRID_STEP}) as bigint), -{ROW0}) as r_lo,
   least(cast(floor((la + d) / {GRID_STEP}) as bigint), {ROW0} - 1) as r_hi,
   case when abs(la) + d >= 90 then cast(floor((longitude - 180) / {GRID_STEP}) as bigint)
-    else cast(floor((longitude - d / cos(radians(la))) / {GRID_STEP}) as bigint) end as c_lo,
+    else cast(floor((longitude - degrees(asin(sin(radians(d)) / cos(radians(la))))) / {GRID_STEP}) as bigint) end as c_lo,
   case when abs(la) + d >= 90 then cast(floor((longitude - 180) / {GRID_STEP}) as bigint) + {NCOLS} - 1
-    else cast(floor((longitude + d / cos(radians(la))) / {GRID_STEP}) as bigint) end as c_hi
+    else cast(floor((longitude + degrees(asin(sin(radians(d)) / cos(radians(la))))) / {GRID_STEP}) as bigint) end as c_hi
   from (select *, greatest(coalesce(coordinate_uncertainty, 30.0), 30.0) / 111320.0 as d,
           case when id % 100 = 11 then latitude * 2.5 else latitude end as la from latest) x
   where abs(la) <= 90) y"""),

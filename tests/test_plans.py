@@ -57,10 +57,32 @@ def test_no_row_at_a_time_python_and_no_cartesian(spark, key):
     s = plan_summary(entry.queries()[key](spark, SF))
     assert "BatchEvalPython" not in s["python"]
     assert not s["cartesian"]
-    if key != "fetch_missing_features":
+    if key not in ("fetch_missing_features", "asof_features"):
         assert s["python"] == []
 
 
 def test_pull_is_one_semi_join_with_the_marks(spark):
     s = plan_summary(entry.queries()["incremental_pull"](spark, SF))
     assert any(j.endswith("LeftSemi") for j in s["joins"]) and not any("NestedLoop" in j for j in s["joins"])
+
+
+@pytest.mark.parametrize("key", ["join_existing_features", "complete_rows", "missing_feature_keys", "merge_features",
+                                 "merged_without_feature", "grouped_occurrences", "combine_features", "fetched_flag",
+                                 "feature_rows_to_append", "job_counters"])
+def test_feature_tables_are_picked_without_sort_aggregates(spark, key):
+    assert "SortAggregate" not in plan(entry.queries()[key](spark, SF))
+
+
+def test_sampling_batches_numbers_only_what_it_keeps(spark):
+    p = plan(entry.queries()["sample_batches"](spark, SF))
+    assert "TakeOrderedAndProject" in p
+
+
+def test_counters_take_one_pass_a_frame(spark):
+    p = plan_text(entry.queries()["job_counters"](spark, SF))
+    assert p.count("Union") <= 4 and p.count("explode(") == 3
+
+
+def test_windows_join_one_row_a_cell_without_a_range(spark):
+    p = plan(entry.queries()["feature_windows"](spark, SF))
+    assert "NestedLoop" not in p and p.count("LeftOuter") <= 2   # the tree and its details
