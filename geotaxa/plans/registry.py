@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geotaxa.functions.json import from_json_record, strict_json, to_json_record
-from geotaxa.operators import curve, dedup, features, metrics, names, requests, series, taxa, versions
+from geotaxa.operators import curve, dedup, features, metrics, names, requests, resolve, series, taxa, tiles, versions
 from geotaxa.operators.features import FeatureSpec
 from geotaxa.plans.jobs import read_occurrences
 from geotaxa.schemas import decode_rows, schema_from_fields
@@ -37,7 +37,7 @@ TOP_N = 10
 VECTOR_MIN_LENGTH = 83
 SAMPLE_BATCHES = 3
 HOT_CELL, ASOF_DAYS, WINDOW_MONTHS = 3, 70, 6
-COARSE, FINE = 6, 12          # levels of the feature cells
+COARSE, FINE, TILE_BITS = 6, 12, 4          # levels of the feature cells
 GRID_STEP = 0.25
 # Grid of GRID_STEP degrees: rows from the south pole, columns from the antimeridian.
 ROW0, COL0, NCOLS = int(round(90 / GRID_STEP)), int(round(180 / GRID_STEP)), int(round(360 / GRID_STEP))
@@ -322,6 +322,41 @@ def q_containing_cells(spark, d):
     return pairs.groupBy("id", "source").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
 
 
+def q_tile_values(spark, d):
+    """The pixel each location lies in, looked up in tiles of 16 by 16 pixels."""
+    at = _spread_locations(spark, d).select(curve.point_cell("latitude", "longitude", FINE).alias("pixel"), F.col("id").alias("i"))
+    pixels = at.where("pixel % 4 <> 1 and i % 2 = 0").select("pixel", (F.col("pixel") % 17).alias("value"))
+    return tiles.tile_values(_spread_locations(spark, d), tiles.build_tiles(pixels, TILE_BITS), FINE, TILE_BITS).select("id", "source", "value")
+
+
+# What the last token of a fixture name stands for, so that names
+# look like species with a variety.
+VARIETIES = ["alba", "fusca", "rubescens", "viridis"]
+
+
+def _spelled(name):
+    """Fixture names as (genus, epithet, variety): ``old rod 2`` -> ``Old rod var. rubescens``."""
+    parts = F.split(name, " ")
+    variety = F.element_at(F.array(*[F.lit(v) for v in VARIETIES]), F.try_element_at(parts, F.lit(3)).cast("int") + 1)
+    return F.when(F.size(parts) == 3, F.concat(F.initcap(parts[0]), F.lit(" "), parts[1], F.lit(" var. "), variety)).otherwise(F.initcap(name))
+
+
+def q_resolve_names(spark, d):
+    """Spellings with planted typos, authors and odd spacing, resolved."""
+    latest = _latest(spark, d, "name")
+    good, i = _spelled(F.col("name")), F.col("id")
+    typed = (F.when(i % 8 == 1, F.concat(F.substring(good, 1, 3), F.substring(good, 5, 99)))             # a letter lost
+              .when(i % 8 == 2, F.concat(F.substring(good, 1, 2), F.lit("q"), F.substring(good, 4, 99)))   # replaced
+              .when(i % 8 == 3, F.concat(F.substring(good, 1, 2), F.lit("x"), F.substring(good, 3, 99)))   # added
+              .when(i % 8 == 4, F.concat(F.upper(F.substring(good, 1, 1)), F.substring(good, 2, 99), F.lit("  (L.) Lam. 1783")))
+              .when(i % 8 == 5, F.concat(F.substring(good, 1, 1), F.lit("zz"), F.substring(good, 4, 99)))  # two replaced
+              .otherwise(good))
+    reference = fixture.names(spark, d).select(
+        resolve.parse_name(_spelled(F.col("given_name")))["canonical"].alias("canonical"), "scientific_name")
+    return resolve.resolve_occurrences(latest.select("id", "source", typed.alias("name")), reference
+                                       ).select("id", "source", "scientific_name", "name_distance")
+
+
 def q_one_request_per_cell(spark, d):
     unwound = requests.unwind_cells(_latest(spark, d, "cell_id"), _cells())
     return dedup.one_request_per_cell(unwound, "c").select("c", "source", "id")
@@ -459,6 +494,8 @@ QUERIES: dict[str, Query] = {
     "curve_covering": q_curve_covering,
     "finest_feature": q_finest_feature,
     "containing_cells": q_containing_cells,
+    "tile_values": q_tile_values,
+    "resolve_names": q_resolve_names,
     "one_request_per_cell": q_one_request_per_cell,
     "unwind_cells": q_unwind_cells,
     "covering_cells": q_covering_cells,
@@ -530,6 +567,24 @@ covering as (select id, source, {_cell_sql('x', 'y', 'l')} as cell from (select
 _LAYERS = f"""layers as (select distinct cell as feature_cell, cell % 11 as value, {COARSE} as level from {_point_sql(COARSE)} where cell % 5 <> 0
   union all select distinct cell, cell % 13, {FINE} from {_point_sql(FINE)} where cell % 3 = 0)"""
 
+
+
+def _spelled_sql(c: str) -> str:
+    parts = f"string_split({c}, ' ')"
+    cap = lambda w: f"(upper(({w})[1]) || lower(({w})[2:]))"
+    varieties = ", ".join(f"'{v}'" for v in VARIETIES)
+    return (f"case when len({parts}) = 3 then {cap(parts + '[1]')} || ' ' || {parts}[2] || ' var. ' || "
+            f"[{varieties}][try_cast({parts}[3] as int) + 1] else {cap(c)} end")
+
+
+def _canonical_sql(c: str) -> str:
+    """The fixture's spellings hold no other rank mark than ``var.``."""
+    text, p = f"trim(regexp_replace({c}, '\\s+', ' ', 'g'))", resolve.PATTERN
+    part = lambda i: f"regexp_extract({text}, '{p}', {i})"
+    return (f"nullif(lower({part(1)}) || case when {part(2)} <> '' then ' ' || {part(2)} else '' end "
+            f"|| case when {part(4)} <> '' then ' ' || {part(3)} || '. ' || {part(4)} else '' end, '')")
+
+
 _ORACLE: dict[str, tuple[list[str], str]] = {
     "latest_version": (["latest"], "select * from latest"),
     "latest_by_source_id": (["occ"], """
@@ -642,6 +697,19 @@ pairs as (select id, source, value from leveled_cells join layers on l >= level
   union all
   select id, source, value from leveled_cells join layers on l < level and cell = feature_cell >> (2 * greatest(level - l, 0)))
 select id, source, count(*) as n, cast(sum(value) as bigint) as total from pairs group by id, source""")),
+    "tile_values": (["latest"], _with_bits(f""", {_SPREAD}, p as {_point_sql(FINE)},
+raster as (select distinct cell, cell % 17 as value from p where cell % 4 <> 1 and id % 2 = 0)
+select s.id, s.source, r.value from spread s left join p on p.id = s.id and p.source = s.source left join raster r on r.cell = p.cell""")),
+    "resolve_names": (["latest", "names"], f"""
+, spelled as (select id, source, name, {_spelled_sql('name')} as g from latest),
+typed as (select id, source, case id % 8 when 1 then g[1:3] || g[5:99] when 2 then g[1:2] || 'q' || g[4:99] when 3 then g[1:2] || 'x' || g[3:99]
+  when 4 then upper(g[1]) || g[2:99] || '  (L.) Lam. 1783' when 5 then g[1:1] || 'zz' || g[4:99] else g end as given from spelled),
+known as (select {_canonical_sql(_spelled_sql('given_name'))} as canonical, max(scientific_name) as s from names group by 1),
+asked as (select given, {_canonical_sql('given')} as canonical from (select distinct given from typed where given is not null)),
+pairs as (select given, levenshtein(a.canonical, k.canonical) as d, min(s) as a, max(s) as b
+  from asked a join known k on levenshtein(a.canonical, k.canonical) <= 1 group by given, d),
+best as (select given, d, a, b from (select *, row_number() over (partition by given order by d) as r from pairs) where r = 1 and a = b)
+select t.id, t.source, b.a as scientific_name, cast(b.d as integer) as name_distance from typed t left join best b on b.given = t.given"""),
     "one_request_per_cell": (["latest"], """
 select c, source, id from (select *, row_number() over (partition by c order by source, id) as r
   from (select id, source, unnest([cell_id, cell_id + 1]) as c from latest)) where r = 1"""),

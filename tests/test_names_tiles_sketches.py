@@ -1,0 +1,143 @@
+"""Name resolution, raster tiles, frequent-name sketches, undeclared records."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from geotaxa.operators import curve, resolve, sketches, tiles, variants
+from geotaxa.plans.checks import plan_text
+from geotaxa.session import materialize
+from helpers import as_set, occ_df, row
+
+
+# ---------------------------------------------------------------- names
+def test_parse_names(spark):
+    cases = {
+        "Amanita  muscaria (L.) Lam.": ("Amanita", "muscaria", None, None, "(L.) Lam.", "amanita muscaria"),
+        " amanita muscaria ssp alba Peck 1900 ": ("Amanita", "muscaria", "subsp", "alba", "Peck 1900", "amanita muscaria subsp. alba"),
+        "Rosa canina f. alba": ("Rosa", "canina", "f", "alba", None, "rosa canina f. alba"),
+        "RUSSULA": ("Russula", None, None, None, None, "russula"),
+        "Poa L.": ("Poa", None, None, None, "L.", "poa"),
+        "Épinette noire-bleue": ("Épinette", "noire-bleue", None, None, None, "épinette noire-bleue"),
+        "123": (None,) * 6, "": (None,) * 6, None: (None,) * 6,
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "n string").select("n", resolve.parse_name("n").alias("p"))
+    assert {r["n"]: tuple(r["p"]) for r in df.collect()} == cases
+
+
+def edits(a, b):
+    row_ = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        left, row_ = row_, [i]
+        for j, y in enumerate(b, 1):
+            row_.append(min(left[j] + 1, row_[-1] + 1, left[j - 1] + (x != y)))
+    return row_[-1]
+
+
+@pytest.mark.parametrize("k", [1, 2])
+def test_resolution_equals_comparing_all_pairs(spark, k):
+    rng = random.Random(k)
+    word = lambda n: "".join(rng.choice("abe") for _ in range(n))
+    reference = {f"{word(3)} {word(4)}" for _ in range(40)} | {"ab", "a"}
+    given = {f"{word(3)} {word(rng.randrange(3, 6))}" for _ in range(120)} | {"b", "ac", "9", ""}
+    ref = spark.createDataFrame([(c, c.upper()) for c in reference], "canonical string, scientific_name string")
+    got = {r["given_name"]: (r["scientific_name"], r["distance"]) for r in resolve.resolve_names(
+        spark.createDataFrame([(g,) for g in given] + [(None,)], "given_name string"), ref, k).collect()}
+    assert set(got) == given
+    for g in given:
+        best = min((edits(g, c) for c in reference), default=99)
+        near = [c for c in reference if edits(g, c) == best]
+        parsed = g not in ("9", "")
+        want = (near[0].upper(), best) if parsed and best <= k and len(near) == 1 else (None, None)
+        assert got[g] == want, (g, near)
+
+
+def test_occurrences_keep_their_rows_and_stored_index(spark):
+    reference = spark.createDataFrame([("amanita muscaria", "A. m."), ("russula emetica", "R. e."), (None, "none")], "canonical string, scientific_name string")
+    index = materialize(resolve.deletion_index(reference.where("canonical is not null")), "index")
+    occ = occ_df(spark, [row(1, name="Amanita muscaria Lam."), row(2, name="Amanta muscaria"), row(3, name="Boletus edulis"), row(4, name=None),
+                         row(5, name="Amanta muscaria")])
+    out = resolve.resolve_occurrences(occ.withColumn("scientific_name", F.lit("old")), reference, index=index)
+    assert as_set(out, "id", "scientific_name", "name_distance") == {
+        (1, "A. m.", 0), (2, "A. m.", 1), (3, None, None), (4, None, None), (5, "A. m.", 1)}
+    plan = plan_text(out)
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    with pytest.raises(ValueError):
+        resolve.deletion_index(reference, max_distance=3)
+
+
+# ---------------------------------------------------------------- tiles
+def test_tiles_equal_the_row_per_pixel_lookup(spark):
+    rng = random.Random(3)
+    places = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(300)] + [(900, 91.0, 0.0), (901, None, 1.0), (902, 0.0, 180.0)]
+    points = spark.createDataFrame(places, "id long, latitude double, longitude double")
+    cells = points.select(curve.point_cell("latitude", "longitude", 5).alias("pixel")).distinct()
+    pixels = cells.where("pixel % 3 <> 0").withColumn("value", F.when(F.col("pixel") % 7 != 0, F.col("pixel") % 11))
+    pixels = materialize(pixels.unionAll(pixels.where("pixel % 2 = 0").withColumn("value", F.lit(-1).cast("long"))), "pixels")
+    built = tiles.build_tiles(pixels, 2)
+    assert {len(r["pixels"]) for r in built.collect()} == {16}
+    got = tiles.tile_values(points.withColumn("value", F.lit("x")), built, 5, 2)
+    flat = pixels.groupBy("pixel").agg(F.max("value").alias("value"))
+    want = points.withColumn("pixel", curve.point_cell("latitude", "longitude", 5)).join(flat, "pixel", "left")
+    assert as_set(got, "id", "value") == as_set(want, "id", "value") and got.count() == len(places)
+    assert tiles.build_tiles(pixels.limit(0), 2).count() == 0
+
+
+def test_tiles_by_date(spark):
+    rows = [(1, "a", 5), (1, "b", 6), (2, "a", 7)]
+    pixels = spark.createDataFrame([(16 + p, d, v) for p, d, v in rows], "pixel long, date string, value long")
+    got = {(r["date"], r["tile"]): r["pixels"] for r in tiles.build_tiles(pixels, 1, by=["date"]).collect()}
+    assert got == {("a", 4): [None, 5, 7, None], ("b", 4): [None, 6, None, None]}
+
+
+# ---------------------------------------------------------------- sketches
+def skewed(spark, lo, hi):
+    name = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 5 == 0, F.concat(F.lit("warm "), F.col("id") % 4)).otherwise(F.concat(F.lit("n"), F.col("id")))
+    return spark.range(lo, hi).select(F.when(F.col("id") % 101 != 0, name).alias("name"))
+
+
+def test_merged_sketches_stay_within_the_bound(spark):
+    size, n = 128, 30000
+    parts = [sketches.name_sketch(skewed(spark, a, a + n // 3), str(a), max_items=size) for a in range(0, n, n // 3)]
+    merged = sketches.merge_sketches(parts[0].unionByName(parts[1]).unionByName(parts[2]), max_items=size)
+    exact = {r["name"]: r["c"] for r in skewed(spark, 0, n).where("name is not null").groupBy("name").agg(F.count(F.lit(1)).alias("c")).collect()}
+    rows = merged.first()["rows"]
+    bound = sketches.error_bound(size, rows)
+    assert rows == sum(exact.values())
+    for sketch in (merged, sketches.name_sketch(skewed(spark, 0, n), "one pass", max_items=size)):
+        found = {r["name"]: r["c"] for r in sketches.frequent_names(sketch, size, max_items=size).collect()}
+        assert {k for k, c in exact.items() if c > bound} <= set(found) and "hot" in found
+        assert all(abs(c - exact[k]) <= bound for k, c in found.items())
+    small = sketches.name_sketch(skewed(spark, 0, 60), "s", max_items=size)
+    want = sorted(((-c, k) for k, c in {r["name"]: r["c"] for r in skewed(spark, 0, 60).where("name is not null").groupBy("name").agg(
+        F.count(F.lit(1)).alias("c")).collect()}.items()))[:7]
+    assert [(-r["c"], r["name"]) for r in sketches.frequent_names(small, 7, max_items=size).collect()] == want
+
+
+def test_sketch_of_nothing(spark):
+    empty = sketches.name_sketch(skewed(spark, 0, 0), "e")
+    assert empty.first()["rows"] == 0
+    assert sketches.frequent_names(sketches.merge_sketches(empty.unionByName(sketches.name_sketch(skewed(spark, 1, 9), "x"))), 3).first()["name"] == "hot"
+
+
+# ---------------------------------------------------------------- variants
+FIELDS = [("id", "INTEGER", "REQUIRED"), ("source", "STRING", "NULLABLE"), ("latitude", "FLOAT", "NULLABLE")]
+
+
+def test_undeclared_records_round_trip(spark):
+    lines = ['{"id": 1, "source": "a", "extra": [1, 2]}', '{"id": "2", "latitude": 1}', '{"id": 3, "source": null, "latitude": 2.5, "deep": {"x": 1}}']
+    records = materialize(variants.parse_variant(spark.createDataFrame([(x,) for x in lines], "j string"), "j"), "variant")
+    assert as_set(variants.extract_fields(records, FIELDS), "id", "source", "latitude") == {(1, "a", None), (2, None, 1.0), (3, None, 2.5)}
+    schema = variants.discover_schema(records).first()["schema"]
+    assert "latitude: D" in schema and "id: VARIANT" in schema and "deep: OBJECT<x: BIGINT>" in schema
+    own = variants.as_variant(occ_df(spark, [row(1), row(2, name=None)]), ["id", "source", "latitude"])
+    assert as_set(variants.extract_fields(own, FIELDS), "id", "source") == {(1, "gbif"), (2, "gbif")}
+
+
+@pytest.mark.parametrize("line,message", [('{"id": "x"}', "INVALID_VARIANT_CAST"), ('{"source": "a"}', "no value in REQUIRED field id"),
+                                          ('{"id": 1, "latitude": "north"}', "INVALID_VARIANT_CAST"), ("not json", "MALFORMED")])
+def test_values_that_do_not_fit_fail(spark, line, message):
+    df = variants.extract_fields(variants.parse_variant(spark.createDataFrame([(line,)], "j string"), "j"), FIELDS)
+    with pytest.raises(Exception, match=message):
+        df.collect()

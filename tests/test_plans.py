@@ -57,7 +57,7 @@ def test_no_row_at_a_time_python_and_no_cartesian(spark, key):
     s = plan_summary(entry.queries()[key](spark, SF))
     assert "BatchEvalPython" not in s["python"]
     assert not s["cartesian"]
-    if key not in ("fetch_missing_features", "asof_features"):
+    if key not in ("fetch_missing_features", "asof_features", "pull_source"):
         assert s["python"] == []
 
 
