@@ -14,10 +14,13 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def job_counters(frames: Sequence[tuple[DataFrame, Mapping[str, Column]]]) -> DataFrame:
+def job_counters(frames: Mapping[str, DataFrame] | Sequence[tuple[DataFrame, Mapping[str, Column]]]) -> DataFrame:
     """(counter, value) of several frames, each with its own named aggregates
     (``count_where``, ``F.count``, ``F.count_distinct``): all counters of one
-    frame come from one pass over it; nothing is gathered."""
+    frame come from one pass over it; nothing is gathered.  A mapping of names to
+    frames counts the rows of each, 0 for an empty one."""
+    if isinstance(frames, Mapping):
+        frames = [(df, {name: F.count(F.lit(1))}) for name, df in frames.items()]
     out = None
     for df, counters in frames:
         one = df.agg(*[value.cast("long").alias(f"_{i}") for i, value in enumerate(counters.values())])
