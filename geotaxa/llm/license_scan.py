@@ -3,9 +3,10 @@
 Only DataFrame functions; one map over the documents after one aggregate that
 counts the template tokens in the whole corpus.
 
-*Words* are runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after lower-casing.
-A *block* is every run of ``block_lines`` consecutive lines (one block starts
-at each line).  A block meets a template T when it holds at least
+*Words* are runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after lower-casing
+A-Z (no other letters).  A *block* is every run of ``block_lines`` consecutive
+lines that hold a word (one block starts at each), so blank lines and bare
+comment marks between the lines of a notice do not cut it.  A block meets a template T when it holds at least
 ``need = ceil(threshold * |T|)`` of T's distinct tokens.  The filters lose no
 such block:
 
@@ -38,6 +39,7 @@ from geotaxa.llm.text import read_documents
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 # Phrase -> label.
 BASE_PHRASES = {
@@ -66,13 +68,17 @@ def _tokens(text: str) -> list[str]:
     return sorted({w for w in re.split(SEPARATORS + "+", text.lower()) if w})
 
 
+def _lower(text: Column) -> Column:
+    return F.translate(text, UPPER, UPPER.lower())
+
+
 def _phrase_pattern(phrase: str) -> str:
     return f"(?<!{WORD})" + (SEPARATORS + "+").join(phrase.split()) + f"(?!{WORD})"
 
 
 def token_counts(docs: DataFrame, tokens: list[str]) -> dict[str, int]:
     """Occurrences of ``tokens`` in all texts; one row per token reaches the driver."""
-    words = docs.select(F.explode(F.split(F.lower("text"), SEPARATORS + "+")).alias("token"))
+    words = docs.select(F.explode(F.split(_lower(F.col("text")), SEPARATORS + "+")).alias("token"))
     rows = words.where(F.col("token").isin(tokens)).groupBy("token").count().collect()
     return dict.fromkeys(tokens, 0) | {r["token"]: r["count"] for r in rows}
 
@@ -114,7 +120,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES,
         plans.append((label, ordered, need, ordered[:len(ordered) - need + 1]))
 
     low = F.col("_low")
-    df = docs.select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("_low"))
+    df = docs.select("doc_id", _lower(F.coalesce("text", F.lit(""))).alias("_low"))
 
     def count_words(c: Column) -> Column:
         # Pieces between separators, without the empty ones at both ends.
@@ -145,8 +151,8 @@ def scan_licenses(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES,
     candidate = F.lit(False)
     for t in prefix:
         candidate = candidate | (low.contains(t) & low.rlike(_phrase_pattern(t)))
-    lines = F.split(low, "\n")
-    blocks = F.transform(F.sequence(F.lit(1), F.size(lines)), lambda i: F.array_distinct(
+    lines = F.filter(F.split(low, "\n"), lambda line: line.rlike(WORD))
+    blocks = F.transform(F.sequence(F.lit(1), F.greatest(F.size(lines), F.lit(1))), lambda i: F.array_distinct(
         F.split(F.concat_ws(" ", F.slice(lines, i, block_lines)), SEPARATORS + "+")))
     blocks = F.filter(blocks, lambda b: F.arrays_overlap(b, _strings(prefix)))
     df = df.select(
@@ -179,7 +185,6 @@ def _sql_list(values: list[str]) -> str:
 def oracle_sql(threshold: float = 0.8, block_lines: int = 3) -> str:
     """The same digest in DuckDB, without any filter: every block against every template."""
     word = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     places = []
     for phrase, label in BASE_PHRASES.items():
         w = phrase.split()
@@ -197,11 +202,11 @@ def oracle_sql(threshold: float = 0.8, block_lines: int = 3) -> str:
         f"'n': list_max(list_transform(b, lambda x: len(list_intersect(x, {_sql_list(tokens)}))))}}"
         for label, tokens, need in checks)
     return f"""
-WITH t AS (SELECT doc_id, translate(coalesce(text, ''), '{upper}', '{lower}') AS low FROM documents),
-w AS (SELECT doc_id, low, regexp_extract_all(low, '{word}') AS w, string_split(low, chr(10)) AS ls FROM t),
+WITH t AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}') AS low FROM documents),
+w AS (SELECT doc_id, low, regexp_extract_all(low, '{word}') AS w, list_filter(string_split(low, chr(10)), lambda l: regexp_matches(l, '{word}')) AS ls FROM t),
 p AS (SELECT doc_id, len(w) AS n_words, list_concat({places[0]}, list_concat({places[1]},
         list_concat({places[2]}, {places[3]}))) AS p,
-        list_transform(range(1, len(ls) + 1), lambda i: regexp_extract_all(
+        list_transform(range(1, greatest(len(ls), 1) + 1), lambda i: regexp_extract_all(
             array_to_string(ls[i:i + {block_lines - 1}], ' '), '{word}')) AS b FROM w),
 h AS (SELECT doc_id, n_words, p, list_filter([{parts}], lambda x: x.n >= x.need) AS h FROM p)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(len(p) AS BIGINT) AS n_base,

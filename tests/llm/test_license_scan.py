@@ -18,6 +18,9 @@ def test_places_blocks_and_thresholds(spark):
         (23, "permission is hereby granted to any person"),
         (24, "x " * 500 + "Licensed under the Apache License, Version 2.0.\n" + "y " * 500),
         (25, "free of charge\n" * 3 + "to any person obtaining a copy of\n\n\n\nthis software and associated documentation files"),
+        (26, "# Permission is hereby granted, free of charge,\n#\n# to any person obtaining a copy of\n#\n\n# this software and associated documentation files"),
+        (27, "MIT LICENSE \u212Ait mit l\u0130cense end"),
+        (28, "\n#\n * \n"),
     ]
     got = rows_by_id(ls.scan_licenses(with_clashes(docs_df(spark, rows))))
     assert tuple(got[20])[1:7] == (10, 4, 0, 8, "apache,cc-by,mit", "apache,cc-by,mit")
@@ -25,7 +28,10 @@ def test_places_blocks_and_thresholds(spark):
     assert got[22]["labels"] == "mit" and 0.8 <= got[22]["score"] < 1
     assert got[23]["labels"] == "" and got[23]["score"] == 0
     assert got[24]["labels"] == "apache,apache-2.0" and got[24]["first_word"] == 503 and got[24]["score"] == 1
-    assert got[25]["labels"] == ""           # spread over more lines than a block has
+    assert got[25]["labels"] == ""           # 15 of 19 tokens in three lines with words
+    assert got[26]["labels"] == "mit" and got[26]["score"] >= 0.8   # blank comment lines do not cut a block
+    assert got[27]["n_base"] == 1 and got[27]["n_words"] == 6       # only A-Z is lower-cased
+    assert got[28]["labels"] == "" and got[28]["n_words"] == 0
 
 
 def test_odd_rows(spark):
@@ -36,3 +42,15 @@ def test_odd_rows(spark):
     assert by_id[5]["n_words"] == 5 and by_id[6]["n_words"] == 4000
     assert ls.scan_licenses(docs_df(spark, [])).count() == 0
     assert ls.scan_licenses(docs_df(spark, [(1, "mit license")]), templates={}).first()["labels"] == "mit"
+
+
+def test_edge_texts_equal_sql(spark):
+    """The query and its SQL on texts where letters, blank lines and lengths are odd."""
+    import duckdb
+    rows = [(1, "MIT LICENSE \u212Ait mit l\u0130cense"), (2, "#\n" * 5 + "released under\n//\nthe mit\n\n license"), (3, None), (4, ""),
+            (5, "\n\n"), (6, "word " * 500_000 + "Apache License"), (7, "w" * 70_000 + " cc by"), (None, "mit license")]
+    df = docs_df(spark, rows)
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    want = con.execute(ls.oracle_sql()).fetchall()
+    assert sorted(map(tuple, ls.scan_licenses(df).collect()), key=str) == sorted(want, key=str)
