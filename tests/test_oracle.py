@@ -8,6 +8,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
+from geotaxa.plans.checks import plan_summary  # noqa: E402
 from oracle_check import digest, duck, type_mismatches  # noqa: E402
 
 SF = os.environ.get("GEOTAXA_TEST_SF", "/root/testdata/sf0.001")
@@ -28,6 +29,8 @@ def test_every_query_has_oracle():
 def test_query_matches_oracle(spark, con, key):
     df = entry.queries()[key](spark, SF)
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
+    summary = plan_summary(df)
+    assert "BatchEvalPython" not in summary["python"] and not summary["cartesian"]
     cur = con.execute(entry.oracle_sql()[key])
     d_cols, d_rows = [c[0] for c in cur.description], cur.fetchall()
     assert sorted(s_cols) == sorted(d_cols)
