@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from geotaxa.functions.json import reject_non_finite
 from geotaxa.schemas import OCCURRENCE_FIELDS, schema_from_fields
+from geotaxa.sinks.commits import append_batch
 
 
 def enforce_schema(df: DataFrame, fields: Sequence[tuple[str, str, str]] | T.StructType) -> DataFrame:
@@ -73,9 +74,15 @@ def append_table(df: DataFrame, path: str, partition_by: Sequence[str] | None =
 
 def append_occurrences(df: DataFrame, path: str, name_col: str = "scientific_name",
                        fields: Sequence[tuple[str, str, str]] | None = None,
-                       partition_by: Sequence[str] = ("source",)) -> None:
+                       partition_by: Sequence[str] = ("source",), batch: str | None = None) -> None:
     """Append normalized occurrences to the record table: only rows that can
     be formatted (same rule as the JSON sink), in the declared schema, and
     partitioned by source so pulls restricted to some sources read only
-    their folders."""
-    append_table(occurrence_rows(df, name_col, fields), path, partition_by=list(partition_by))
+    their folders.  With ``batch`` the table is a committed one
+    (``geotaxa.sinks.commits``): the rows show whole or not at all, and a batch
+    that is there already is not appended again."""
+    rows = occurrence_rows(df, name_col, fields)
+    if batch is not None:
+        append_batch(rows, path, batch, partition_by)
+        return
+    append_table(rows, path, partition_by=list(partition_by))

@@ -211,3 +211,14 @@ def test_two_runs_of_one_batch_and_odd_batches(spark, tmp_path):
             commits.append_batch(numbers(spark, 1), table, bad)
     with pytest.raises(ValueError):
         commits.read_committed(spark, str(tmp_path / "none"))
+
+
+def test_occurrences_append_by_batch(spark, tmp_path):
+    from geotaxa.sinks.writers import append_occurrences
+    table = str(tmp_path / "occ")
+    df = occ_df(spark, [row(1), row(2, source="x"), row(3, name=None)]).withColumn("scientific_name", F.col("name"))
+    for _ in range(2):                                       # a repeated run
+        append_occurrences(df, table, batch="2020-01-01")
+    append_occurrences(df.where("id = 2").withColumn("id", F.lit(9)), table, batch="2020-01-02")
+    assert as_set(commits.read_committed(spark, table), "id", "source") == {(1, "gbif"), (2, "x"), (9, "x")}
+    assert commits.read_committed(spark, table).count() == 3
