@@ -9,9 +9,10 @@ classes, share of digits), the token itself, its neighbouring tokens (two
 before, one after; hashed) and two features of the whole text (share of
 symbols, length).  It is trained on a bounded sample of documents
 (about ``train_docs`` with and as many without a keyword, by a hash of the
-doc_id), in which the values of pattern matches are the secrets.  Documents
-above ``train_chars`` characters give stretches around ``LONG_HITS`` values and
-one more place, which are cut out where the text lies.  Decoding is Viterbi over whole texts.  A token at
+doc_id), in which the values of pattern matches are the secrets.  Each of
+them, of any length, gives stretches around at most ``HITS`` of its values and
+one more place, drawn by a hash and cut out where the text lies.  Decoding is
+Viterbi over whole texts.  A token at
 which O leads by more than any two transitions can change is certainly O, so
 the text is cut there and only the stretches between are decoded: the path is
 the same as over the whole text.  Runs of B and I that touch no pattern match
@@ -42,7 +43,7 @@ ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"[0-9a-f]+")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 KINDS = ("assign", "access", "hex", "crf")
-WINDOW, LONG_HITS = 12, 4
+WINDOW, HITS = 12, 4
 
 _HEX_BYTE = np.zeros(256, bool)
 _HEX_BYTE[[*b"0123456789abcdef"]] = True
@@ -124,10 +125,14 @@ class Piece:
         if not n:
             return out
         counts = np.add.reduceat(_CLASS[self.bytes], self.start)
-        digit, small, capital, other = ((counts >> np.uint64(16 * k)) & np.uint64(0xFFFF) for k in range(4))
+        digit, small, capital, other = (((counts >> np.uint64(16 * k)) & np.uint64(0xFFFF)).astype(np.int64) for k in range(4))
+        for t in np.flatnonzero(self.end - self.start > 0xFFFF):  # 16 bits may not hold these
+            own = _CLASS[self.bytes[self.start[t]:self.end[t]]]
+            for k, table in enumerate((digit, small, capital, other)):
+                table[t] = np.count_nonzero(own == np.uint64(1 << 16 * k))
         length = np.digitize(self.end - self.start, [4, 8, 16, 24, 32, 40])
         kinds = (digit > 0) * 1 + (small > 0) * 2 + (capital > 0) * 4 + (other > 0) * 8
-        share = np.minimum((4 * digit.astype(np.int64)) // np.maximum(self.end - self.start, 1), 3)
+        share = np.minimum(4 * digit // np.maximum(self.end - self.start, 1), 3)
         out[:, 0] = (length * 16 + kinds) * 4 + share
         word = (self.hash % np.uint64(WORDS - 1)).astype(np.int64) + 1  # 0: no such neighbour
         out[:, 1] = word
@@ -208,13 +213,6 @@ class Model:
 NOTHING = Model(np.zeros((N_WEIGHTS, 3)) + [1.0, 0.0, 0.0], np.zeros((3, 3)))
 
 
-def _labelled(texts: list[str]) -> tuple[Piece, np.ndarray]:
-    """The texts as one piece, and its ``_gold``."""
-    raw = [t.encode() for t in texts]
-    piece = Piece(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64))
-    return piece, _gold(piece)
-
-
 def _gold(piece: Piece) -> np.ndarray:
     """1 for a token that begins a pattern's value, 2 for one that goes on with it."""
     gold = np.zeros(len(piece.start), np.int64)
@@ -235,11 +233,11 @@ def _around(piece: Piece, features: np.ndarray, gold: np.ndarray, centres: np.nd
     return features[place], np.where(here, gold[place], 0), here
 
 
-def _long_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each long text the stretches to learn from: int16 of (stretch, token, features, gold and inside)."""
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each text the stretches to learn from: int16 of (stretch, token, features, gold and inside)."""
     for batch in batches:
         out = []
-        for _, _, buf, off in pieces(*buffer_of(batch.column("long"))):
+        for _, _, buf, off in pieces(*buffer_of(batch.column("text"))):
             piece = Piece(buf, off)
             gold, features = _gold(piece), piece.features()
             ends = np.searchsorted(piece.row, np.arange(len(off)))
@@ -249,35 +247,21 @@ def _long_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                     continue
                 rng = np.random.default_rng(int(piece.hash[lo:hi].sum(dtype=np.uint64)))
                 hits = lo + np.flatnonzero(gold[lo:hi] == 1)
-                centres = np.append(rng.choice(hits, min(LONG_HITS, len(hits)), replace=False), rng.integers(lo, hi))
+                centres = np.append(rng.choice(hits, min(HITS, len(hits)), replace=False), rng.integers(lo, hi))
                 x, y, here = _around(piece, features, gold, centres.astype(np.int64), WINDOW)
                 out.append(np.concatenate([x, y[:, :, None], here[:, :, None]], axis=2).astype(np.int16).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("keyword"), batch.column("text"), pa.array(out, pa.binary())],
-                                         ["keyword", "text", "stretches"])
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["stretches"])
 
 
-def fit(texts: list[str], stretches: list[bytes] = (), window: int = WINDOW, steps: int = 80) -> Model:
+def fit(stretches: list[bytes], steps: int = 80) -> Model:
     """Maximum likelihood (Adam, L2) over stretches of tokens: those around
     pattern values and others from elsewhere.  Every stretch is also learned
     with random words in place of its own, so that shapes carry a secret beside
-    a word that no pattern knows.  ``stretches``: those of long texts."""
+    a word that no pattern knows."""
     rng = np.random.default_rng(5)
-    width, parts, found, at = 2 * window + 1, [], 0, 0
-    while at < len(texts):  # about a MB at a time: the driver keeps the stretches alone
-        to, size = at, 0
-        while to < len(texts) and size < 1 << 20:
-            size += len(texts[to])
-            to += 1
-        piece, gold = _labelled(texts[at:to])
-        at = to
-        n, hits = len(piece.start), np.flatnonzero(gold == 1)
-        if not n:
-            continue
-        found += len(hits)
-        centres = np.concatenate([hits, rng.integers(0, n, len(hits) + 40)])
-        parts.append(_around(piece, piece.features(), gold, centres, window))
+    width, parts, found = 2 * WINDOW + 1, [], 0
     for blob in stretches:
-        cells = np.frombuffer(blob, np.int16).reshape(-1, 2 * WINDOW + 1, 8).astype(np.int64)
+        cells = np.frombuffer(blob, np.int16).reshape(-1, width, 8).astype(np.int64)
         found += int((cells[:, WINDOW, 6] == 1).sum())
         parts.append((cells[:, :, :6], cells[:, :, 6], cells[:, :, 7] == 1))
     if not found:
@@ -347,7 +331,7 @@ def find_secrets(buf: np.ndarray, off: np.ndarray, model: Model) -> list[list[tu
     return found
 
 
-def train(docs: DataFrame, train_docs: int = 1500, train_chars: int = 20_000) -> Model:
+def train(docs: DataFrame, train_docs: int = 1500) -> Model:
     """Fit on the bounded sample the module text describes."""
     docs = docs.select("doc_id", "text")
     low = F.lower("text")
@@ -355,15 +339,12 @@ def train(docs: DataFrame, train_docs: int = 1500, train_chars: int = 20_000) ->
     for k in KEYWORDS:
         keyword = keyword | low.contains(k.decode())
     counts = docs.agg(F.count_if(keyword), F.count_if(~keyword)).head()
-    short = F.length("text") <= train_chars
-    # The share comes first, so few texts are searched; long texts stay where they are.
+    # The share comes first, so few texts are searched, and only stretches leave their place.
     sampled = (hash_share(train_docs, counts[0]) & keyword) | (hash_share(train_docs, counts[1]) & ~keyword)
-    rows = docs.where(sampled).select(keyword.alias("keyword"), F.when(short, F.col("text")).alias("text"),
-                                      F.when(~short, F.col("text")).alias("long"))
-    rows = rows.mapInArrow(_long_stretches, "keyword boolean, text string, stretches binary").limit(4 * train_docs).collect()
-    texts = [t for k in (True, False) for t in sorted(r["text"] for r in rows if r["keyword"] == k and r["text"] is not None)]
-    stretches = sorted(bytes(r["stretches"]) for r in rows if r["text"] is None)
-    return fit(texts, stretches) if rows else NOTHING
+    rows = docs.where(sampled).select("text").mapInArrow(_stretches, "stretches binary")
+    # About 2 x train_docs rows; the bound binds only where one drawn doc_id has very many rows.
+    rows = rows.orderBy(F.xxhash64("stretches"), "stretches").limit(4 * train_docs).collect()
+    return fit([bytes(r["stretches"]) for r in rows])
 
 
 def scan_secrets(docs: DataFrame, model: Model | None = None) -> DataFrame:

@@ -112,8 +112,9 @@ def test_long_documents_teach_the_field(spark):
     rows = [(i, f'{prose(40)} token = "{hexes()}" {prose(30)}') for i in range(120)]
     rows += [(1000 + i, prose(60)) for i in range(120)]
     value = hexes()[:23] + "-" + hexes()[:16]
+    rows = [(d, t + " " + prose(4000)) for d, t in rows[:60]] + rows[60:]      # some beyond 20,000 characters
     df = docs_df(spark, rows)
-    model = sc.train(df, train_chars=100)             # every text is longer
+    model = sc.train(df)
     assert model is not sc.NOTHING
     rows.append((5000, f'{prose(20)} credential = "{value}" {prose(20)}'))
     got = rows_by_id(sc.scan_secrets(docs_df(spark, rows), model))
@@ -122,11 +123,20 @@ def test_long_documents_teach_the_field(spark):
     assert all(got[1000 + i]["n_added"] == 0 for i in range(120))
 
 
-def test_stretches_of_a_long_text_are_bounded_and_labelled(spark):
-    rows = [(1, "word " * 200 + "token=abcdefgh1 " * 50), (2, ""), (3, "no secret here")]
-    df = docs_df(spark, rows).selectExpr("true as keyword", "cast(null as string) as text", "text as long")
-    blobs = [r[2] for r in df.mapInArrow(sc._long_stretches, "keyword boolean, text string, stretches binary").collect()]
+def test_stretches_follow_one_rule_at_every_length(spark):
+    long, short = "word " * 9000 + "token=abcdefgh1 " * 50, "token=abcdefgh1 " * 50
+    rows = [(1, long), (2, ""), (3, "no secret here"), (4, short), (5, None)]
+    blobs = [r[0] for r in docs_df(spark, rows).select("text").mapInArrow(sc._stretches, "stretches binary").collect()]
     cells = [np.frombuffer(b, np.int16).reshape(-1, 2 * sc.WINDOW + 1, 8) for b in blobs]
-    assert sorted(len(c) for c in cells) == [0, 1, sc.LONG_HITS + 1]
-    most = max(cells, key=len)
-    assert (most[:sc.LONG_HITS, sc.WINDOW, 6] == 1).all() and (most[:, sc.WINDOW, 7] == 1).all()
+    assert sorted(len(c) for c in cells) == [0, 0, 1, sc.HITS + 1, sc.HITS + 1]
+    for most in (c for c in cells if len(c) > 1):
+        assert (most[:sc.HITS, sc.WINDOW, 6] == 1).all() and (most[:, sc.WINDOW, 7] == 1).all()
+
+
+def test_shape_of_very_long_tokens():
+    for body in (b"a", b"7", b"Q", b"-", b"a7"):
+        texts = [body * 60_000, body * 70_000, body * 140_000, body * 10]
+        off = np.cumsum([0] + [len(t) for t in texts])
+        shapes = sc.Piece(np.frombuffer(b"".join(texts), np.uint8), off).features()[:, 0]
+        assert len(set(shapes[:3].tolist())) == 1
+        assert (shapes[3] - shapes[0]) % 64 == 0       # only the length class differs
