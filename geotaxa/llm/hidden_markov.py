@@ -3,24 +3,27 @@
 *Tokens* are runs without ASCII white space, A-Z lower-cased, then one end
 token a text.  All counts are over every training text.
 
-*Symbols.*  The ``VOCABULARY`` most frequent words are symbols of their own;
-any other word is one of ``CLASSES`` symbols by its last three bytes, times its
+*Symbols.*  The ``VOCABULARY`` most frequent words (of equal counts those with
+the smallest hashes) are symbols of their own; any other word is one of ``CLASSES`` symbols by its last three bytes, times its
 share of that class, ``(c + 0.1) / (N_class + 0.1 (V_class + 1))``; the end is
 a symbol.  Together they give every text a probability.
 
 *Training.*  Baum-Welch: each pass adds up the expected counts of all training
 tokens, in every partition over stretches of at most ``STRETCH`` tokens, and
 Spark sums those (as integers, so in any order); ``STATES`` x symbols numbers
-reach the driver.  The first parameters come from a few passes over about
-``START_TEXTS`` training texts, of longer ones the first ``START_CHARS``
-characters; if the sample is empty, from the symbols' shares with noise.
+reach the driver.  The first parameters come from a few passes over one stretch
+of at most ``START_TOKENS`` tokens, at a place drawn by a hash, of each of
+about ``START_TEXTS`` training texts; if the sample is empty, from the symbols'
+shares with noise.
 
 *Scoring.*  Scaled forward recursion over the whole text gives its exact
-likelihood.  The counts of at most ``LOOKUP`` most frequent words go to every
-task; those of all others are joined by the word's 64-bit hash.
+likelihood.  The counts of the vocabulary and of about ``LOOKUP`` further
+frequent words go to every task; those of all others are joined by the word's
+64-bit hash, with the same result.
 
 Defined cases: a null text is empty and has one token, the end; rows that
-repeat a doc_id are scored each; without training texts the base score is 0
+repeat a doc_id are scored each; a row without a doc_id is scored, but neither
+learned from nor marked (its ``held_out`` is null); without training texts the base score is 0
 and the model's symbols are equally likely.
 """
 
@@ -35,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geotaxa.llm.hyper_language import remainder
-from geotaxa.llm.text import LOWER, Spans, buffer_of, hash_sample, pieces, read_documents, word_spans
+from geotaxa.llm.text import LOWER, Spans, buffer_of, hash_share, pieces, read_documents, word_spans
 from geotaxa.session import materialize
 
 STATES, VOCABULARY, CLASSES = 8, 4096, 256
@@ -43,7 +46,7 @@ END = VOCABULARY + CLASSES
 SYMBOLS = END + 1
 LOOKUP = 300_000
 STRETCH = 256
-START_TEXTS, START_CHARS = 600, 20_000
+START_TEXTS, START_TOKENS = 600, 2048
 _SCALE = float(1 << 20)
 _FLUSH = 3_000_000
 _PART = 400_000
@@ -197,18 +200,16 @@ def sequences(lookup: Lookup, buf: np.ndarray, off: np.ndarray):
     return out, size, h, kind, row, count, symbol
 
 
-def start_sequences(lookup: Lookup, sample: list[tuple[str, bool]]) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols and sizes of sampled (text, is cut); a cut text has no end."""
-    raw = sorted((t.encode(), cut) for t, cut in sample)
-    off = np.concatenate([[0], np.cumsum([len(t) for t, _ in raw])]).astype(np.int64)
-    cut = np.array([c for _, c in raw], bool)
-    symbols, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for lo, hi, part, part_off in pieces(np.frombuffer(b"".join(t for t, _ in raw), np.uint8), off):
-        found, size, *_ = sequences(lookup, part, part_off)
-        symbols.append(np.delete(found, np.cumsum(size)[cut[lo:hi]] - 1))
-        sizes.append(size - cut[lo:hi])
-    size = np.concatenate(sizes)
-    return np.concatenate(symbols), size[size > 0]
+def start_stretches(coded: DataFrame, wanted: int = 2 * START_TEXTS) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols and sizes of one stretch of each drawn text of (symbols, drawn)."""
+    size = F.length("symbols") / 2
+    spare = F.greatest(size.cast("int") - START_TOKENS, F.lit(0))
+    at = F.pmod(F.xxhash64("symbols"), (spare + 1).cast("long")).cast("int")
+    rows = coded.where("drawn").select(F.substring("symbols", 2 * at + 1, F.lit(2 * START_TOKENS)).alias("s"))
+    # The bound binds only where one drawn doc_id has very many rows.
+    blobs = [bytes(r["s"]) for r in rows.orderBy(F.xxhash64("s"), "s").limit(wanted).collect()]
+    found = [np.frombuffer(b, np.int16).astype(np.int64) for b in blobs]
+    return np.concatenate(found) if found else np.zeros(0, np.int64), np.array([len(x) for x in found], np.int64)
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -240,7 +241,7 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 
 def train(sequence_table: DataFrame, start: np.ndarray | None, start_sizes: np.ndarray | None, shares: np.ndarray,
-          passes: int = 2, start_passes: int = 25) -> Model:
+          passes: int = 4, start_passes: int = 15) -> Model:
     """``passes`` over all of ``sequence_table`` (symbols: binary of int16);
     ``start`` is None without training texts and may be empty with them."""
     rng = np.random.default_rng(12)
@@ -288,19 +289,28 @@ def score_texts(docs: DataFrame, held_out: str = "held_out") -> DataFrame:
     learned = docs.where("not held_out")
     counts = materialize(count_words(learned), "words")
     texts = learned.count()
-    # Words by the size of their count, in sixteenths of a doubling: as many
-    # of the largest sizes as the lookup holds.
+    # Words by the size of their count, in sixteenths of a doubling: the least
+    # size that the vocabulary reaches into, and as many of the largest sizes
+    # as the lookup holds.
     size = F.floor(F.log2("c") * 16)
-    least, held = 1 << 20, 0
+    least, reached, held = 1 << 20, 0, 0
     for r in counts.groupBy(size.alias("size")).count().orderBy(F.desc("size")).collect():
+        reached = r["size"] if held < VOCABULARY else reached
         held += r["count"]
-        if held > LOOKUP:
+        if held <= LOOKUP:
+            least = r["size"]
+        elif held - r["count"] >= VOCABULARY:
             break
-        least = r["size"]
-    top = counts.where(size >= least).select("hash", "c", "kind").toArrow()
-    found = np.stack([top.column(c).to_numpy() for c in ("hash", "c", "kind")]) if top.num_rows else np.zeros((3, 0), np.int64)
-    order = np.lexsort((found[0], -found[1]))
-    hashes, top_counts, top_kinds = found[:, order]
+
+    def columns(words: DataFrame) -> np.ndarray:
+        table = words.select("hash", "c", "kind").toArrow()
+        found = np.stack([table.column(c).to_numpy() for c in ("hash", "c", "kind")]) if table.num_rows else np.zeros((3, 0), np.int64)
+        return found[:, np.lexsort((found[0], -found[1]))]
+
+    own = columns(counts.where(size >= reached).orderBy(F.desc("c"), "hash").limit(VOCABULARY))
+    more = columns(counts.where(size >= least))
+    more = more[:, ~np.isin(more[0], own[0])]
+    hashes, top_counts, top_kinds = np.concatenate([own, more], axis=1)
     lookup = Lookup(hashes, top_counts)
     class_n, class_v = np.zeros(CLASSES), np.zeros(CLASSES)
     for r in counts.groupBy("kind").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():
@@ -324,15 +334,12 @@ def score_texts(docs: DataFrame, held_out: str = "held_out") -> DataFrame:
                 symbols, size, *_ = sequences(lookup, buf, off)
                 ends = np.cumsum(size)
                 out += [x.tobytes() for x in np.split(symbols.astype(np.int16), ends[:-1])] if len(size) else []
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["symbols"])
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), batch.column("drawn")], ["symbols", "drawn"])
 
-    coded = materialize(learned.select("text").mapInArrow(encode, "symbols binary"), "symbols")
-    first, sizes = None, None
-    if texts:
-        sample = hash_sample(learned, START_TEXTS, texts).select(
-            F.substring("text", 1, START_CHARS).alias("text"), (F.length("text") > START_CHARS).alias("cut"))
-        first, sizes = start_sequences(lookup, [(r["text"], r["cut"]) for r in sample.collect()])
-    model = train(coded, first, sizes, shares)
+    drawn = F.coalesce(hash_share(START_TEXTS, texts), F.lit(False)).alias("drawn")
+    coded = materialize(learned.select("text", drawn).mapInArrow(encode, "symbols binary, drawn boolean"), "symbols")
+    first, sizes = start_stretches(coded) if texts else (None, None)
+    model = train(coded.select("symbols"), first, sizes, shares)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row per text, and one per text and word that needs a joined count."""
@@ -378,6 +385,6 @@ def score_texts(docs: DataFrame, held_out: str = "held_out") -> DataFrame:
 def op5_hidden_markov(spark, sf_dir: str) -> DataFrame:
     docs = read_documents(spark, sf_dir, "doc_id", "text")
     held = remainder(F.col("doc_id"), 10) == 0
-    scored = score_texts(docs.withColumn("held_out", held))
+    scored = score_texts(docs.withColumn("held_out", F.coalesce(held, F.lit(True))))
     return scored.select("doc_id", (remainder(F.col("doc_id"), 10) == 0).alias("held_out"),
                          "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -103,22 +103,49 @@ def test_odd_rows(spark):
 
 
 def test_a_corpus_of_long_texts_is_learned(spark, monkeypatch):
-    monkeypatch.setattr(hm, "START_CHARS", 20)      # every text with words is longer
+    monkeypatch.setattr(hm, "START_TOKENS", 4)      # every text is longer
     docs = [(d, t) for d, t in texts().items() if len(t) > 100]
     df = docs_df(spark, docs).withColumn("held_out", F.col("doc_id") % 10 == 0)
     held = [r for r in hm.score_texts(df).collect() if r["doc_id"] % 10 == 0]
     assert held and sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
     # no doc_id is drawn as a start: the passes still run over all texts
-    monkeypatch.setattr(hm, "hash_sample", lambda rows, wanted, available: rows.limit(0))
+    monkeypatch.setattr(hm, "hash_share", lambda wanted, available: F.lit(False))
     none = [r for r in hm.score_texts(df).collect() if r["doc_id"] % 10 == 0]
     assert sum(r["score"] for r in none) > 1.02 * sum(r["base_score"] for r in none)
 
 
-def test_start_of_cut_texts():
-    lookup = hm.Lookup(np.zeros(0, np.int64), np.zeros(0, np.int64))
-    symbols, size = hm.start_sequences(lookup, [("one two", False), ("  ", True), ("three four", True)])
-    assert size.tolist() == [3, 2] and (symbols == hm.END).tolist() == [False, False, True, False, False]
+def test_start_stretches_lie_anywhere_in_their_texts(spark, monkeypatch):
+    monkeypatch.setattr(hm, "START_TOKENS", 50)
+    texts_ = [np.arange(k, k + n, dtype=np.int16) for k, n in [(i, 1000 + i) for i in range(40)] + [(3000, 50), (3500, 7), (4000, 1)]]
+    coded = spark.createDataFrame([(bytearray(t.tobytes()), True) for t in texts_] + [(bytearray(b"xx"), False)],
+                                  "symbols binary, drawn boolean")
+    symbols, size = hm.start_stretches(coded)
+    parts = np.split(symbols, np.cumsum(size)[:-1])
+    assert sorted(size.tolist()) == [1, 7] + [50] * 41 and all((np.diff(p) == 1).all() for p in parts)
+    starts = sorted(int(p[0]) for p in parts if p[0] < 2900)
+    assert starts[5] < 400 and starts[-6] > 600       # not beginnings only
+    assert hm.start_stretches(coded.limit(0))[1].size == 0
     model, rng = small_model(), np.random.default_rng(5)
     long, sizes = rng.integers(0, 50, 1300), np.array([700, 600])
     assert np.allclose(hm._start_counts(model, long, sizes), hm.expected_counts(model, long, hm._stretches(long, sizes)))
-    assert hm.start_sequences(lookup, [])[1].size == 0
+
+
+def test_the_lookup_changes_no_score(spark, monkeypatch):
+    words = [f"w{i:03d}" for i in range(200)]          # all of one count
+    docs = [(k, " ".join(words[(k * 7 + j * 3) % 200] for j in range(200))) for k in range(1, 12)]
+    df = docs_df(spark, docs + [(20, "w001 w002 never seen")]).withColumn("held_out", F.col("doc_id") > 10)
+    monkeypatch.setattr(hm, "VOCABULARY", 64)
+    monkeypatch.setattr(hm, "END", 64 + hm.CLASSES)
+    monkeypatch.setattr(hm, "SYMBOLS", 65 + hm.CLASSES)
+    got = []
+    for lookup in (300_000, 150, 1):
+        monkeypatch.setattr(hm, "LOOKUP", lookup)
+        got.append({r["doc_id"]: (r["score"], r["base_score"], r["n_known"]) for r in hm.score_texts(df).collect()})
+    assert all(got[0][d] == pytest.approx(g[d], rel=1e-9) for g in got for d in got[0]) and got[0][20][2] == 3
+
+
+def test_rows_without_an_id_are_not_learned(spark, tmp_path):
+    docs_df(spark, [(1, "a b"), (2, "a c"), (None, "only here")]).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = hm.op5_hidden_markov(spark, str(tmp_path)).collect()
+    none = next(r for r in rows if r["doc_id"] is None)
+    assert len(rows) == 3 and none["held_out"] is None and none["n_known"] == 1 and none["n_tokens"] == 3
