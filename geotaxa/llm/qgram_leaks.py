@@ -18,12 +18,17 @@ stays inside the band widened by k.  Nothing within the budget is lost.
 Verbatim runs are ``RUN - Q + 1`` hits in a row whose bytes are looked up by a
 hash of their q-grams and compared.
 
-The benchmark is read in blocks of at most ``BLOCK`` bytes by a hash of the
-item; each block's q-grams go to every task and the documents are scanned once
-a block, so no size of benchmark outgrows a task.
+An item of fewer than Q normal bytes has no q-gram: a document leaks it if
+its normal bytes stand there verbatim, on word bounds.
+
+Equal items are indexed once.  The benchmark is read in blocks of at most
+``BLOCK`` bytes of different texts by a hash of the item (a longer item is a
+block of its own size).  An index takes up to 80 times its text, about 160 MB
+a block, in the driver and in each task; there is one at a time, and the
+documents are scanned once a block.
 
 Defined cases: null or empty texts and items leak nothing, nor do items
-shorter than Q normal bytes; repeated documents and items give a row each.
+without a normal byte; repeated documents and items give a row each.
 """
 
 from __future__ import annotations
@@ -36,12 +41,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geotaxa.llm.text import LOWER, buffer_of, mix, pieces, read_documents
+from geotaxa.session import materialize
 
 Q = 10
 PASSAGE = 128
 EDITS = 0.08
 RUN = 6 * Q
-BLOCK = 16 << 20
+BLOCK = 2 << 20
 _KEEP = np.zeros(256, bool)
 _KEEP[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 _U = np.uint64
@@ -81,17 +87,21 @@ def run_hash(h: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """Q-grams of one block of items."""
+    """Q-grams of one block of different items (item_id, text, times it is in the table)."""
 
-    def __init__(self, items: list[tuple[int, str]]):
-        self.items = [i for i, _ in items]
+    def __init__(self, items: list[tuple[int, str, int]]):
+        self.items = [i for i, _, _ in items]
+        self.times = [n for _, _, n in items]
+        self.short: dict[int, dict[bytes, list[int]]] = {}  # by length and normal bytes
         own, text, size, flat, whole = [], [], [], [], []
-        for number, (_, t) in enumerate(items):
+        for number, (_, t, _) in enumerate(items):
             raw = np.frombuffer((t or "").encode(), np.uint8)
             data, _, _ = normal(raw, np.array([0, len(raw)]))
             if len(data) and data[-1] == 0x20:
                 data = data[:-1]
             if len(data) < Q:
+                if len(data):
+                    self.short.setdefault(len(data), {}).setdefault(data.tobytes(), []).append(number)
                 continue
             flat.append(data)
             whole.append(number)
@@ -203,17 +213,46 @@ def verbatim_in(index: Index, data: np.ndarray, ends: np.ndarray, h: np.ndarray,
     return out
 
 
+def short_in(index: Index, data: np.ndarray, ends: np.ndarray) -> dict[tuple[int, int], tuple[int, int]]:
+    """(row, item) -> (start, end) in ``data`` of the first place of each
+    short item that stands there on word bounds."""
+    out: dict[tuple[int, int], tuple[int, int]] = {}
+    if not index.short or not len(data):
+        return out
+    gap = data == 0x20
+    first, edge = np.zeros(len(data) + 1, bool), np.zeros(len(data) + 1, bool)  # words begin, words can end here
+    first[ends] = edge[ends] = True
+    first[1:] |= gap
+    edge[:-1] |= gap
+    start = np.flatnonzero(first[:-1] & ~gap)
+    stop = ends[np.searchsorted(ends, start, "right")]
+    for size, known in index.short.items():
+        at = start[start + size <= stop]
+        at = at[edge[at + size]]
+        found = np.ascontiguousarray(data[at[:, None] + np.arange(size)]).view(f"S{size}").ravel()
+        names = np.array(sorted(known), f"S{size}")
+        place = np.minimum(np.searchsorted(names, found), len(names) - 1)
+        same = names[place] == found
+        row = np.searchsorted(ends[1:], at[same], "right")
+        key, first = np.unique(row * len(names) + place[same], return_index=True)
+        for k, a in zip(key.tolist(), at[same][first].tolist()):
+            for item in known[bytes(names[k % len(names)])]:
+                out[k // len(names), item] = (a, a + size)
+    return out
+
+
 def leaks_in(index: Index, maybe: np.ndarray, buf: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int, int, int]]:
     """(row, item, start, end, edits), places in bytes of ``buf``, one per row and item."""
     data, ends, at = normal(buf, off)
+    out = {name: (int(at[a]), int(at[z - 1]) + 1, 0) for name, (a, z) in short_in(index, data, ends).items()}
     h = grams(data)
     hit = np.flatnonzero(maybe[(h >> _U(42)).astype(np.int64)])
     if not len(hit) or not len(index.grams):
-        return []
+        return [(r, i, *v) for (r, i), v in sorted(out.items())]
     entry = np.minimum(np.searchsorted(index.grams, h[hit]), len(index.grams) - 1)
     true = index.grams[entry] == h[hit]
     hit, entry = hit[true], entry[true]
-    out = {name: (int(at[a]), int(at[z - 1]) + 1, 0) for name, (a, z) in verbatim_in(index, data, ends, h, hit).items()}
+    out |= {name: (int(at[a]), int(at[z - 1]) + 1, 0) for name, (a, z) in verbatim_in(index, data, ends, h, hit).items()}
     # Only stretches with enough hits of any kind can meet a bound.
     least, span = int(index.least.min()), PASSAGE + 2 * int(index.budget.max()) + 2
     if len(hit) < least:
@@ -252,14 +291,17 @@ def leaks_in(index: Index, maybe: np.ndarray, buf: np.ndarray, off: np.ndarray)
     return [(r, i, *v) for (r, i), v in sorted(out.items())]
 
 
-def benchmark_blocks(benchmark: DataFrame) -> list[Index]:
-    """The items, read in blocks of bounded size."""
-    items = benchmark.where("text is not null").select("item_id", "text")
+def benchmark_blocks(benchmark: DataFrame) -> list[DataFrame]:
+    """The different items (item_id, text, n), in blocks of bounded size."""
+    items = benchmark.where("text is not null").groupBy("item_id", "text").agg(F.count("*").alias("n"))
     total = items.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-    blocks = max(1, -(-int(total) // BLOCK))
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    return [Index([tuple(r) for r in items.where(part == b).orderBy("item_id", "text").collect()]) for b in range(blocks)] \
-        if total else []
+    blocks = -(-int(total) // BLOCK)
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(blocks, 1)))
+    return [items.where(part == b) for b in range(blocks)]
+
+
+def index_of(block: DataFrame) -> Index:
+    return Index(sorted((tuple(r) for r in block.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1])))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -276,18 +318,19 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 for lo, _, buf, off in pieces(*buffer_of(batch.column("text"))):
                     for r, item, a, z, edits in leaks_in(index, maybe, buf, off):
                         points = [int(np.count_nonzero((buf[off[r]:x] & 0xC0) != 0x80)) for x in (a, z)]
-                        rows.append((lo + r, index.items[item], *points, edits))
+                        rows += [(lo + r, index.items[item], *points, edits)] * index.times[item]
                 cells = list(zip(*rows)) if rows else [[]] * 5
                 doc = batch.column("doc_id").take(pa.array(cells[0], pa.int64()))
                 yield pa.RecordBatch.from_arrays([doc, *[pa.array(c, pa.int64()) for c in cells[1:]]],
                                                  ["doc_id", "item_id", "start", "end", "edits"])
         return run
 
-    found = [docs.mapInArrow(search(index), schema) for index in benchmark_blocks(benchmark)]
-    out = found[0] if found else docs.sparkSession.createDataFrame([], schema)
-    for more in found[1:]:
-        out = out.unionAll(more)
-    return out
+    blocks, out = benchmark_blocks(benchmark), None
+    for block in blocks:
+        found = docs.mapInArrow(search(index_of(block)), schema)
+        found = found if len(blocks) == 1 else materialize(found, "leaks")  # and its index can go
+        out = found if out is None else out.unionAll(found)
+    return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -304,8 +347,10 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 yield batch.filter(pa.array(keep))
         return run
 
-    for index in benchmark_blocks(benchmark):
-        docs = docs.mapInArrow(clean(index), docs.schema)
+    blocks = benchmark_blocks(benchmark)
+    for block in blocks:
+        docs = docs.mapInArrow(clean(index_of(block)), docs.schema)
+        docs = docs if len(blocks) == 1 else materialize(docs, "clean")
     return docs
 
 

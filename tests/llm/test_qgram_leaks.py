@@ -133,3 +133,27 @@ def test_every_verbatim_excerpt_of_a_run_is_found(spark):
         if r["doc_id"] < 150:
             inside = text[r["doc_id"]].split("QZ")[1].strip()
             assert inside in text[r["doc_id"]][r["start"]:r["end"]]
+
+
+def test_short_items_are_found_verbatim_on_word_bounds(spark):
+    rng = random.Random(31)
+    items = [(1, "ab cde f"), (2, "ÉCLAIR"), (3, "x1"), (4, "x1"), (4, "x1"), (5, "?!"), (6, "Ab,  Cde... F!"), (7, "ninebytes")]
+    words = ["ab", "cde", "f", "éclair", "Éclair", "x1", "x12", "ninebytes", "AB", "Cde", "abc", "q"]
+    docs = [(d, rng.choice(["", " ", "--"]) + rng.choice([" ", "; ", "\n"]).join(rng.choices(words, k=rng.randint(0, 7)))
+             + rng.choice(["", ".", "  "])) for d in range(200)]
+    docs += [(900, None), (901, ""), (902, "ab"), (903, "cde f"), (904, "x1"), (905, "x1x1"), (906, "x AB cde F."), (907, "ab cde fx")]
+    got = sorted(tuple(r)[:2] for r in ql.find_leaks(with_clashes(docs_df(spark, docs)),
+                                                     spark.createDataFrame(items, "item_id long, text string")).collect())
+    want = sorted((d, i) for d, t in docs for i, b in items if plain(b) and b" " + plain(b) + b" " in b" " + plain(t or "") + b" ")
+    assert got == want and {i for _, i in want} == {1, 2, 3, 4, 6, 7}
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    kept = {r["doc_id"] for r in ql.drop_leaks(docs_df(spark, docs), bench).collect()}
+    assert kept == {d for d, _ in docs} - {d for d, _ in want}
+
+
+def test_a_repeated_item_is_indexed_once(spark):
+    text = "a passage that is long enough for q-grams"
+    bench = spark.createDataFrame([(1, text)] * 500 + [(None, text)], "item_id long, text string")
+    blocks = ql.benchmark_blocks(bench)
+    assert len(blocks) == 1 and len(ql.index_of(blocks[0]).items) == 2
+    assert ql.find_leaks(docs_df(spark, [(3, "x " + text + " y")]), bench).count() == 501
