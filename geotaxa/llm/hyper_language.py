@@ -35,6 +35,7 @@ DIMENSIONS = 1024
 SYMBOLS = 64
 TRIGRAMS = SYMBOLS ** 3
 MAX_LANGUAGES = 2000
+FULL = 400  # distinct trigrams from which on a cosine is asked in full
 _ROWS = 256  # texts bundled at once
 
 
@@ -152,23 +153,30 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
 
 def classify(buf: np.ndarray, off: np.ndarray, prototypes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(number of the language or -1, cosine) of each text."""
+    return judge(buf, off, prototypes)[:2]
+
+
+def judge(buf: np.ndarray, off: np.ndarray, prototypes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of the language or -1, cosine, distinct trigrams) of each text."""
     n = len(off) - 1
-    best, score = np.full(n, -1), np.zeros(n)
+    best, score, distinct = np.full(n, -1), np.zeros(n), np.zeros(n, np.int64)
     tri, row = trigrams(buf, off)
     if not len(tri) or not len(prototypes):
-        return best, score
+        return best, score, distinct
     vectors = _vectors()
     used, index = np.unique(vectors.index(tri), return_inverse=True)
     signs = vectors.rows[used]
     for lo in range(0, n, _ROWS):
         hi = min(n, lo + _ROWS)
-        bundled = _present(index, row, lo, hi, len(used)) @ signs
+        present = _present(index, row, lo, hi, len(used))
+        distinct[lo:hi] = present.sum(axis=1)
+        bundled = present @ signs
         length = np.linalg.norm(bundled, axis=1)
         full = np.flatnonzero(length > 0)
         cosines = (bundled[full].astype(np.float64) @ prototypes.T) / length[full, None]
         best[lo + full] = cosines.argmax(axis=1)
         score[lo + full] = np.clip(cosines.max(axis=1), 0.0, 1.0)
-    return best, score
+    return best, score, distinct
 
 
 def predict(docs: DataFrame, languages: list[str], prototypes: np.ndarray) -> DataFrame:
@@ -192,14 +200,17 @@ def predict(docs: DataFrame, languages: list[str], prototypes: np.ndarray) -> Da
 
 
 def keep_known(docs: DataFrame, languages: list[str], prototypes: np.ndarray, least: float) -> DataFrame:
-    """The documents, with all their columns, that have a language by a cosine of at least ``least``."""
+    """The documents, with all their columns, that have a language by a cosine
+    of at least ``least``.  The cosine of a text in its own language grows with
+    the root of its n distinct trigrams, so below ``FULL`` of them
+    ``least * sqrt(n / FULL)`` is asked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = [np.zeros(0, bool)]
             for _, _, buf, off in pieces(*buffer_of(batch.column("text"))):
-                best, cosine = classify(buf, off, prototypes)
-                keep.append((best >= 0) & (cosine >= least))
+                best, cosine, distinct = judge(buf, off, prototypes)
+                keep.append((best >= 0) & (cosine >= least * np.sqrt(np.minimum(distinct / FULL, 1.0))))
             yield batch.filter(pa.array(np.concatenate(keep)))
 
     return docs.mapInArrow(run, docs.schema)

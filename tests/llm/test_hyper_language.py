@@ -1,7 +1,7 @@
 import zlib
 
 import numpy as np
-from llm_helpers import ODD, SF, docs_df, duck, rows_by_id, with_clashes
+from llm_helpers import ODD, SF, docs_df, duck, rows_by_id, texts, with_clashes
 
 from geotaxa.llm import hyper_language as hl
 
@@ -66,3 +66,22 @@ def test_odd_rows(spark):
     nothing = hl.learn(docs_df(spark, []))
     assert {r["lang_pred"] for r in hl.predict(df, *nothing).collect()} == {"und"}
     assert hl.predict(docs_df(spark, []), languages, prototypes).count() == 0
+
+
+def test_strange_scripts_go_and_short_clean_texts_stay(spark):
+    languages, prototypes = hl.learn(spark.read.parquet(f"{SF}/documents.parquet").select("text", "lang"))
+    rng = np.random.default_rng(8)
+
+    def strange(alphabet, n):
+        return " ".join("".join(rng.choice(list(alphabet), rng.integers(2, 9))) for _ in range(n))
+
+    scripts = ("абвгдежзийклмнопрстуфхцчшщъыьэюя", "αβγδεζηθικλμνξοπρστυφχψω", "abcdefghijklmnopqrstuvwxyz")
+    rows = [(10_000 + 100 * k + i, strange(a, n)) for k, a in enumerate(scripts) for i, n in enumerate([40] * 20 + [400] * 5)]
+    real = [(d, t) for d, t in texts().items() if any(c.isalpha() for c in t)]
+    # A whole sentence each: lines of words only, five words or more.
+    short = [(20_000 + d, s) for d, t in real for s in t.split(".")[1:2]
+             if len(s.split()) >= 5 and all(w.isalpha() for w in s.split())]
+    kept = {r["doc_id"] for r in hl.keep_known(docs_df(spark, rows + real + short), languages, prototypes, 0.22).collect()}
+    assert not kept & {d for d, _ in rows}
+    assert {d for d, _ in real} <= kept
+    assert len(short) > 40 and {d for d, _ in short} <= kept
