@@ -8,8 +8,8 @@ a secret).  Emissions add the weights of the token's shape (length, character
 classes, share of digits), the token itself, its neighbouring tokens (two
 before, one after; hashed) and two features of the whole text (share of
 symbols, length).  It is trained on a bounded sample of documents
-(about ``train_docs`` with and as many without a keyword, by a hash of the
-doc_id), in which the values of pattern matches are the secrets.  Each of
+(about ``train_docs`` with and an eighth as many without a keyword, by a hash of
+the doc_id), in which the values of pattern matches are the secrets.  Each of
 them, of any length, gives stretches around at most ``HITS`` of its values and
 one more place, drawn by a hash and cut out where the text lies.  Decoding is
 Viterbi over whole texts.  A token at
@@ -340,10 +340,10 @@ def train(docs: DataFrame, train_docs: int = 1500) -> Model:
         keyword = keyword | low.contains(k.decode())
     counts = docs.agg(F.count_if(keyword), F.count_if(~keyword)).head()
     # The share comes first, so few texts are searched, and only stretches leave their place.
-    sampled = (hash_share(train_docs, counts[0]) & keyword) | (hash_share(train_docs, counts[1]) & ~keyword)
+    sampled = (hash_share(train_docs, counts[0]) & keyword) | (hash_share(train_docs // 8, counts[1]) & ~keyword)
     rows = docs.where(sampled).select("text").mapInArrow(_stretches, "stretches binary")
-    # About 2 x train_docs rows; the bound binds only where one drawn doc_id has very many rows.
-    rows = rows.orderBy(F.xxhash64("stretches"), "stretches").limit(4 * train_docs).collect()
+    # Little more than train_docs rows; the bound binds only where one drawn doc_id has very many rows.
+    rows = rows.orderBy(F.xxhash64("stretches"), "stretches").limit(2 * train_docs).collect()
     return fit([bytes(r["stretches"]) for r in rows])
 
 
