@@ -57,8 +57,9 @@ def families():
 
 def test_families_with_chains_equal_brute_force(spark, monkeypatch):
     docs = families()
-    for part in (512, 10):      # 10: families are dealt into size classes and parts
+    for part in (512, 10):      # 10: families are dealt into size classes and parts, buckets into parts
         monkeypatch.setattr(sm, "PART_NODES", part)
+        monkeypatch.setattr(sm, "PART_PRINTS", part)
         for k, percent in ((3, 85), (5, 80)):
             assert result(sm.near_duplicates(docs_df(spark, docs), k, percent)) == brute(docs, k, percent)
 
@@ -95,6 +96,63 @@ def test_signature_equals_the_plain_algorithm():
         assert got.tolist() == want
 
 
+def test_prints_of_linked_sets_agree_and_others_do_not():
+    rng = np.random.default_rng(4)
+    registers = sm.BANDS * sm.band_rows(0.85)
+    least = sm.least_agreeing(0.85, registers)
+    for share, passes in ((0.85, True), (0.45, False)):
+        for n in (20, 60, 300):
+            for _ in range(40):
+                both = round(n * share)
+                left = round((n - both) / 2)
+                h = [np.sort(rng.integers(0, 2 ** 63, c).astype(np.uint64)) for c in (both, left, n - both - left)]
+                a, b = np.sort(np.concatenate(h[:2])), np.sort(np.concatenate(h[::2]))
+                table = sm.signatures(np.concatenate([a, b]), np.repeat([0, 1], [len(a), len(b)]), 2, registers)
+                planes = np.ascontiguousarray(sm.register_planes(table))
+                low = table & (2 ** sm.PLANES - 1)
+                agree = int(sm.agreeing(planes[:1], planes[1:], registers)[0])
+                assert agree == (low[0] == low[1]).sum()
+                assert (agree >= least) == passes
+
+
+def test_texts_that_share_a_boilerplate_make_no_family(spark):
+    rng = random.Random(12)
+    shared = [f"b{i}" for i in range(130)]
+    docs = [(d, " ".join(shared + [f"x{rng.randrange(10 ** 9)}" for _ in range(70)])) for d in range(3000)]
+    described = docs_df(spark, docs).mapInArrow(sm._describe(3, sm.band_rows(0.85)),
+                                                "node long, n long, k1 long, k2 long, bands array<long>, print binary")
+    described = described.repartition(8).cache()
+    largest = described.selectExpr("explode(bands) as key").groupBy("key").count().agg({"count": "max"}).head()[0]
+    assert largest > 100                                  # they meet in buckets,
+    assert sm.families(described, 85).count() == 0        # but no pair passes there
+    described.unpersist()
+    assert all(r["kept"] for r in sm.near_duplicates(docs_df(spark, docs), 3, 85).collect())
+
+
+def test_forest_joins_what_the_pairs_of_each_group_join():
+    rng = np.random.default_rng(6)
+    registers, n = 192, 120
+    group = np.sort(rng.integers(0, 12, n))
+    part = rng.integers(0, 2, n)
+    size = rng.integers(80, 120, n)
+    base = rng.integers(0, 2 ** 32, (4, registers)).astype(np.uint32)
+    table = base[rng.integers(0, 4, n)]
+    noise = rng.random((n, registers)) < rng.choice([0.02, 0.1, 0.3], (n, 1))
+    table = np.where(noise, rng.integers(0, 2 ** 32, (n, registers)), table).astype(np.uint32)
+    planes = np.ascontiguousarray(sm.register_planes(table))
+    least = sm.least_agreeing(0.85, registers)
+    for across in (np.zeros(n, bool), group % 2 == 0):
+        want = list(range(n))
+        for _ in range(6):
+            for a in range(n):
+                for b in range(a + 1, n):
+                    if group[a] == group[b] and not (across[a] and part[a] == part[b]) \
+                            and 100 * min(size[a], size[b]) >= 85 * max(size[a], size[b]) \
+                            and ((table[a] & 7) == (table[b] & 7)).sum() >= least:
+                        want[a] = want[b] = min(want[a], want[b])
+        assert sm.forest(group, part, across, size, planes, 85, registers).tolist() == want
+
+
 def test_components_of_long_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5, 5), (77, 77), (None, 3)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
