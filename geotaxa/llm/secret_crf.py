@@ -44,6 +44,7 @@ HEX = re.compile(rb"[0-9a-f]+")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 KINDS = ("assign", "access", "hex", "crf")
 WINDOW, HITS = 12, 4
+STEPS_AT_ONCE = 5_000_000
 
 _HEX_BYTE = np.zeros(256, bool)
 _HEX_BYTE[[*b"0123456789abcdef"]] = True
@@ -152,7 +153,11 @@ class Model:
 
     def __init__(self, weights: np.ndarray, moves: np.ndarray):
         self.weights, self.moves = weights, moves
-        self.swing = 2 * float(moves.max() - moves.min())
+        # Most that the transitions of a token can gain if it is B or I instead of
+        # O, over all neighbours or none.
+        before = (moves - moves[:, :1]).max(axis=0)
+        after = (moves - moves[:1, :]).max(axis=1)
+        self.swing = np.maximum(before, 0.0)[1:] + np.maximum(after, 0.0)[1:]
 
     def tag(self, features: np.ndarray, row: np.ndarray) -> np.ndarray:
         """True for the tokens on the best path's B and I, text by text."""
@@ -160,25 +165,28 @@ class Model:
         emit = np.zeros((len(row), 3))
         for g in range(features.shape[1]):
             emit += self.weights[features[:, g]]
-        open_ = np.flatnonzero(emit[:, 0] - emit[:, 1:].max(axis=1, initial=-np.inf) <= self.swing) if len(row) else []
+        open_ = np.flatnonzero((emit[:, 1:] + self.swing >= emit[:, :1]).any(axis=1))
         if not len(open_):
             return secret
         cut = np.flatnonzero((np.diff(open_) > 1) | (row[open_][1:] != row[open_][:-1])) + 1
         begin, end = np.concatenate([[0], cut]), np.concatenate([cut, [len(open_)]])
         order = np.argsort(begin - end, kind="stable")
-        begin, end = begin[order], end[order]
-        length, first = end - begin, open_[begin]
+        first, length = open_[begin[order]], (end - begin)[order]
+        lo = 0
+        while lo < len(first):  # longest first, as many at a time as the table of steps has room for
+            hi = lo + max(1, STEPS_AT_ONCE // int(length[lo]))
+            self._decode(emit, row, first[lo:hi], length[lo:hi], secret)
+            lo = hi
+        return secret
+
+    def _decode(self, emit: np.ndarray, row: np.ndarray, first: np.ndarray, length: np.ndarray, secret: np.ndarray) -> None:
+        """Viterbi over stretches (longest first), side by side."""
         # The token before and after a stretch is O, or there is none.
-        edge = np.array([0.0, -np.inf, -np.inf])
         last_of = first + length
         has_before = (first > 0) & (row[np.maximum(first - 1, 0)] == row[first])
         has_after = (last_of < len(row)) & (row[np.minimum(last_of, len(row) - 1)] == row[first])
-        score = np.where(has_before[:, None], (edge[:, None] + self.moves).max(axis=0), 0.0) + emit[first]
-        back = np.zeros((length[0], len(first), 3), np.int8) if length[0] * len(first) < 5_000_000 else None
-        if back is None:  # many stretches beside a long one: one at a time
-            for s, n in zip(first.tolist(), length.tolist()):
-                secret[s:s + n] = self._path(emit[s:s + n], row, s)
-            return secret
+        score = np.where(has_before[:, None], self.moves[0], 0.0) + emit[first]
+        back = np.zeros((length[0], len(first), 3), np.int8)
         for t in range(1, length[0]):
             live = int(np.searchsorted(-length, -t, "left"))
             options = score[:live, :, None] + self.moves
@@ -191,23 +199,6 @@ class Model:
             secret[first[:live] + t] = state[:live] > 0
             if t:
                 state[:live] = back[t, np.arange(live), state[:live]]
-        return secret
-
-    def _path(self, emit: np.ndarray, row: np.ndarray, at: int) -> np.ndarray:
-        n = len(emit)
-        score = emit[0] + (self.moves[0] if at and row[at - 1] == row[at] else 0.0)
-        back = np.zeros((n, 3), np.int8)
-        for t in range(1, n):
-            options = score[:, None] + self.moves
-            back[t] = options.argmax(axis=0)
-            score = options.max(axis=0) + emit[t]
-        if at + n < len(row) and row[at + n] == row[at]:
-            score = score + self.moves[:, 0]
-        state, out = int(score.argmax()), np.zeros(n, bool)
-        for t in range(n - 1, -1, -1):
-            out[t] = state > 0
-            state = int(back[t, state])
-        return out
 
 
 NOTHING = Model(np.zeros((N_WEIGHTS, 3)) + [1.0, 0.0, 0.0], np.zeros((3, 3)))

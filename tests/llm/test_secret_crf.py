@@ -83,10 +83,31 @@ def test_cut_decoding_equals_the_best_of_all_paths():
                        + sum(model.moves[a, b] for a, b in zip(p, p[1:])))
             want[at] = np.array(best) > 0
         assert (model.tag(features, row) == want).all()
-    emit = rng.normal(size=(50, 3))
-    one = sc.Model(emit, rng.normal(0, 1, (3, 3)))
-    ids, row = np.arange(50)[:, None], np.zeros(50, np.int64)
-    assert (one._path(emit, row, 0) == one.tag(ids, row)).all()
+
+
+def test_long_stretches_equal_plain_viterbi(monkeypatch):
+    rng = np.random.default_rng(10)
+    for steps in (5_000_000, 200, 1):       # all stretches side by side, some, one at a time
+        monkeypatch.setattr(sc, "STEPS_AT_ONCE", steps)
+        for share in (0.0, 0.1, 0.6):       # of tokens that are certainly O
+            n = 400
+            weights = rng.normal(0, 1.5, (n, 3))
+            weights[rng.random(n) < share, 0] += 30
+            row = np.sort(rng.integers(0, 4, n))
+            model = sc.Model(weights, rng.normal(0, 2, (3, 3)))
+            want = np.zeros(n, bool)
+            for r in np.unique(row):
+                at = np.flatnonzero(row == r)
+                score, back = weights[at[0]], []
+                for t in at[1:]:
+                    options = score[:, None] + model.moves
+                    back.append(options.argmax(axis=0))
+                    score = options.max(axis=0) + weights[t]
+                path = [int(score.argmax())]
+                for step in reversed(back):
+                    path.append(int(step[path[-1]]))
+                want[at] = np.array(path[::-1]) > 0
+            assert (model.tag(np.arange(n)[:, None], row) == want).all()
 
 
 def test_odd_rows_and_redaction(spark):
