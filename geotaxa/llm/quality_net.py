@@ -117,11 +117,12 @@ def pooled(buf: np.ndarray, off: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     size = np.bincount(row, minlength=n)
     full = np.flatnonzero(size)
     begin = np.searchsorted(row, full)
-    own = vectors[unit]
-    mean = np.add.reduceat(own, begin, axis=0) / size[full, None]
-    square = np.add.reduceat(own * own, begin, axis=0) / size[full, None]
-    out[full, :PLACES] = mean
-    out[full, PLACES:2 * PLACES] = np.sqrt(np.maximum(square - mean * mean, 0))
+    # One row a place, so that every text's numbers lie side by side for the sums.
+    own = np.take(np.ascontiguousarray(vectors.T), unit, axis=1)
+    mean = np.add.reduceat(own, begin, axis=1) / size[full]
+    square = np.add.reduceat(np.square(own, out=own), begin, axis=1) / size[full]
+    out[full, :PLACES] = mean.T
+    out[full, PLACES:2 * PLACES] = np.sqrt(np.maximum(square - mean * mean, 0)).T
     out[full, -3] = np.bincount(row, unit >= WORD_UNITS, n)[full] / size[full]
     pairs = np.unique(row * UNITS + unit)
     out[full, -2] = np.bincount(pairs // UNITS, minlength=n)[full] / size[full]

@@ -1,3 +1,4 @@
+import time
 import zlib
 
 import numpy as np
@@ -59,3 +60,31 @@ def test_pooling_does_not_depend_on_the_batch():
     together = qn.pooled(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(r) for r in raw]), vectors)
     alone = np.concatenate([qn.pooled(np.frombuffer(r, np.uint8), np.array([0, len(r)]), vectors) for r in raw])
     assert np.allclose(together, alone, atol=1e-5) and np.allclose(together[0], together[3])
+
+
+def test_pooling_sums_numbers_that_lie_side_by_side():
+    """Sums over strided columns took most of the time of a score; the results are theirs to the bit."""
+    rng = np.random.default_rng(2)
+    words = [f"w{k}" for k in range(3000)]
+    raw = [" ".join(rng.choice(words, size)).encode() for size in (0, 1, 7, 40, 129, 300, 900) * 60]
+    buf, off = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(r) for r in raw])
+    vectors = rng.normal(size=(qn.UNITS, qn.PLACES)).astype(np.float32)
+    unit, row = qn.units(buf, off)
+    full, begin = np.unique(row, return_index=True)
+    size = np.diff(np.append(begin, len(row)))[:, None]
+
+    def strided():
+        own = vectors[unit]
+        mean = np.add.reduceat(own, begin, axis=0) / size
+        return mean, np.sqrt(np.maximum(np.add.reduceat(own * own, begin, axis=0) / size - mean * mean, 0))
+
+    def seconds(run):
+        begun = time.process_time()
+        run()
+        return time.process_time() - begun
+
+    got = qn.pooled(buf, off, vectors)
+    mean, spread = strided()
+    assert (got[full, :qn.PLACES] == mean.astype(np.float32)).all()
+    assert (got[full, qn.PLACES:2 * qn.PLACES] == spread.astype(np.float32)).all()
+    assert min(seconds(lambda: qn.pooled(buf, off, vectors)) for _ in range(3)) < min(seconds(strided) for _ in range(3))
