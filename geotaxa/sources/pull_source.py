@@ -30,6 +30,8 @@ import datetime as dt
 import json
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -53,6 +55,8 @@ from geotaxa.sources.sync import reduce_history
 NAME = "occurrence_pull"
 # History rows that are sent to the planner; more is refused, not cut.
 MAX_PULLS = 100_000
+# What ``ParquetClient`` holds of a file: rows decoded at once, bytes read of a column.
+BATCH_ROWS, BUFFER_BYTES = 1 << 16, 1 << 20
 
 
 @dataclass
@@ -155,10 +159,25 @@ class ParquetClient:
     def fetch(self, source, family, updated_after, updated_before, observed_after, observed_before):
         import pyarrow.dataset as ds
 
-        wanted = (ds.field("source") == source) & (ds.field("family") == family)
+        schema = self.table.schema
+        limits = [("source", pc.equal, source), ("family", pc.equal, family)]
         for column, low, high in (("updated_at", updated_after, updated_before), ("observed_at", observed_after, observed_before)):
-            if low is not None:
-                wanted &= ds.field(column) > pa.scalar(low, self.table.schema.field(column).type)
-            if high is not None:
-                wanted &= ds.field(column) < pa.scalar(high, self.table.schema.field(column).type)
-        yield from self.table.to_batches(filter=wanted)
+            limits += [(column, op, pa.scalar(at, schema.field(column).type)) for op, at in ((pc.greater, low), (pc.less, high)) if at is not None]
+        wanted = reduce(and_, [op(ds.field(column), at) for column, op, at in limits])
+        for fragment in self.table.get_fragments(filter=wanted):
+            groups = [g.id for g in fragment.subset(filter=wanted, schema=schema).row_groups]
+            for batch in self._stream(fragment, groups):
+                yield batch.filter(reduce(pc.and_, [op(batch.column(column), at) for column, op, at in limits]))
+
+    def _stream(self, fragment, groups: list[int]) -> Iterator[pa.RecordBatch]:
+        """The rows of some row groups of one file, decoded a few pages at a time:
+        a scan of the folder would hold whole row groups and read ahead."""
+        import pyarrow.parquet as pq
+
+        schema = self.table.schema
+        with fragment.open() as file:
+            parts = pq.ParquetFile(file, buffer_size=BUFFER_BYTES, pre_buffer=False)
+            for batch in parts.iter_batches(BATCH_ROWS, row_groups=groups, use_threads=False):
+                own = dict(zip(batch.schema.names, batch.columns))
+                columns = [own[f.name].cast(f.type) if f.name in own else pa.nulls(len(batch), f.type) for f in schema]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)

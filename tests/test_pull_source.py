@@ -3,6 +3,8 @@
 import datetime as dt
 import sys
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -71,3 +73,22 @@ def test_a_pushed_restriction_makes_fewer_partitions(spark, case):
 def test_nothing_due(spark, case):
     _, path, history = case
     assert read_due(spark, history.where("source = 'x'"), OCC_SCHEMA, path=path).count() == 0
+
+
+def test_the_parquet_client_holds_little_of_a_row_group(tmp_path):
+    n = 1_000_000
+    at = pa.array([T0 + dt.timedelta(minutes=1)] * n, pa.timestamp("us"))
+    table = pa.table({"id": pa.array(range(n)), "source": ["gbif", "x"] * (n // 2), "family": ["F0"] * n, "updated_at": at, "observed_at": at,
+                      "name": [f"a name of some length {i}" for i in range(n)]})
+    pq.write_table(table, str(tmp_path / "one.parquet"), row_group_size=n)
+    pq.write_table(table.slice(0, 9).drop(["name"]), str(tmp_path / "two.parquet"))   # a column that a file lacks is null
+    client = ParquetClient({"path": str(tmp_path)})
+    before, held, found = pa.total_allocated_bytes(), 0, []
+    for batch in client.fetch("gbif", "F0", T0, None, None, None):
+        held = max(held, pa.total_allocated_bytes() - before)
+        found += batch["id"].to_pylist()
+        assert batch.schema == client.table.schema
+        del batch
+    assert sorted(found) == sorted([*range(0, n, 2), *range(0, 9, 2)])
+    assert held < table.nbytes / 2
+    assert not [b for b in client.fetch("gbif", "F0", T0 + dt.timedelta(days=1), None, None, None) if len(b)]
