@@ -12,7 +12,7 @@ then the interleaved bits of its column and row (a Z-order curve), so
 record has a handful of cells whether it is known to 30 metres or to a county.
 ``containing`` joins two sets of cells of mixed levels where one holds the
 other: each side is looked up under its own ancestors at the levels the other
-side uses, which are equality joins on ids.
+side uses, which is one equality join on ids.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from geotaxa.functions.geo import METRES_PER_DEGREE, buffered_uncertainty
 from geotaxa.functions.joins import own_shuffle
+from geotaxa.session import materialize
 
 # Level 19 cells are 38 m high, level 14 cells 1.2 km.
 FINEST = 19
@@ -41,14 +42,16 @@ def _side(level: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), level.cast("int"))
 
 
+def _join_bits(x: Column, y: Column, level: Column) -> Column:
+    """The id of ``level`` from a column and a row whose bits were moved apart."""
+    lead = F.call_function("shiftleft", F.lit(1).cast("long"), (2 * level).cast("int"))
+    return lead.bitwiseOR(x).bitwiseOR(F.shiftleft(y, 1))
+
+
 def cell_of(x: Column, y: Column, level: Column) -> Column:
-    # One array of both numbers: each step names its value twice, and as lambdas
-    # the steps do not multiply.
-    parts = F.array(x.cast("long"), y.cast("long"))
-    for shift, mask in SPREAD:
-        parts = F.transform(parts, _step(shift, mask))
-    code = F.aggregate(parts, F.lit(0).cast("long"), lambda done, v: F.shiftright(done, 1).bitwiseOR(F.shiftleft(v, 1)))
-    return F.call_function("shiftleft", F.lit(1).cast("long"), (2 * level).cast("int")).bitwiseOR(code)
+    # Binary digits that are read to base 4 are bits with a zero before each.
+    apart = lambda v: F.conv(F.bin(v.cast("long")), 4, 10).cast("long")
+    return _join_bits(apart(x), apart(y), level)
 
 
 def level_of(cell: str | Column) -> Column:
@@ -103,15 +106,22 @@ def curve_covering(df: DataFrame, lat: str = "latitude", lon: str = "longitude",
                            first.alias("_x0"), F.least(last, first + n - 1).alias("_x1"))
     rows = boxed.select(*keep, "_l", "_x0", "_x1", F.explode(F.sequence("_y0", "_y1")).alias("_y"))
     cells = rows.select(*keep, "_l", "_y", F.explode(F.sequence("_x0", "_x1")).alias("_x"))
-    return cells.select(*keep, cell_of(F.pmod(F.col("_x"), _side(F.col("_l"))), F.col("_y"), F.col("_l")).alias(out))
+    cells = cells.withColumn("_x", F.pmod(F.col("_x"), _side(F.col("_l"))))
+    # A step names its value twice, so each is a projection of its own.
+    for shift, mask in SPREAD:
+        cells = cells.select(*keep, "_l", *[_step(shift, mask)(F.col(c)).alias(c) for c in ("_x", "_y")])
+    return cells.select(*keep, _join_bits(F.col("_x"), F.col("_y"), F.col("_l")).alias(out))
 
 
-def _under(df: DataFrame, cell: str, levels: Sequence[int], out: str, strict: bool) -> DataFrame:
-    """Each row once for every one of ``levels`` at or above its own cell."""
-    wanted = F.array(*[F.lit(level) for level in sorted(set(levels))])
-    own = level_of(cell)
-    above = F.filter(wanted, lambda x: (x < own) if strict else (x <= own))
-    return df.withColumn("_up", F.explode(above)).withColumn(out, ancestor(cell, "_up")).drop("_up")
+def _keyed(df: DataFrame, cell: str, keys: Sequence[tuple[int, bool]], own: Column) -> DataFrame:
+    """``df`` once for each of its keys ``_k``: ``own`` and, for every (level,
+    strict) of ``keys``, the cell of that level at (strict: only above) its own,
+    negated where strict.  A key of null is left out."""
+    level, c = F.col("_l"), F.col(cell)
+    up = lambda to: F.call_function("shiftright", c, (2 * (level - to)).cast("int"))
+    above = [F.when(level > to, -up(to)) if strict else F.when(level >= to, up(to)) for to, strict in keys]
+    rows = df.withColumn("_l", level_of(cell)).withColumn("_k", F.explode(F.array(own.cast("long"), *above)))
+    return rows.where("_k is not null").drop("_l")
 
 
 def containing(left: DataFrame, right: DataFrame, left_levels: Sequence[int], right_levels: Sequence[int],
@@ -119,15 +129,19 @@ def containing(left: DataFrame, right: DataFrame, left_levels: Sequence[int], ri
     """Pairs of rows whose cells are equal or hold one another.
 
     The levels in use on each side are arguments (a table states its own; all 20
-    may be given), and each row is looked up once per level above it.  The
-    right side is shuffled by itself, so AQE splits a hot cell of the left.
+    may be given).  One equality join finds both kinds of pairs: a left row is
+    looked up under its ancestors at the right's levels among the right's own
+    cells, and, unless it is too small to hold any of them, under its own cell
+    among the right's ancestors; keys of the second kind are negative.  So the
+    left is computed and, where the right is too large to send to every task,
+    moved once.  The keyed right is written first: Spark then knows its size,
+    and AQE splits a hot cell of the left.
     Column names must differ between the sides."""
     columns = [*left.columns, *right.columns]
-    down = _under(left, left_cell, right_levels, "_k", False).join(
-        own_shuffle(right.withColumn("_k", F.col(right_cell))), "_k").select(*columns)
-    up = left.withColumn("_k", F.col(left_cell)).join(
-        own_shuffle(_under(right, right_cell, left_levels, "_k", True)), "_k").select(*columns)
-    return down.unionByName(up)
+    own, finest = F.col(left_cell), max(right_levels, default=0)
+    asked = _keyed(left, left_cell, [(to, False) for to in sorted(set(right_levels))], F.when(F.col("_l") < finest, -own))
+    held = _keyed(right, right_cell, [(to, True) for to in sorted(set(left_levels))], F.col(right_cell))
+    return asked.join(materialize(held, "held"), "_k").select(*columns)
 
 
 def finest_feature(points: DataFrame, features: DataFrame, levels: Sequence[int], cell: str = "cell",

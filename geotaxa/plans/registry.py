@@ -19,6 +19,7 @@ from geotaxa.operators import curve, dedup, features, metrics, names, requests,
 from geotaxa.operators.features import FeatureSpec
 from geotaxa.plans.jobs import read_occurrences
 from geotaxa.schemas import decode_rows, schema_from_fields
+from geotaxa.session import materialize
 from geotaxa.sinks.writers import enforce_schema, occurrence_rows
 from geotaxa.sources import fixture, sync
 from geotaxa.sources.fixture import with_views
@@ -301,24 +302,27 @@ def q_curve_covering(spark, d):
     return curve.curve_covering(_spread_locations(spark, d))
 
 
-def _layers(spark, d):
+def _layers(locations):
     """Feature cells of a coarse and a fine level, both with gaps."""
-    at = lambda level: _spread_locations(spark, d).select(curve.point_cell("latitude", "longitude", level).alias("feature_cell")).distinct()
-    coarse = at(COARSE).where("feature_cell % 5 <> 0").withColumn("value", F.col("feature_cell") % 11)
-    return coarse.unionByName(at(FINE).where("feature_cell % 3 = 0").withColumn("value", F.col("feature_cell") % 13))
+    fine = locations.select(curve.point_cell("latitude", "longitude", FINE).alias("fine"))
+    both = fine.select(F.explode(F.array(curve.ancestor("fine", F.lit(COARSE)), F.col("fine"))).alias("feature_cell"))
+    cell, coarse = F.col("feature_cell"), curve.level_of("feature_cell") == COARSE
+    kept = both.distinct().where(F.when(coarse, cell % 5 != 0).otherwise(cell % 3 == 0))
+    return kept.withColumn("value", F.when(coarse, cell % 11).otherwise(cell % 13))
 
 
 def q_finest_feature(spark, d):
     """The value of the smallest feature cell that holds each location."""
     points = _spread_locations(spark, d).select("id", "source", curve.point_cell("latitude", "longitude").alias("cell"))
-    return curve.finest_feature(points, _layers(spark, d), [COARSE, FINE]).select("id", "source", "feature_cell", "value")
+    return curve.finest_feature(points, _layers(_spread_locations(spark, d)), [COARSE, FINE]).select("id", "source", "feature_cell", "value")
 
 
 def q_containing_cells(spark, d):
     """Per location the feature cells that hold one of its covering cells, equal
     it or lie in it, and their values, counted."""
-    covering = curve.curve_covering(_spread_locations(spark, d))
-    pairs = curve.containing(covering, _layers(spark, d), range(curve.FINEST + 1), [COARSE, FINE])
+    locations = materialize(_spread_locations(spark, d), "locations")
+    covering = curve.curve_covering(locations)
+    pairs = curve.containing(covering, _layers(locations), range(curve.FINEST + 1), [COARSE, FINE])
     return pairs.groupBy("id", "source").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
 
 

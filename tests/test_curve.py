@@ -89,6 +89,24 @@ def test_containing_pairs_and_finest_feature(spark):
     assert curve.containing(left.limit(0), right, range(5), range(5)).count() == 0
 
 
+def test_the_covered_side_is_looked_up_once(spark):
+    """Its bits are moved without a lambda a cell, and one join finds both kinds of pairs."""
+    from geotaxa.plans.checks import plan_text
+    rows = [row(i, lat=(0.3, 60.0, 89.95, -90.0)[i % 4], lon=(-180.0, 179.9, 10.0)[i % 3], unc=10.0 ** (i % 7)) for i in range(40)]
+    covering = curve.curve_covering(occ_df(spark, rows))
+    plan = plan_text(covering)
+    assert "lambda" not in plan and "namedlambdavariable" not in plan.lower()
+    features = covering.select(F.col("cell").alias("feature_cell")).distinct().withColumn("value", F.col("feature_cell") % 7)
+    pairs = curve.containing(covering, features, range(curve.FINEST + 1), range(curve.FINEST + 1))
+    plan = plan_text(pairs)
+    assert sum(plan.count(kind) for kind in ("BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin")) == 1
+    cells = [(r["id"], r["cell"]) for r in covering.collect()]
+    level = lambda c: (c.bit_length() - 1) // 2
+    holds = lambda a, b: level(a) <= level(b) and b >> 2 * (level(b) - level(a)) == a
+    want = {(i, c, f) for i, c in cells for f in {c for _, c in cells} if holds(c, f) or holds(f, c)}
+    assert as_set(pairs, "id", "cell", "feature_cell") == want and pairs.count() == len(want)
+
+
 def test_joins_are_equalities(spark):
     from geotaxa.plans.checks import plan_text
     left = spark.range(5).select("id", (F.col("id") + 4).alias("cell"))
